@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, VariantType
 
 from ..functions.columns import (flag_tokens, normalize_title, parse_date,
                                  safe_rating, safe_year, split_tags)
@@ -40,25 +41,37 @@ def _as_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _orderable(dtype) -> bool:
+    return not isinstance(dtype, (MapType, VariantType))
+
+
 def dedup_latest(df: DataFrame, keys: Sequence[str],
                  order_by: Sequence = ()) -> DataFrame:
     """A1: one row per key; the row with the greatest ``order_by`` wins.
 
-    Ties on ``order_by`` are broken by the remaining columns, so the survivor
-    is a total-order choice and reruns agree. NULL keys form one group, as
-    with ``dropDuplicates``. Implemented as ``max(struct)`` per key: the
-    aggregate is combined map-side before the shuffle, so a key holding a
-    large share of the rows never reaches one task whole.
+    ``order_by`` lists columns (or Columns) compared in turn, greatest first,
+    NULL smallest; callers make the choice total by listing enough columns.
+    Without ``order_by`` every other column is compared, so the survivor is
+    the greatest row by content. NULL keys form one group, as with
+    ``dropDuplicates``.
+
+    Plan: ``row_number() = 1`` over the key. Spark places a partial group
+    limit before the shuffle, so each map task sends at most one row per
+    key; a key holding a large share of the rows never reaches one task
+    whole. Columns unused downstream are pruned through the window.
     """
     keys = list(keys)
-    payload = [c for c in df.columns if c not in keys]
-    order = [_as_col(c).alias(f"__o{i}") for i, c in enumerate(order_by)]
+    payload = [f.name for f in df.schema.fields if f.name not in keys]
     if not payload:
         return df.select(*keys).distinct()
-    best = F.max(F.struct(*order, *[F.col(c) for c in payload])).alias("__w")
-    out = df.groupBy(*keys).agg(best)
-    return out.select(*[F.col(c) if c in keys else F.col("__w")[c].alias(c)
-                        for c in df.columns])
+    if order_by:
+        order = [_as_col(c).desc_nulls_last() for c in order_by]
+    else:
+        order = [F.col(f.name).desc_nulls_last() for f in df.schema.fields
+                 if f.name not in keys and _orderable(f.dataType)] or [F.lit(0)]
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return (df.withColumn("__rn", F.row_number().over(w))
+            .filter(F.col("__rn") == 1).drop("__rn"))
 
 
 def add_silver_lineage(df: DataFrame, source: str, ingestion_date: str | None,

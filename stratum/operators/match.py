@@ -40,14 +40,15 @@ def union_catalog(sources: Sequence[DataFrame]) -> DataFrame:
     """UNION ALL of (uri, title, year) projections, one row per uri.
 
     Earlier sources win (diary > ratings > watched); inside one source the
-    latest ``sort_date`` wins. Rows whose survivor has no title are dropped
+    latest ``sort_date`` wins, then the greatest title and year. Rows whose survivor has no title are dropped
     afterwards, as in the studied pipeline.
     """
     parts = [s.select("letterboxd_uri", "movie_title", "movie_year",
                       F.lit(-i).alias("__prio"), F.col("sort_date").alias("__date"))
              for i, s in enumerate(sources)]
     allrows = reduce(lambda a, b: a.unionByName(b), parts)
-    best = dedup_latest(allrows, ["letterboxd_uri"], ["__prio", "__date"])
+    best = dedup_latest(allrows, ["letterboxd_uri"],
+                        ["__prio", "__date", "movie_title", "movie_year"])
     return (best.filter(F.col("movie_title").isNotNull())
             .select("letterboxd_uri", "movie_title", "movie_year"))
 

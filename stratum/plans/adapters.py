@@ -77,7 +77,7 @@ def raw_ratings(lineitem: DataFrame) -> DataFrame:
     )
 
 
-RATINGS_ORDER = ["l_orderkey", "l_linenumber"]
+RATINGS_ORDER = ["l_orderkey", "l_linenumber", "my_rating"]
 DIARY_ORDER = ["event_id"]
 
 
