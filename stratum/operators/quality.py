@@ -113,12 +113,16 @@ def _unique(df: DataFrame, table_name: str, rule: dict) -> DataFrame:
 
 
 def _relationship(df: DataFrame, table_name: str, rule: dict) -> DataFrame:
+    """Child values absent from the parent. Child rows are first counted per
+    value (combined map-side), so the anti join sees each value once however
+    many rows carry it; the parent contributes its distinct values only."""
     c = rule["column"]
     parent = rule["parent"].select(F.col(rule.get("parent_column", c)).alias("__k")).distinct()
-    child = df.filter(_scope(rule) & F.col(c).isNotNull()).select(F.col(c).alias("__k"))
+    child = (df.filter(_scope(rule) & F.col(c).isNotNull())
+             .groupBy(F.col(c).alias("__k")).agg(F.count(F.lit(1)).alias("__n")))
     orphans = child.join(parent, "__k", "left_anti")
-    total = child.select(F.count(F.lit(1))).scalar()
-    failed = orphans.agg(F.count(F.lit(1)).alias("failed"))
+    total = child.select(F.coalesce(F.sum("__n"), F.lit(0))).scalar()
+    failed = orphans.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("failed"))
     return failed.select(F.inline(F.array(
         _result_struct(table_name, rule, total, F.col("failed")))))
 

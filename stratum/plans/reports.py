@@ -23,27 +23,31 @@ def status_counts(movies: DataFrame) -> DataFrame:
 def audit_record(movies: DataFrame, diary: DataFrame, ratings: DataFrame,
                  processed: DataFrame, run_ts: str, run_mode: str,
                  bronze_partition: str, job_status: str = "SUCCESS") -> DataFrame:
-    """One run-audit row. Counts default to 0 on an empty run."""
-    spark = movies.sparkSession
+    """One run-audit row. Counts default to 0 on an empty run.
 
+    The film table is read once (all status counts in one aggregate); the
+    other tables contribute one scalar-subquery count each.
+    """
     def count_of(df: DataFrame):
         return df.select(F.count(F.lit(1))).scalar()
 
     def status_n(s: str):
-        return movies.select(F.count_if(F.col("enrichment_status") == s)).scalar()
-
-    return spark.range(1).select(
+        return F.count_if(F.col("enrichment_status") == s)
+
+    stats = movies.agg(F.count(F.lit(1)).alias("silver_movies_total"),
+                       status_n("SUCCESS").alias("tmdb_success"),
+                       status_n("FUZZY_MATCH").alias("tmdb_fuzzy_match"),
+                       status_n("NOT_FOUND").alias("tmdb_not_found"),
+                       status_n("ERROR").alias("tmdb_error"))
+    return stats.select(
         F.lit(run_ts).alias("pipeline_run_ts"),
         F.lit(run_mode).alias("run_mode"),
         F.lit(bronze_partition).alias("bronze_partition"),
         count_of(processed).alias("movies_processed"),
-        count_of(movies).alias("silver_movies_total"),
+        "silver_movies_total",
         count_of(diary).alias("silver_diary_total"),
         count_of(ratings).alias("silver_ratings_total"),
-        status_n("SUCCESS").alias("tmdb_success"),
-        status_n("FUZZY_MATCH").alias("tmdb_fuzzy_match"),
-        status_n("NOT_FOUND").alias("tmdb_not_found"),
-        status_n("ERROR").alias("tmdb_error"),
+        "tmdb_success", "tmdb_fuzzy_match", "tmdb_not_found", "tmdb_error",
         F.lit(job_status).alias("job_status"),
     )
 
@@ -71,36 +75,54 @@ def timeline(diary_facts: DataFrame, ratings_facts: DataFrame, grain: str = "mon
                  F.countDistinct("letterboxd_uri").alias("n_films")))
 
 
+def per_film(facts: DataFrame, *extra_keys: str) -> DataFrame:
+    """Views per film (and extra keys): count, rated count and rating sum.
+
+    Combined map-side before the shuffle, so a film holding a large share of
+    the fact rows arrives at the join below as one row per map task, and the
+    joins with film dimensions see one row per film.
+    """
+    return facts.groupBy("movie_id", *extra_keys).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count("my_rating").alias("n_rated"),
+        F.sum("my_rating").alias("rating_sum"))
+
+
 def rating_distribution(ratings_facts: DataFrame, movies: DataFrame) -> DataFrame:
-    """Histogram of personal ratings and personal-minus-catalogue mean."""
+    """Histogram of personal ratings and personal-minus-catalogue mean
+    (on a 10-point scale)."""
     m = movies.select("movie_id", "vote_average")
-    j = ratings_facts.join(m, "movie_id", "left")
+    j = per_film(ratings_facts, "my_rating").join(m, "movie_id", "left")
+    has_vote = F.col("vote_average").isNotNull()
+    diff_sum = F.sum(F.when(has_vote, F.col("n") * (F.col("my_rating") * 2 - F.col("vote_average"))))
+    n_vote = F.sum(F.when(has_vote, F.col("n")))
     return (j.groupBy("my_rating")
-            .agg(F.count(F.lit(1)).alias("n_ratings"),
-                 F.count("vote_average").alias("n_with_catalogue"),
-                 F.round(F.avg(F.col("my_rating") * 2 - F.col("vote_average")), 6)
-                  .alias("avg_diff_10pt")))
+            .agg(F.sum("n").alias("n_ratings"),
+                 F.coalesce(n_vote, F.lit(0)).alias("n_with_catalogue"),
+                 F.round(diff_sum / n_vote, 6).alias("avg_diff_10pt")))
 
 
 def genre_share(diary_facts: DataFrame, movies: DataFrame) -> DataFrame:
-    """Share of viewing minutes per genre. Views are joined to their film,
-    the film's genres unnested; the total is a scalar subquery."""
+    """Share of viewing minutes per genre. Views are counted per film
+    first, joined to the film's unnested genres; the grand total is a scalar
+    subquery (no global window, no cross join)."""
     m = movies.select("movie_id", "runtime_minutes",
                       F.explode(F.array_distinct("genres")).alias("genre_name"))
-    per_genre = (diary_facts.select("movie_id").join(m, "movie_id", "inner")
+    per_genre = (per_film(diary_facts.filter(F.col("movie_id").isNotNull())).join(m, "movie_id", "inner")
                  .groupBy("genre_name")
-                 .agg(F.count(F.lit(1)).alias("n_views"),
-                      F.sum("runtime_minutes").alias("minutes")))
+                 .agg(F.sum("n").alias("n_views"),
+                      F.sum(F.col("n") * F.col("runtime_minutes")).alias("minutes")))
     total = per_genre.select(F.sum("minutes")).scalar()
     return per_genre.withColumn("share", F.round(F.col("minutes") / total, 6))
 
 
 def fanout_safe_count(bridge: DataFrame, diary_facts: DataFrame) -> DataFrame:
     """Per genre, distinct films viewed vs the inflated row count a naive
-    bridge × fact blend would report."""
-    j = diary_facts.select("movie_id").join(bridge.select("movie_id", "genre_name"), "movie_id")
-    return j.groupBy("genre_name").agg(F.countDistinct("movie_id").alias("n_films"),
-                                       F.count(F.lit(1)).alias("n_views_inflated"))
+    bridge × fact blend would report (views pre-counted per film)."""
+    j = per_film(diary_facts.filter(F.col("movie_id").isNotNull())).join(
+        bridge.select("movie_id", "genre_name"), "movie_id")
+    return j.groupBy("genre_name").agg(F.count(F.lit(1)).alias("n_films"),
+                                       F.sum("n").alias("n_views_inflated"))
 
 
 def unmatched_latest(silver_movies: DataFrame, k: int = 20) -> DataFrame:
@@ -111,38 +133,38 @@ def unmatched_latest(silver_movies: DataFrame, k: int = 20) -> DataFrame:
             .limit(k))
 
 
-def _filtered(diary_facts: DataFrame, movies: DataFrame, year: int | None, genre: str | None) -> DataFrame:
-    m = movies
+def _film_filter(movies: DataFrame, year: int | None, genre: str | None) -> DataFrame:
     if year is not None:
-        m = m.filter(F.col("release_year") == year)
+        movies = movies.filter(F.col("release_year") == year)
     if genre is not None:
-        m = m.filter(F.array_contains("genres", genre))
-    return diary_facts.join(m, "movie_id", "inner")
+        movies = movies.filter(F.array_contains("genres", genre))
+    return movies
 
 
-def top_directors(diary_facts: DataFrame, movies: DataFrame, k: int = 10,
+def _avg(sum_col: str = "rating_sum", n_col: str = "n_rated"):
+    return F.round(F.sum(sum_col) / F.sum(n_col), 6)
+
+
+def top_directors(facts: DataFrame, movies: DataFrame, k: int = 10,
                   year: int | None = None, genre: str | None = None) -> DataFrame:
     """Directors by views (name breaks ties), optional year/genre filter."""
-    j = _filtered(diary_facts.select("movie_id", "my_rating"),
-                  movies.select("movie_id", "director_name", "release_year", "genres"), year, genre)
+    m = _film_filter(movies, year, genre).select("movie_id", "director_name")
+    j = per_film(facts.filter(F.col("movie_id").isNotNull())).join(m, "movie_id", "inner")
     return (j.filter(F.col("director_name").isNotNull())
             .groupBy("director_name")
-            .agg(F.count(F.lit(1)).alias("n_views"),
-                 F.countDistinct("movie_id").alias("n_films"),
-                 F.round(F.avg("my_rating"), 6).alias("avg_rating"))
+            .agg(F.sum("n").alias("n_views"),
+                 F.count(F.lit(1)).alias("n_films"),
+                 _avg().alias("avg_rating"))
             .orderBy(F.col("n_views").desc(), F.col("director_name").asc())
             .limit(k))
 
 
-def top_movies(diary_facts: DataFrame, movies: DataFrame, k: int = 10,
+def top_movies(facts: DataFrame, movies: DataFrame, k: int = 10,
                year: int | None = None, genre: str | None = None) -> DataFrame:
     """Films by views (uri breaks ties), optional year/genre filter."""
-    j = _filtered(diary_facts.select("movie_id", "my_rating"),
-                  movies.select("movie_id", "letterboxd_uri", "title", "release_year", "genres"),
-                  year, genre)
-    return (j.groupBy("movie_id", "letterboxd_uri", "title")
-            .agg(F.count(F.lit(1)).alias("n_views"),
-                 F.round(F.avg("my_rating"), 6).alias("avg_rating"))
+    m = _film_filter(movies, year, genre).select("movie_id", "letterboxd_uri", "title")
+    j = per_film(facts.filter(F.col("movie_id").isNotNull())).join(m, "movie_id", "inner")
+    return (j.select("letterboxd_uri", "title", F.col("n").alias("n_views"),
+                     F.round(F.col("rating_sum") / F.col("n_rated"), 6).alias("avg_rating"))
             .orderBy(F.col("n_views").desc(), F.col("letterboxd_uri").asc())
-            .limit(k).select("letterboxd_uri", "title", "n_views", "avg_rating"))
-
+            .limit(k))
