@@ -16,20 +16,39 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.merge import incremental_merge, merge_upsert
-from .files import _fs, path_exists
+from .files import _fs, list_entries, path_exists
 
 
 def is_delta(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, f"{path.rstrip('/')}/_delta_log")
 
 
+def recover(spark: SparkSession, path: str) -> None:
+    """Finish a swap that stopped after the old directory was moved away:
+    if ``path`` is missing but a complete staged copy exists, move it in."""
+    path = path.rstrip("/")
+    if path_exists(spark, path):
+        return
+    parent, name = path.rsplit("/", 1)
+    if not path_exists(spark, parent):
+        return
+    staged = sorted(n for n, is_dir in list_entries(spark, parent)
+                    if is_dir and n.startswith(f"{name}.__new-")
+                    and path_exists(spark, f"{parent}/{n}/_SUCCESS"))
+    if staged:
+        fs, p = _fs(spark, path)
+        fs.rename(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{parent}/{staged[-1]}"), p)
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     """A finished table lives at ``path``."""
+    recover(spark, path)
     return path_exists(spark, f"{path.rstrip('/')}/_SUCCESS") or is_delta(spark, path)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """Read a keyed table (Delta if present, else Parquet)."""
+    recover(spark, path)
     fmt = "delta" if is_delta(spark, path) else "parquet"
     return spark.read.format(fmt).load(path)
 

@@ -89,3 +89,10 @@ def test_materializations(spark, tmp_dir):
     assert rows(out) == [("a", 2, "2024-01-05", "x")]
     with pytest.raises(ValueError):
         tables.materialize(df, "snapshot", "x", f"{tmp_dir}/x")
+
+
+def test_interrupted_swap_is_recovered(spark, tmp_dir):
+    src = spark.createDataFrame([("a", 1)], "k string, v int")
+    src.write.parquet(f"{tmp_dir}/t.__new-0001")      # staged copy, old dir already moved away
+    assert tables.table_exists(spark, f"{tmp_dir}/t")
+    assert rows(tables.read_table(spark, f"{tmp_dir}/t")) == [("a", 1)]
