@@ -99,32 +99,34 @@ def _row_level(df: DataFrame, table_name: str, rules: Sequence[dict]) -> DataFra
 
 
 def _unique(df: DataFrame, table_name: str, rule: dict) -> DataFrame:
+    """Rows per value (combined map-side), then one aggregate gives both the
+    total and the failing rows. NULL values are not compared (model-test
+    semantics); failing rows are all rows of a value seen more than once."""
     cols = rule["column"] if isinstance(rule["column"], (list, tuple)) else [rule["column"]]
-    scoped = df.filter(_scope(rule)).select(*cols)
-    # NULL values are not compared (model-test semantics); failing rows are
-    # all rows of a value that occurs more than once.
     not_null = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
-    counts = scoped.filter(not_null).groupBy(*cols).count()
-    failed = counts.agg(F.coalesce(F.sum(F.when(F.col("count") > 1, F.col("count"))),
-                                   F.lit(0)).alias("failed"))
-    total = scoped.select(F.count(F.lit(1))).scalar()
-    return failed.select(F.inline(F.array(
-        _result_struct(table_name, rule, total, F.col("failed")))))
+    counts = df.filter(_scope(rule)).groupBy(*cols).count()
+    one = counts.agg(
+        F.coalesce(F.sum("count"), F.lit(0)).alias("total"),
+        F.coalesce(F.sum(F.when(not_null & (F.col("count") > 1), F.col("count"))), F.lit(0)).alias("failed"))
+    return one.select(F.inline(F.array(
+        _result_struct(table_name, rule, F.col("total"), F.col("failed")))))
 
 
 def _relationship(df: DataFrame, table_name: str, rule: dict) -> DataFrame:
     """Child values absent from the parent. Child rows are first counted per
-    value (combined map-side), so the anti join sees each value once however
-    many rows carry it; the parent contributes its distinct values only."""
+    value (combined map-side), so the join sees each value once however many
+    rows carry it; the parent contributes its distinct values only. One
+    left join and one aggregate give total and failing rows."""
     c = rule["column"]
-    parent = rule["parent"].select(F.col(rule.get("parent_column", c)).alias("__k")).distinct()
+    parent = (rule["parent"].select(F.col(rule.get("parent_column", c)).alias("__k")).distinct()
+              .withColumn("__p", F.lit(True)))
     child = (df.filter(_scope(rule) & F.col(c).isNotNull())
              .groupBy(F.col(c).alias("__k")).agg(F.count(F.lit(1)).alias("__n")))
-    orphans = child.join(parent, "__k", "left_anti")
-    total = child.select(F.coalesce(F.sum("__n"), F.lit(0))).scalar()
-    failed = orphans.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("failed"))
-    return failed.select(F.inline(F.array(
-        _result_struct(table_name, rule, total, F.col("failed")))))
+    one = child.join(parent, "__k", "left").agg(
+        F.coalesce(F.sum("__n"), F.lit(0)).alias("total"),
+        F.coalesce(F.sum(F.when(F.col("__p").isNull(), F.col("__n"))), F.lit(0)).alias("failed"))
+    return one.select(F.inline(F.array(
+        _result_struct(table_name, rule, F.col("total"), F.col("failed")))))
 
 
 def evaluate(df: DataFrame, table_name: str, rules: Sequence[dict]) -> DataFrame:
