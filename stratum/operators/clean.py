@@ -86,55 +86,67 @@ def add_silver_lineage(df: DataFrame, source: str, ingestion_date: str | None,
     })
 
 
+def _clean(df: DataFrame, renames: dict, derived: dict, drop: Sequence[str], source: str,
+           run_ts: str, ingestion_date: str | None, keep: Column, keys: Sequence[str],
+           order_by: Sequence) -> DataFrame:
+    """Rename, derive, stamp, drop and filter in one projection + one filter
+    (one analysis step each), then dedup on ``keys``."""
+    stamp = F.lit(run_ts).cast("timestamp")
+    lineage = {"source_file": F.lit(source),
+               "_ingestion_date": F.lit(ingestion_date).cast("string"),
+               "_silver_created_at": stamp, "_silver_updated_at": stamp}
+    names = [renames.get(c, c) for c in df.columns]
+    new = {**derived, **lineage}
+    # like withColumns: an existing column is replaced where it stands
+    cols = [(new[c].alias(c) if c in new else F.col(f"`{c}`")) for c in names if c not in drop]
+    cols += [v.alias(k) for k, v in new.items() if k not in names]
+    out = df.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(df.columns, names)]).select(*cols)
+    return dedup_latest(out.filter(keep), keys, order_by)
+
+
 def clean_diary(df: DataFrame, run_ts: str, ingestion_date: str | None = None,
                 order_by: Sequence = ()) -> DataFrame:
     """Diary export -> Silver diary entries, one row per (uri, watched_date)."""
-    out = (df.withColumnsRenamed(DIARY_RENAMES)
-           .withColumns({
-               "diary_date": parse_date("diary_date_str"),
-               "watched_date": parse_date("watched_date_str"),
-               "movie_year": safe_year("movie_year_str"),
-               "my_rating": safe_rating("my_rating_str"),
-               "is_rewatch": flag_tokens("is_rewatch_str"),
-           })
-           .withColumns({
-               "movie_title_normalized": normalize_title("movie_title"),
-               "tags": split_tags("tags_raw"),
-           }))
-    out = add_silver_lineage(out, "diary", ingestion_date, run_ts)
-    out = (out.drop("diary_date_str", "watched_date_str", "movie_year_str",
-                    "my_rating_str", "is_rewatch_str", "tags_raw")
-           .filter(F.col("letterboxd_uri").isNotNull())
-           .filter(F.col("movie_title").isNotNull() & (F.trim("movie_title") != F.lit(""))))
-    return dedup_latest(out, ["letterboxd_uri", "watched_date"], order_by)
+    derived = {
+        "diary_date": parse_date("diary_date_str"),
+        "watched_date": parse_date("watched_date_str"),
+        "movie_year": safe_year("movie_year_str"),
+        "my_rating": safe_rating("my_rating_str"),
+        "is_rewatch": flag_tokens("is_rewatch_str"),
+        "movie_title_normalized": normalize_title("movie_title"),
+        "tags": split_tags("tags_raw"),
+    }
+    keep = (F.col("letterboxd_uri").isNotNull() & F.col("movie_title").isNotNull()
+            & (F.trim("movie_title") != F.lit("")))
+    return _clean(df, DIARY_RENAMES, derived,
+                  ["diary_date_str", "watched_date_str", "movie_year_str", "my_rating_str",
+                   "is_rewatch_str", "tags_raw"], "diary", run_ts, ingestion_date, keep,
+                  ["letterboxd_uri", "watched_date"], order_by)
 
 
 def clean_ratings(df: DataFrame, run_ts: str, ingestion_date: str | None = None,
                   order_by: Sequence = ()) -> DataFrame:
     """Ratings export -> Silver ratings, one row per (uri, rating_date)."""
-    out = (df.withColumnsRenamed(RATINGS_RENAMES)
-           .withColumns({
-               "rating_date": parse_date("rating_date_str"),
-               "movie_year": safe_year("movie_year_str"),
-               "my_rating": safe_rating("my_rating_str"),
-               "movie_title_normalized": normalize_title("movie_title"),
-           }))
-    out = add_silver_lineage(out, "ratings", ingestion_date, run_ts)
-    out = (out.drop("rating_date_str", "movie_year_str", "my_rating_str")
-           .filter(F.col("letterboxd_uri").isNotNull()))
-    return dedup_latest(out, ["letterboxd_uri", "rating_date"], order_by)
+    derived = {
+        "rating_date": parse_date("rating_date_str"),
+        "movie_year": safe_year("movie_year_str"),
+        "my_rating": safe_rating("my_rating_str"),
+        "movie_title_normalized": normalize_title("movie_title"),
+    }
+    return _clean(df, RATINGS_RENAMES, derived,
+                  ["rating_date_str", "movie_year_str", "my_rating_str"], "ratings", run_ts,
+                  ingestion_date, F.col("letterboxd_uri").isNotNull(),
+                  ["letterboxd_uri", "rating_date"], order_by)
 
 
 def clean_watched(df: DataFrame, run_ts: str, ingestion_date: str | None = None,
                   order_by: Sequence = ()) -> DataFrame:
     """Watched export -> cleaned rows, one per (uri, watched_date)."""
-    out = (df.withColumnsRenamed(WATCHED_RENAMES)
-           .withColumns({
-               "watched_date": parse_date("watched_date_str"),
-               "movie_year": safe_year("movie_year_str"),
-               "movie_title_normalized": normalize_title("movie_title"),
-           }))
-    out = add_silver_lineage(out, "watched", ingestion_date, run_ts)
-    out = (out.drop("watched_date_str", "movie_year_str")
-           .filter(F.col("letterboxd_uri").isNotNull()))
-    return dedup_latest(out, ["letterboxd_uri", "watched_date"], order_by)
+    derived = {
+        "watched_date": parse_date("watched_date_str"),
+        "movie_year": safe_year("movie_year_str"),
+        "movie_title_normalized": normalize_title("movie_title"),
+    }
+    return _clean(df, WATCHED_RENAMES, derived, ["watched_date_str", "movie_year_str"], "watched",
+                  run_ts, ingestion_date, F.col("letterboxd_uri").isNotNull(),
+                  ["letterboxd_uri", "watched_date"], order_by)

@@ -20,8 +20,18 @@ INGESTION_DATE = "2024-01-31"
 REWATCH_TOKENS = ["Yes", "yes", "TRUE", "1", "No", "YES"]
 
 
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table. The DataFrame is reused across queries of a session
+    (the files are read-only), which saves listing the files and reading the
+    Parquet footer again for every query."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark._jsparkSession), path)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(path)
+    return _TABLES[key]
 
 
 def _uri(key: Column) -> Column:
