@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.files import spread_unsplittable
+
 URI_PREFIX = "https://boxd.it/"
 RUN_TS = "2024-02-01 00:00:00"
 PREVIOUS_RUN_TS = "2024-01-01 00:00:00"
@@ -24,13 +26,15 @@ _TABLES: dict[tuple[int, str], DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table. The DataFrame is reused across queries of a session
-    (the files are read-only), which saves listing the files and reading the
-    Parquet footer again for every query."""
+    """A driver table. Each is one Parquet file with one row group, which
+    Spark reads in a single task; tables of many narrow rows are dealt over
+    the cores first (``spread_unsplittable``). The DataFrame is reused across
+    queries of a session (the files are read-only), which saves listing the
+    files and reading the Parquet footer again for every query."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     key = (id(spark._jsparkSession), path)
     if key not in _TABLES:
-        _TABLES[key] = spark.read.parquet(path)
+        _TABLES[key] = spread_unsplittable(spark.read.parquet(path), path)
     return _TABLES[key]
 
 

@@ -38,6 +38,39 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def path_bytes(spark: SparkSession, path: str) -> int:
+    fs, p = _fs(spark, path)
+    return int(fs.getContentSummary(p).getLength())
+
+
+def spread_unsplittable(df: DataFrame, path: str, max_row_bytes: int = 512,
+                        min_bytes: int = 1 << 20) -> DataFrame:
+    """Read-side parallelism for inputs Spark cannot split.
+
+    A file holding one Parquet row group (or a gzip CSV) is read by one task,
+    and every per-row step before the first shuffle then runs on one core.
+    When the input has fewer files than the session has cores and its rows
+    are narrow (stored bytes per row at most ``max_row_bytes``; the row count
+    comes from the Parquet footers, no data is read), its rows are dealt
+    round-robin over the cores: moving narrow rows is cheaper than the
+    per-row work it parallelises. Inputs under ``min_bytes`` are not worth a
+    shuffle. Wide rows (long texts) stay where they are,
+    and inputs made of many files — any large table — are returned
+    unchanged, so this adds no shuffle at scale.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if len(df.inputFiles()) >= cores:
+        return df
+    size = path_bytes(spark, path)
+    if size < min_bytes:
+        return df
+    n = df.count()
+    if n < cores or size > max_row_bytes * n:
+        return df
+    return df.repartition(cores)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     return bool(fs.exists(p))
