@@ -99,11 +99,12 @@ def build_silver(spark: SparkSession, root: str, catalogue: DataFrame, details:
         "diary_entries": tables.upsert_table(
             spark, f"{silver}/diary_entries", diary, SILVER_KEYS["diary_entries"],
             {"my_rating": "s.my_rating", "tags": "s.tags",
-             "_silver_updated_at": "s._silver_updated_at"}, DIARY_UPDATE_WHEN),
+             "_silver_updated_at": "s._silver_updated_at"}, DIARY_UPDATE_WHEN,
+            check_unique=False),  # deduplicated on the merge keys by the cleaner
         "ratings": tables.upsert_table(
             spark, f"{silver}/ratings", ratings, SILVER_KEYS["ratings"],
             {"my_rating": "s.my_rating", "_silver_updated_at": "s._silver_updated_at"},
-            RATINGS_UPDATE_WHEN),
+            RATINGS_UPDATE_WHEN, check_unique=False),
     }
     for name, df in out.items():
         quality.assert_table(df, "letterboxd_uri", f"silver_{name}")

@@ -26,6 +26,7 @@ from ..sources import files, tables
 from ..sources.rules import expectation_rules
 from . import adapters as A
 from . import contracts, gold, reports
+from .medallion import MOVIE_UPDATE_COLUMNS, MOVIE_UPDATE_WHEN
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -387,15 +388,6 @@ def q_high_water_mark(spark, sf):
     return merge.newer_than(o, existing, "o_orderdate")
 
 
-MOVIE_UPDATE_COLUMNS = ["tmdb_id", "tmdb_title", "tmdb_original_title", "release_date", "genres",
-                        "runtime_minutes", "budget_usd", "revenue_usd", "vote_average",
-                        "vote_count", "overview", "original_language", "poster_path",
-                        "director_name", "director_tmdb_id", "enrichment_status",
-                        "_silver_updated_at"]
-MOVIE_UPDATE_WHEN = ("s.enrichment_status = 'SUCCESS' AND (t.enrichment_status != 'SUCCESS' "
-                     "OR s.vote_count > t.vote_count OR t.tmdb_id IS NULL)")
-
-
 def merge_movies(spark, sf):
     part = _t(spark, sf, "part")
     k = F.col("p_partkey")
@@ -428,7 +420,8 @@ def q_merge_composite_key(spark, sf):
     out = merge.merge_upsert(
         target, source, ["letterboxd_uri", "watched_date"],
         {"my_rating": "s.my_rating", "tags": "s.tags", "_silver_updated_at": "s._silver_updated_at"},
-        "s.my_rating IS NOT NULL AND s.my_rating != t.my_rating", with_action=True)
+        "s.my_rating IS NOT NULL AND s.my_rating != t.my_rating", with_action=True,
+        check_unique=False)  # the cleaner already keeps one row per key
     return out.select("letterboxd_uri", "watched_date",
                       F.col("my_rating").cast("double").alias("my_rating"),
                       F.col(merge.ACTION).alias("action"))
@@ -444,7 +437,8 @@ def q_merge_ratings(spark, sf):
     out = merge.merge_upsert(
         target, source, ["letterboxd_uri", "rating_date"],
         {"my_rating": "s.my_rating", "_silver_updated_at": "s._silver_updated_at"},
-        "s.my_rating != t.my_rating", with_action=True)
+        "s.my_rating != t.my_rating", with_action=True,
+        check_unique=False)  # the cleaner already keeps one row per key
     return out.select("letterboxd_uri", "rating_date",
                       F.col("my_rating").cast("double").alias("my_rating"),
                       F.col(merge.ACTION).alias("action"))

@@ -83,14 +83,16 @@ def append_table(df: DataFrame, path: str) -> None:
 
 def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],
                  update_set: Mapping[str, object], update_when=None,
-                 null_safe_keys: bool = False) -> DataFrame:
-    """S9 + M1–M3: create the table on the first run, MERGE afterwards."""
+                 null_safe_keys: bool = False, check_unique: bool = True) -> DataFrame:
+    """S9 + M1–M3: create the table on the first run, MERGE afterwards.
+    ``check_unique=False`` skips the duplicate-key probe for sources that are
+    unique by construction (deduplicated on the merge keys)."""
     if not table_exists(spark, path):
         source.write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
     target = read_table(spark, path)
     merged = merge_upsert(target, source.select(*target.columns), keys, update_set,
-                          update_when, null_safe_keys=null_safe_keys)
+                          update_when, null_safe_keys=null_safe_keys, check_unique=check_unique)
     return replace_table(merged, path)
 
 
