@@ -6,7 +6,8 @@ short: a lost executor re-runs tasks of the current step only, and a failed
 run restarts from the last table written. Tables live under one root:
 
     <root>/bronze/<table>/ingestion_date=<date>/
-    <root>/silver/{movies,diary_entries,ratings,_audit_log}
+    <root>/silver/{movies,_audit_log}, <root>/silver/diary_entries/watched_month=<month>/,
+    <root>/silver/ratings/rating_month=<month>/
     <root>/gold/{snap_dim_movie,dim_date,dim_director,dim_genre,dim_movie,
                  bridge_movie_genre,fact_diary_entries,fact_ratings,dq_results}
 """
@@ -96,13 +97,19 @@ def build_silver(spark: SparkSession, root: str, catalogue: DataFrame, details:
         "movies": tables.upsert_table(spark, movies_path, batch.select(*SILVER_MOVIE_COLUMNS),
                                       SILVER_KEYS["movies"],
                                       {c: f"s.{c}" for c in MOVIE_UPDATE_COLUMNS}, MOVIE_UPDATE_WHEN),
-        "diary_entries": tables.upsert_table(
-            spark, f"{silver}/diary_entries", diary, SILVER_KEYS["diary_entries"],
+        # Diary and ratings are partitioned by the month of their key date, so
+        # a run rewrites only the months its batch touches.
+        "diary_entries": tables.upsert_partitions(
+            spark, f"{silver}/diary_entries",
+            diary.withColumn("watched_month", F.trunc("watched_date", "month")),
+            SILVER_KEYS["diary_entries"], ["watched_month"],
             {"my_rating": "s.my_rating", "tags": "s.tags",
              "_silver_updated_at": "s._silver_updated_at"}, DIARY_UPDATE_WHEN,
             check_unique=False),  # deduplicated on the merge keys by the cleaner
-        "ratings": tables.upsert_table(
-            spark, f"{silver}/ratings", ratings, SILVER_KEYS["ratings"],
+        "ratings": tables.upsert_partitions(
+            spark, f"{silver}/ratings",
+            ratings.withColumn("rating_month", F.trunc("rating_date", "month")),
+            SILVER_KEYS["ratings"], ["rating_month"],
             {"my_rating": "s.my_rating", "_silver_updated_at": "s._silver_updated_at"},
             RATINGS_UPDATE_WHEN, check_unique=False),
     }

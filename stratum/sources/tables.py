@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,9 +42,16 @@ def recover(spark: SparkSession, path: str) -> None:
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """A finished table lives at ``path``."""
+    """A table lives at ``path``: a commit marker, a Delta log, or data
+    (a dynamic partition overwrite leaves partition folders but no marker)."""
     recover(spark, path)
-    return path_exists(spark, f"{path.rstrip('/')}/_SUCCESS") or is_delta(spark, path)
+    path = path.rstrip("/")
+    if not path_exists(spark, path):
+        return False
+    if path_exists(spark, f"{path}/_SUCCESS") or is_delta(spark, path):
+        return True
+    return any(not n.startswith(("_", ".")) and (("=" in n) if is_dir else n.endswith(".parquet"))
+               for n, is_dir in list_entries(spark, path))
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -96,6 +104,54 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequen
     return replace_table(merged, path)
 
 
+MAX_TOUCHED_PARTITIONS = 10_000
+
+
+def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],
+                      partition_cols: Sequence[str], update_set: Mapping[str, object],
+                      update_when=None, null_safe_keys: bool = False,
+                      check_unique: bool = True) -> DataFrame:
+    """M1–M3 for a partitioned table: only the partitions the source touches
+    are read, merged and rewritten.
+
+    The partition columns must follow from the keys (e.g. the month of a key
+    date), so a key never moves between partitions. The source's distinct
+    partition values are bounded by the table's partition count (they are
+    directories, not rows); they become a static partition filter, so the
+    scan lists and reads the touched partitions only. The merged partitions
+    are staged once, then swapped in with dynamic partition overwrite: a
+    daily batch costs its own partitions, not the whole table. Beyond
+    ``MAX_TOUCHED_PARTITIONS`` the whole table is merged instead (same result).
+    """
+    parts = list(partition_cols)
+    if not table_exists(spark, path):
+        (source.write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .partitionBy(*parts).parquet(path))
+        return spark.read.parquet(path)
+    target = read_table(spark, path)
+    src = source.select(*target.columns)
+    touched = src.select(*parts).distinct().limit(MAX_TOUCHED_PARTITIONS + 1).collect()
+    if len(touched) > MAX_TOUCHED_PARTITIONS:
+        return replace_table(merge_upsert(target, src, keys, update_set, update_when,
+                                          null_safe_keys=null_safe_keys,
+                                          check_unique=check_unique), path)
+    if not touched:
+        return target
+    in_touched = reduce(lambda a, b: a | b, [
+        reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.lit(row[c])) for c in parts])
+        for row in touched])
+    scoped = target.filter(in_touched)
+    merged = merge_upsert(scoped, src, keys, update_set, update_when,
+                          null_safe_keys=null_safe_keys, check_unique=check_unique)
+    staged = f"{path.rstrip('/')}.__merge-{uuid.uuid4().hex}"
+    merged.write.mode("overwrite").partitionBy(*parts).parquet(staged)
+    (spark.read.parquet(staged).select(*target.columns).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path))
+    fs, p = _fs(spark, staged)
+    fs.delete(p, True)
+    return spark.read.parquet(path)
+
+
 def export_table(df: DataFrame, sink_path: str) -> DataFrame:
     """Full replace of the sink with the source table."""
     df.write.mode("overwrite").parquet(sink_path)

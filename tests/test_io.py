@@ -96,3 +96,30 @@ def test_interrupted_swap_is_recovered(spark, tmp_dir):
     src.write.parquet(f"{tmp_dir}/t.__new-0001")      # staged copy, old dir already moved away
     assert tables.table_exists(spark, f"{tmp_dir}/t")
     assert rows(tables.read_table(spark, f"{tmp_dir}/t")) == [("a", 1)]
+
+
+def test_partition_scoped_merge(spark, tmp_dir):
+    path = f"{tmp_dir}/pt"
+    first = spark.createDataFrame([("a", "2024-01", 1), ("b", "2024-02", 2), ("c", None, 3)],
+                                  "k string, month string, v int")
+    tables.upsert_partitions(spark, path, first, ["k", "month"], ["month"], {"v": "s.v"})
+    # untouched partition 2024-02 must survive; NULL partition merged null-safely
+    batch = spark.createDataFrame([("a", "2024-01", 10), ("d", "2024-01", 4), ("e", None, 5)],
+                                  "k string, month string, v int")
+    out = tables.upsert_partitions(spark, path, batch, ["k", "month"], ["month"], {"v": "s.v"},
+                                   null_safe_keys=True)
+    assert rows(out.select("k", "month", "v")) == [
+        ("a", "2024-01", 10), ("b", "2024-02", 2), ("c", None, 3), ("d", "2024-01", 4), ("e", None, 5)]
+
+
+def test_partition_merge_prunes_the_scan(spark, tmp_dir):
+    path = f"{tmp_dir}/pp"
+    data = spark.range(0, 300).selectExpr("cast(id as string) as k", "id % 30 as day", "id as v")
+    tables.upsert_partitions(spark, path, data, ["k", "day"], ["day"], {"v": "s.v"})
+    batch = spark.createDataFrame([("1", 1, 100)], "k string, day bigint, v bigint")
+    target = tables.read_table(spark, path)
+    scoped = target.filter(target["day"].eqNullSafe(1))
+    p = scoped._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in p and "day" in p.split("PartitionFilters: [")[1].split("]")[0]
+    out = tables.upsert_partitions(spark, path, batch, ["k", "day"], ["day"], {"v": "s.v"})
+    assert out.count() == 300 and out.filter("k = '1'").first().v == 100
