@@ -9,7 +9,8 @@ run restarts from the last table written. Tables live under one root:
     <root>/silver/{movies,_audit_log}, <root>/silver/diary_entries/watched_month=<month>/,
     <root>/silver/ratings/rating_month=<month>/
     <root>/gold/{snap_dim_movie,dim_date,dim_director,dim_genre,dim_movie,
-                 bridge_movie_genre,fact_diary_entries,fact_ratings,dq_results}
+                 bridge_movie_genre,dq_results}
+    <root>/gold/fact_diary_entries/watched_month=<month>/, <root>/gold/fact_ratings/rating_month=<month>/
 """
 
 from __future__ import annotations
@@ -143,13 +144,18 @@ def build_gold(spark: SparkSession, root: str, run_ts: str) -> dict[str, DataFra
     bridge = tables.materialize(gold.bridge_movie_genre(movies, genres, run_ts), "table",
                                 "bridge_movie_genre", f"{g}/bridge_movie_genre")
     lookup = gold.date_lookup(spark, dates)
+    # Facts are partitioned by the month of their date (part of the unique
+    # key), so an incremental load rewrites only the months it touches.
     facts = {}
-    for name, built, key in (
-            ("fact_diary_entries", gold.fact_diary_entries(stg_d, movies, lookup, run_ts), "diary_entry_id"),
-            ("fact_ratings", gold.fact_ratings(stg_r, movies, lookup, run_ts), "rating_id")):
-        path = f"{g}/{name}"
-        existing = tables.read_table(spark, path) if tables.table_exists(spark, path) else None
-        facts[name] = tables.replace_table(gold.load_fact(existing, built, key), path)
+    for name, built, key, date_col in (
+            ("fact_diary_entries", gold.fact_diary_entries(stg_d, movies, lookup, run_ts),
+             "diary_entry_id", "watched_date"),
+            ("fact_ratings", gold.fact_ratings(stg_r, movies, lookup, run_ts), "rating_id",
+             "rating_date")):
+        built = built.withColumn(f"{date_col[:-5]}_month", F.trunc(date_col, "month"))
+        facts[name] = tables.load_incremental_partitions(
+            spark, f"{g}/{name}", built, key, [f"{date_col[:-5]}_month"], "_source_updated_at",
+            keep_first=["_dbt_created_at"])
     dq = quality.evaluate_all([
         ("dim_movie", movies, expectation_rules(contracts.DIM_MOVIE_RULES)),
         ("fact_diary_entries", facts["fact_diary_entries"],

@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.merge import incremental_merge, merge_upsert
+from ..operators.merge import incremental_merge, merge_upsert, newer_than
 from .files import _fs, list_entries, path_exists
 
 
@@ -107,21 +107,18 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequen
 MAX_TOUCHED_PARTITIONS = 10_000
 
 
-def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],
-                      partition_cols: Sequence[str], update_set: Mapping[str, object],
-                      update_when=None, null_safe_keys: bool = False,
-                      check_unique: bool = True) -> DataFrame:
-    """M1–M3 for a partitioned table: only the partitions the source touches
-    are read, merged and rewritten.
-
-    The partition columns must follow from the keys (e.g. the month of a key
-    date), so a key never moves between partitions. The source's distinct
-    partition values are bounded by the table's partition count (they are
-    directories, not rows); they become a static partition filter, so the
-    scan lists and reads the touched partitions only. The merged partitions
-    are staged once, then swapped in with dynamic partition overwrite: a
-    daily batch costs its own partitions, not the whole table. Beyond
-    ``MAX_TOUCHED_PARTITIONS`` the whole table is merged instead (same result).
+def rewrite_partitions(spark: SparkSession, path: str, source: DataFrame,
+                       partition_cols: Sequence[str], combine) -> DataFrame:
+    """Rewrite only the partitions of ``path`` that ``source`` touches, with
+    ``combine(scoped_target, source) -> DataFrame`` giving their new content.
+
+    The source's distinct partition values are bounded by the table's
+    partition count (they are directories, not rows); they become a static
+    partition filter, so the scan lists and reads the touched partitions
+    only. The new partitions are staged once, then swapped in with dynamic
+    partition overwrite. Beyond ``MAX_TOUCHED_PARTITIONS`` the whole table is
+    combined and replaced instead (same result). The first run writes the
+    source as the table.
     """
     parts = list(partition_cols)
     if not table_exists(spark, path):
@@ -129,22 +126,17 @@ def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, keys: S
          .partitionBy(*parts).parquet(path))
         return spark.read.parquet(path)
     target = read_table(spark, path)
-    src = source.select(*target.columns)
-    touched = src.select(*parts).distinct().limit(MAX_TOUCHED_PARTITIONS + 1).collect()
+    touched = source.select(*parts).distinct().limit(MAX_TOUCHED_PARTITIONS + 1).collect()
     if len(touched) > MAX_TOUCHED_PARTITIONS:
-        return replace_table(merge_upsert(target, src, keys, update_set, update_when,
-                                          null_safe_keys=null_safe_keys,
-                                          check_unique=check_unique), path)
+        return replace_table(combine(target, source).select(*target.columns), path)
     if not touched:
         return target
     in_touched = reduce(lambda a, b: a | b, [
         reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.lit(row[c])) for c in parts])
         for row in touched])
-    scoped = target.filter(in_touched)
-    merged = merge_upsert(scoped, src, keys, update_set, update_when,
-                          null_safe_keys=null_safe_keys, check_unique=check_unique)
+    new_parts = combine(target.filter(in_touched), source)
     staged = f"{path.rstrip('/')}.__merge-{uuid.uuid4().hex}"
-    merged.write.mode("overwrite").partitionBy(*parts).parquet(staged)
+    new_parts.write.mode("overwrite").partitionBy(*parts).parquet(staged)
     (spark.read.parquet(staged).select(*target.columns).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path))
     fs, p = _fs(spark, staged)
@@ -152,6 +144,34 @@ def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, keys: S
     return spark.read.parquet(path)
 
 
+def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],
+                      partition_cols: Sequence[str], update_set: Mapping[str, object],
+                      update_when=None, null_safe_keys: bool = False,
+                      check_unique: bool = True) -> DataFrame:
+    """M1–M3 for a partitioned table: only the partitions the source touches
+    are read, merged and rewritten. The partition columns must follow from
+    the keys (e.g. the month of a key date), so a key never moves between
+    partitions; a daily batch then costs its own partitions, not the table."""
+    def combine(scoped: DataFrame, src: DataFrame) -> DataFrame:
+        return merge_upsert(scoped, src.select(*scoped.columns), keys, update_set, update_when,
+                            null_safe_keys=null_safe_keys, check_unique=check_unique)
+    return rewrite_partitions(spark, path, source, partition_cols, combine)
+
+
+def load_incremental_partitions(spark: SparkSession, path: str, built: DataFrame,
+                                unique_key: Sequence[str] | str, partition_cols: Sequence[str],
+                                stamp_col: str, keep_first: Sequence[str] = ()) -> DataFrame:
+    """M7 for a partitioned table: rows newer than the table's high-water mark
+    (taken over the whole table, an aggregate of one column) replace rows
+    with the same unique key inside the partitions they fall in."""
+    if table_exists(spark, path):
+        built = newer_than(built, read_table(spark, path), stamp_col)
+
+    def combine(scoped: DataFrame, new: DataFrame) -> DataFrame:
+        return incremental_merge(scoped, new, unique_key, keep_first=keep_first)
+    return rewrite_partitions(spark, path, built, partition_cols, combine)
+
+
 def export_table(df: DataFrame, sink_path: str) -> DataFrame:
     """Full replace of the sink with the source table."""
     df.write.mode("overwrite").parquet(sink_path)

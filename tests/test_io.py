@@ -123,3 +123,18 @@ def test_partition_merge_prunes_the_scan(spark, tmp_dir):
     assert "PartitionFilters: [" in p and "day" in p.split("PartitionFilters: [")[1].split("]")[0]
     out = tables.upsert_partitions(spark, path, batch, ["k", "day"], ["day"], {"v": "s.v"})
     assert out.count() == 300 and out.filter("k = '1'").first().v == 100
+
+
+def test_partitioned_incremental_load(spark, tmp_dir):
+    path = f"{tmp_dir}/fact"
+    v1 = spark.createDataFrame([("k1", "2024-01", 1, "2024-01-05", "c0"),
+                                ("k2", "2024-02", 2, "2024-02-05", "c0")],
+                               "id string, month string, v int, stamp string, created string")
+    tables.load_incremental_partitions(spark, path, v1, "id", ["month"], "stamp", ["created"])
+    v2 = spark.createDataFrame([("k1", "2024-01", 10, "2024-03-01", "c1"),   # restated, newer
+                                ("k2", "2024-02", 99, "2024-01-01", "c1"),   # older than the mark
+                                ("k3", "2024-03", 3, "2024-03-02", "c1")],
+                               "id string, month string, v int, stamp string, created string")
+    out = tables.load_incremental_partitions(spark, path, v2, "id", ["month"], "stamp", ["created"])
+    assert rows(out.select("id", "v", "created", "month")) == [
+        ("k1", 10, "c0", "2024-01"), ("k2", 2, "c0", "2024-02"), ("k3", 3, "c1", "2024-03")]
