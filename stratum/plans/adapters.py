@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import session_key
 from ..sources.files import spread_unsplittable
 
 URI_PREFIX = "https://boxd.it/"
@@ -22,7 +23,7 @@ INGESTION_DATE = "2024-01-31"
 REWATCH_TOKENS = ["Yes", "yes", "TRUE", "1", "No", "YES"]
 
 
-_TABLES: dict[tuple[int, str], DataFrame] = {}
+_TABLES: dict[tuple, DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,7 +33,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     queries of a session (the files are read-only), which saves listing the
     files and reading the Parquet footer again for every query."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark._jsparkSession), path)
+    key = (*session_key(spark), path)
     if key not in _TABLES:
         _TABLES[key] = spread_unsplittable(spark.read.parquet(path), path)
     return _TABLES[key]

@@ -21,7 +21,7 @@ from ..functions.json import (DETAILS_SCHEMA, first_director, genre_names,
 from ..operators import match, merge, quality, scd
 from ..operators.clean import (clean_diary, clean_ratings, clean_watched,
                                dedup_latest)
-from ..session import scratch_path
+from ..session import scratch_path, session_key
 from ..sources import files, tables
 from ..sources.rules import expectation_rules
 from . import adapters as A
@@ -54,7 +54,7 @@ _SHARED: dict[tuple, object] = {}
 
 
 def _shared(spark, sf, name, build):
-    key = (id(spark._jsparkSession), sf, name)
+    key = (*session_key(spark), sf, name)
     if key not in _SHARED:
         _SHARED[key] = build()
     return _SHARED[key]

@@ -62,3 +62,9 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, never-reused folder under the shared directory."""
     return f"{shared_dir(spark)}/stratum-scratch/{label}-{uuid.uuid4().hex}"
+
+
+def session_key(spark: SparkSession) -> tuple[str, int]:
+    """Identity of a live session (its application and JVM session object),
+    for caching DataFrame definitions; a restarted session never matches."""
+    return spark.sparkContext.applicationId, int(spark._jsparkSession.hashCode())
