@@ -639,6 +639,13 @@ FROM orders"""
     q["unmatched_latest"] = with_(silver_movies()) + (
         "SELECT letterboxd_uri, lb_movie_title, lb_movie_year, _silver_created_at FROM silver_movies "
         "WHERE enrichment_status = 'NOT_FOUND' ORDER BY _silver_created_at DESC, letterboxd_uri ASC LIMIT 20")
+    q["preview_enriched"] = with_(silver_movies()) + (
+        "SELECT lb_movie_title, lb_movie_year, tmdb_id, director_name, vote_average, runtime_minutes, "
+        "letterboxd_uri FROM silver_movies WHERE enrichment_status = 'SUCCESS' "
+        "ORDER BY letterboxd_uri LIMIT 5")
+    q["preview_not_found"] = with_(silver_movies()) + (
+        "SELECT lb_movie_title, lb_movie_year, letterboxd_uri FROM silver_movies "
+        "WHERE enrichment_status = 'NOT_FOUND' ORDER BY letterboxd_uri LIMIT 10")
     q["top_directors"] = gold + (
         "SELECT m.director_name, count(*) AS n_views, count(DISTINCT f.movie_id) AS n_films, "
         "round(avg(f.my_rating), 6) AS avg_rating FROM fact_ratings f JOIN dim_movie m ON f.movie_id = m.movie_id "

@@ -702,6 +702,21 @@ def q_unmatched_latest(spark, sf):
     return reports.unmatched_latest(silver_movies(spark, sf))
 
 
+@query("preview_enriched")
+def q_preview_enriched(spark, sf):
+    return reports.preview(silver_movies(spark, sf), F.col("enrichment_status") == "SUCCESS",
+                           ["lb_movie_title", "lb_movie_year", "tmdb_id", "director_name",
+                            "vote_average", "runtime_minutes", "letterboxd_uri"],
+                           [F.col("letterboxd_uri")], 5)
+
+
+@query("preview_not_found")
+def q_preview_not_found(spark, sf):
+    return reports.preview(silver_movies(spark, sf), F.col("enrichment_status") == "NOT_FOUND",
+                           ["lb_movie_title", "lb_movie_year", "letterboxd_uri"],
+                           [F.col("letterboxd_uri")], 10)
+
+
 @query("top_directors")
 def q_top_directors(spark, sf):
     g = gold_tables(spark, sf)

@@ -133,6 +133,12 @@ def unmatched_latest(silver_movies: DataFrame, k: int = 20) -> DataFrame:
             .limit(k))
 
 
+def preview(df, condition, columns, order_by, n: int):
+    """O3: the first ``n`` rows of a filtered projection in a stated order
+    (a preview; the limit is the feature, the order makes it repeatable)."""
+    return df.filter(condition).select(*columns).orderBy(*order_by).limit(n)
+
+
 def _film_filter(movies: DataFrame, year: int | None, genre: str | None) -> DataFrame:
     if year is not None:
         movies = movies.filter(F.col("release_year") == year)
