@@ -52,3 +52,64 @@ def test_scd2_invariants(spark, runs):
         spans.sort()
         for (f1, t1), (f2, _) in zip(spans, spans[1:]):
             assert t1 is not None and t1 == f2
+
+
+TARGET = st.dictionaries(st.sampled_from(["a", "b", "c", "d", "e"]),
+                         st.tuples(st.one_of(st.none(), st.integers(0, 3)), st.integers(0, 9)), max_size=5)
+SOURCE = st.dictionaries(st.sampled_from(["b", "c", "e", "f", "g"]),
+                         st.tuples(st.one_of(st.none(), st.integers(0, 3)), st.integers(0, 9)), max_size=5)
+
+
+@SETTINGS
+@given(target=TARGET, source=SOURCE)
+def test_merge_matches_brute_force(spark, target, source):
+    from stratum.operators.merge import merge_upsert
+    schema = "k string, v int, w int"
+    t = spark.createDataFrame([(k, v, w) for k, (v, w) in sorted(target.items())], schema)
+    s = spark.createDataFrame([(k, v, w) for k, (v, w) in sorted(source.items())], schema)
+    out = merge_upsert(t, s, ["k"], {"v": "s.v"}, "s.v IS NOT NULL AND s.v != t.v")
+    got = sorted((r.k, r.v, r.w) for r in out.collect())
+    want = dict(target)
+    for k, (v, w) in source.items():
+        if k not in want:
+            want[k] = (v, w)                               # insert all columns
+        elif v is not None and want[k][0] is not None and v != want[k][0]:
+            want[k] = (v, want[k][1])                      # update v only
+    assert got == sorted((k, v, w) for k, (v, w) in want.items())
+
+
+TITLES = st.sampled_from(["alpha", "beta"])
+CATALOGUE = st.lists(st.tuples(TITLES, st.one_of(st.none(), st.integers(1995, 2005)),
+                               st.integers(0, 5)), min_size=0, max_size=12)
+FILMS = st.lists(st.tuples(st.sampled_from(["alpha", "beta", "gamma"]),
+                           st.one_of(st.none(), st.integers(1995, 2005))), min_size=1, max_size=6)
+
+
+def brute_force_match(films, catalogue):
+    """The search rules, film by film, straight from their definition."""
+    entries = [(i, t, y, p) for i, (t, y, p) in enumerate(catalogue)]
+    out = {}
+    for n, (title, year) in enumerate(films):
+        hits = sorted((e for e in entries if e[1] == title), key=lambda e: (-e[3], e[0]))
+        same_year = [e for e in hits if year is not None and e[2] == year]
+        if same_year:
+            out[n] = (same_year[0][0], "EXACT_YEAR")
+        elif year is None:
+            out[n] = (hits[0][0], "TITLE_ONLY") if hits else (None, None)
+        else:
+            near = [e for e in hits[:3] if e[2] is not None and abs(e[2] - year) <= 2]
+            out[n] = (near[0][0], "NEAR_YEAR") if near else (None, None)
+    return out
+
+
+@SETTINGS
+@given(films=FILMS, catalogue=CATALOGUE)
+def test_catalogue_match_matches_brute_force(spark, films, catalogue):
+    from stratum.operators.match import match_catalogue
+    cat = spark.createDataFrame(
+        [(i, t, None if y is None else f"{y}-06-01", float(p)) for i, (t, y, p) in enumerate(catalogue)],
+        "tmdb_id long, title string, release_date string, popularity double")
+    f = spark.createDataFrame([(str(n), t, y) for n, (t, y) in enumerate(films)],
+                              "letterboxd_uri string, movie_title string, movie_year int")
+    got = {int(r.letterboxd_uri): (r.tmdb_id, r.match_tier) for r in match_catalogue(f, cat).collect()}
+    assert got == brute_force_match(films, catalogue)
