@@ -46,13 +46,15 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder named by ``spark.checkpoint.dir``.
 
-    A cluster sets it to shared storage; only when it is unset (local tests)
-    do we fall back to a folder of our own.
+    A cluster sets it to shared storage and it is always read from the
+    session. Only a local-mode session (tests) without one gets a folder of
+    our own; on a cluster a missing setting is an error, because a
+    machine-local folder is not visible to the other executors.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = spark.sparkContext.getCheckpointDir()
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
         path = "/tmp/stratum-checkpoints"
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
