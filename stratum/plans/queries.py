@@ -265,7 +265,7 @@ def q_normalize_title(spark, sf):
 @query("split_tags")
 def q_split_tags(spark, sf):
     tags = split_tags("Tags")
-    return _raw_diary(spark, sf).select("event_id", F.size(tags).alias("n_tags"),
+    return _raw_diary(spark, sf).select("event_id", F.array_size(tags).alias("n_tags"),
                                         F.try_element_at(tags, F.lit(1)).alias("first_tag"))
 
 
