@@ -126,9 +126,10 @@ def enrichment_status(matched: DataFrame, details: DataFrame,
     FUZZY_MATCH when both years are known and differ by more than the
     tolerance; SUCCESS otherwise. Also projects the payload (P26–P28).
     """
-    parsed = details.select("tmdb_id", "payload",
-                            parse_payload("payload", DETAILS_SCHEMA).alias("p"))
-    j = matched.join(parsed, "tmdb_id", "left")
+    # Join first, then parse: only the payloads of matched entries are read
+    # as JSON, not the whole catalogue.
+    j = (matched.join(details.select("tmdb_id", "payload"), "tmdb_id", "left")
+         .withColumn("p", parse_payload("payload", DETAILS_SCHEMA)))
     detail_year = year_prefix(F.col("p.release_date"))
     found = F.col("tmdb_id").isNotNull()
     corrupt = is_corrupt(F.col("p"), F.col("payload"))
