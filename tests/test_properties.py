@@ -113,3 +113,42 @@ def test_catalogue_match_matches_brute_force(spark, films, catalogue):
                               "letterboxd_uri string, movie_title string, movie_year int")
     got = {int(r.letterboxd_uri): (r.tmdb_id, r.match_tier) for r in match_catalogue(f, cat).collect()}
     assert got == brute_force_match(films, catalogue)
+
+
+VALUES = st.lists(st.tuples(st.one_of(st.none(), st.integers(-2, 7)),
+                            st.one_of(st.none(), st.sampled_from(["x1", "y", "x22", ""]))),
+                  min_size=0, max_size=20)
+
+
+@SETTINGS
+@given(data=VALUES, ignore_null=st.booleans())
+def test_quality_rules_match_brute_force(spark, data, ignore_null):
+    from stratum.operators.quality import evaluate
+    df = spark.createDataFrame(data, "n int, s string")
+    rules = [
+        {"kind": "not_null", "column": "n", "name": "nn"},
+        {"kind": "range", "column": "n", "min": 0, "max": 5, "ignore_null": ignore_null, "name": "rg"},
+        {"kind": "regex", "column": "s", "regex": "^x[0-9]+$", "ignore_null": ignore_null, "name": "re"},
+        {"kind": "row_condition", "column": "n", "expression": "n % 2 = 0", "name": "rc"},
+        {"kind": "accepted_values", "column": "s", "values": ["y", ""], "name": "av"},
+        {"kind": "range", "column": "n", "min": 1, "max": 3, "where": "s IS NOT NULL", "name": "wh"},
+        {"kind": "unique", "column": "s", "name": "uq"},
+    ]
+    got = {r.rule: (r.total, r.failed) for r in evaluate(df, "t", rules).collect()}
+    import re as _re
+    counts = {}
+    for _, s in data:
+        if s is not None:
+            counts[s] = counts.get(s, 0) + 1
+    want = {
+        "nn": (len(data), sum(n is None for n, _ in data)),
+        "rg": (len(data), sum((not ignore_null) if n is None else not (0 <= n <= 5) for n, _ in data)),
+        "re": (len(data), sum((not ignore_null) if s is None else not _re.match(r"^x[0-9]+$", s)
+                              for _, s in data)),
+        "rc": (len(data), sum(n is None or n % 2 != 0 for n, _ in data)),
+        "av": (len(data), sum(s is not None and s not in ("y", "") for _, s in data)),
+        "wh": (sum(s is not None for _, s in data),
+               sum(s is not None and (n is None or not (1 <= n <= 3)) for n, s in data)),
+        "uq": (len(data), sum(c for c in counts.values() if c > 1)),
+    }
+    assert got == want
