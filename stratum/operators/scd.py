@@ -14,6 +14,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .merge import assert_unique_keys
+
 SCD_ID = "dbt_scd_id"
 UPDATED_AT = "dbt_updated_at"
 VALID_FROM = "dbt_valid_from"
@@ -39,7 +41,7 @@ def _open_rows(incoming: DataFrame, key: str, stamp: Column) -> DataFrame:
 
 def scd2_apply(history: DataFrame | None, incoming: DataFrame, key: str,
                check_cols: Sequence[str], run_ts: str,
-               invalidate_hard_deletes: bool = False) -> DataFrame:
+               invalidate_hard_deletes: bool = False, check_unique: bool = True) -> DataFrame:
     """M4: apply one snapshot run at ``run_ts``.
 
     * new key                      -> open row
@@ -47,8 +49,12 @@ def scd2_apply(history: DataFrame | None, incoming: DataFrame, key: str,
     * unchanged, or only non-check columns changed -> nothing
     * key absent from ``incoming``  -> stays open (closed if ``invalidate_hard_deletes``)
 
-    ``incoming`` must hold one row per key. Running the same input twice is a no-op.
+    ``incoming`` must hold one row per key (checked unless ``check_unique``
+    is False: one aggregate, one-row probe). Running the same input twice is
+    a no-op.
     """
+    if check_unique:
+        assert_unique_keys(incoming, [key])
     stamp = F.lit(run_ts).cast("timestamp")
     data_cols = incoming.columns
     if history is None:

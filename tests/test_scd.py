@@ -52,3 +52,10 @@ def test_scd2_hard_deletes(spark):
     h1 = scd2_apply(None, snap(spark, [("a", 1.0, "x", "o"), ("b", 1.0, "x", "o")]), "k", ["a"], T1)
     h2 = scd2_apply(h1, snap(spark, [("a", 1.0, "x", "o")]), "k", ["a"], T2, invalidate_hard_deletes=True)
     assert h2.filter("k = 'b' AND dbt_valid_to IS NOT NULL").count() == 1
+
+
+def test_scd2_rejects_duplicate_keys(spark):
+    import pytest
+    from stratum.operators.merge import MergeConflictError
+    with pytest.raises(MergeConflictError):
+        scd2_apply(None, snap(spark, [("a", 1.0, "x", "o"), ("a", 2.0, "x", "o")]), "k", ["a"], T1)
