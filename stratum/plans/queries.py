@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import (ENRICHMENT_STATUSES, flag_tokens, normalize_title,
+from ..functions.columns import (flag_tokens, normalize_title,
                                  parse_date, safe_divide, safe_rating, safe_year,
                                  split_tags, surrogate_key)
 from ..functions.json import (DETAILS_SCHEMA, first_director, genre_names,
