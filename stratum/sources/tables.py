@@ -13,7 +13,8 @@ import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.errors import PySparkAssertionError
 from pyspark.sql import functions as F
 
 from ..operators.merge import incremental_merge, merge_upsert, newer_than
@@ -108,7 +109,7 @@ MAX_TOUCHED_PARTITIONS = 10_000
 
 
 def rewrite_partitions(spark: SparkSession, path: str, source: DataFrame,
-                       partition_cols: Sequence[str], combine) -> DataFrame:
+                       partition_cols: Sequence[str], combine, observe=None) -> DataFrame:
     """Rewrite only the partitions of ``path`` that ``source`` touches, with
     ``combine(scoped_target, source) -> DataFrame`` giving their new content.
 
@@ -118,23 +119,28 @@ def rewrite_partitions(spark: SparkSession, path: str, source: DataFrame,
     only. The new partitions are staged once, then swapped in with dynamic
     partition overwrite. Beyond ``MAX_TOUCHED_PARTITIONS`` the whole table is
     combined and replaced instead (same result). The first run writes the
-    source as the table.
+    source as the table. ``observe`` is an optional ``(Observation, Column)``
+    evaluated over the rows written, in the same pass.
     """
     parts = list(partition_cols)
+
+    def watched(df: DataFrame) -> DataFrame:
+        return df.observe(observe[0], observe[1]) if observe else df
+
     if not table_exists(spark, path):
-        (source.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        (watched(source).write.mode("overwrite").option("partitionOverwriteMode", "static")
          .partitionBy(*parts).parquet(path))
         return spark.read.parquet(path)
     target = read_table(spark, path)
     touched = source.select(*parts).distinct().limit(MAX_TOUCHED_PARTITIONS + 1).collect()
     if len(touched) > MAX_TOUCHED_PARTITIONS:
-        return replace_table(combine(target, source).select(*target.columns), path)
+        return replace_table(watched(combine(target, source).select(*target.columns)), path)
     if not touched:
         return target
     in_touched = reduce(lambda a, b: a | b, [
         reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.lit(row[c])) for c in parts])
         for row in touched])
-    new_parts = combine(target.filter(in_touched), source)
+    new_parts = watched(combine(target.filter(in_touched), source))
     staged = f"{path.rstrip('/')}.__merge-{uuid.uuid4().hex}"
     new_parts.write.mode("overwrite").partitionBy(*parts).parquet(staged)
     (spark.read.parquet(staged).select(*target.columns).write.mode("overwrite")
@@ -158,18 +164,52 @@ def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, keys: S
     return rewrite_partitions(spark, path, source, partition_cols, combine)
 
 
+WATERMARK_DIR = "_watermark"
+
+
+def read_watermark(spark: SparkSession, path: str):
+    """The high-water mark kept beside a table (one row), or None."""
+    wm = f"{path.rstrip('/')}/{WATERMARK_DIR}"
+    if not path_exists(spark, f"{wm}/_SUCCESS"):
+        return None
+    return spark.read.parquet(wm).first()["mark"]
+
+
 def load_incremental_partitions(spark: SparkSession, path: str, built: DataFrame,
                                 unique_key: Sequence[str] | str, partition_cols: Sequence[str],
                                 stamp_col: str, keep_first: Sequence[str] = ()) -> DataFrame:
     """M7 for a partitioned table: rows newer than the table's high-water mark
-    (taken over the whole table, an aggregate of one column) replace rows
-    with the same unique key inside the partitions they fall in."""
+    replace rows with the same unique key inside the partitions they fall in.
+
+    The mark is kept as a one-row file in ``<table>/_watermark`` (ignored by
+    table readers), so a load does not scan the whole table for it. The new
+    mark is observed over the rows written, in the same pass: the untouched
+    partitions cannot hold anything newer than the old mark. If a run stops
+    before the mark is written, the next run re-loads a few rows already
+    present, which the keyed replace absorbs.
+    """
+    old_mark = None
     if table_exists(spark, path):
-        built = newer_than(built, read_table(spark, path), stamp_col)
+        old_mark = read_watermark(spark, path)
+        if old_mark is None:     # table written before marks were kept
+            old_mark = read_table(spark, path).select(F.max(stamp_col)).first()[0]
+        if old_mark is not None:
+            built = built.filter(F.col(stamp_col) > F.lit(old_mark))
+    obs = Observation("stratum_watermark")
 
     def combine(scoped: DataFrame, new: DataFrame) -> DataFrame:
         return incremental_merge(scoped, new, unique_key, keep_first=keep_first)
-    return rewrite_partitions(spark, path, built, partition_cols, combine)
+    out = rewrite_partitions(spark, path, built, partition_cols, combine,
+                             observe=(obs, F.max(stamp_col).alias("mark")))
+    try:
+        seen = obs.get.get("mark")
+    except PySparkAssertionError:    # nothing newer: no partition was written
+        seen = None
+    marks = [m for m in (old_mark, seen) if m is not None]
+    if marks:
+        (spark.createDataFrame([(max(marks),)], f"mark {built.schema[stamp_col].dataType.simpleString()}")
+         .write.mode("overwrite").parquet(f"{path.rstrip('/')}/{WATERMARK_DIR}"))
+    return out
 
 
 def export_table(df: DataFrame, sink_path: str) -> DataFrame:

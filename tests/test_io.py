@@ -138,3 +138,7 @@ def test_partitioned_incremental_load(spark, tmp_dir):
     out = tables.load_incremental_partitions(spark, path, v2, "id", ["month"], "stamp", ["created"])
     assert rows(out.select("id", "v", "created", "month")) == [
         ("k1", 10, "c0", "2024-01"), ("k2", 2, "c0", "2024-02"), ("k3", 3, "c1", "2024-03")]
+    assert tables.read_watermark(spark, path) == "2024-03-02"     # kept beside the table
+    assert "_watermark" not in spark.read.parquet(path).columns
+    again = tables.load_incremental_partitions(spark, path, v2, "id", ["month"], "stamp", ["created"])
+    assert again.count() == 3 and tables.read_watermark(spark, path) == "2024-03-02"
