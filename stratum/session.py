@@ -67,6 +67,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def session_key(spark: SparkSession) -> tuple[str, int]:
-    """Identity of a live session (its application and JVM session object),
-    for caching DataFrame definitions; a restarted session never matches."""
-    return spark.sparkContext.applicationId, int(spark._jsparkSession.hashCode())
+    """Identity of a live session (its application and session object), for
+    caching DataFrame definitions; a restarted session has a new application
+    id, so it never matches an old entry."""
+    return spark.sparkContext.applicationId, id(spark)
