@@ -8,7 +8,8 @@ run restarts from the last table written. Tables live under one root:
     <root>/bronze/<table>/ingestion_date=<date>/
     <root>/silver/{movies,_audit_log}, <root>/silver/diary_entries/watched_month=<month>/,
     <root>/silver/ratings/rating_month=<month>/
-    <root>/gold/{snap_dim_movie,dim_date,dim_director,dim_genre,dim_movie,
+    <root>/gold/snap_dim_movie/_closed_run=<run>/ (NULL = open versions)
+    <root>/gold/{dim_date,dim_director,dim_genre,dim_movie,
                  bridge_movie_genre,dq_results}
     <root>/gold/fact_diary_entries/watched_month=<month>/, <root>/gold/fact_ratings/rating_month=<month>/
 """
@@ -132,9 +133,10 @@ def build_gold(spark: SparkSession, root: str, run_ts: str) -> dict[str, DataFra
     stg_d = gold.stg_diary(tables.read_table(spark, f"{silver}/diary_entries"))
     stg_r = gold.stg_ratings(tables.read_table(spark, f"{silver}/ratings"))
 
-    snap_path = f"{g}/snap_dim_movie"
-    history = tables.read_table(spark, snap_path) if tables.table_exists(spark, snap_path) else None
-    snap = tables.replace_table(gold.snap_dim_movie(history, stg_m, run_ts), snap_path)
+    # Snapshot history: closed versions are append-only; a run rewrites the
+    # open versions and adds the ones it closes.
+    snap = tables.snapshot_scd2(spark, f"{g}/snap_dim_movie", gold.snapshot_source(stg_m),
+                                gold.SNAPSHOT_KEY, gold.SNAPSHOT_CHECK_COLS, run_ts)
     dates = tables.materialize(gold.dim_date(spark, run_ts=run_ts), "table", "dim_date", f"{g}/dim_date")
     directors = tables.materialize(gold.dim_director(stg_m, run_ts), "table", "dim_director",
                                    f"{g}/dim_director")

@@ -143,8 +143,9 @@ def rewrite_partitions(spark: SparkSession, path: str, source: DataFrame,
     new_parts = watched(combine(target.filter(in_touched), source))
     staged = f"{path.rstrip('/')}.__merge-{uuid.uuid4().hex}"
     new_parts.write.mode("overwrite").partitionBy(*parts).parquet(staged)
-    (spark.read.parquet(staged).select(*target.columns).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path))
+    (spark.read.schema(new_parts.schema).parquet(staged).select(*target.columns)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*parts).parquet(path))
     fs, p = _fs(spark, staged)
     fs.delete(p, True)
     return spark.read.parquet(path)
@@ -212,6 +213,53 @@ def load_incremental_partitions(spark: SparkSession, path: str, built: DataFrame
     return out
 
 
+CLOSED_RUN = "_closed_run"
+
+
+def snapshot_scd2(spark: SparkSession, path: str, incoming: DataFrame, key: str,
+                  check_cols: Sequence[str], run_ts: str,
+                  invalidate_hard_deletes: bool = False) -> DataFrame:
+    """M4 on a stored history where closed versions are append-only.
+
+    The history is partitioned by the run that closed a version
+    (``_closed_run``; NULL = still open). A run reads the open partition only,
+    applies the snapshot to it, and rewrites exactly two partitions: the open
+    one and the one of this run's newly closed versions. Versions closed by
+    earlier runs are never read or rewritten again. Returns the whole history.
+    """
+    from ..operators.scd import VALID_TO, scd2_apply
+
+    def tagged(df: DataFrame) -> DataFrame:
+        return df.withColumn(CLOSED_RUN, F.date_format(F.col(VALID_TO), "yyyyMMddHHmmss").cast("string"))
+
+    if not table_exists(spark, path):
+        (tagged(scd2_apply(None, incoming, key, check_cols, run_ts)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "static").partitionBy(CLOSED_RUN).parquet(path))
+        return spark.read.parquet(path)
+    history = read_table(spark, path)
+    open_rows = history.filter(F.col(CLOSED_RUN).isNull()).drop(CLOSED_RUN)
+    nxt = tagged(scd2_apply(open_rows, incoming, key, check_cols, run_ts,
+                            invalidate_hard_deletes)).select(*history.columns)
+    staged = f"{path.rstrip('/')}.__scd-{uuid.uuid4().hex}"
+    nxt.write.mode("overwrite").partitionBy(CLOSED_RUN).parquet(staged)
+    # read back with the written schema: a run that closes nothing stages only
+    # the NULL partition, whose type could not be inferred from folder names
+    written = spark.read.schema(nxt.schema).parquet(staged).select(*history.columns)
+    still_open = written.filter(F.col(CLOSED_RUN).isNull()).limit(1).count() > 0
+    (written.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(CLOSED_RUN).parquet(path))
+    if not still_open:
+        # every open version was closed, so no open partition was written to
+        # replace the old one; remove it after the closed versions landed (a
+        # rerun of the same run rewrites the same closed partition)
+        fs, p = _fs(spark, path)
+        fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
+            f"{path.rstrip('/')}/{CLOSED_RUN}=__HIVE_DEFAULT_PARTITION__"), True)
+    fs, p = _fs(spark, staged)
+    fs.delete(p, True)
+    return spark.read.parquet(path)
+
+
 def export_table(df: DataFrame, sink_path: str) -> DataFrame:
     """Full replace of the sink with the source table."""
     df.write.mode("overwrite").parquet(sink_path)

@@ -59,3 +59,33 @@ def test_scd2_rejects_duplicate_keys(spark):
     from stratum.operators.merge import MergeConflictError
     with pytest.raises(MergeConflictError):
         scd2_apply(None, snap(spark, [("a", 1.0, "x", "o"), ("a", 2.0, "x", "o")]), "k", ["a"], T1)
+
+
+def test_stored_history_is_append_only(spark, tmp_dir):
+    from stratum.sources import tables
+    path = f"{tmp_dir}/snap"
+    runs = [
+        [("a", 1.0, "x", "o"), ("b", 1.0, "x", "o")],
+        [("a", 2.0, "x", "o"), ("b", 1.0, "x", "o"), ("c", 1.0, "x", "o")],
+        [("a", 3.0, "x", "o"), ("b", 5.0, "x", "o"), ("c", 1.0, "x", "o")],
+    ]
+    in_memory = None
+    for i, data in enumerate(runs):
+        ts = f"2024-0{i + 1}-01 00:00:00"
+        stored = tables.snapshot_scd2(spark, path, snap(spark, data), "k", ["a"], ts)
+        in_memory = scd2_apply(in_memory, snap(spark, data), "k", ["a"], ts)
+        assert versions(stored.drop(tables.CLOSED_RUN)) == versions(in_memory)
+    # one folder per closing run plus the open one; earlier folders untouched
+    import os
+    parts = sorted(n for n in os.listdir(path) if n.startswith(tables.CLOSED_RUN))
+    assert parts == [f"{tables.CLOSED_RUN}=20240201000000", f"{tables.CLOSED_RUN}=20240301000000",
+                     f"{tables.CLOSED_RUN}=__HIVE_DEFAULT_PARTITION__"]
+
+
+def test_stored_history_when_every_version_closes(spark, tmp_dir):
+    from stratum.sources import tables
+    path = f"{tmp_dir}/snap2"
+    tables.snapshot_scd2(spark, path, snap(spark, [("a", 1.0, "x", "o")]), "k", ["a"], T1)
+    empty = snap(spark, [("z", 1.0, "x", "o")]).filter("k = 'none'")
+    out = tables.snapshot_scd2(spark, path, empty, "k", ["a"], T2, invalidate_hard_deletes=True)
+    assert out.count() == 1 and out.filter("dbt_valid_to IS NULL").count() == 0
