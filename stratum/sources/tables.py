@@ -10,6 +10,7 @@ lost executor only re-runs tasks of a job whose input is still intact.
 from __future__ import annotations
 
 import uuid
+from urllib.parse import unquote
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -108,19 +109,37 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequen
 MAX_TOUCHED_PARTITIONS = 10_000
 
 
+HIVE_NULL = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _partition_values(df: DataFrame, parts: Sequence[str]) -> list[dict]:
+    """Distinct partition values of a partitioned Parquet folder, read from
+    its file paths (metadata only, no data scanned)."""
+    seen = set()
+    for f in df.inputFiles():
+        segs = dict(seg.split("=", 1) for seg in f.split("/") if "=" in seg and seg.split("=", 1)[0] in parts)
+        seen.add(tuple(segs.get(c) for c in parts))
+    out = []
+    for values in sorted(seen, key=lambda t: tuple("" if v is None else v for v in t)):
+        out.append({c: (None if v in (None, HIVE_NULL) else unquote(v)) for c, v in zip(parts, values)})
+    return out
+
+
 def rewrite_partitions(spark: SparkSession, path: str, source: DataFrame,
                        partition_cols: Sequence[str], combine, observe=None) -> DataFrame:
     """Rewrite only the partitions of ``path`` that ``source`` touches, with
     ``combine(scoped_target, source) -> DataFrame`` giving their new content.
 
-    The source's distinct partition values are bounded by the table's
-    partition count (they are directories, not rows); they become a static
-    partition filter, so the scan lists and reads the touched partitions
-    only. The new partitions are staged once, then swapped in with dynamic
-    partition overwrite. Beyond ``MAX_TOUCHED_PARTITIONS`` the whole table is
-    combined and replaced instead (same result). The first run writes the
-    source as the table. ``observe`` is an optional ``(Observation, Column)``
-    evaluated over the rows written, in the same pass.
+    The batch is written once to a staging folder, partitioned like the table
+    (this also cuts its lineage: a retry re-reads the staged batch, not the
+    jobs that built it). Its partition values come from the staged folder
+    names, bounded by the number of partitions, and become a static partition
+    filter on the target, so only the touched partitions are listed and read.
+    The new partitions are staged, then swapped in with dynamic partition
+    overwrite. Beyond ``MAX_TOUCHED_PARTITIONS`` the whole table is combined
+    and replaced instead (same result). The first run writes the source as the
+    table. ``observe`` is an optional ``(Observation, Column)`` evaluated over
+    the rows written, in the same pass.
     """
     parts = list(partition_cols)
 
@@ -132,23 +151,33 @@ def rewrite_partitions(spark: SparkSession, path: str, source: DataFrame,
          .partitionBy(*parts).parquet(path))
         return spark.read.parquet(path)
     target = read_table(spark, path)
-    touched = source.select(*parts).distinct().limit(MAX_TOUCHED_PARTITIONS + 1).collect()
-    if len(touched) > MAX_TOUCHED_PARTITIONS:
-        return replace_table(watched(combine(target, source).select(*target.columns)), path)
-    if not touched:
-        return target
-    in_touched = reduce(lambda a, b: a | b, [
-        reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.lit(row[c])) for c in parts])
-        for row in touched])
-    new_parts = watched(combine(target.filter(in_touched), source))
-    staged = f"{path.rstrip('/')}.__merge-{uuid.uuid4().hex}"
-    new_parts.write.mode("overwrite").partitionBy(*parts).parquet(staged)
-    (spark.read.schema(new_parts.schema).parquet(staged).select(*target.columns)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*parts).parquet(path))
-    fs, p = _fs(spark, staged)
-    fs.delete(p, True)
-    return spark.read.parquet(path)
+    base = path.rstrip("/")
+    batch_dir = f"{base}.__batch-{uuid.uuid4().hex}"
+    source.write.mode("overwrite").partitionBy(*parts).parquet(batch_dir)
+    batch = spark.read.schema(source.schema).parquet(batch_dir)
+    touched = _partition_values(batch, parts)
+    fs, _ = _fs(spark, base)
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    try:
+        if not touched:
+            return target
+        if len(touched) > MAX_TOUCHED_PARTITIONS:
+            return replace_table(watched(combine(target, batch).select(*target.columns)), path)
+        types = {f.name: f.dataType for f in batch.schema.fields}
+        in_touched = reduce(lambda a, b: a | b, [
+            reduce(lambda x, y: x & y,
+                   [F.col(c).eqNullSafe(F.lit(v).cast(types[c])) for c, v in row.items()])
+            for row in touched])
+        new_parts = watched(combine(target.filter(in_touched), batch))
+        staged = f"{base}.__merge-{uuid.uuid4().hex}"
+        new_parts.write.mode("overwrite").partitionBy(*parts).parquet(staged)
+        (spark.read.schema(new_parts.schema).parquet(staged).select(*target.columns)
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*parts).parquet(path))
+        fs.delete(jpath(staged), True)
+        return spark.read.parquet(path)
+    finally:
+        fs.delete(jpath(batch_dir), True)
 
 
 def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],

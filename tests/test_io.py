@@ -142,3 +142,12 @@ def test_partitioned_incremental_load(spark, tmp_dir):
     assert "_watermark" not in spark.read.parquet(path).columns
     again = tables.load_incremental_partitions(spark, path, v2, "id", ["month"], "stamp", ["created"])
     assert again.count() == 3 and tables.read_watermark(spark, path) == "2024-03-02"
+
+
+def test_partition_merge_from_a_null_only_table(spark, tmp_dir):
+    path = f"{tmp_dir}/np"
+    first = spark.createDataFrame([("a", None, 1)], "k string, month string, v int")
+    tables.upsert_partitions(spark, path, first, ["k", "month"], ["month"], {"v": "s.v"})
+    batch = spark.createDataFrame([("b", "2024-01", 2)], "k string, month string, v int")
+    out = tables.upsert_partitions(spark, path, batch, ["k", "month"], ["month"], {"v": "s.v"})
+    assert rows(out.select("k", "month", "v")) == [("a", None, 1), ("b", "2024-01", 2)]
