@@ -16,13 +16,6 @@ from .columns import zero_to_null
 
 CORRUPT_COLUMN = "_corrupt_record"
 
-SEARCH_SCHEMA = StructType([
-    StructField("results", ArrayType(StructType([
-        StructField("id", IntegerType()),
-        StructField("release_date", StringType()),
-    ]))),
-])
-
 CREW_MEMBER = StructType([
     StructField("job", StringType()),
     StructField("name", StringType()),

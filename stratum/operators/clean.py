@@ -74,18 +74,6 @@ def dedup_latest(df: DataFrame, keys: Sequence[str],
             .filter(F.col("__rn") == 1).drop("__rn"))
 
 
-def add_silver_lineage(df: DataFrame, source: str, ingestion_date: str | None,
-                       run_ts: str) -> DataFrame:
-    """Source label, Bronze date and one run timestamp for created/updated."""
-    stamp = F.lit(run_ts).cast("timestamp")
-    return df.withColumns({
-        "source_file": F.lit(source),
-        "_ingestion_date": F.lit(ingestion_date).cast("string"),
-        "_silver_created_at": stamp,
-        "_silver_updated_at": stamp,
-    })
-
-
 def _clean(df: DataFrame, renames: dict, derived: dict, drop: Sequence[str], source: str,
            run_ts: str, ingestion_date: str | None, keep: Column, keys: Sequence[str],
            order_by: Sequence) -> DataFrame:

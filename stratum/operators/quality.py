@@ -24,8 +24,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROW_KINDS = ("not_null", "accepted_values", "range", "regex", "row_condition")
-RESULT_COLUMNS = ["table_name", "rule", "column_name", "dimension", "total",
-                  "failed", "passed", "pass_ratio", "threshold", "ok"]
 
 
 def rule_name(rule: dict) -> str:

@@ -7,6 +7,8 @@ text those files hold.
 
 from __future__ import annotations
 
+from ..functions.columns import ENRICHMENT_STATUSES
+
 # Expectation rules per Gold table.
 DIM_MOVIE_RULES = r"""
 rules:
@@ -61,7 +63,7 @@ rules:
       maxValue: "5.0"
 """
 
-# The accepted enrichment statuses of the model tests.
-ACCEPTED_STATUSES = ["SUCCESS", "FUZZY_MATCH", "NOT_FOUND", "ERROR"]
+# The accepted enrichment statuses of the model tests (the fixed list).
+ACCEPTED_STATUSES = list(ENRICHMENT_STATUSES)
 RATING_MIN, RATING_MAX = 0.5, 5.0
 BOXD_URI_REGEX = r"^https://boxd\.it/[a-zA-Z0-9]+$"

@@ -168,14 +168,6 @@ def dim_genre(stg: DataFrame, run_ts: str | None = None) -> DataFrame:
     return out.orderBy("genre_name")
 
 
-DIM_MOVIE_COLUMNS = ["movie_id", "movie_version_id", "letterboxd_uri", "tmdb_id", "title",
-                     "tmdb_original_title", "release_date", "release_year", "genres",
-                     "runtime_minutes", "budget_usd", "revenue_usd", "vote_average",
-                     "vote_count", "overview", "original_language", "poster_path",
-                     "director_id", "director_name", "version_valid_from",
-                     "is_current_version"]
-
-
 def dim_movie(snapshot: DataFrame, directors: DataFrame, run_ts: str | None = None) -> DataFrame:
     """Current snapshot version + director key."""
     cur = scd2_current(snapshot)

@@ -289,10 +289,6 @@ def _film_json_fields() -> dict[str, str]:
     }
 
 
-def _dq(body: str) -> str:
-    return body
-
-
 def _merge_movies_sql() -> str:
     src_status = ("CASE WHEN p_partkey % 6 = 0 THEN 'FUZZY_MATCH' WHEN p_partkey % 8 = 0 THEN 'NOT_FOUND' "
                   "ELSE 'SUCCESS' END")
