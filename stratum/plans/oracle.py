@@ -293,7 +293,7 @@ def _merge_movies_sql() -> str:
     src_status = ("CASE WHEN p_partkey % 6 = 0 THEN 'FUZZY_MATCH' WHEN p_partkey % 8 = 0 THEN 'NOT_FOUND' "
                   "ELSE 'SUCCESS' END")
     tgt = silver_movies("tgt", "p_partkey % 5 <> 0")
-    src = silver_movies("src", "p_partkey % 2 = 0", src_status,
+    src = silver_movies("src", "p_partkey % 2 = 0 OR p_partkey % 5 = 0", src_status,
                         "CASE WHEN p_partkey % 3 = 0 THEN 1 ELSE 0 END", RUN_TS)
     cond = ("s.enrichment_status = 'SUCCESS' AND (t.enrichment_status <> 'SUCCESS' "
             "OR s.vote_count > t.vote_count OR t.tmdb_id IS NULL)")
@@ -354,7 +354,7 @@ inc AS (
   SELECT c_custkey,
     CASE WHEN c_custkey % 5 = 0 THEN c_name || ' (renamed)' ELSE c_name END AS c_name,
     CASE WHEN c_custkey % 7 = 0 THEN c_acctbal + 100 ELSE c_acctbal END AS c_acctbal, c_mktsegment
-  FROM c WHERE c_custkey % 13 <> 0),
+  FROM c WHERE c_custkey % 13 <> 0 OR c_custkey % 11 = 0),
 h2 AS (
   SELECT h.c_custkey, h.c_name, h.c_acctbal, h.valid_from,
     CASE WHEN n.c_custkey IS NOT NULL AND (h.c_acctbal IS DISTINCT FROM n.c_acctbal

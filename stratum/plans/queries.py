@@ -391,10 +391,12 @@ def q_high_water_mark(spark, sf):
 def merge_movies(spark, sf):
     part = _t(spark, sf, "part")
     k = F.col("p_partkey")
+    # Target: the table before the run. Source: this run's batch = a re-enrichment of half the
+    # films plus every film the target lacks (inserts); together they cover every film.
     target = A.silver_movies(part.filter(k % 5 != 0))
     src_status = (F.when(k % 6 == 0, F.lit("FUZZY_MATCH")).when(k % 8 == 0, F.lit("NOT_FOUND"))
                   .otherwise(F.lit("SUCCESS")))
-    source = A.silver_movies(part.filter(k % 2 == 0), status=src_status,
+    source = A.silver_movies(part.filter((k % 2 == 0) | (k % 5 == 0)), status=src_status,
                              vote_bump=F.when(k % 3 == 0, F.lit(1)).otherwise(F.lit(0)))
     stamp = F.lit(A.RUN_TS).cast("timestamp")
     source = source.withColumns({"_silver_created_at": stamp, "_silver_updated_at": stamp})
@@ -452,7 +454,9 @@ def _scd_runs(spark, sf):
     c = _t(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
     k = F.col("c_custkey")
     first = c.filter(k % 11 != 0)
-    second = c.filter(k % 13 != 0).withColumns({
+    # run 1 lacks keys % 11 (they arrive in run 2); run 2 lacks keys % 13 that run 1 had
+    # (they vanish and stay open); every customer appears in at least one run
+    second = c.filter((k % 13 != 0) | (k % 11 == 0)).withColumns({
         "c_acctbal": F.when(k % 7 == 0, F.col("c_acctbal") + 100).otherwise(F.col("c_acctbal")),
         "c_name": F.when(k % 5 == 0, F.concat("c_name", F.lit(" (renamed)"))).otherwise(F.col("c_name")),
     })
