@@ -225,7 +225,7 @@ def q_json_first_match(spark, sf):
 
 
 def _raw_diary(spark, sf):
-    return A.raw_diary(_t(spark, sf, "events"))
+    return _shared(spark, sf, "raw_diary", lambda: A.raw_diary(_t(spark, sf, "events")))
 
 
 @query("clean_diary")
