@@ -149,14 +149,18 @@ def evaluate_all(contract: Sequence[tuple[str, DataFrame, Sequence[dict]]]) -> D
                   [evaluate(df, name, rules) for name, df, rules in contract])
 
 
-def scorecard(results: DataFrame, run_id: str) -> DataFrame:
-    """Score per table × dimension for one run; 100 % flag."""
-    return (results.groupBy("table_name", "dimension")
+def scorecard(results: DataFrame, run_id: str | None = None) -> DataFrame:
+    """Score per table × dimension, 100 % flag.
+
+    With ``run_id`` the results are one run's; without it ``results`` is a
+    history (the appended results table) and is scored per run, giving the
+    score over time.
+    """
+    runs = results.withColumn("run_id", F.lit(run_id)) if run_id is not None else results
+    return (runs.groupBy("table_name", "dimension", "run_id")
             .agg(F.sum("total").alias("total"), F.sum("passed").alias("passed"))
-            .withColumns({
-                "run_id": F.lit(run_id),
-                "score": F.when(F.col("total") > 0, F.round(F.col("passed") * 100.0 / F.col("total"), 4)),
-            })
+            .withColumn("score", F.when(F.col("total") > 0,
+                                        F.round(F.col("passed") * 100.0 / F.col("total"), 4)))
             .withColumn("is_perfect", F.coalesce(F.col("score") == 100.0, F.lit(True))))
 
 

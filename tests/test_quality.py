@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from stratum.operators import quality as Q
 from stratum.plans import contracts
@@ -89,3 +90,12 @@ def test_scorecard_and_assertions(spark):
     assert rows(Q.enrichment_rate(movies)) == [(1, 2, 0.5)]
     with pytest.raises(Q.AssertionFailed):
         Q.assert_enrichment_rate(movies, 0.7)
+
+
+def test_scorecard_over_time(spark):
+    df = spark.createDataFrame([(1,), (None,)], "k int")
+    rule = [{"kind": "not_null", "column": "k", "dimension": "COMPLETENESS"}]
+    history = Q.evaluate(df, "t", rule).withColumn("run_id", F.lit("r1")).unionByName(
+        Q.evaluate(df.filter("k IS NOT NULL"), "t", rule).withColumn("run_id", F.lit("r2")))
+    got = {r.run_id: (r.score, r.is_perfect) for r in Q.scorecard(history).collect()}
+    assert got == {"r1": (50.0, False), "r2": (100.0, True)}
