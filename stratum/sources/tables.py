@@ -112,6 +112,19 @@ MAX_TOUCHED_PARTITIONS = 10_000
 HIVE_NULL = "__HIVE_DEFAULT_PARTITION__"
 
 
+def _create_partitioned(df: DataFrame, path: str, parts: Sequence[str]) -> DataFrame:
+    """First write of a partitioned table. A partitioned write of no rows
+    leaves no data file to carry the schema, so an empty first batch creates
+    nothing and returns an empty DataFrame of the right schema; the next
+    non-empty run creates the table."""
+    spark = df.sparkSession
+    if df.isEmpty():
+        return spark.createDataFrame([], df.schema)
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy(*parts).parquet(path))
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def _partition_values(df: DataFrame, parts: Sequence[str]) -> list[dict]:
     """Distinct partition values of a partitioned Parquet folder, read from
     its file paths (metadata only, no data scanned)."""
@@ -147,9 +160,7 @@ def rewrite_partitions(spark: SparkSession, path: str, source: DataFrame,
         return df.observe(observe[0], observe[1]) if observe else df
 
     if not table_exists(spark, path):
-        (watched(source).write.mode("overwrite").option("partitionOverwriteMode", "static")
-         .partitionBy(*parts).parquet(path))
-        return spark.read.parquet(path)
+        return _create_partitioned(watched(source), path, parts)
     target = read_table(spark, path)
     base = path.rstrip("/")
     batch_dir = f"{base}.__batch-{uuid.uuid4().hex}"
@@ -262,9 +273,8 @@ def snapshot_scd2(spark: SparkSession, path: str, incoming: DataFrame, key: str,
         return df.withColumn(CLOSED_RUN, F.date_format(F.col(VALID_TO), "yyyyMMddHHmmss").cast("string"))
 
     if not table_exists(spark, path):
-        (tagged(scd2_apply(None, incoming, key, check_cols, run_ts)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "static").partitionBy(CLOSED_RUN).parquet(path))
-        return spark.read.parquet(path)
+        return _create_partitioned(tagged(scd2_apply(None, incoming, key, check_cols, run_ts)),
+                                   path, [CLOSED_RUN])
     history = read_table(spark, path)
     open_rows = history.filter(F.col(CLOSED_RUN).isNull()).drop(CLOSED_RUN)
     nxt = tagged(scd2_apply(open_rows, incoming, key, check_cols, run_ts,

@@ -89,3 +89,13 @@ def test_stored_history_when_every_version_closes(spark, tmp_dir):
     empty = snap(spark, [("z", 1.0, "x", "o")]).filter("k = 'none'")
     out = tables.snapshot_scd2(spark, path, empty, "k", ["a"], T2, invalidate_hard_deletes=True)
     assert out.count() == 1 and out.filter("dbt_valid_to IS NULL").count() == 0
+
+
+def test_stored_history_starts_empty(spark, tmp_dir):
+    from stratum.sources import tables
+    path = f"{tmp_dir}/snap3"
+    empty = snap(spark, [("z", 1.0, "x", "o")]).filter("k = 'none'")
+    first = tables.snapshot_scd2(spark, path, empty, "k", ["a"], T1)
+    assert first.count() == 0 and not tables.table_exists(spark, path)
+    second = tables.snapshot_scd2(spark, path, snap(spark, [("a", 1.0, "x", "o")]), "k", ["a"], T2)
+    assert second.count() == 1
