@@ -126,6 +126,23 @@ def build_silver(spark: SparkSession, root: str, catalogue: DataFrame, details:
     return out
 
 
+SILVER_EXPORTS = {"movies": "src_silver_movies", "diary_entries": "src_silver_diary_entries",
+                  "ratings": "src_silver_ratings"}
+
+
+def export_silver(spark: SparkSession, root: str, sink_root: str) -> DataFrame:
+    """Silver -> warehouse staging: full replace of each sink table, then a
+    count reconciliation (one row per table; source and sink counts are
+    scalar subqueries, read lazily)."""
+    from functools import reduce
+    parts = []
+    for name, sink in SILVER_EXPORTS.items():
+        src = tables.read_table(spark, f"{root}/silver/{name}")
+        out = tables.export_table(src, f"{sink_root}/{sink}")
+        parts.append(tables.reconcile(src, out, sink))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 def build_gold(spark: SparkSession, root: str, run_ts: str) -> dict[str, DataFrame]:
     """Entry point C: Silver -> Gold (snapshot, dimensions, bridge, facts, DQ)."""
     silver, g = f"{root}/silver", f"{root}/gold"

@@ -59,6 +59,8 @@ def test_layers_end_to_end_and_rerun(spark, tmp_dir):
                       "https://boxd.it/g": "ERROR", "https://boxd.it/d": "NOT_FOUND"}
     assert s["diary_entries"].count() == 3          # blank-title row dropped
     diary_before = rows(s["diary_entries"].select("letterboxd_uri", "watched_date", "my_rating"))
+    recon = medallion.export_silver(spark, root, f"{tmp_dir}/warehouse")
+    assert all(r.matches for r in recon.collect()) and recon.count() == 3
     g = medallion.build_gold(spark, root, "2024-02-01 00:00:00")
     assert g["dim_movie"].count() == 2 and g["bridge_movie_genre"].count() == 2
     assert g["fact_diary_entries"].count() == 3 and g["fact_ratings"].count() == 2

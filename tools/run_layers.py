@@ -52,6 +52,9 @@ def main():
         silver = medallion.build_silver(spark, root, catalogue, details, ts)
         print("silver", {k: v.count() for k, v in silver.items()}, f"{time.perf_counter() - t:.1f}s")
         t = time.perf_counter()
+        recon = medallion.export_silver(spark, root, f"{base}/warehouse")
+        print("export", [tuple(r) for r in recon.collect()], f"{time.perf_counter() - t:.1f}s")
+        t = time.perf_counter()
         gold = medallion.build_gold(spark, root, ts)
         print("gold  ", {k: v.count() for k, v in gold.items()}, f"{time.perf_counter() - t:.1f}s")
 
