@@ -22,7 +22,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ..session import shared_dir
 from ..sources.files import PARTITION_COLUMN, add_bronze_lineage
-from ..sources.tables import upsert_table
+from ..sources.tables import upsert_partitions, upsert_table
 
 
 def _checkpoint(spark: SparkSession, name: str, checkpoint: str | None) -> str:
@@ -56,17 +56,23 @@ def stream_to_bronze(spark: SparkSession, landing_dir: str, bronze_table: str,
 
 def upsert_stream(stream: DataFrame, table_path: str, keys: Sequence[str],
                   update_set: Mapping[str, object], update_when=None,
-                  checkpoint: str | None = None, available_now: bool = True) -> StreamingQuery:
+                  checkpoint: str | None = None, available_now: bool = True,
+                  partition_cols: Sequence[str] = ()) -> StreamingQuery:
     """MERGE every micro-batch into ``table_path`` (first batch creates it).
 
-    A batch replayed after a failure is merged again; the merge clauses used
-    here are idempotent for a repeated source, so the table ends the same.
+    With ``partition_cols`` (which must follow from the keys) each batch
+    rewrites only the partitions it touches. A batch replayed after a failure
+    is merged again; the merge clauses used here are idempotent for a
+    repeated source, so the table ends the same.
     """
     spark = stream.sparkSession
     name = table_path.rstrip("/").split("/")[-1]
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        upsert_table(spark, table_path, batch, keys, update_set, update_when)
+        if partition_cols:
+            upsert_partitions(spark, table_path, batch, keys, partition_cols, update_set, update_when)
+        else:
+            upsert_table(spark, table_path, batch, keys, update_set, update_when)
 
     writer = (stream.writeStream.foreachBatch(apply)
               .option("checkpointLocation", _checkpoint(spark, f"upsert-{name}", checkpoint)))

@@ -100,3 +100,8 @@ def test_streaming_landing_and_upsert(spark, tmp_dir):
     q = upsert_stream(src, f"{tmp_dir}/keyed", ["k"], {"v": "s.v"}, checkpoint=f"{tmp_dir}/ck2")
     q.awaitTermination(120)
     assert rows(spark.read.parquet(f"{tmp_dir}/keyed")) == [("u1", "3"), ("u2", "4")]
+    q = upsert_stream(src.withColumn("p", F.substring("k", 1, 1)), f"{tmp_dir}/keyed_p", ["k", "p"],
+                      {"v": "s.v"}, checkpoint=f"{tmp_dir}/ck3", partition_cols=["p"])
+    q.awaitTermination(120)
+    assert rows(spark.read.parquet(f"{tmp_dir}/keyed_p").select("k", "v", "p")) == [
+        ("u1", "3", "u"), ("u2", "4", "u")]
