@@ -152,3 +152,29 @@ def test_quality_rules_match_brute_force(spark, data, ignore_null):
         "uq": (len(data), sum(c for c in counts.values() if c > 1)),
     }
     assert got == want
+
+
+KEYED = st.dictionaries(st.tuples(st.sampled_from(["a", "b", "c", "d"]),
+                                  st.one_of(st.none(), st.sampled_from(["m1", "m2", "m3"]))),
+                        st.integers(0, 9), max_size=6)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(target=KEYED, source=KEYED)
+def test_partition_scoped_merge_equals_whole_table_merge(spark, target, source):
+    import tempfile
+
+    from stratum.operators.merge import merge_upsert
+    from stratum.sources.tables import upsert_partitions
+    schema = "k string, m string, v int"
+    t = spark.createDataFrame([(k, m, v) for (k, m), v in sorted(target.items(), key=str)], schema)
+    s = spark.createDataFrame([(k, m, v) for (k, m), v in sorted(source.items(), key=str)], schema)
+    whole = merge_upsert(t, s, ["k", "m"], {"v": "s.v"}, "s.v > t.v", null_safe_keys=True)
+    path = tempfile.mkdtemp(prefix="stratum-prop-") + "/t"
+    upsert_partitions(spark, path, t, ["k", "m"], ["m"], {"v": "s.v"}, "s.v > t.v", null_safe_keys=True)
+    scoped = upsert_partitions(spark, path, s, ["k", "m"], ["m"], {"v": "s.v"}, "s.v > t.v",
+                               null_safe_keys=True)
+
+    def norm(df):
+        return sorted((r.k, r.m or "", r.v) for r in df.select("k", "m", "v").collect())
+    assert norm(scoped) == norm(whole)
