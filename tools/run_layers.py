@@ -49,7 +49,7 @@ def main():
         summary = medallion.land(spark, land, root, "2024-01-31")
         print("land  ", [tuple(r) for r in summary.collect()], f"{time.perf_counter() - t:.1f}s")
         t = time.perf_counter()
-        silver = medallion.build_silver(spark, root, catalogue, details, ts)
+        silver = medallion.build_silver(spark, root, catalogue, details, ts, min_match_rate=0.70)
         print("silver", {k: v.count() for k, v in silver.items()}, f"{time.perf_counter() - t:.1f}s")
         t = time.perf_counter()
         recon = medallion.export_silver(spark, root, f"{base}/warehouse")
