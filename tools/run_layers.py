@@ -5,7 +5,10 @@ The driver tables are rendered as the three CSV exports (titles and years
 taken from `part`, so the catalogue has something to match) into a fresh
 folder under the session's shared directory.
 
-usage: python tools/run_layers.py [sf_dir]
+usage: python tools/run_layers.py [--min-match-rate R] [sf_dir]
+
+The match-rate floor defaults to the studied pipeline's 0.70; a run below it
+stops with the assertion's message (exit code 1).
 """
 
 from __future__ import annotations
@@ -16,6 +19,7 @@ import time
 sys.path.insert(0, ".")
 from pyspark.sql import functions as F  # noqa: E402
 
+from stratum.operators.quality import AssertionFailed  # noqa: E402
 from stratum.plans import adapters as A, medallion  # noqa: E402
 from stratum.session import build_session, scratch_path  # noqa: E402
 
@@ -23,7 +27,11 @@ RUNS = ["2024-02-01 00:00:00", "2024-02-02 00:00:00"]
 
 
 def main():
-    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
+    args = sys.argv[1:]
+    floor = 0.70
+    if args[:1] == ["--min-match-rate"]:
+        floor, args = float(args[1]), args[2:]
+    sf = args[0] if args else "/root/testdata/sf0.1"
     spark = build_session(shuffle_partitions=16)
     base = scratch_path(spark, "layers")
     land, root = f"{base}/landing", f"{base}/lake"
@@ -49,7 +57,11 @@ def main():
         summary = medallion.land(spark, land, root, "2024-01-31")
         print("land  ", [tuple(r) for r in summary.collect()], f"{time.perf_counter() - t:.1f}s")
         t = time.perf_counter()
-        silver = medallion.build_silver(spark, root, catalogue, details, ts, min_match_rate=0.70)
+        try:
+            silver = medallion.build_silver(spark, root, catalogue, details, ts, min_match_rate=floor)
+        except AssertionFailed as exc:
+            print("silver stopped:", exc)
+            sys.exit(1)
         print("silver", {k: v.count() for k, v in silver.items()}, f"{time.perf_counter() - t:.1f}s")
         t = time.perf_counter()
         recon = medallion.export_silver(spark, root, f"{base}/warehouse")
