@@ -23,6 +23,7 @@ from ..operators import match, quality
 from ..operators.clean import clean_diary, clean_ratings, clean_watched
 from ..sources import files, tables
 from ..sources.rules import expectation_rules
+from ..session import size_shuffle_partitions
 from . import contracts, gold, reports
 
 SILVER_KEYS = {
@@ -77,6 +78,11 @@ def build_silver(spark: SparkSession, root: str, catalogue: DataFrame, details:
     """Entry point B: Bronze -> Silver (clean, match, MERGE, assert, audit)."""
     bronze = f"{root}/bronze"
     date = files.latest_partition(spark, f"{bronze}/diary", run_date)
+    # size the shuffles for this run's Bronze input (folder sizes, metadata only)
+    size_shuffle_partitions(spark, sum(
+        files.path_bytes(spark, f"{bronze}/{t}/{files.PARTITION_COLUMN}={date}")
+        for t in ("diary", "ratings", "watched")
+        if files.path_exists(spark, f"{bronze}/{t}/{files.PARTITION_COLUMN}={date}")))
     raw = {t: files.read_bronze(spark, f"{bronze}/{t}", date) for t in ("diary", "ratings", "watched")}
     # Duplicates inside one export carry no order; the survivor is the
     # greatest row by content, so reruns pick the same one.
@@ -146,6 +152,7 @@ def export_silver(spark: SparkSession, root: str, sink_root: str) -> DataFrame:
 def build_gold(spark: SparkSession, root: str, run_ts: str) -> dict[str, DataFrame]:
     """Entry point C: Silver -> Gold (snapshot, dimensions, bridge, facts, DQ)."""
     silver, g = f"{root}/silver", f"{root}/gold"
+    size_shuffle_partitions(spark, files.path_bytes(spark, silver))
     stg_m = gold.stg_movies(tables.read_table(spark, f"{silver}/movies"))
     stg_d = gold.stg_diary(tables.read_table(spark, f"{silver}/diary_entries"))
     stg_r = gold.stg_ratings(tables.read_table(spark, f"{silver}/ratings"))

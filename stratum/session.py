@@ -71,3 +71,19 @@ def session_key(spark: SparkSession) -> tuple[str, int]:
     caching DataFrame definitions; a restarted session has a new application
     id, so it never matches an old entry."""
     return spark.sparkContext.applicationId, id(spark)
+
+
+TARGET_PARTITION_BYTES = 128 << 20
+
+
+def size_shuffle_partitions(spark: SparkSession, input_bytes: int,
+                            target_bytes: int = TARGET_PARTITION_BYTES) -> int:
+    """Raise ``spark.sql.shuffle.partitions`` so a shuffle of ``input_bytes``
+    gives partitions of about ``target_bytes`` (never lowers the setting; AQE
+    coalesces partitions that turn out small). Returns the value in force."""
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = -(-int(input_bytes) // int(target_bytes))
+    if wanted > current:
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+        return wanted
+    return current

@@ -151,3 +151,11 @@ def test_partition_merge_from_a_null_only_table(spark, tmp_dir):
     batch = spark.createDataFrame([("b", "2024-01", 2)], "k string, month string, v int")
     out = tables.upsert_partitions(spark, path, batch, ["k", "month"], ["month"], {"v": "s.v"})
     assert rows(out.select("k", "month", "v")) == [("a", None, 1), ("b", "2024-01", 2)]
+
+
+def test_size_shuffle_partitions_never_lowers(spark):
+    from stratum.session import size_shuffle_partitions
+    before = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert size_shuffle_partitions(spark, 1) == before
+    assert size_shuffle_partitions(spark, (before + 4) * (128 << 20)) == before + 4
+    spark.conf.set("spark.sql.shuffle.partitions", str(before))
