@@ -20,6 +20,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
 from ..functions.columns import epoch_timestamp
 
@@ -87,15 +88,24 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
 
 
 def high_water_mark(existing: DataFrame, stamp_col: str) -> Column:
-    """COALESCE(MAX(stamp), 1900-01-01) as an uncorrelated scalar subquery."""
-    return F.coalesce(existing.select(F.max(stamp_col)).scalar(), epoch_timestamp())
+    """COALESCE(MAX(stamp), 1900-01-01) as an uncorrelated scalar subquery.
+
+    The epoch floor applies to timestamp and date stamps; for other stamp
+    types (e.g. an integer version) an empty table has no mark (NULL).
+    """
+    mark = existing.select(F.max(stamp_col)).scalar()
+    dtype = existing.schema[stamp_col].dataType
+    if isinstance(dtype, (TimestampType, TimestampNTZType, DateType)):
+        return F.coalesce(mark, epoch_timestamp().cast(dtype))
+    return mark
 
 
 def newer_than(incoming: DataFrame, existing: DataFrame, stamp_col: str,
                existing_stamp_col: str | None = None) -> DataFrame:
-    """Rows of ``incoming`` strictly newer than the table's high-water mark."""
+    """Rows of ``incoming`` strictly newer than the table's high-water mark
+    (all rows when the table has no mark)."""
     mark = high_water_mark(existing, existing_stamp_col or stamp_col)
-    return incoming.filter(F.col(stamp_col) > mark)
+    return incoming.filter(mark.isNull() | (F.col(stamp_col) > mark))
 
 
 def sync_columns(old: DataFrame, new_schema_df: DataFrame) -> DataFrame:

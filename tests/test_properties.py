@@ -178,3 +178,46 @@ def test_partition_scoped_merge_equals_whole_table_merge(spark, target, source):
     def norm(df):
         return sorted((r.k, r.m or "", r.v) for r in df.select("k", "m", "v").collect())
     assert norm(scoped) == norm(whole)
+
+
+SOURCE_ROWS = st.lists(st.tuples(st.sampled_from(["u1", "u2", "u3"]),
+                                 st.one_of(st.none(), st.sampled_from(["A", "B"])),
+                                 st.integers(1990, 1992), st.integers(1, 4)), max_size=6)
+
+
+@SETTINGS
+@given(d=SOURCE_ROWS, r=SOURCE_ROWS, w=SOURCE_ROWS)
+def test_union_catalog_matches_brute_force(spark, d, r, w):
+    from stratum.operators.match import union_catalog
+    schema = "letterboxd_uri string, movie_title string, movie_year int, sort_date int"
+    got = sorted(tuple(x) for x in union_catalog(
+        [spark.createDataFrame(rows, schema) for rows in (d, r, w)]).collect())
+    best = {}
+    for prio, rows in enumerate((d, r, w)):
+        for uri, title, year, day in rows:
+            rank = (-prio, day, title is not None, title or "", year)
+            if uri not in best or rank > best[uri][0]:
+                best[uri] = (rank, (uri, title, year))
+    want = sorted(v[1] for v in best.values() if v[1][1] is not None)
+    assert got == want
+
+
+FACTS = st.dictionaries(st.sampled_from(["k1", "k2", "k3", "k4"]),
+                        st.tuples(st.integers(0, 9), st.integers(1, 5)), max_size=4)
+
+
+@SETTINGS
+@given(old=FACTS, new=FACTS)
+def test_incremental_merge_matches_brute_force(spark, old, new):
+    from stratum.operators.merge import incremental_merge
+    schema = "id string, v int, stamp int, created string"
+    o = spark.createDataFrame([(k, v, s, "old") for k, (v, s) in sorted(old.items())], schema)
+    n = spark.createDataFrame([(k, v, s, "new") for k, (v, s) in sorted(new.items())], schema)
+    got = sorted(tuple(x) for x in incremental_merge(o, n, "id", stamp_col="stamp",
+                                                     keep_first=["created"]).collect())
+    mark = max((s for _, s in old.values()), default=None)
+    want = {k: (k, v, s, "old") for k, (v, s) in old.items()}
+    for k, (v, s) in new.items():
+        if mark is None or s > mark:
+            want[k] = (k, v, s, "old" if k in old else "new")
+    assert got == sorted(want.values())
