@@ -63,8 +63,13 @@ def kpi_global(diary_facts: DataFrame, movies: DataFrame, silver_movies: DataFra
                         rate.alias("enrichment_rate"))
 
 
+TIMELINE_GRAINS = ("year", "quarter", "month", "week", "day")
+
+
 def timeline(diary_facts: DataFrame, ratings_facts: DataFrame, grain: str = "month") -> DataFrame:
-    """A10: films watched and rated per period (grain 'month' or 'year')."""
+    """A10: films watched and rated per period (configurable grain)."""
+    if grain not in TIMELINE_GRAINS:
+        raise ValueError(f"grain must be one of {TIMELINE_GRAINS}, not {grain!r}")
     views = diary_facts.select(F.lit("diary").alias("source"),
                                F.col("watched_date").alias("d"), "letterboxd_uri")
     rated = ratings_facts.select(F.lit("ratings").alias("source"),

@@ -63,3 +63,16 @@ def test_facts_keep_unmatched_rows(spark):
     again = gold.load_fact(fact, fact, "diary_entry_id")
     assert rows(again.drop("_dbt_created_at", "_dbt_updated_at")) == rows(
         fact.drop("_dbt_created_at", "_dbt_updated_at"))
+
+
+def test_timeline_grains(spark):
+    import pytest
+    from stratum.plans.reports import timeline
+    facts = spark.createDataFrame([("u1", dt.date(2024, 3, 5)), ("u2", dt.date(2024, 3, 6))],
+                                  "letterboxd_uri string, watched_date date")
+    ratings = spark.createDataFrame([("u1", dt.date(2023, 1, 1))], "letterboxd_uri string, rating_date date")
+    got = {(r.source, str(r.period)): (r.n_entries, r.n_films)
+           for r in timeline(facts, ratings, "week").collect()}
+    assert got == {("diary", "2024-03-04"): (2, 2), ("ratings", "2022-12-26"): (1, 1)}
+    with pytest.raises(ValueError):
+        timeline(facts, ratings, "fortnight")
