@@ -16,6 +16,7 @@ from ..session import scratch_path
 _WORD_BYTES = bytes(b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80
                     else b + 32 if 0x41 <= b <= 0x5A else 0x20 for b in range(256))
 ASCII_LOWER = {c: c + 32 for c in range(0x41, 0x5B)}
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -61,7 +62,12 @@ def keep_on_shared_storage(df: DataFrame, label: str) -> DataFrame:
     again after another one is lost. The folder goes when the session ends."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")  # the copy is whole: its shuffle files may go at once
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     _delete_at_end(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, licenses, packing, url_filter
+from . import decontaminate, html_wrappers, licenses, packing, repeats, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -32,6 +32,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@query("op1_html_wrappers")
+def op1(spark, sf_dir):
+    return html_wrappers.extract_main_text(table(spark, sf_dir, "pages"))
+
+
 @query("op4_pack_karmarkar_karp")
 def op4(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"))
@@ -96,3 +101,8 @@ from docs left join hits using (doc_id) left join named using (doc_id)
 @query("op9_decontaminate", _CONTAMINATION_SQL)
 def op9(spark, sf_dir):
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op10_repeated_strings")
+def op10(spark, sf_dir):
+    return repeats.removal_digests(table(spark, sf_dir, "documents"))
