@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, html_wrappers, licenses, packing, repeats, url_filter
+from . import decontaminate, html_wrappers, licenses, order_minhash, packing, repeats, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -37,6 +37,11 @@ def op1(spark, sf_dir):
     return html_wrappers.extract_main_text(table(spark, sf_dir, "pages"))
 
 
+@query("op2_order_minhash")
+def op2(spark, sf_dir):
+    return order_minhash.class_of_documents(table(spark, sf_dir, "documents"))
+
+
 @query("op4_pack_karmarkar_karp")
 def op4(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"))
