@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, html_wrappers, licenses, order_minhash, packing, repeats, url_filter
+from . import decontaminate, html_wrappers, licenses, order_minhash, packing, pii, repeats, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -69,6 +69,11 @@ select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from fit
 """
 
 
+@query("op7_personal_data")
+def op7(spark, sf_dir):
+    return pii.find_personal_data(table(spark, sf_dir, "documents"))
+
+
 @query("op8_url_filter", _URL_SQL)
 def op8(spark, sf_dir):
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
