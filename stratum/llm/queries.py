@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, html_wrappers, licenses, order_minhash, packing, pii, repeats, url_filter
+from . import decontaminate, html_wrappers, licenses, order_minhash, packing, pii, repeats, url_filter, vector_forest
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -47,6 +47,11 @@ def op4(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+@query("op5_vector_forest")
+def op5(spark, sf_dir):
+    return vector_forest.link_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @query("op6_license_scan")
 def op6(spark, sf_dir):
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
