@@ -8,7 +8,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, html_wrappers, licenses, order_minhash, packing, pii, repeats, url_filter, vector_forest
+import corpus_pipeline
+
+from . import (decontaminate, html_wrappers, language_id, licenses, order_minhash, packing,
+               pii, repeats, url_filter, vector_forest)
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -42,6 +45,12 @@ def op2(spark, sf_dir):
     return order_minhash.class_of_documents(table(spark, sf_dir, "documents"))
 
 
+@query("op3_language_id")
+def op3(spark, sf_dir):
+    found = language_id.identify(language_id.evidence_of_pages(table(spark, sf_dir, "pages")))
+    return found.withColumnRenamed("id", "page_id")
+
+
 @query("op4_pack_karmarkar_karp")
 def op4(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"))
@@ -121,3 +130,8 @@ def op9(spark, sf_dir):
 @query("op10_repeated_strings")
 def op10(spark, sf_dir):
     return repeats.removal_digests(table(spark, sf_dir, "documents"))
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)
