@@ -12,8 +12,9 @@ language (``FIT_ROWS`` of each, chosen by hash); all counts cover all rows.
 
 Defined cases: a text that is null, empty or without letters has no likelihood
 and is rejected (language null). A null or unknown declaration, suffix or host
-adds no evidence. Without any declared language in the table every text is
-accepted with language null, as there is nothing to compare. Repeated rows are
+adds no evidence; so does a language that fewer than ``LEAST_ROWS`` rows
+declare. Without any declared language in the table every text is accepted
+with language null, as there is nothing to compare. Repeated rows are
 judged one by one; other columns pass through or are ignored.
 """
 
@@ -30,6 +31,8 @@ from .common import emit, keep_on_shared_storage, rows_of
 
 #: Rows of each declared language that the trigram model is fitted on at most (about).
 FIT_ROWS = 400
+#: Rows that declare a language before the model knows it.
+LEAST_ROWS = 10
 #: Languages of the model at most, most frequent first.
 MAX_LANGUAGES = 64
 BUCKETS = 1 << 15
@@ -82,7 +85,7 @@ class TrigramModel:
 def fit(rows: DataFrame, fit_rows: int = FIT_ROWS) -> TrigramModel:
     """A trigram model of the declared languages of ``rows`` (text, declared)."""
     sizes = rows.filter("declared is not null and text is not null").groupBy("declared").count() \
-        .orderBy(F.desc("count"), "declared").limit(MAX_LANGUAGES).collect()
+        .filter(F.col("count") >= LEAST_ROWS).orderBy(F.desc("count"), "declared").limit(MAX_LANGUAGES).collect()
     languages = sorted(r["declared"] for r in sizes)
     if not languages:
         return TrigramModel([], np.zeros((0, BUCKETS)))
@@ -180,6 +183,8 @@ def gather_evidence(rows: DataFrame, fit_rows: int = FIT_ROWS) -> tuple[Evidence
     for r in counts.groupBy("best").agg(F.sum("n").alias("n")).collect():
         corpus[r[0]] = r[1]
     evidence = Evidence(model, corpus, tally("suffix", 2_000), tally("declared", 2_000))
+    if not n:
+        return evidence, rows.sparkSession.createDataFrame([], "host string, counts array<long>")
     by_host = counts.filter("host is not null").groupBy("host").agg(
         *(F.sum(F.when(F.col("best") == i, F.col("n")).otherwise(0)).alias(f"c{i}") for i in range(n))) \
         .select("host", F.array(*(F.col(f"c{i}") for i in range(n))).cast("array<long>").alias("counts"))

@@ -35,8 +35,8 @@ PATTERNS = {
 }
 #: A text without a match of this has none of the kind.
 HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]"}
-#: A labelled value: up to two words, a separator, an identifier.
-LABELLED = (r"\b(\p{L}{2,24}(?:[ _-]\p{L}{2,24})?)[ \t]{0,3}[:=#][ \t]{0,3}[\"'(]?"
+#: A labelled value: a word, a separator, an identifier.
+LABELLED = (r"\b(\p{L}{2,24})[ \t]{0,3}[:=#][ \t]{0,3}[\"'(]?"
             r"([+]?[A-Za-z0-9(][A-Za-z0-9@._%+()/-]{0,63}(?:[ -][0-9()][0-9()-]{1,8}){0,6})")
 #: What an unseen value of a kind must look like as a whole.
 SHAPES = {
