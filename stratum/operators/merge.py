@@ -1,16 +1,10 @@
 """Keyed table maintenance without a table format.
 
-``merge_upsert`` gives MERGE semantics (update-when-matched with a
-condition, insert-when-not-matched) as plain DataFrame joins:
-
-    kept/updated = target LEFT JOIN source ON keys
-    inserted     = source LEFT ANTI JOIN target ON keys
-
-A MERGE rewrites the whole target, so every target row is read once. The
-left join lets Spark (AQE) broadcast the source when it is small at run time,
-which leaves the large target unshuffled; the anti join needs only the target
-keys. When the source is large, both fall back to sort-merge joins on the
-keys, with AQE splitting a skewed key.
+``merge_upsert`` gives MERGE semantics (update-when-matched with a condition,
+insert-when-not-matched) as one full outer join on the keys; which side a row
+came from decides between keep, update and insert, so target and source are
+each computed once. Rows with a NULL key never match; a spread value in the
+join keeps them from meeting in one task.
 """
 
 from __future__ import annotations
@@ -18,9 +12,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
+from pyspark.sql.types import (DateType, MapType, TimestampNTZType, TimestampType,
+                               VariantType)
 
 from ..functions.columns import epoch_timestamp
 
@@ -35,10 +30,23 @@ def _expr(e) -> Column:
     return F.expr(e) if isinstance(e, str) else e
 
 
+SPREAD = "__spread"
+
+
+def _with_spread(df: DataFrame, keys: Sequence[str], null_safe: bool) -> DataFrame:
+    """Adds a join value that is 0 for rows that can match and differs between
+    rows with a NULL key (which cannot), so these are dealt over all tasks."""
+    if null_safe:
+        return df.withColumn(SPREAD, F.lit(0).cast("bigint"))
+    usable = [f.name for f in df.schema.fields if not isinstance(f.dataType, (MapType, VariantType))]
+    some_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    return df.withColumn(SPREAD, F.when(some_null, F.xxhash64(*usable)).otherwise(F.lit(0).cast("bigint")))
+
+
 def _key_condition(keys: Sequence[str], null_safe: bool) -> Column:
     parts = [(F.col(f"t.{k}").eqNullSafe(F.col(f"s.{k}")) if null_safe
               else F.col(f"t.{k}") == F.col(f"s.{k}")) for k in keys]
-    return reduce(lambda a, b: a & b, parts)
+    return reduce(lambda a, b: a & b, [*parts, F.col(f"t.{SPREAD}") == F.col(f"s.{SPREAD}")])
 
 
 def assert_unique_keys(source: DataFrame, keys: Sequence[str]) -> None:
@@ -51,6 +59,16 @@ def assert_unique_keys(source: DataFrame, keys: Sequence[str]) -> None:
         raise MergeConflictError(f"source has duplicate merge keys, e.g. {dup[0].asDict()}")
 
 
+def _checked(source: DataFrame, keys: Sequence[str], null_safe: bool) -> DataFrame:
+    """``source`` (with its spread), failing at run time where a key that can
+    match occurs twice. Partitioned like the join that follows."""
+    n = F.count(F.lit(1)).over(Window.partitionBy(*keys, SPREAD))
+    can_match = F.lit(True) if null_safe else reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    message = F.concat(F.lit("source has duplicate merge keys, e.g. "), F.to_json(F.struct(*keys)))
+    return source.withColumn("__s_hit", F.when((n > 1) & can_match, F.raise_error(message).cast("boolean"))
+                             .otherwise(F.lit(True)))
+
+
 def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
                  update_set: Mapping[str, object], update_when=None,
                  insert: bool = True, null_safe_keys: bool = False,
@@ -62,29 +80,27 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     (SQL text or Column, same aliases). Unmatched source rows are inserted
     with all target columns (``insert=True``). Keys compare with ``=`` by
     default, so NULL keys never match and such source rows are inserted
-    again; ``null_safe_keys=True`` uses ``<=>`` instead.
+    again; ``null_safe_keys=True`` uses ``<=>`` instead. A key that occurs
+    twice in the source makes the query fail (``check_unique``).
     """
     keys = list(keys)
     cols = target.columns
-    if check_unique:
-        assert_unique_keys(source, keys)
-    t = target.alias("t")
-    s = source.withColumn("__s_hit", F.lit(True)).alias("s")
-    on = _key_condition(keys, null_safe_keys)
-    joined = t.join(s, on, "left")
-    matched = F.col("s.__s_hit").isNotNull()
-    cond = matched if update_when is None else (matched & F.coalesce(_expr(update_when), F.lit(False)))
-    updated = joined.select(
-        *[(F.when(cond, _expr(update_set[c])).otherwise(F.col(f"t.{c}")) if c in update_set
-           else F.col(f"t.{c}")).alias(c) for c in cols],
-        F.when(cond, F.lit("update")).otherwise(F.lit("keep")).alias(ACTION))
-    parts = [updated]
-    if insert:
-        anti = s.join(target.select(*keys).alias("t"), on, "left_anti")
-        parts.append(anti.select(*[F.col(f"s.{c}").alias(c) for c in cols],
-                                 F.lit("insert").alias(ACTION)))
-    out = reduce(lambda a, b: a.unionByName(b), parts)
-    return out if with_action else out.drop(ACTION)
+    source = _with_spread(source, keys, null_safe_keys)
+    s = (_checked(source, keys, null_safe_keys) if check_unique
+         else source.withColumn("__s_hit", F.lit(True))).alias("s")
+    t = _with_spread(target, keys, null_safe_keys).withColumn("__t_hit", F.lit(True)).alias("t")
+    joined = t.join(s, _key_condition(keys, null_safe_keys), "full_outer" if insert else "left")
+    in_t, in_s = F.col("t.__t_hit").isNotNull(), F.col("s.__s_hit").isNotNull()
+    update = in_t & in_s
+    if update_when is not None:
+        update = update & F.coalesce(_expr(update_when), F.lit(False))
+
+    def column(c: str) -> Column:
+        old = F.when(update, _expr(update_set[c])).otherwise(F.col(f"t.{c}")) if c in update_set else F.col(f"t.{c}")
+        return (F.when(in_t, old).otherwise(F.col(f"s.{c}")) if insert else old).alias(c)
+
+    action = F.when(update, F.lit("update")).when(in_t, F.lit("keep")).otherwise(F.lit("insert"))
+    return joined.select(*map(column, cols), *[action.alias(ACTION)] * with_action)
 
 
 def high_water_mark(existing: DataFrame, stamp_col: str) -> Column:
@@ -133,11 +149,12 @@ def incremental_merge(existing: DataFrame | None, new_rows: DataFrame,
         return new_rows
     if stamp_col is not None:
         new_rows = newer_than(new_rows, existing, stamp_col)
-    old = sync_columns(existing, new_rows)
-    kept = old.join(new_rows.select(*keys), keys, "left_anti")
-    if keep_first:
-        firsts = old.select(*keys, *[F.col(c).alias(f"__first_{c}") for c in keep_first])
-        new_rows = (new_rows.join(firsts, keys, "left")
-                    .withColumns({c: F.coalesce(F.col(f"__first_{c}"), F.col(c)) for c in keep_first})
-                    .select(*new_rows.columns))
-    return kept.unionByName(new_rows)
+    columns = new_rows.columns
+    t = _with_spread(sync_columns(existing, new_rows), keys, False).withColumn("__t_hit", F.lit(True)).alias("t")
+    s = _with_spread(new_rows, keys, False).withColumn("__s_hit", F.lit(True)).alias("s")
+    joined = t.join(s, _key_condition(keys, False), "full_outer")
+    replaced, is_new = F.col("t.__t_hit").isNotNull(), F.col("s.__s_hit").isNotNull()
+    return joined.select(*[
+        (F.when(replaced & is_new, F.coalesce(f"t.{c}", f"s.{c}")).when(is_new, F.col(f"s.{c}"))
+         if c in keep_first else F.when(is_new, F.col(f"s.{c}"))).otherwise(F.col(f"t.{c}")).alias(c)
+        for c in columns])

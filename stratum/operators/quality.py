@@ -6,7 +6,7 @@ A rule is a plain dict:
              "row_condition" | "unique" | "relationship",
      "column": "c" (or a list for unique), "dimension": "VALIDITY",
      "threshold": 1.0, "ignore_null": False, "where": "sql predicate",
-     "values": [...], "min": x, "max": y, "inclusive": True,
+     "values": [...], "min": x, "max": y, "inclusive": True (or "min_inclusive", "max_inclusive"),
      "regex": "...", "expression": "sql", "parent": DataFrame, "parent_column": "c"}
 
 All row-level rules of one table are answered by ONE aggregate pass
@@ -48,9 +48,9 @@ def _fails(rule: dict) -> Column:
         inclusive = rule.get("inclusive", True)
         ok = F.lit(True)
         if lo is not None:
-            ok = ok & ((c >= F.lit(lo)) if inclusive else (c > F.lit(lo)))
+            ok = ok & ((c >= F.lit(lo)) if rule.get("min_inclusive", inclusive) else (c > F.lit(lo)))
         if hi is not None:
-            ok = ok & ((c <= F.lit(hi)) if inclusive else (c < F.lit(hi)))
+            ok = ok & ((c <= F.lit(hi)) if rule.get("max_inclusive", inclusive) else (c < F.lit(hi)))
         return F.when(c.isNull(), null_fails).otherwise(~ok)
     if kind == "regex":
         return F.when(c.isNull(), null_fails).otherwise(~c.rlike(rule["regex"]))
@@ -184,6 +184,14 @@ def assert_table(df: DataFrame, key: str, name: str) -> dict:
     return row.asDict()
 
 
+def assert_rules(results: DataFrame) -> None:
+    """Fail-fast: raise naming the rules that did not hold (one row per rule
+    is read, so the result is as small as the contract)."""
+    failed = results.filter(~F.col("ok")).select("table_name", "rule", "failed").collect()
+    if failed:
+        raise AssertionFailed("; ".join(f"{r.table_name}.{r.rule}: {r.failed} rows" for r in failed))
+
+
 def enrichment_rate(movies: DataFrame, status_col: str = "enrichment_status") -> DataFrame:
     """SUCCESS / all (0 when empty), one lazy row."""
     return movies.agg(F.count_if(F.col(status_col) == "SUCCESS").alias("success"),

@@ -10,6 +10,7 @@ directories (S7, S8).
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -38,39 +39,6 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def path_bytes(spark: SparkSession, path: str) -> int:
-    fs, p = _fs(spark, path)
-    return int(fs.getContentSummary(p).getLength())
-
-
-def spread_unsplittable(df: DataFrame, path: str, max_row_bytes: int = 512,
-                        min_bytes: int = 1 << 20) -> DataFrame:
-    """Read-side parallelism for inputs Spark cannot split.
-
-    A file holding one Parquet row group (or a gzip CSV) is read by one task,
-    and every per-row step before the first shuffle then runs on one core.
-    When the input has fewer files than the session has cores and its rows
-    are narrow (stored bytes per row at most ``max_row_bytes``; the row count
-    comes from the Parquet footers, no data is read), its rows are dealt
-    round-robin over the cores: moving narrow rows is cheaper than the
-    per-row work it parallelises. Inputs under ``min_bytes`` are not worth a
-    shuffle. Wide rows (long texts) stay where they are,
-    and inputs made of many files — any large table — are returned
-    unchanged, so this adds no shuffle at scale.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if len(df.inputFiles()) >= cores:
-        return df
-    size = path_bytes(spark, path)
-    if size < min_bytes:
-        return df
-    n = df.count()
-    if n < cores or size > max_row_bytes * n:
-        return df
-    return df.repartition(cores)
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     return bool(fs.exists(p))
@@ -157,13 +125,22 @@ def ingest_file(spark: SparkSession, file_path: str, bronze_root: str, run_date:
     return {"file": name, "rows": int(obs.get["rows"]), "status": "SUCCESS"}
 
 
+#: Landing files read and written at the same time; each is a Spark job of its own.
+LANDING_THREADS = 4
+
+
 def ingest_landing(spark: SparkSession, landing: str, bronze_root: str, run_date: str,
                    source: str, tables: Iterable[str] = (), ingested_at=None) -> DataFrame:
     """Land every CSV found (expected or not) and return the summary
-    DataFrame (file, n_rows, status). Loops over file names only."""
+    DataFrame (file, n_rows, status). The files' jobs run side by side, so a
+    large file does not hold up the others."""
     names = check_landing(spark, landing, bronze_root, tables, run_date)
-    results = [ingest_file(spark, f"{landing.rstrip('/')}/{n}", bronze_root, run_date, source,
-                           ingested_at) for n in names]
+
+    def one(name: str) -> dict:
+        return ingest_file(spark, f"{landing.rstrip('/')}/{name}", bronze_root, run_date, source, ingested_at)
+
+    with ThreadPoolExecutor(LANDING_THREADS) as pool:
+        results = list(pool.map(one, names))
     return spark.createDataFrame([(r["file"], r["rows"], r["status"]) for r in results],
                                  "file string, n_rows bigint, status string")
 
@@ -194,8 +171,11 @@ def latest_partition(spark: SparkSession, table_root: str, explicit: str | None
 
 def read_bronze(spark: SparkSession, table_root: str, run_date: str | None = None,
                 column: str = PARTITION_COLUMN) -> DataFrame:
-    """Read a Bronze table from its root, pruned to one run date."""
+    """Read a Bronze table from its root, pruned to one run date. A date
+    that the table does not hold is an error, not an empty table."""
     date = latest_partition(spark, table_root, run_date, column)
+    if not path_exists(spark, f"{table_root.rstrip('/')}/{column}={date}"):
+        raise FileNotFoundError(f"no {column}={date} under {table_root}")
     df = spark.read.parquet(table_root)
     return (df.withColumn(column, F.col(column).cast("string"))
             .filter(F.col(column) == F.lit(date)))

@@ -48,7 +48,7 @@ def expectation_rules(text_or_path) -> list[dict]:
         elif "rangeExpectation" in r:
             e = r["rangeExpectation"] or {}
             rule.update(kind="range", min=_number(e.get("minValue")), max=_number(e.get("maxValue")),
-                        inclusive=not (e.get("strictMinEnabled") or e.get("strictMaxEnabled")))
+                        min_inclusive=not e.get("strictMinEnabled"), max_inclusive=not e.get("strictMaxEnabled"))
         elif "regexExpectation" in r:
             rule.update(kind="regex", regex=r["regexExpectation"]["regex"])
         elif "rowConditionExpectation" in r:
@@ -84,10 +84,13 @@ def model_test_rules(text_or_path, parents: dict | None = None) -> dict[str, lis
                     rules.append({**base, "kind": "range", "min": args.get("min_value"),
                                   "max": args.get("max_value"),
                                   "inclusive": args.get("inclusive", True),
-                                  "ignore_null": False, "dimension": "VALIDITY"})
+                                  # the test returns rows beyond a bound, so NULL passes
+                                  "ignore_null": True, "dimension": "VALIDITY"})
                 elif name == "relationships":
                     target = args["to"].split("'")[1] if "'" in args["to"] else args["to"]
-                    rules.append({**base, "kind": "relationship", "parent": parents.get(target),
+                    if target not in parents:
+                        raise KeyError(f"relationships test of {m['name']}.{c['name']} needs the table {target}")
+                    rules.append({**base, "kind": "relationship", "parent": parents[target],
                                   "parent_name": target, "parent_column": args["field"],
                                   "dimension": "CONSISTENCY"})
                 else:

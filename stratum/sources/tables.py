@@ -5,42 +5,79 @@ and the Delta reader is on the classpath. Replacing a table that the new
 content was computed from is done by writing a new directory first and
 swapping afterwards, so a job never reads files it is overwriting, and a
 lost executor only re-runs tasks of a job whose input is still intact.
+
+The swap renames directories, so it needs a file system with atomic directory
+renames (HDFS and the like); every rename is checked before anything is
+deleted. On an object store, where a rename copies every file, use Delta.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
-from urllib.parse import unquote
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.errors import PySparkAssertionError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.merge import incremental_merge, merge_upsert, newer_than
+from ..operators.merge import incremental_merge, merge_upsert, sync_columns
 from .files import _fs, list_entries, path_exists
 
+HIVE_NULL = "__HIVE_DEFAULT_PARTITION__"
+
+
+class RecoveryError(RuntimeError):
+    """A table's folder is missing and its copies do not say which one is current."""
+
 
 def is_delta(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, f"{path.rstrip('/')}/_delta_log")
 
 
+def _beside(path: str, label: str) -> str:
+    """A fresh folder beside the table; the names sort in write order."""
+    return f"{path.rstrip('/')}.__{label}-{time.time_ns():020d}-{uuid.uuid4().hex}"
+
+
+def _rename(spark: SparkSession, source: str, target: str) -> None:
+    fs, s = _fs(spark, source)
+    if not fs.rename(s, _fs(spark, target)[1]):
+        raise OSError(f"could not rename {source} to {target}")
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def recover(spark: SparkSession, path: str) -> None:
-    """Finish a swap that stopped after the old directory was moved away:
-    if ``path`` is missing but a complete staged copy exists, move it in."""
+    """Finish a swap that stopped after the old directory was moved away.
+
+    If ``path`` is missing, its one complete staged copy is moved in; without
+    a staged copy, the one retired directory is moved back. With several
+    candidates nothing is guessed: :class:`RecoveryError` names them."""
     path = path.rstrip("/")
     if path_exists(spark, path):
         return
     parent, name = path.rsplit("/", 1)
     if not path_exists(spark, parent):
         return
-    staged = sorted(n for n, is_dir in list_entries(spark, parent)
-                    if is_dir and n.startswith(f"{name}.__new-")
-                    and path_exists(spark, f"{parent}/{n}/_SUCCESS"))
-    if staged:
-        fs, p = _fs(spark, path)
-        fs.rename(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{parent}/{staged[-1]}"), p)
+    folders = sorted(n for n, is_dir in list_entries(spark, parent) if is_dir)
+    staged = [n for n in folders if n.startswith(f"{name}.__new-") and path_exists(spark, f"{parent}/{n}/_SUCCESS")]
+    retired = [n for n in folders if n.startswith(f"{name}.__old-")]
+    found = staged or retired
+    if len(found) > 1:
+        raise RecoveryError(f"{path} is missing and has several complete copies: {', '.join(found)}")
+    if found:
+        _rename(spark, f"{parent}/{found[0]}", path)
+
+
+def _has_data(spark: SparkSession, path: str) -> bool:
+    """Whether data files or partition folders lie directly under ``path``."""
+    return any("=" in n if is_dir else n.endswith(".parquet") and not n.startswith(("_", "."))
+               for n, is_dir in list_entries(spark, path))
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -50,10 +87,7 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     path = path.rstrip("/")
     if not path_exists(spark, path):
         return False
-    if path_exists(spark, f"{path}/_SUCCESS") or is_delta(spark, path):
-        return True
-    return any(not n.startswith(("_", ".")) and (("=" in n) if is_dir else n.endswith(".parquet"))
-               for n, is_dir in list_entries(spark, path))
+    return path_exists(spark, f"{path}/_SUCCESS") or is_delta(spark, path) or _has_data(spark, path)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -63,27 +97,32 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format(fmt).load(path)
 
 
-def replace_table(df: DataFrame, path: str) -> DataFrame:
+def _clustered(df: DataFrame, parts: Sequence[str]) -> DataFrame:
+    """Rows of a partition value side by side, so that a partition gets few
+    files; AQE splits values that are large and joins small ones."""
+    return df.hint("rebalance", *[F.col(c) for c in parts]) if parts else df
+
+
+def replace_table(df: DataFrame, path: str, partition_cols: Sequence[str] = ()) -> DataFrame:
     """Overwrite ``path`` with ``df`` even if ``df`` reads from ``path``.
 
     The content is written to a sibling directory, then the old directory is
     renamed away and the new one into place; the returned DataFrame reads
-    the new files (its lineage no longer reaches the inputs).
+    the new files (its lineage no longer reaches the inputs). The old
+    directory is deleted only after both renames succeeded.
     """
     spark = df.sparkSession
     path = path.rstrip("/")
-    staged = f"{path}.__new-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(staged)
-    fs, p = _fs(spark, path)
-    jvm = spark.sparkContext._jvm
-    if fs.exists(p):
-        retired = jvm.org.apache.hadoop.fs.Path(f"{path}.__old-{uuid.uuid4().hex}")
-        fs.rename(p, retired)
-        fs.rename(jvm.org.apache.hadoop.fs.Path(staged), p)
-        fs.delete(retired, True)
+    staged = _beside(path, "new")
+    _clustered(df, partition_cols).write.mode("errorifexists").partitionBy(*partition_cols).parquet(staged)
+    if path_exists(spark, path):
+        retired = _beside(path, "old")
+        _rename(spark, path, retired)
+        _rename(spark, staged, path)
+        _delete(spark, retired)
     else:
-        fs.rename(jvm.org.apache.hadoop.fs.Path(staged), p)
-    return spark.read.parquet(path)
+        _rename(spark, staged, path)
+    return spark.read.schema(df.schema).parquet(path) if partition_cols else spark.read.parquet(path)
 
 
 def append_table(df: DataFrame, path: str) -> None:
@@ -95,7 +134,7 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequen
                  update_set: Mapping[str, object], update_when=None,
                  null_safe_keys: bool = False, check_unique: bool = True) -> DataFrame:
     """S9 + M1–M3: create the table on the first run, MERGE afterwards.
-    ``check_unique=False`` skips the duplicate-key probe for sources that are
+    ``check_unique=False`` skips the duplicate-key check for sources that are
     unique by construction (deduplicated on the merge keys)."""
     if not table_exists(spark, path):
         source.write.mode("overwrite").parquet(path)
@@ -106,36 +145,38 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequen
     return replace_table(merged, path)
 
 
-MAX_TOUCHED_PARTITIONS = 10_000
-
-
-HIVE_NULL = "__HIVE_DEFAULT_PARTITION__"
-
-
 def _create_partitioned(df: DataFrame, path: str, parts: Sequence[str]) -> DataFrame:
     """First write of a partitioned table. A partitioned write of no rows
-    leaves no data file to carry the schema, so an empty first batch creates
+    leaves no data file to carry the schema, so an empty first batch leaves
     nothing and returns an empty DataFrame of the right schema; the next
-    non-empty run creates the table."""
+    non-empty run creates the table. Emptiness is read from what was written."""
     spark = df.sparkSession
-    if df.isEmpty():
-        return spark.createDataFrame([], df.schema)
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (_clustered(df, parts).write.mode("overwrite").option("partitionOverwriteMode", "static")
      .partitionBy(*parts).parquet(path))
+    if not _has_data(spark, path.rstrip("/")):
+        _delete(spark, path)
+        return spark.createDataFrame([], df.schema)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _partition_values(df: DataFrame, parts: Sequence[str]) -> list[dict]:
-    """Distinct partition values of a partitioned Parquet folder, read from
-    its file paths (metadata only, no data scanned)."""
-    seen = set()
-    for f in df.inputFiles():
-        segs = dict(seg.split("=", 1) for seg in f.split("/") if "=" in seg and seg.split("=", 1)[0] in parts)
-        seen.add(tuple(segs.get(c) for c in parts))
-    out = []
-    for values in sorted(seen, key=lambda t: tuple("" if v is None else v for v in t)):
-        out.append({c: (None if v in (None, HIVE_NULL) else unquote(v)) for c, v in zip(parts, values)})
-    return out
+def _touched(target: DataFrame, batch: DataFrame, parts: Sequence[str]) -> DataFrame:
+    """Rows of ``target`` in the partitions that ``batch`` has rows in.
+
+    The batch's partition values (one for each folder it writes, which the
+    driver lists anyway) become a static partition filter, whatever their
+    number; with several partition columns a join narrows the column-wise
+    filter to the exact combinations."""
+    values = batch.select(*parts).distinct()
+    rows = values.collect()
+    for c in parts:
+        known = sorted({r[c] for r in rows if r[c] is not None})
+        keep = F.col(c).isin(known) if known else F.lit(False)
+        target = target.filter(keep | F.col(c).isNull() if any(r[c] is None for r in rows) else keep)
+    if len(parts) < 2:
+        return target
+    v = values.alias("v")
+    return target.alias("t").join(v, reduce(lambda a, b: a & b, [
+        F.col(f"t.{c}").eqNullSafe(F.col(f"v.{c}")) for c in parts]), "left_semi")
 
 
 def rewrite_partitions(spark: SparkSession, path: str, source: DataFrame,
@@ -143,16 +184,14 @@ def rewrite_partitions(spark: SparkSession, path: str, source: DataFrame,
     """Rewrite only the partitions of ``path`` that ``source`` touches, with
     ``combine(scoped_target, source) -> DataFrame`` giving their new content.
 
-    The batch is written once to a staging folder, partitioned like the table
-    (this also cuts its lineage: a retry re-reads the staged batch, not the
-    jobs that built it). Its partition values come from the staged folder
-    names, bounded by the number of partitions, and become a static partition
-    filter on the target, so only the touched partitions are listed and read.
-    The new partitions are staged, then swapped in with dynamic partition
-    overwrite. Beyond ``MAX_TOUCHED_PARTITIONS`` the whole table is combined
-    and replaced instead (same result). The first run writes the source as the
-    table. ``observe`` is an optional ``(Observation, Column)`` evaluated over
-    the rows written, in the same pass.
+    The batch is written once to a staging folder (this also cuts its lineage:
+    a retry re-reads the staged batch, not the jobs that built it). Its
+    partition values prune the target, so only touched partitions are listed
+    and read. Their new content is written once, clustered by partition, with
+    dynamic partition overwrite: Spark's commit moves the new files in after
+    all tasks have finished reading. One path for any number of partitions.
+    The first run writes the source as the table. ``observe`` is an optional
+    ``(Observation, Column)`` evaluated over the rows written, in the same pass.
     """
     parts = list(partition_cols)
 
@@ -162,33 +201,20 @@ def rewrite_partitions(spark: SparkSession, path: str, source: DataFrame,
     if not table_exists(spark, path):
         return _create_partitioned(watched(source), path, parts)
     target = read_table(spark, path)
-    base = path.rstrip("/")
-    batch_dir = f"{base}.__batch-{uuid.uuid4().hex}"
-    source.write.mode("overwrite").partitionBy(*parts).parquet(batch_dir)
-    batch = spark.read.schema(source.schema).parquet(batch_dir)
-    touched = _partition_values(batch, parts)
-    fs, _ = _fs(spark, base)
-    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    batch_dir = _beside(path, "batch")
+    source.write.mode("errorifexists").parquet(batch_dir)
     try:
-        if not touched:
+        batch = spark.read.schema(source.schema).parquet(batch_dir)
+        if batch.isEmpty():
             return target
-        if len(touched) > MAX_TOUCHED_PARTITIONS:
-            return replace_table(watched(combine(target, batch).select(*target.columns)), path)
-        types = {f.name: f.dataType for f in batch.schema.fields}
-        in_touched = reduce(lambda a, b: a | b, [
-            reduce(lambda x, y: x & y,
-                   [F.col(c).eqNullSafe(F.lit(v).cast(types[c])) for c, v in row.items()])
-            for row in touched])
-        new_parts = watched(combine(target.filter(in_touched), batch))
-        staged = f"{base}.__merge-{uuid.uuid4().hex}"
-        new_parts.write.mode("overwrite").partitionBy(*parts).parquet(staged)
-        (spark.read.schema(new_parts.schema).parquet(staged).select(*target.columns)
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        target = target.select(*[F.col(f.name).cast(source.schema[f.name].dataType).alias(f.name)
+                                 if f.name in parts else F.col(f.name) for f in target.schema.fields])
+        merged = watched(combine(_touched(target, batch, parts), batch)).select(*target.columns)
+        (_clustered(merged, parts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*parts).parquet(path))
-        fs.delete(jpath(staged), True)
-        return spark.read.parquet(path)
+        return spark.read.schema(merged.schema).parquet(path)
     finally:
-        fs.delete(jpath(batch_dir), True)
+        _delete(spark, batch_dir)
 
 
 def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],
@@ -216,6 +242,11 @@ def read_watermark(spark: SparkSession, path: str):
     return spark.read.parquet(wm).first()["mark"]
 
 
+def _write_watermark(spark: SparkSession, path: str, mark, kind: str) -> None:
+    (spark.createDataFrame([(mark,)], f"mark {kind}").coalesce(1)
+     .write.mode("overwrite").parquet(f"{path.rstrip('/')}/{WATERMARK_DIR}"))
+
+
 def load_incremental_partitions(spark: SparkSession, path: str, built: DataFrame,
                                 unique_key: Sequence[str] | str, partition_cols: Sequence[str],
                                 stamp_col: str, keep_first: Sequence[str] = ()) -> DataFrame:
@@ -228,12 +259,23 @@ def load_incremental_partitions(spark: SparkSession, path: str, built: DataFrame
     partitions cannot hold anything newer than the old mark. If a run stops
     before the mark is written, the next run re-loads a few rows already
     present, which the keyed replace absorbs.
+
+    Columns are synchronised (S15): when ``built`` has other columns than the
+    table, the table is first rewritten once in the new schema (added columns
+    NULL, vanished ones dropped, partitions kept), so that all its files agree.
     """
+    kind = built.schema[stamp_col].dataType.simpleString()
     old_mark = None
     if table_exists(spark, path):
+        stored = read_table(spark, path)
         old_mark = read_watermark(spark, path)
         if old_mark is None:     # table written before marks were kept
-            old_mark = read_table(spark, path).select(F.max(stamp_col)).first()[0]
+            old_mark = stored.select(F.max(stamp_col)).first()[0]
+        if {f.name: f.dataType for f in stored.schema.fields if f.name not in partition_cols} != \
+                {f.name: f.dataType for f in built.schema.fields if f.name not in partition_cols}:
+            replace_table(sync_columns(stored, built), path, partition_cols)
+            if old_mark is not None:
+                _write_watermark(spark, path, old_mark, kind)
         if old_mark is not None:
             built = built.filter(F.col(stamp_col) > F.lit(old_mark))
     obs = Observation("stratum_watermark")
@@ -247,9 +289,8 @@ def load_incremental_partitions(spark: SparkSession, path: str, built: DataFrame
     except PySparkAssertionError:    # nothing newer: no partition was written
         seen = None
     marks = [m for m in (old_mark, seen) if m is not None]
-    if marks:
-        (spark.createDataFrame([(max(marks),)], f"mark {built.schema[stamp_col].dataType.simpleString()}")
-         .write.mode("overwrite").parquet(f"{path.rstrip('/')}/{WATERMARK_DIR}"))
+    if marks and table_exists(spark, path):
+        _write_watermark(spark, path, max(marks), kind)
     return out
 
 
@@ -263,9 +304,12 @@ def snapshot_scd2(spark: SparkSession, path: str, incoming: DataFrame, key: str,
 
     The history is partitioned by the run that closed a version
     (``_closed_run``; NULL = still open). A run reads the open partition only,
-    applies the snapshot to it, and rewrites exactly two partitions: the open
-    one and the one of this run's newly closed versions. Versions closed by
-    earlier runs are never read or rewritten again. Returns the whole history.
+    applies the snapshot to it, and rewrites exactly two partitions: first the
+    one of this run's newly closed versions, then the open one. A run that
+    stops between the two leaves the closed versions still open beside their
+    closed copies; running it again with the same ``run_ts`` finds the same
+    old open versions and repairs both. Versions closed by earlier runs are
+    never read or rewritten again. Returns the whole history.
     """
     from ..operators.scd import VALID_TO, scd2_apply
 
@@ -275,28 +319,28 @@ def snapshot_scd2(spark: SparkSession, path: str, incoming: DataFrame, key: str,
     if not table_exists(spark, path):
         return _create_partitioned(tagged(scd2_apply(None, incoming, key, check_cols, run_ts)),
                                    path, [CLOSED_RUN])
-    history = read_table(spark, path)
+    history = read_table(spark, path).withColumn(CLOSED_RUN, F.col(CLOSED_RUN).cast("string"))
     open_rows = history.filter(F.col(CLOSED_RUN).isNull()).drop(CLOSED_RUN)
     nxt = tagged(scd2_apply(open_rows, incoming, key, check_cols, run_ts,
                             invalidate_hard_deletes)).select(*history.columns)
-    staged = f"{path.rstrip('/')}.__scd-{uuid.uuid4().hex}"
-    nxt.write.mode("overwrite").partitionBy(CLOSED_RUN).parquet(staged)
-    # read back with the written schema: a run that closes nothing stages only
-    # the NULL partition, whose type could not be inferred from folder names
-    written = spark.read.schema(nxt.schema).parquet(staged).select(*history.columns)
-    still_open = written.filter(F.col(CLOSED_RUN).isNull()).limit(1).count() > 0
-    (written.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(CLOSED_RUN).parquet(path))
-    if not still_open:
-        # every open version was closed, so no open partition was written to
-        # replace the old one; remove it after the closed versions landed (a
-        # rerun of the same run rewrites the same closed partition)
-        fs, p = _fs(spark, path)
-        fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
-            f"{path.rstrip('/')}/{CLOSED_RUN}=__HIVE_DEFAULT_PARTITION__"), True)
-    fs, p = _fs(spark, staged)
-    fs.delete(p, True)
-    return spark.read.parquet(path)
+    staged = _beside(path, "scd")
+    nxt.write.mode("errorifexists").partitionBy(CLOSED_RUN).parquet(staged)
+    try:
+        # read back with the written schema: a run that closes nothing stages only
+        # the NULL partition, whose type could not be inferred from folder names
+        written = spark.read.schema(nxt.schema).parquet(staged).select(*history.columns)
+        names = [n for n, is_dir in list_entries(spark, staged) if is_dir and n.startswith(f"{CLOSED_RUN}=")]
+        is_open = F.col(CLOSED_RUN).isNull()
+        for side, there in ((~is_open, any(HIVE_NULL not in n for n in names)),
+                            (is_open, f"{CLOSED_RUN}={HIVE_NULL}" in names)):
+            if there:
+                (written.filter(side).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                 .partitionBy(CLOSED_RUN).parquet(path))
+        if f"{CLOSED_RUN}={HIVE_NULL}" not in names:  # every open version was closed
+            _delete(spark, f"{path.rstrip('/')}/{CLOSED_RUN}={HIVE_NULL}")
+    finally:
+        _delete(spark, staged)
+    return spark.read.schema(nxt.schema).parquet(path)
 
 
 def export_table(df: DataFrame, sink_path: str) -> DataFrame:

@@ -153,9 +153,81 @@ def test_partition_merge_from_a_null_only_table(spark, tmp_dir):
     assert rows(out.select("k", "month", "v")) == [("a", None, 1), ("b", "2024-01", 2)]
 
 
-def test_size_shuffle_partitions_never_lowers(spark):
-    from stratum.session import size_shuffle_partitions
-    before = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    assert size_shuffle_partitions(spark, 1) == before
-    assert size_shuffle_partitions(spark, (before + 4) * (128 << 20)) == before + 4
-    spark.conf.set("spark.sql.shuffle.partitions", str(before))
+def test_recovery_moves_the_only_copy_and_never_guesses(spark, tmp_dir):
+    old = spark.createDataFrame([("stale", 1)], "k string, v int")
+    new = spark.createDataFrame([("newest", 2)], "k string, v int")
+    old.write.parquet(f"{tmp_dir}/t.__new-00000000000000000001-ff")
+    new.write.parquet(f"{tmp_dir}/t.__new-00000000000000000002-aa")
+    with pytest.raises(tables.RecoveryError):
+        tables.read_table(spark, f"{tmp_dir}/t")
+    old.write.parquet(f"{tmp_dir}/u.__old-00000000000000000001-ff")   # stopped before the new one was moved in
+    new.write.parquet(f"{tmp_dir}/u.__new-00000000000000000002-aa")
+    assert rows(tables.read_table(spark, f"{tmp_dir}/u")) == [("newest", 2)]
+    old.write.parquet(f"{tmp_dir}/w.__old-00000000000000000001-ff")
+    assert rows(tables.read_table(spark, f"{tmp_dir}/w")) == [("stale", 1)]
+
+
+def test_failed_rename_keeps_the_old_table(spark, tmp_dir, monkeypatch):
+    path = f"{tmp_dir}/t"
+    spark.createDataFrame([("a", 1)], "k string, v int").write.parquet(path)
+
+    def refuse(spark, source, target):
+        raise OSError("refused")
+    monkeypatch.setattr(tables, "_rename", refuse)
+    with pytest.raises(OSError):
+        tables.replace_table(spark.createDataFrame([("b", 2)], "k string, v int"), path)
+    assert rows(spark.read.parquet(path)) == [("a", 1)]
+
+
+def test_thousands_of_partitions_twice(spark, tmp_dir):
+    path = f"{tmp_dir}/many"
+    n = 2500
+    first = spark.range(n).selectExpr("cast(id as string) as k", "id as p", "id as v")
+    tables.upsert_partitions(spark, path, first, ["k", "p"], ["p"], {"v": "s.v"})
+    second = spark.range(n).selectExpr("cast(id as string) as k", "id as p", "id + 1 as v")
+    out = tables.upsert_partitions(spark, path, second, ["k", "p"], ["p"], {"v": "s.v"})
+    assert out.agg(F.count("*"), F.sum("v")).first()[:] == (n, n * (n + 1) // 2)
+    one = spark.createDataFrame([("7", 7, -1), ("new", 7, 5)], "k string, p bigint, v bigint")
+    out = tables.upsert_partitions(spark, path, one, ["k", "p"], ["p"], {"v": "s.v"})
+    assert out.count() == n + 1 and out.filter("k = '7'").first().v == -1
+    assert sum(d.startswith("p=") for d in os.listdir(path)) == n
+
+
+def test_several_partition_columns(spark, tmp_dir):
+    path = f"{tmp_dir}/two"
+    first = spark.createDataFrame([("a", 1, "x", 1), ("b", 2, "y", 2), ("c", 1, "y", 3), ("d", None, "x", 4)],
+                                  "k string, p int, q string, v int")
+    tables.upsert_partitions(spark, path, first, ["k"], ["p", "q"], {"v": "s.v"})
+    batch = spark.createDataFrame([("a", 1, "x", 10), ("b", 2, "y", 20), ("e", None, "x", 5)],
+                                  "k string, p int, q string, v int")
+    out = tables.upsert_partitions(spark, path, batch, ["k"], ["p", "q"], {"v": "s.v"})
+    assert rows(out.select("k", "v")) == [("a", 10), ("b", 20), ("c", 3), ("d", 4), ("e", 5)]
+
+
+def test_first_watermark_is_the_true_maximum(spark, tmp_dir):
+    path = f"{tmp_dir}/wm"
+    built = spark.range(1000).repartition(4).selectExpr("id as k", "id % 3 as p", "id as stamp")
+    tables.load_incremental_partitions(spark, path, built, "k", ["p"], "stamp")
+    assert tables.read_watermark(spark, path) == 999
+    nothing = built.filter("stamp < 0")
+    assert tables.load_incremental_partitions(spark, f"{tmp_dir}/none", nothing, "k", ["p"], "stamp").count() == 0
+    assert not tables.table_exists(spark, f"{tmp_dir}/none")
+
+
+def test_stored_fact_follows_the_schema(spark, tmp_dir):
+    path = f"{tmp_dir}/sync"
+    one = spark.createDataFrame([("a", 1, 1, "gone"), ("b", 2, 1, "gone")], "k string, p int, stamp int, old string")
+    tables.load_incremental_partitions(spark, path, one, "k", ["p"], "stamp")
+    two = spark.createDataFrame([("a", 1, 5, 7)], "k string, p int, stamp int, new int")
+    out = tables.load_incremental_partitions(spark, path, two, "k", ["p"], "stamp")
+    assert rows(out.select("k", "p", "stamp", "new")) == [("a", 1, 5, 7), ("b", 2, 1, None)]
+    assert set(spark.read.parquet(path).columns) == {"k", "p", "stamp", "new"}
+    assert tables.read_watermark(spark, path) == 5
+
+
+def test_absent_bronze_date_is_an_error(spark, tmp_dir):
+    root = f"{tmp_dir}/bronze/ratings"
+    files.write_bronze(spark.createDataFrame([("a",)], "k string"), f"{tmp_dir}/bronze", "ratings", "2024-01-01")
+    assert files.read_bronze(spark, root, "2024-01-01").count() == 1
+    with pytest.raises(FileNotFoundError):
+        files.read_bronze(spark, root, "2024-01-02")

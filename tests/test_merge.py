@@ -1,8 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from stratum.operators.merge import (MergeConflictError, incremental_merge, merge_upsert,
-                                     newer_than, sync_columns)
+from stratum.operators.merge import (incremental_merge, merge_upsert, newer_than,
+                                     sync_columns)
 from stratum.plans.queries import MOVIE_UPDATE_COLUMNS, MOVIE_UPDATE_WHEN
 
 from .conftest import rows
@@ -77,8 +77,19 @@ def test_merge_diary_clause_and_null_keys(spark):
 def test_merge_duplicate_source_rows_raise(spark):
     t = spark.createDataFrame([("a", 1)], "k string, v int")
     s = spark.createDataFrame([("a", 2), ("a", 3)], "k string, v int")
-    with pytest.raises(MergeConflictError):
-        merge_upsert(t, s, ["k"], {"v": "s.v"})
+    with pytest.raises(Exception, match="duplicate merge keys"):
+        merge_upsert(t, s, ["k"], {"v": "s.v"}).collect()
+    nulls = spark.createDataFrame([(None, 2), (None, 3)], "k string, v int")
+    assert merge_upsert(t, nulls, ["k"], {"v": "s.v"}).count() == 3     # NULL keys cannot match
+
+
+def test_merge_reads_each_input_once(spark, tmp_dir):
+    for name in ("t", "s"):
+        spark.range(100).selectExpr("id as k", "id as v").write.parquet(f"{tmp_dir}/{name}")
+    t, s = (spark.read.parquet(f"{tmp_dir}/{name}") for name in ("t", "s"))
+    for out in (merge_upsert(t, s, ["k"], {"v": "s.v"}), incremental_merge(t, s, "k")):
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Relation [") == 2
 
 
 def test_incremental_merge_watermark_and_keep_first(spark):

@@ -15,7 +15,7 @@ def test_rules_null_handling_and_threshold(spark):
         {"kind": "range", "column": "r", "min": 0.5, "max": 5.0, "ignore_null": True, "name": "ign"},
         {"kind": "range", "column": "r", "min": 0.5, "max": 5.0, "ignore_null": False, "name": "strict"},
         {"kind": "row_condition", "column": "r", "expression": "r < 5", "name": "cond"},
-        {"kind": "regex", "column": "u", "regex": contracts.BOXD_URI_REGEX, "name": "re"},
+        {"kind": "regex", "column": "u", "regex": contracts.uri_regex(), "name": "re"},
         {"kind": "not_null", "column": "r", "name": "nn", "threshold": 0.7},
         {"kind": "accepted_values", "column": "u", "values": ["bad"], "name": "av"},
         {"kind": "unique", "column": "id", "name": "uq"},
@@ -99,3 +99,19 @@ def test_scorecard_over_time(spark):
         Q.evaluate(df.filter("k IS NOT NULL"), "t", rule).withColumn("run_id", F.lit("r2")))
     got = {r.run_id: (r.score, r.is_perfect) for r in Q.scorecard(history).collect()}
     assert got == {"r1": (50.0, False), "r2": (100.0, True)}
+
+
+def test_rule_files_bounds_and_parents(spark):
+    from stratum.operators import quality
+    from stratum.sources.rules import expectation_rules, model_test_rules
+    import pytest as _pytest
+    df = spark.createDataFrame([(1.0,), (None,), (9.0,), (5.0,)], "v double")
+    strict = expectation_rules("rules:\n  - column: v\n    ignoreNull: true\n    rangeExpectation:\n"
+                               "      minValue: '1'\n      maxValue: '5'\n      strictMinEnabled: true\n")
+    assert quality.evaluate(df, "t", strict).first().failed == 2          # 1.0 and 9.0, not 5.0
+    text = ("models:\n  - name: t\n    columns:\n      - name: v\n        tests:\n"
+            "          - dbt_utils.accepted_range: {min_value: 0.5, max_value: 5.0}\n")
+    assert quality.evaluate(df, "t", model_test_rules(text)["t"]).first().failed == 1     # NULL passes
+    with _pytest.raises(KeyError, match="parent_table"):
+        model_test_rules("models:\n  - name: t\n    columns:\n      - name: v\n        tests:\n"
+                         "          - relationships: {to: ref('parent_table'), field: v}\n")
