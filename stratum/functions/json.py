@@ -9,17 +9,18 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ArrayType, DoubleType, IntegerType, LongType,
-                               StringType, StructField, StructType)
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from .columns import zero_to_null
 
 CORRUPT_COLUMN = "_corrupt_record"
 
+# Numbers are read as text: a fractional or very large number must not make
+# the whole record unparsable. ``number`` casts them.
 CREW_MEMBER = StructType([
     StructField("job", StringType()),
     StructField("name", StringType()),
-    StructField("id", IntegerType()),
+    StructField("id", StringType()),
 ])
 
 DETAILS_SCHEMA = StructType([
@@ -27,11 +28,11 @@ DETAILS_SCHEMA = StructType([
     StructField("original_title", StringType()),
     StructField("release_date", StringType()),
     StructField("genres", ArrayType(StructType([StructField("name", StringType())]))),
-    StructField("runtime", IntegerType()),
-    StructField("budget", LongType()),
-    StructField("revenue", LongType()),
-    StructField("vote_average", DoubleType()),
-    StructField("vote_count", IntegerType()),
+    StructField("runtime", StringType()),
+    StructField("budget", StringType()),
+    StructField("revenue", StringType()),
+    StructField("vote_average", StringType()),
+    StructField("vote_count", StringType()),
     StructField("overview", StringType()),
     StructField("original_language", StringType()),
     StructField("poster_path", StringType()),
@@ -39,6 +40,13 @@ DETAILS_SCHEMA = StructType([
 ])
 
 
+def number(text: Column, kind: str) -> Column:
+    """A number read as text as ``kind``; NULL where it does not fit."""
+    if kind == "double":
+        return text.try_cast("double")
+    return F.coalesce(text.try_cast("decimal(38,6)"), text.try_cast("double").try_cast("decimal(38,6)")).try_cast(kind)
+
+
 def parse_payload(c, schema: StructType = DETAILS_SCHEMA) -> Column:
     """JSON text -> struct; absent keys -> NULL, extra keys ignored.
 
@@ -68,8 +76,8 @@ def first_director(crew: Column) -> Column:
 
 
 def genre_names(genres: Column) -> Column:
-    """``genres[].name`` as array<string>."""
-    return F.transform(genres, lambda g: g["name"])
+    """``genres[].name`` as array<string> (empty when absent)."""
+    return F.coalesce(F.transform(genres, lambda g: g["name"]), F.array().cast("array<string>"))
 
 
 def project_details(parsed: Column) -> dict[str, Column]:
@@ -80,14 +88,14 @@ def project_details(parsed: Column) -> dict[str, Column]:
         "tmdb_original_title": parsed["original_title"],
         "release_date": parsed["release_date"],
         "genres": genre_names(parsed["genres"]),
-        "runtime_minutes": parsed["runtime"],
-        "budget_usd": zero_to_null(parsed["budget"]),
-        "revenue_usd": zero_to_null(parsed["revenue"]),
-        "vote_average": parsed["vote_average"],
-        "vote_count": parsed["vote_count"],
+        "runtime_minutes": number(parsed["runtime"], "int"),
+        "budget_usd": zero_to_null(number(parsed["budget"], "bigint")),
+        "revenue_usd": zero_to_null(number(parsed["revenue"], "bigint")),
+        "vote_average": number(parsed["vote_average"], "double"),
+        "vote_count": number(parsed["vote_count"], "bigint"),
         "overview": parsed["overview"],
         "original_language": parsed["original_language"],
         "poster_path": parsed["poster_path"],
         "director_name": director["name"],
-        "director_tmdb_id": director["id"],
+        "director_tmdb_id": number(director["id"], "int"),
     }

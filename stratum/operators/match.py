@@ -2,7 +2,8 @@
 
 The studied pipeline collects the film list to the driver and calls a search
 service per film. Here the catalogue is a table and the search becomes a
-distributed equi join on the normalised title:
+distributed equi join on the normalised title (a title without any letter
+that normalising keeps is compared as it stands, in lower case):
 
 * tier 1 — same title and same year: the best-ranked entry of that
   (title, year);
@@ -12,10 +13,10 @@ distributed equi join on the normalised title:
 * otherwise no match.
 
 The catalogue is pre-reduced before it meets the films — one row per
-(title, year) and ``top_n`` rows per title — so no film fans out to more than
-``top_n + 1`` candidates however popular its title is. Ranking uses
-``row_number() <= n`` windows, which Spark turns into a partial
-(map-side) group limit ahead of the shuffle.
+(title, year), and one row per title with its ``top_n`` entries as an array —
+so two left joins find a film's candidates and no film fans out, however
+popular its title is. Ranking uses ``row_number() <= n`` windows, which Spark
+turns into a partial (map-side) group limit ahead of the shuffle.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import normalize_title, year_prefix
@@ -62,13 +63,22 @@ def to_enrich(films: DataFrame, silver_movies: DataFrame | None,
     return films.join(done, "letterboxd_uri", "left_anti")
 
 
+def title_key(title) -> Column:
+    """What titles are joined on; NULL for a missing or blank title. The
+    prefixes keep raw titles apart from normalised ones."""
+    raw = F.col(title) if isinstance(title, str) else title
+    norm, text = normalize_title(title), F.lower(F.trim(raw))
+    return (F.when(F.trim(norm) != "", F.concat(F.lit("n:"), norm))
+            .when(text != "", F.concat(F.lit("r:"), text)))
+
+
 def _ranked_catalogue(catalogue: DataFrame, rank_by: Sequence) -> DataFrame:
     return catalogue.select(
         "tmdb_id",
-        normalize_title("title").alias("title_norm"),
+        title_key("title").alias("title_key"),
         year_prefix("release_date").alias("cat_year"),
         *[F.col(c) if isinstance(c, str) else c for c in rank_by],
-    )
+    ).filter(F.col("title_key").isNotNull())
 
 
 def match_catalogue(films: DataFrame, catalogue: DataFrame,
@@ -83,39 +93,29 @@ def match_catalogue(films: DataFrame, catalogue: DataFrame,
         rank_by = (F.col("popularity").desc(), F.col("tmdb_id").asc())
     rank_cols = [c for c in catalogue.columns if c not in ("tmdb_id", "title", "release_date")]
     cat = _ranked_catalogue(catalogue, rank_cols)
-    by_title = Window.partitionBy("title_norm").orderBy(*rank_by)
-    by_title_year = Window.partitionBy("title_norm", "cat_year").orderBy(*rank_by)
+    by_title = Window.partitionBy("title_key").orderBy(*rank_by)
+    by_title_year = Window.partitionBy("title_key", "cat_year").orderBy(*rank_by)
 
-    ranked = cat.withColumn("rank", F.row_number().over(by_title))
-    top = ranked.filter(F.col("rank") <= top_n).select("title_norm", "tmdb_id", "cat_year", "rank")
+    top = (cat.withColumn("rank", F.row_number().over(by_title)).filter(F.col("rank") <= top_n)
+           .groupBy("title_key").agg(F.sort_array(F.collect_list(F.struct("rank", "tmdb_id", "cat_year"))).alias("top")))
     exact = (cat.filter(F.col("cat_year").isNotNull())
              .withColumn("r", F.row_number().over(by_title_year))
              .filter(F.col("r") == 1)
-             .select("title_norm", "cat_year", F.col("tmdb_id").alias("exact_id")))
-
-    f = films.withColumn("title_norm", normalize_title("movie_title"))
-    # Tier 1: (title, year) equi join, at most one candidate.
-    t1 = f.join(exact, (f.title_norm == exact.title_norm) & (f.movie_year == exact.cat_year), "left") \
-          .select(*[f[c] for c in f.columns], "exact_id")
-    # Tiers 2/3: title equi join against the top-n rows, then pick the first
-    # plausible one. Films are joined back on their uri afterwards.
-    cand = (t1.filter(F.col("exact_id").isNull())
-            .select("letterboxd_uri", "title_norm", "movie_year").alias("x")
-            .join(top.alias("c"), F.col("x.title_norm") == F.col("c.title_norm"), "inner"))
-    plausible = (F.col("x.movie_year").isNull() & (F.col("c.rank") == 1)) | (
-        F.col("x.movie_year").isNotNull() & F.col("c.cat_year").isNotNull()
-        & (F.abs(F.col("c.cat_year") - F.col("x.movie_year")) <= year_tolerance))
-    best = (cand.filter(plausible)
-            .groupBy(F.col("x.letterboxd_uri").alias("letterboxd_uri"))
-            .agg(F.min_by(F.col("c.tmdb_id"), F.col("c.rank")).alias("near_id"),
-                 F.max(F.col("x.movie_year").isNull()).alias("no_year")))
-    out = t1.join(best, "letterboxd_uri", "left")
-    return out.select(
-        *films.columns,
-        F.coalesce("exact_id", "near_id").cast("bigint").alias("tmdb_id"),
-        F.when(F.col("exact_id").isNotNull(), F.lit(TIER_EXACT))
-         .when(F.col("near_id").isNotNull() & F.col("no_year"), F.lit(TIER_TITLE))
-         .when(F.col("near_id").isNotNull(), F.lit(TIER_NEAR)).alias("match_tier"))
+             .select("title_key", F.col("cat_year").alias("exact_year"), F.col("tmdb_id").alias("exact_id")))
+
+    f = films.withColumn("title_key", title_key("movie_title")).alias("f")
+    j = (f.join(top.alias("t"), F.col("f.title_key") == F.col("t.title_key"), "left")
+         .join(exact.alias("e"), (F.col("f.title_key") == F.col("e.title_key"))
+               & (F.col("f.movie_year") == F.col("e.exact_year")), "left"))
+    no_year = F.col("f.movie_year").isNull()
+    near = F.filter("t.top", lambda c: F.abs(c["cat_year"] - F.col("f.movie_year")) <= year_tolerance)
+    near_id = F.try_element_at(F.when(no_year, F.col("t.top")).otherwise(near), F.lit(1))["tmdb_id"]
+    return j.select(
+        *[F.col(f"f.{c}") for c in films.columns],
+        F.coalesce("e.exact_id", near_id).cast("bigint").alias("tmdb_id"),
+        F.when(F.col("e.exact_id").isNotNull(), F.lit(TIER_EXACT))
+         .when(near_id.isNotNull() & no_year, F.lit(TIER_TITLE))
+         .when(near_id.isNotNull(), F.lit(TIER_NEAR)).alias("match_tier"))
 
 
 def enrichment_status(matched: DataFrame, details: DataFrame,
@@ -124,7 +124,8 @@ def enrichment_status(matched: DataFrame, details: DataFrame,
 
     NOT_FOUND without a match; ERROR when the payload cannot be parsed;
     FUZZY_MATCH when both years are known and differ by more than the
-    tolerance; SUCCESS otherwise. Also projects the payload (P26–P28).
+    tolerance; SUCCESS otherwise. An ERROR row carries no ``tmdb_id``. Also
+    projects the payload (P26–P28).
     """
     # Join first, then parse: only the payloads of matched entries are read
     # as JSON, not the whole catalogue.
@@ -141,7 +142,8 @@ def enrichment_status(matched: DataFrame, details: DataFrame,
               .otherwise(F.lit("SUCCESS")))
     good = found & ~corrupt
     fields = {k: F.when(good, v) for k, v in project_details(F.col("p")).items()}
-    return j.select(*matched.columns, status.alias("enrichment_status"),
+    own = [F.when(~(found & corrupt), F.col(c)).alias(c) if c == "tmdb_id" else F.col(c) for c in matched.columns]
+    return j.select(*own, status.alias("enrichment_status"),
                     F.when(found & corrupt, F.lit("unparsable catalogue payload"))
                      .alias("error_msg"),
                     *[v.alias(k) for k, v in fields.items()])

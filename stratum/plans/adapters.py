@@ -13,9 +13,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import session_key
-from ..sources.files import spread_unsplittable
-
 URI_PREFIX = "https://boxd.it/"
 RUN_TS = "2024-02-01 00:00:00"
 PREVIOUS_RUN_TS = "2024-01-01 00:00:00"
@@ -23,20 +20,9 @@ INGESTION_DATE = "2024-01-31"
 REWATCH_TOKENS = ["Yes", "yes", "TRUE", "1", "No", "YES"]
 
 
-_TABLES: dict[tuple, DataFrame] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table. Each is one Parquet file with one row group, which
-    Spark reads in a single task; tables of many narrow rows are dealt over
-    the cores first (``spread_unsplittable``). The DataFrame is reused across
-    queries of a session (the files are read-only), which saves listing the
-    files and reading the Parquet footer again for every query."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (*session_key(spark), path)
-    if key not in _TABLES:
-        _TABLES[key] = spread_unsplittable(spark.read.parquet(path), path)
-    return _TABLES[key]
+    """A driver table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _uri(key: Column) -> Column:
@@ -159,24 +145,30 @@ def silver_movies(part: DataFrame, status: Column | None = None,
     )
 
 
+def _film_title(key: Column, title: Column) -> Column:
+    """Titles with planted ones whose normalised form is empty."""
+    return (F.when(key % 46 == 0, F.lit("羅生門")).when(key % 23 == 0, F.lit("七人の侍")).otherwise(title))
+
+
 def match_films(part: DataFrame) -> DataFrame:
-    """Films to match: even part keys; some without a year."""
+    """Films to match: every part; some without a year."""
     k = F.col("p_partkey")
-    return part.filter(k % 2 == 0).select(
+    return part.select(
         _uri(k).alias("letterboxd_uri"),
-        F.col("p_name").alias("movie_title"),
+        _film_title(k, F.col("p_name")).alias("movie_title"),
         F.when(k % 9 == 0, F.lit(None)).otherwise(F.lit(1950) + F.col("p_size"))
          .cast("int").alias("movie_year"),
     )
 
 
 def match_catalogue(part: DataFrame) -> DataFrame:
-    """Catalogue search index: odd part keys, title variants, popularity."""
+    """Catalogue search index: every part, title variants, popularity."""
     k = F.col("p_partkey")
     year = F.lit(1950) + F.col("p_size") + (k % 7) - 3
-    return part.filter(k % 2 == 1).select(
+    title = F.when(k % 3 == 0, F.concat(F.upper("p_name"), F.lit("!"))).otherwise(F.col("p_name"))
+    return part.select(
         k.alias("tmdb_id"),
-        F.when(k % 3 == 0, F.concat(F.upper("p_name"), F.lit("!"))).otherwise(F.col("p_name")).alias("title"),
+        _film_title(k, title).alias("title"),
         F.when(k % 19 == 0, F.lit(None).cast("string"))
          .otherwise(F.concat(year.cast("string"), F.lit("-06-15"))).alias("release_date"),
         F.col("p_retailprice").alias("popularity"),
@@ -184,7 +176,8 @@ def match_catalogue(part: DataFrame) -> DataFrame:
 
 
 def catalogue_details(part: DataFrame) -> DataFrame:
-    """Catalogue detail payloads (JSON text) for the odd part keys."""
+    """Catalogue detail payloads (JSON text) of every part: some cut off, some
+    with fractional or very large numbers, some without genres."""
     k = F.col("p_partkey")
     base_year = F.lit(1950) + F.col("p_size") + (k % 7) - 3
     year = F.when(k % 11 == 0, base_year + 3).otherwise(base_year)
@@ -192,16 +185,18 @@ def catalogue_details(part: DataFrame) -> DataFrame:
         F.col("p_name").alias("title"),
         F.col("p_name").alias("original_title"),
         F.concat(year.cast("string"), F.lit("-06-15")).alias("release_date"),
-        F.transform(F.split("p_name", " "), lambda g: F.struct(g.alias("name"))).alias("genres"),
+        F.when(k % 29 != 0, F.transform(F.split("p_name", " "), lambda g: F.struct(g.alias("name")))).alias("genres"),
         (F.col("p_size") * 3).alias("runtime"),
         F.when(k % 4 == 0, F.lit(0)).otherwise(k * 1000).alias("budget"),
         F.lit(0).alias("revenue"),
         (F.col("p_size") / F.lit(5.0)).alias("vote_average"),
-        (F.col("p_size") * 10).alias("vote_count"),
+        (F.col("p_size").cast("bigint") * F.when(k % 31 == 0, F.lit(10_000_000_000)).otherwise(F.lit(10)))
+        .alias("vote_count"),
         F.struct(crew(part_key=k)).alias("credits"),
     ))
+    payload = F.when(k % 17 == 0, F.regexp_replace(payload, '"runtime":([0-9]+)', '"runtime":$1.0')).otherwise(payload)
     bad = F.concat(F.lit('{"title": "'), F.col("p_name"))
-    return part.filter(k % 2 == 1).select(
+    return part.select(
         k.alias("tmdb_id"),
         F.when(k % 13 == 0, bad).otherwise(payload).alias("payload"))
 

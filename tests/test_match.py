@@ -40,6 +40,27 @@ def test_catalogue_tiers(spark):
     }
 
 
+def test_titles_without_latin_letters_do_not_match_each_other(spark):
+    cat = spark.createDataFrame([(1, "羅生門", "1950-08-26", 9.0), (2, "七人の侍", "1954-04-26", 8.0),
+                                 (3, "???", "1950-01-01", 9.5), (4, None, "1950-01-01", 9.9), (5, "  ", None, 1.0)], CAT)
+    films = spark.createDataFrame([("r", "羅生門", 1950), ("s", "七人の侍", 1953), ("k", "기생충", None), ("q", "!!!", 1950),
+                                   ("blank", " ", 1950), ("null", None, 1950)], FILMS)
+    got = {r.letterboxd_uri: r.tmdb_id for r in match_catalogue(films, cat).collect()}
+    assert got == {"r": 1, "s": 2, "k": None, "q": None, "blank": None, "null": None}
+
+
+def test_odd_numbers_and_missing_genres_are_not_errors(spark):
+    matched = spark.createDataFrame([("a", "t", 2000, 1), ("b", "t", 2000, 2)], FILMS + ", tmdb_id long")
+    details = spark.createDataFrame([
+        (1, '{"title": "t", "runtime": 101.0, "vote_count": 99999999999, "budget": 5, "vote_average": 7}'),
+        (2, "[broken")], "tmdb_id long, payload string")
+    out = {r.letterboxd_uri: r for r in enrichment_status(matched, details).collect()}
+    a = out["a"]
+    assert (a.enrichment_status, a.runtime_minutes, a.vote_count, a.budget_usd, a.vote_average, a.genres) == (
+        "SUCCESS", 101, 99999999999, 5, 7.0, [])
+    assert out["b"].enrichment_status == "ERROR" and out["b"].tmdb_id is None
+
+
 def test_match_status(spark):
     films = spark.createDataFrame([("a", "alpha", 2000), ("b", "beta", 2001), ("z", "zeta", 2000)],
                                   FILMS)
