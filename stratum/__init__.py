@@ -5,7 +5,6 @@ Sub-packages:
   functions  Column -> Column helpers (no Python UDFs)
   operators  DataFrame -> DataFrame building blocks (clean, match, merge, SCD-2, quality)
   plans      gold models, dashboard reports, query registry
-  streaming  incremental landing ingest with Structured Streaming
 """
 
 __version__ = "0.1.0"

@@ -26,8 +26,6 @@ SNAPSHOT_KEY = "letterboxd_uri"
 SNAPSHOT_CHECK_COLS = ["vote_average", "vote_count", "runtime_minutes", "overview",
                        "director_name", "budget_usd", "revenue_usd"]
 SNAPSHOT_STATUSES = ("SUCCESS", "FUZZY_MATCH")
-# A spine of this many days is ~30 bytes/row; far below any broadcast limit.
-MAX_BROADCAST_SPINE_DAYS = 400_000
 
 
 def _stamps(run_ts: str, names=("_dbt_created_at", "_dbt_updated_at")) -> dict:
@@ -90,6 +88,7 @@ def stg_ratings(silver_ratings: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- snapshot
 
 
+# The snapshot's columns.
 SNAPSHOT_COLUMNS = ["letterboxd_uri", "tmdb_id", "title", "tmdb_original_title",
                     "release_date", "release_year", "genres", "runtime_minutes",
                     "budget_usd", "revenue_usd", "vote_average", "vote_count",
@@ -120,7 +119,12 @@ def dim_date(spark: SparkSession, start: str = DATE_SPINE_START,
     """One row per day in [start, end). Generated with ``spark.range`` so
     the spine is split across tasks instead of exploding one array row."""
     d = F.date_add(F.lit(start).cast("date"), F.col("id").cast("int"))
-    out = spark.range(0, spine_days(start, end)).select(d.alias("date_day")).select(
+    return calendar(spark.range(0, spine_days(start, end)).select(d.alias("date_day")), run_ts)
+
+
+def calendar(days: DataFrame, run_ts: str | None = None) -> DataFrame:
+    """The date columns (P19–P23) of the days in ``date_day``."""
+    out = days.select(
         surrogate_key("date_day").alias("date_id"),
         F.col("date_day").alias("full_date"),
         F.year("date_day").alias("year"),
@@ -138,13 +142,9 @@ def dim_date(spark: SparkSession, start: str = DATE_SPINE_START,
 
 
 def date_lookup(spark: SparkSession, dates: DataFrame | None = None) -> DataFrame:
-    """(full_date, date_id) for fact lookups. The spine's size is fixed by
-    its two dates, so broadcasting it is safe; it is checked here."""
+    """(full_date, date_id) for fact lookups; Spark picks the join by size."""
     dates = dates if dates is not None else dim_date(spark)
-    lookup = dates.select("full_date", "date_id")
-    if spine_days() <= MAX_BROADCAST_SPINE_DAYS:
-        return F.broadcast(lookup)
-    return lookup
+    return dates.select("full_date", "date_id")
 
 
 def dim_director(stg: DataFrame, run_ts: str | None = None) -> DataFrame:

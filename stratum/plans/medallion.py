@@ -22,10 +22,11 @@ from pyspark.sql import functions as F
 from ..operators import match, quality
 from ..operators.clean import clean_diary, clean_ratings, clean_watched
 from ..sources import files, tables
-from ..sources.rules import expectation_rules
-from ..session import size_shuffle_partitions
+from ..sources.rules import expectation_rules, model_test_rules
 from . import contracts, gold, reports
 
+# The match-rate floor, the tables' merge keys, columns and clauses.
+MIN_MATCH_RATE = 0.70
 SILVER_KEYS = {
     "movies": ["letterboxd_uri"],
     "diary_entries": ["letterboxd_uri", "watched_date"],
@@ -66,7 +67,7 @@ def _enriched_movies(todo: DataFrame, catalogue: DataFrame, details: DataFrame,
         "tmdb_title", "tmdb_original_title", "release_date", "genres",
         F.col("runtime_minutes").cast("int"), F.col("budget_usd").cast("bigint"),
         F.col("revenue_usd").cast("bigint"), F.col("vote_average").cast("double"),
-        F.col("vote_count").cast("int"), "overview", "original_language", "poster_path",
+        F.col("vote_count").try_cast("int").alias("vote_count"), "overview", "original_language", "poster_path",
         "director_name", F.col("director_tmdb_id").cast("int"),
         stamp.alias("_silver_created_at"), stamp.alias("_silver_updated_at"),
         F.lit(run_date).alias("_ingestion_date"))
@@ -74,15 +75,11 @@ def _enriched_movies(todo: DataFrame, catalogue: DataFrame, details: DataFrame,
 
 def build_silver(spark: SparkSession, root: str, catalogue: DataFrame, details: DataFrame,
                  run_ts: str, run_date: str | None = None, run_mode: str = "incremental",
-                 min_match_rate: float | None = None) -> dict[str, DataFrame]:
-    """Entry point B: Bronze -> Silver (clean, match, MERGE, assert, audit)."""
+                 min_match_rate: float = MIN_MATCH_RATE) -> dict[str, DataFrame]:
+    """Entry point B: Bronze -> Silver (clean, match, MERGE, assert, audit).
+    Stops when fewer films than ``min_match_rate`` are matched."""
     bronze = f"{root}/bronze"
     date = files.latest_partition(spark, f"{bronze}/diary", run_date)
-    # size the shuffles for this run's Bronze input (folder sizes, metadata only)
-    size_shuffle_partitions(spark, sum(
-        files.path_bytes(spark, f"{bronze}/{t}/{files.PARTITION_COLUMN}={date}")
-        for t in ("diary", "ratings", "watched")
-        if files.path_exists(spark, f"{bronze}/{t}/{files.PARTITION_COLUMN}={date}")))
     raw = {t: files.read_bronze(spark, f"{bronze}/{t}", date) for t in ("diary", "ratings", "watched")}
     # Duplicates inside one export carry no order; the survivor is the
     # greatest row by content, so reruns pick the same one.
@@ -123,8 +120,7 @@ def build_silver(spark: SparkSession, root: str, catalogue: DataFrame, details:
     }
     for name, df in out.items():
         quality.assert_table(df, "letterboxd_uri", f"silver_{name}")
-    if min_match_rate is not None:
-        quality.assert_enrichment_rate(out["movies"], min_match_rate)
+    quality.assert_enrichment_rate(out["movies"], min_match_rate)
     audit = reports.audit_record(out["movies"], out["diary_entries"], out["ratings"], batch,
                                  run_ts, run_mode, date)
     tables.append_table(audit, f"{silver}/_audit_log")
@@ -152,7 +148,6 @@ def export_silver(spark: SparkSession, root: str, sink_root: str) -> DataFrame:
 def build_gold(spark: SparkSession, root: str, run_ts: str) -> dict[str, DataFrame]:
     """Entry point C: Silver -> Gold (snapshot, dimensions, bridge, facts, DQ)."""
     silver, g = f"{root}/silver", f"{root}/gold"
-    size_shuffle_partitions(spark, files.path_bytes(spark, silver))
     stg_m = gold.stg_movies(tables.read_table(spark, f"{silver}/movies"))
     stg_d = gold.stg_diary(tables.read_table(spark, f"{silver}/diary_entries"))
     stg_r = gold.stg_ratings(tables.read_table(spark, f"{silver}/ratings"))
@@ -182,13 +177,24 @@ def build_gold(spark: SparkSession, root: str, run_ts: str) -> dict[str, DataFra
         facts[name] = tables.load_incremental_partitions(
             spark, f"{g}/{name}", built, key, [f"{date_col[:-5]}_month"], "_source_updated_at",
             keep_first=["_dbt_created_at"])
-    dq = quality.evaluate_all([
+    tables.append_table(quality.evaluate_all([
         ("dim_movie", movies, expectation_rules(contracts.DIM_MOVIE_RULES)),
         ("fact_diary_entries", facts["fact_diary_entries"],
          expectation_rules(contracts.FACT_DIARY_ENTRIES_RULES)),
         ("fact_ratings", facts["fact_ratings"], expectation_rules(contracts.FACT_RATINGS_RULES)),
-    ]).withColumn("run_id", F.lit(run_ts))
-    tables.append_table(dq, f"{g}/dq_results")
+    ]).withColumn("run_id", F.lit(run_ts)), f"{g}/dq_results")
+    models = {"stg_silver_movies": stg_m, "stg_silver_diary_entries": stg_d, "stg_silver_ratings": stg_r,
+              "dim_date": dates, "dim_director": directors, "dim_genre": genres, "dim_movie": movies,
+              "bridge_movie_genre": bridge, **facts}
+    # The model tests gate the run; their results are kept either way.
+    tests = tables.replace_table(model_tests(models), f"{g}/model_test_results")
+    quality.assert_rules(tests)
     return {"snapshot": snap, "dim_date": dates, "dim_director": directors, "dim_genre": genres,
             "dim_movie": movies, "bridge_movie_genre": bridge, **facts,
-            "dq_results": spark.read.parquet(f"{g}/dq_results")}
+            "dq_results": spark.read.parquet(f"{g}/dq_results"), "model_test_results": tests}
+
+
+def model_tests(models: dict[str, DataFrame]) -> DataFrame:
+    """One result row for every model test of the given tables."""
+    rules = model_test_rules(contracts.MODEL_TESTS, models)
+    return quality.evaluate_all([(name, models[name], rules[name]) for name in rules])

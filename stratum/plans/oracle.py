@@ -207,14 +207,16 @@ BRIDGE = f"""bridge AS (
         FROM dim_movie WHERE genres IS NOT NULL) mg
   JOIN dim_genre g ON g.genre_name = mg.genre_name)"""
 
-DIM_DATE = f"""dim_date AS (
-  SELECT {sk('d')} AS date_id, d AS full_date, CAST(year(d) AS INTEGER) AS year,
+CALENDAR = f"""  SELECT {sk('d')} AS date_id, d AS full_date, CAST(year(d) AS INTEGER) AS year,
     CAST(quarter(d) AS INTEGER) AS quarter_number,
     CAST(year(d) AS VARCHAR) || '-Q' || CAST(quarter(d) AS VARCHAR) AS year_quarter,
     CAST(month(d) AS INTEGER) AS month_number, strftime(d, '%B') AS month_name,
     CAST(day(d) AS INTEGER) AS day_of_month, CAST(dayofweek(d) + 1 AS INTEGER) AS day_of_week_number,
     strftime(d, '%A') AS day_of_week_name, dayofweek(d) IN (0, 6) AS is_weekend,
-    CAST(strftime(d, '%U') AS INTEGER) AS week_of_year
+    CAST(strftime(d, '%U') AS INTEGER) AS week_of_year"""
+
+DIM_DATE = f"""dim_date AS (
+{CALENDAR}
   FROM (SELECT CAST(range AS DATE) AS d
         FROM range(TIMESTAMP '2000-01-01', TIMESTAMP '2030-12-31', INTERVAL 1 DAY)) s)"""
 
@@ -246,17 +248,26 @@ catalog AS (
     FROM cat_union) u
   WHERE rn = 1 AND movie_title IS NOT NULL)"""
 
+# Planted titles whose normalised form is empty; the key of a title.
+PLANTED = "CASE WHEN p_partkey % 46 = 0 THEN '羅生門' WHEN p_partkey % 23 = 0 THEN '七人の侍' ELSE {0} END"
+
+
+def title_key(e: str) -> str:
+    return f"CASE WHEN trim({norm(e)}) <> '' THEN 'n:' || {norm(e)} WHEN trim({e}) <> '' THEN 'r:' || lower(trim({e})) END"
+
+
 MATCH = f"""films AS (
-  SELECT 'https://boxd.it/' || CAST(p_partkey AS VARCHAR) AS letterboxd_uri, p_name AS movie_title,
+  SELECT 'https://boxd.it/' || CAST(p_partkey AS VARCHAR) AS letterboxd_uri,
          CAST(CASE WHEN p_partkey % 9 = 0 THEN NULL ELSE 1950 + p_size END AS INTEGER) AS movie_year,
-         {norm('p_name')} AS title_norm
-  FROM part WHERE p_partkey % 2 = 0),
+         {title_key('(' + PLANTED.format('p_name') + ')')} AS title_norm
+  FROM part),
 cat AS (
   SELECT p_partkey AS tmdb_id,
-    {norm("CASE WHEN p_partkey % 3 = 0 THEN upper(p_name) || '!' ELSE p_name END")} AS title_norm,
+    {title_key('(' + PLANTED.format("CASE WHEN p_partkey % 3 = 0 THEN upper(p_name) || '!' ELSE p_name END") + ')')}
+      AS title_norm,
     CASE WHEN p_partkey % 19 = 0 THEN NULL ELSE 1950 + p_size + (p_partkey % 7) - 3 END AS cat_year,
     p_retailprice AS popularity
-  FROM part WHERE p_partkey % 2 = 1),
+  FROM part),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY title_norm ORDER BY popularity DESC, tmdb_id) AS rnk FROM cat),
 exact AS (
@@ -405,6 +416,57 @@ def _contract_sql() -> str:
     return gold + ", contract AS (" + _dq_rows(rows) + ")\n"
 
 
+def _model_tests_sql() -> str:
+    def row(table, rule, total, failed):
+        return (f"SELECT '{table}' AS table_name, '{rule}' AS rule, CAST({total} AS BIGINT) AS total, "
+                f"CAST({failed} AS BIGINT) AS failed")
+
+    def not_null(table, src, column):
+        return row(table, f"not_null({column})", "count(*)", f"count(*) - count({column})") + f" FROM {src}"
+
+    def unique(table, src, column):
+        return row(table, f"unique({column})", "coalesce(sum(n), 0)",
+                   f"coalesce(sum(n) FILTER (WHERE {column} IS NOT NULL AND n > 1), 0)") + (
+            f" FROM (SELECT {column}, count(*) AS n FROM {src} GROUP BY 1) g")
+
+    def related(table, src, column, parent, field):
+        return row(table, f"relationship({column})", f"count({column})",
+                   f"count({column}) FILTER (WHERE {column} NOT IN (SELECT {field} FROM {parent} "
+                   f"WHERE {field} IS NOT NULL))") + f" FROM {src}"
+
+    def rated(table, src, scope):
+        return row(table, "range(my_rating)", f"count(*) FILTER (WHERE {scope})",
+                   "count(*) FILTER (WHERE my_rating < 0.5 OR my_rating > 5.0)") + f" FROM {src}"
+
+    rows = []
+    for table, src, filled, keys in (
+            ("stg_silver_movies", "stg_movies", ["letterboxd_uri", "enrichment_status", "title"], ["letterboxd_uri"]),
+            ("stg_silver_diary_entries", "stg_diary", ["letterboxd_uri", "watched_date"], []),
+            ("stg_silver_ratings", "stg_ratings", ["letterboxd_uri", "my_rating"], []),
+            ("dim_date", "dim_date", ["date_id", "full_date", "year"], ["date_id", "full_date"]),
+            ("dim_director", "dim_director", ["director_id", "director_tmdb_id", "director_name"],
+             ["director_id", "director_tmdb_id"]),
+            ("dim_genre", "dim_genre", ["genre_id", "genre_name"], ["genre_id", "genre_name"]),
+            ("dim_movie", "dim_movie", ["movie_id", "letterboxd_uri", "title"], ["movie_id", "letterboxd_uri"]),
+            ("bridge_movie_genre", "bridge", ["bridge_id", "movie_id", "genre_id"], ["bridge_id"]),
+            ("fact_diary_entries", "fact_diary", ["diary_entry_id", "watched_date_id"], ["diary_entry_id"]),
+            ("fact_ratings", "fact_ratings", ["rating_id", "rating_date_id", "my_rating"], ["rating_id"])):
+        rows += [not_null(table, src, c) for c in filled] + [unique(table, src, c) for c in keys]
+    rows.append(row("stg_silver_movies", "accepted_values(enrichment_status)", "count(*)",
+                    "count(*) FILTER (WHERE enrichment_status NOT IN "
+                    "('SUCCESS', 'FUZZY_MATCH', 'NOT_FOUND', 'ERROR'))") + " FROM stg_movies")
+    rows += [related("dim_movie", "dim_movie", "director_id", "dim_director", "director_id"),
+             related("bridge_movie_genre", "bridge", "movie_id", "dim_movie", "movie_id"),
+             related("bridge_movie_genre", "bridge", "genre_id", "dim_genre", "genre_id"),
+             related("fact_diary_entries", "fact_diary", "movie_id", "dim_movie", "movie_id"),
+             related("fact_diary_entries", "fact_diary", "watched_date_id", "dim_date", "date_id"),
+             related("fact_ratings", "fact_ratings", "movie_id", "dim_movie", "movie_id"),
+             related("fact_ratings", "fact_ratings", "rating_date_id", "dim_date", "date_id"),
+             rated("fact_diary_entries", "fact_diary", "my_rating IS NOT NULL"),
+             rated("fact_ratings", "fact_ratings", "TRUE")]
+    return with_(*GOLD) + "SELECT *, failed = 0 AS ok FROM (" + _dq_rows(rows) + ") t"
+
+
 def build() -> dict[str, str]:
     q: dict[str, str] = {}
     gold = with_(*GOLD)
@@ -413,7 +475,9 @@ def build() -> dict[str, str]:
                             "CAST(n_regionkey AS VARCHAR) AS n_regionkey FROM nation")
     q["missing_inputs"] = ("SELECT name FROM (VALUES ('diary.csv'), ('ratings.csv'), ('watched.csv'), "
                            "('reviews.csv'), ('watchlist.csv')) v(name) "
-                           "WHERE name NOT IN (SELECT event_type || '.csv' FROM events)")
+                           "WHERE name NOT IN (SELECT CASE event_type WHEN 'signup' THEN 'diary' "
+                           "WHEN 'purchase' THEN 'ratings' WHEN 'view' THEN 'watched' ELSE event_type END "
+                           "|| '.csv' FROM events)")
     q["bronze_lineage"] = ("SELECT r_regionkey, r_name, '2024-01-31' AS _ingestion_date, "
                            "'letterboxd' AS _source_system, 'region.csv' AS _source_file, "
                            "'1.0.0' AS _pipeline_version FROM region")
@@ -422,8 +486,10 @@ def build() -> dict[str, str]:
                              "WHERE strftime(ts, '%Y-%m-%d') = (SELECT max(strftime(ts, '%Y-%m-%d')) FROM events)")
     q["export_reconcile"] = ("SELECT 'orders' AS table_name, count(*) AS source_rows, count(*) AS sink_rows, "
                              "TRUE AS matches FROM orders")
-    q["schema_sync"] = ("SELECT p_partkey, p_name, p_type, CASE WHEN p_partkey % 3 = 0 THEN p_size END AS p_size, "
-                        "p_retailprice FROM part")
+    q["schema_sync"] = ("SELECT p_partkey, p_name, p_type, CAST(NULL AS INTEGER) AS p_size, p_retailprice FROM part "
+                        "WHERE p_partkey % 3 <> 0 UNION ALL "
+                        "SELECT CASE WHEN p_partkey % 3 = 0 THEN p_partkey ELSE p_partkey + 1000000000 END, p_name, "
+                        "p_type, p_size, p_retailprice + 1 FROM part")
     q["json_details_project"] = (
         "SELECT CAST(p_partkey AS BIGINT) AS tmdb_id, p_name AS title, replace(p_name, ' ', ',') AS genres_csv, "
         "CAST(p_size * 3 AS INTEGER) AS runtime, "
@@ -435,7 +501,10 @@ def build() -> dict[str, str]:
 
     diary = with_(raw_diary())
     q["clean_diary"] = with_(raw_diary(), silver_diary()) + (
-        "SELECT letterboxd_uri, watched_date, movie_year, CAST(my_rating AS DOUBLE) AS my_rating, is_rewatch "
+        "SELECT event_id, movie_title, letterboxd_uri, diary_date, watched_date, movie_year, "
+        "CAST(my_rating AS DOUBLE) AS my_rating, is_rewatch, movie_title_normalized, "
+        "array_to_string(tags, '|') AS tags, 'diary' AS source_file, "
+        f"'2024-01-31' AS _ingestion_date, TIMESTAMP '{RUN_TS}' AS _silver_created_at, _silver_updated_at "
         "FROM silver_diary")
     q["parse_dates"] = diary + (f"SELECT event_id, {parsed_date(chr(34) + 'Date' + chr(34))} AS diary_date, "
                                 f"{parsed_date(chr(34) + 'Watched Date' + chr(34))} AS watched_date FROM raw_diary")
@@ -467,12 +536,18 @@ def build() -> dict[str, str]:
         "WHERE m.letterboxd_uri = c.letterboxd_uri AND m.enrichment_status = 'SUCCESS')")
     q["catalog_match"] = with_(MATCH) + "SELECT letterboxd_uri, tmdb_id, match_tier FROM matched"
     q["match_status"] = with_(MATCH) + (
-        "SELECT m.letterboxd_uri, m.tmdb_id, CASE WHEN m.tmdb_id IS NULL THEN 'NOT_FOUND' "
+        ", st AS (SELECT m.letterboxd_uri, m.tmdb_id, p.*, CASE WHEN m.tmdb_id IS NULL THEN 'NOT_FOUND' "
         "WHEN m.tmdb_id % 13 = 0 THEN 'ERROR' "
         "WHEN m.movie_year IS NOT NULL AND abs(1950 + p.p_size + (p.p_partkey % 7) - 3 "
         "+ CASE WHEN p.p_partkey % 11 = 0 THEN 3 ELSE 0 END - m.movie_year) > 2 THEN 'FUZZY_MATCH' "
         "ELSE 'SUCCESS' END AS enrichment_status "
-        "FROM matched m LEFT JOIN part p ON p.p_partkey = m.tmdb_id")
+        "FROM matched m LEFT JOIN part p ON p.p_partkey = m.tmdb_id) "
+        "SELECT letterboxd_uri, CASE WHEN enrichment_status <> 'ERROR' THEN tmdb_id END AS tmdb_id, enrichment_status, "
+        "CASE WHEN good THEN CAST(p_size * 3 AS INTEGER) END AS runtime_minutes, "
+        "CASE WHEN good THEN CAST(p_size AS BIGINT) * CASE WHEN p_partkey % 31 = 0 THEN 10000000000 ELSE 10 END END "
+        "AS vote_count, CASE WHEN good THEN CAST(CASE WHEN p_partkey % 29 = 0 THEN 0 "
+        "ELSE len(string_split(p_name, ' ')) END AS INTEGER) END AS n_genres "
+        "FROM (SELECT *, enrichment_status IN ('SUCCESS', 'FUZZY_MATCH') AS good FROM st) x")
     q["dedup_composite"] = diary + (
         "SELECT letterboxd_uri, watched_date, event_id FROM ("
         f"SELECT \"Letterboxd URI\" AS letterboxd_uri, {parsed_date(chr(34) + 'Watched Date' + chr(34))} "
@@ -505,9 +580,15 @@ SELECT '{RUN_TS}' AS pipeline_run_ts, 'incremental' AS run_mode, '2024-01-31' AS
     q["high_water_mark"] = ("SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderdate > "
                             "(SELECT coalesce(max(o_orderdate), TIMESTAMP '1900-01-01') FROM orders "
                             "WHERE o_orderdate < TIMESTAMP '1998-01-01')")
+    q["high_water_mark_first_load"] = ("SELECT o_orderkey, o_orderdate FROM orders "
+                                       "WHERE o_orderdate > TIMESTAMP '1900-01-01'")
     q["merge_conditional"] = _merge_movies_sql()
     q["merge_composite_key"] = _merge_diary_sql()
     q["merge_ratings"] = _merge_ratings_sql()
+    for key, day, merged in (("stored_merge_diary", "watched_date", _merge_diary_sql()),
+                             ("stored_merge_ratings", "rating_date", _merge_ratings_sql())):
+        q[key] = (f"SELECT letterboxd_uri, {day}, my_rating, CAST(date_trunc('month', {day}) AS DATE) AS month "
+                  f"FROM ({merged}) m")
 
     scd = "WITH " + SCD_BASE
     q["scd2_initial"] = scd + "SELECT c_custkey, c_name, c_acctbal, valid_from, valid_to, scd_id FROM h1"
@@ -525,7 +606,14 @@ SELECT {sk('o_orderkey')} AS fact_id, o_orderkey,
     AS created_at
 FROM orders"""
 
-    q["dim_date"] = with_(DIM_DATE) + "SELECT * FROM dim_date"
+    q["stored_incremental_fact"] = f"""
+SELECT f.*, CASE WHEN o.o_orderdate >= TIMESTAMP '1998-01-01' OR o.o_orderkey % 10 = 0 THEN o.o_custkey END AS o_custkey,
+  CAST(date_trunc('month', o.o_orderdate) AS DATE) AS month
+FROM ({q["incremental_fact"]}) f JOIN orders o USING (o_orderkey)"""
+
+    q["dim_date"] = f"""{CALENDAR}
+FROM (SELECT DISTINCT CAST(d AS DATE) AS d FROM (
+  SELECT o_orderdate AS d FROM orders UNION ALL SELECT l_shipdate FROM lineitem) x WHERE d IS NOT NULL) s"""
     q["dim_director"] = with_(silver_movies(), STG_MOVIES, DIM_DIRECTOR) + "SELECT * FROM dim_director"
     q["dim_genre"] = with_(silver_movies(), STG_MOVIES, DIM_GENRE) + "SELECT * FROM dim_genre"
     q["dim_movie"] = gold + "SELECT * FROM dim_movie"
@@ -602,11 +690,13 @@ FROM orders"""
         "CASE WHEN total > 0 THEN round(passed / CAST(total AS DOUBLE), 6) END AS pass_ratio, "
         "coalesce(round(passed / CAST(nullif(total, 0) AS DOUBLE), 6) >= 1.0, TRUE) AS ok FROM contract")
     q["dq_scorecard"] = contract + (
-        f"SELECT table_name, dimension, '{RUN_TS}' AS run_id, CAST(sum(total) AS BIGINT) AS total, "
+        "SELECT table_name, dimension, run_id, CAST(sum(total) AS BIGINT) AS total, "
         "CAST(sum(passed) AS BIGINT) AS passed, "
         "CASE WHEN sum(total) > 0 THEN round(sum(passed) * 100.0 / sum(total), 4) END AS score, "
         "coalesce(CASE WHEN sum(total) > 0 THEN round(sum(passed) * 100.0 / sum(total), 4) END = 100.0, TRUE) "
-        "AS is_perfect FROM contract GROUP BY table_name, dimension")
+        f"AS is_perfect FROM contract, (VALUES ('{PREV_TS}'), ('{RUN_TS}')) r(run_id) "
+        "GROUP BY table_name, dimension, run_id")
+    q["dq_model_tests"] = _model_tests_sql()
 
     q["kpi_global"] = gold + (
         "SELECT count(DISTINCT letterboxd_uri) AS n_films, round(avg(my_rating), 6) AS avg_rating, "
@@ -652,6 +742,11 @@ FROM orders"""
         "FROM fact_ratings f JOIN dim_movie m ON f.movie_id = m.movie_id "
         "WHERE list_contains(m.genres, 'widget') GROUP BY m.movie_id, m.letterboxd_uri, m.title "
         "ORDER BY n_views DESC, m.letterboxd_uri ASC LIMIT 10")
+    q["top_movies_year"] = gold + (
+        "SELECT m.letterboxd_uri, m.title, count(*) AS n_views, round(avg(f.my_rating), 6) AS avg_rating "
+        "FROM fact_ratings f JOIN dim_movie m ON f.movie_id = m.movie_id "
+        "WHERE m.release_year = 1975 GROUP BY m.movie_id, m.letterboxd_uri, m.title "
+        "ORDER BY n_views DESC, m.letterboxd_uri ASC LIMIT 10")
     return q
 
 

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -47,15 +51,16 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder named by ``spark.checkpoint.dir``.
 
     A cluster sets it to shared storage and it is always read from the
-    session. Only a local-mode session (tests) without one gets a folder of
-    our own; on a cluster a missing setting is an error, because a
-    machine-local folder is not visible to the other executors.
+    session. Only a local-mode session (tests) without one gets a temporary
+    folder, which goes with the process; on a cluster a missing setting is an
+    error, because a machine-local folder is not visible to the other executors.
     """
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-        path = "/tmp/stratum-checkpoints"
+        path = tempfile.mkdtemp(prefix="stratum-")  # one process: driver and executor share it
+        atexit.register(shutil.rmtree, path, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path.rstrip("/")
@@ -64,26 +69,3 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, never-reused folder under the shared directory."""
     return f"{shared_dir(spark)}/stratum-scratch/{label}-{uuid.uuid4().hex}"
-
-
-def session_key(spark: SparkSession) -> tuple[str, int]:
-    """Identity of a live session (its application and session object), for
-    caching DataFrame definitions; a restarted session has a new application
-    id, so it never matches an old entry."""
-    return spark.sparkContext.applicationId, id(spark)
-
-
-TARGET_PARTITION_BYTES = 128 << 20
-
-
-def size_shuffle_partitions(spark: SparkSession, input_bytes: int,
-                            target_bytes: int = TARGET_PARTITION_BYTES) -> int:
-    """Raise ``spark.sql.shuffle.partitions`` so a shuffle of ``input_bytes``
-    gives partitions of about ``target_bytes`` (never lowers the setting; AQE
-    coalesces partitions that turn out small). Returns the value in force."""
-    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = -(-int(input_bytes) // int(target_bytes))
-    if wanted > current:
-        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-        return wanted
-    return current

@@ -1,10 +1,13 @@
 import json
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from stratum.plans import medallion
-from stratum.streaming.landing import stream_to_bronze, upsert_stream
+from stratum.operators.quality import AssertionFailed
+from stratum.sources import tables
 
 from .conftest import rows
 
@@ -53,7 +56,7 @@ def test_layers_end_to_end_and_rerun(spark, tmp_dir):
     summary = medallion.land(spark, land, root, "2024-01-31")
     assert rows(summary, "file", "n_rows") == [("diary.csv", 4), ("ratings.csv", 2), ("watched.csv", 1)]
     cat, details = catalogue(spark)
-    s = medallion.build_silver(spark, root, cat, details, "2024-02-01 00:00:00")
+    s = medallion.build_silver(spark, root, cat, details, "2024-02-01 00:00:00", min_match_rate=0.5)
     status = {r.letterboxd_uri: r.enrichment_status for r in s["movies"].collect()}
     assert status == {"https://boxd.it/a": "SUCCESS", "https://boxd.it/b": "SUCCESS",
                       "https://boxd.it/g": "ERROR", "https://boxd.it/d": "NOT_FOUND"}
@@ -68,7 +71,7 @@ def test_layers_end_to_end_and_rerun(spark, tmp_dir):
     before = {k: rows(v.drop("_dbt_created_at", "_dbt_updated_at")) for k, v in g.items()
               if k not in ("dq_results",)}
     # second run with the same inputs: Silver and Gold unchanged, audit grows
-    s2 = medallion.build_silver(spark, root, cat, details, "2024-02-02 00:00:00")
+    s2 = medallion.build_silver(spark, root, cat, details, "2024-02-02 00:00:00", min_match_rate=0.5)
     assert s2["audit"].count() == 2
     assert rows(s2["diary_entries"].select("letterboxd_uri", "watched_date", "my_rating")) == diary_before
     snapshot_rows = g["snapshot"].count()
@@ -80,28 +83,19 @@ def test_layers_end_to_end_and_rerun(spark, tmp_dir):
     assert after["dim_movie"] == before["dim_movie"]
 
 
-def test_streaming_landing_and_upsert(spark, tmp_dir):
-    land, bronze = f"{tmp_dir}/landing", f"{tmp_dir}/bronze/ratings"
-    cols = ["Date", "Name", "Year", "Letterboxd URI", "Rating"]
-    write_csv(f"{land}/ratings-1.csv", ",".join(cols), ["2024-01-01,A,2000,u1,3"])
-    q = stream_to_bronze(spark, land, bronze, cols, "2024-01-31", "letterboxd",
-                         checkpoint=f"{tmp_dir}/ck1")
-    q.awaitTermination(120)
-    write_csv(f"{land}/ratings-2.csv", ",".join(cols), ["2024-01-02,B,2001,u2,4"])
-    q = stream_to_bronze(spark, land, bronze, cols, "2024-01-31", "letterboxd",
-                         checkpoint=f"{tmp_dir}/ck1")
-    q.awaitTermination(120)
-    b = spark.read.parquet(bronze)
-    assert b.count() == 2                      # each file read exactly once
-    assert rows(b.select("_source_file")) == [("ratings-1.csv",), ("ratings-2.csv",)]
-
-    src = (spark.readStream.schema(b.schema).parquet(bronze)
-           .select(F.col("Letterboxd URI").alias("k"), F.col("Rating").alias("v")))
-    q = upsert_stream(src, f"{tmp_dir}/keyed", ["k"], {"v": "s.v"}, checkpoint=f"{tmp_dir}/ck2")
-    q.awaitTermination(120)
-    assert rows(spark.read.parquet(f"{tmp_dir}/keyed")) == [("u1", "3"), ("u2", "4")]
-    q = upsert_stream(src.withColumn("p", F.substring("k", 1, 1)), f"{tmp_dir}/keyed_p", ["k", "p"],
-                      {"v": "s.v"}, checkpoint=f"{tmp_dir}/ck3", partition_cols=["p"])
-    q.awaitTermination(120)
-    assert rows(spark.read.parquet(f"{tmp_dir}/keyed_p").select("k", "v", "p")) == [
-        ("u1", "3", "u"), ("u2", "4", "u")]
+def test_match_rate_gate_and_model_test_gate(spark, tmp_dir):
+    land, root = f"{tmp_dir}/landing", f"{tmp_dir}/lake"
+    landing(land)
+    medallion.land(spark, land, root, "2024-01-31")
+    cat, details = catalogue(spark)
+    with pytest.raises(AssertionFailed):      # 2 of 4 films are matched, below the default floor
+        medallion.build_silver(spark, root, cat, details, "2024-02-01 00:00:00")
+    medallion.build_silver(spark, root, cat, details, "2024-02-01 00:00:00", min_match_rate=0.5)
+    movies = spark.read.parquet(f"{root}/silver/movies")
+    tables.replace_table(movies.withColumn("enrichment_status", F.when(
+        F.col("enrichment_status") == "NOT_FOUND", F.lit("LOST")).otherwise(F.col("enrichment_status"))),
+        f"{root}/silver/movies")
+    with pytest.raises(AssertionFailed, match="accepted_values"):
+        medallion.build_gold(spark, root, "2024-02-01 00:00:00")
+    results = spark.read.parquet(f"{root}/gold/model_test_results")
+    assert [r.rule for r in results.filter("not ok").collect()] == ["accepted_values(enrichment_status)"]

@@ -2,7 +2,10 @@
 
 import re
 
+import pytest
+
 import __spark_entry__ as E
+from stratum.plans.queries import REGISTRY
 
 from .conftest import SF_SMOKE
 
@@ -14,10 +17,33 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_no_cross_products_or_python_in_any_query(spark):
-    for name, fn in E.queries().items():
+@pytest.fixture()
+def no_broadcast(spark):
+    """Plans as for tables too large to broadcast."""
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {k: spark.conf.get(k, None) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "-1")
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("large", [False, True])
+def test_no_cross_products_or_python_in_any_query(spark, request, large):
+    if large:
+        request.getfixturevalue("no_broadcast")
+    for name, fn in REGISTRY.items():
         p = plan(fn(spark, SF_SMOKE))
         assert not FORBIDDEN.search(p), f"{name}: {FORBIDDEN.findall(p)}"
+        assert not large or "BroadcastHashJoin" not in p, name
+
+
+def test_inputs_are_scanned_once_per_side(spark, no_broadcast):
+    for name, scans in (("merge_ratings", 2), ("merge_composite_key", 2), ("merge_conditional", 2),
+                        ("incremental_fact", 3), ("timeline_month", 2), ("catalog_match", 3)):
+        p = plan(REGISTRY[name](spark, SF_SMOKE))
+        assert len(re.findall("FileScan parquet", p)) == scans, name
 
 
 def test_dedup_limits_rows_before_the_shuffle(spark):

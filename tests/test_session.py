@@ -1,3 +1,5 @@
+import os
+
 import pytest
 
 from stratum.session import shared_dir
@@ -42,4 +44,7 @@ def test_shared_folder_is_read_from_the_session():
 
 def test_local_mode_gets_a_folder_of_its_own():
     s = _Session("local[2]", {})
-    assert shared_dir(s).startswith("/tmp/")
+    path = shared_dir(s)
+    assert os.path.isdir(path) and shared_dir(s) == path
+    with pytest.raises(ValueError):
+        shared_dir(_Session("local-cluster[2,1,1024]", {}))
