@@ -59,22 +59,28 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 def keep_on_shared_storage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to a fresh folder under ``spark.checkpoint.dir`` and read
     it back: this cuts the lineage, and every executor can read the copy
-    again after another one is lost. The folder goes when the session ends."""
+    again after another one is lost. The folder goes with ``discard``, or when
+    the session ends."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
     before = spark.conf.get(_CLEANUP)
     spark.conf.set(_CLEANUP, "true")  # the copy is whole: its shuffle files may go at once
     try:
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
     finally:
         spark.conf.set(_CLEANUP, before)
-    _delete_at_end(spark, path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def _delete_at_end(spark: SparkSession, path: str) -> None:
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
+    kept = spark.read.schema(df.schema).parquet(path)
+    kept._kept_at = path
+    return kept
+
+
+def discard(kept: DataFrame) -> None:
+    """Delete a copy made by ``keep_on_shared_storage`` that nothing reads any more."""
+    spark: SparkSession = kept.sparkSession
+    at = spark._jvm.org.apache.hadoop.fs.Path(kept._kept_at)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 50) -> DataFrame:

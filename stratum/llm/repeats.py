@@ -5,18 +5,20 @@ with a smaller id is removed. Texts are cut by content so that equal strings
 meet: of the k-mers of each string, the one with the smallest hash is the
 string's anchor; the strings of one anchor are neighbours and form one
 context of at most 2 x LENGTH - K bytes. Contexts whose anchor occurs in one
-document only cannot repeat and go at once. The others, each distinct one
-once with the smallest id it occurs in, are dealt by anchor to shards. A
-shard's contexts form a run-compressed Burrows-Wheeler transform, sorted by
-LENGTH bytes and then by text order, with samples at the heads of equal
-strings. All contexts are streamed through it right to left, keeping the
-interval of the last LENGTH bytes (the matching statistics capped at that
-length); the sample at the interval's head is the smallest id that holds the
-string. The results are joined back to every place of the context.
-
-No key gathers unbounded rows: places are collapsed before the first shuffle;
-an anchor with very many distinct contexts is cut into single strings that
-are dealt by their own bytes; the join back splits skewed keys.
+document only cannot repeat and go at once. Of the others each distinct one
+goes once, with the smallest id it occurs in, to a shard, dealt by anchor. A
+shard's strings that share longer k-mers form a run-compressed
+Burrows-Wheeler transform, sorted by LENGTH bytes and then by text order, with
+samples at the heads of equal strings. They are streamed through it right to
+left, keeping the interval of the last LENGTH bytes (the matching statistics
+capped at that length); the sample at the interval's head is the smallest id
+that holds the string. The results are joined back to every place of the
+context.
+
+No key gathers unbounded rows: of the places of one context within a buffer
+only the first is dealt by anchor, the others (known to repeat) are salted; an
+anchor with very many contexts is cut into single strings that are dealt by
+their own bytes; the join back splits skewed keys.
 
 Defined cases: a null text is empty; a document with a null id is never
 smaller than another and keeps all its bytes; repeated rows with one id
@@ -33,22 +35,23 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import emit, keep_on_shared_storage, rows_of
+from .common import discard, emit, keep_on_shared_storage, rows_of
 
 LENGTH = 50
-K = 16
+#: Bytes of an anchor, and of the longer k-mers that a shard looks for.
+K, LONG_K = 16, 32
 #: Bytes of text whose anchors are found in one go.
 BUFFER = 1 << 20
 #: Bytes of contexts in one index.
 SHARD_BYTES = 1 << 20
 #: Distinct contexts of an anchor from which on it is cut into single strings.
-HOT_CONTEXTS = 2_000
+HOT_CONTEXTS = 20_000
+SALTS = 1 << 16
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-_LOW = np.uint64(BUFFER * 4 - 1)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -60,10 +63,10 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 _BYTE = _mixed(np.arange(1, 257, dtype=np.uint64))
 
 
-@lru_cache(1)
-def _powers() -> tuple[np.ndarray, np.ndarray]:
+@lru_cache(2)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd number modulo 2 ** 64, and their inverses."""
-    n, odd = int(_LOW) + 1, int(_MIX)
+    odd = int(_MIX)
     powers = [np.full(n, np.uint64(x)) for x in (odd, pow(odd, -1, 1 << 64))]
     for p in powers:
         p[0] = 1
@@ -102,8 +105,10 @@ def contexts(data: np.ndarray, owner: np.ndarray, length: int, k: int):
         return empty, empty, empty.view(np.uint64), empty.view(np.uint64)
     hashes = _kmer_hashes(data, k)
     # Hash above, place below: the minimum is the leftmost smallest k-mer.
-    ranked = (hashes & ~_LOW) | np.arange(len(hashes), dtype=np.uint64)
-    at = (_sliding_min(ranked, length - k + 1) & _LOW).astype(np.int64)
+    bits = len(data).bit_length()
+    low = np.uint64((1 << bits) - 1)
+    ranked = (hashes & ~low) | np.arange(len(hashes), dtype=np.uint64)
+    at = (_sliding_min(ranked, length - k + 1) & low).astype(np.int64)
     whole = owner[:len(at)] == owner[length - 1:]
     starts = np.flatnonzero(whole)
     at = at[starts]
@@ -113,7 +118,7 @@ def contexts(data: np.ndarray, owner: np.ndarray, length: int, k: int):
     count = np.diff(np.append(first, len(starts)))
     begin, anchor = starts[first], hashes[at[first]]
     # Polynomial hash of the context's bytes and of where the anchor lies in it.
-    powers, inverses = _powers()
+    powers, inverses = _powers(1 << bits)
     with np.errstate(over="ignore"):
         total = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(_BYTE[data] * powers[:len(data)], out=total[1:])
@@ -123,16 +128,24 @@ def contexts(data: np.ndarray, owner: np.ndarray, length: int, k: int):
     return begin, count, anchor, own
 
 
-_PLACES = pa.schema([("anchor", pa.int64()), ("context", pa.int64()), ("doc_id", pa.int64()), ("part", pa.int64()),
-                     ("place", pa.int64())])
-_PLACES_DDL = "anchor long, context long, doc_id long, part long, place long"
+_PLACES = pa.schema([("anchor", pa.int64()), ("context", pa.int64()), ("doc_id", pa.int64()), ("place", pa.int64()),
+                     ("salt", pa.int32()), ("many", pa.bool_())])
+_PLACES_DDL = "anchor long, context long, doc_id long, place long, salt int, many boolean"
+#: A place is part << 37 | start << 6 | strings; the part (26 bits of the
+#: text's CRC) tells texts with one id apart.
+_START, _STRINGS = (1 << 31) - 1, 63
 
 
-def _places(docs: DataFrame, length: int, k: int, collapse: bool) -> DataFrame:
-    """The contexts of all texts; ``place`` is start * 256 + strings, ``part``
-    tells texts with one id apart. With ``collapse`` each task gives a context
-    of its buffer once, at its smallest id (``last``: and its largest id)."""
-    schema = _PLACES.append(pa.field("last", pa.int64())) if collapse else _PLACES
+def _part(text: str) -> Column:
+    return F.crc32(text).bitwiseAND(F.lit((1 << 26) - 1))
+
+
+def _places(docs: DataFrame, length: int, k: int) -> DataFrame:
+    """The contexts of all texts. Within a buffer, the first place of a
+    context (at its smallest id) has salt 0 and tells whether other ids of the
+    buffer have the context too (``many``); the other places are salted."""
+    if length - k + 1 > _STRINGS:
+        raise ValueError("a context would cover too many strings")
 
     def run(batches):
         ids: list[int] = []
@@ -146,29 +159,29 @@ def _places(docs: DataFrame, length: int, k: int, collapse: bool) -> DataFrame:
                 return
             data = np.frombuffer(b"".join(texts), np.uint8)
             sizes = np.array([len(t) for t in texts])
-            owner = np.repeat(np.arange(len(texts)), sizes)
-            begin, count, anchor, own = contexts(data, owner, length, k)
-            who = owner[begin]
-            place = ((begin - (np.cumsum(sizes) - sizes)[who] + np.array(shifts)[who]) << 8) | count
-            doc, part = np.array(ids)[who], np.array(parts)[who]
-            anchor, own = anchor.view(np.int64), own.view(np.int64)
-            columns = [anchor, own, doc, part, place]
-            if collapse and len(doc):
-                order = np.lexsort((place, doc, own, anchor))
-                columns = [c[order] for c in columns]
-                head = np.ones(len(order), bool)
-                head[1:] = (columns[0][1:] != columns[0][:-1]) | (columns[1][1:] != columns[1][:-1])
-                last = np.append(np.flatnonzero(head)[1:], len(order)) - 1
-                columns = [c[head] for c in columns] + [columns[2][last]]
-            elif collapse:
-                columns.append(doc)
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=schema)
+            begin, count, anchor, own = contexts(data, np.repeat(np.arange(len(texts)), sizes), length, k)
+            who = np.searchsorted(np.cumsum(sizes), begin, side="right")
+            start = begin - (np.cumsum(sizes) - sizes)[who] + np.array(shifts)[who]
+            place = np.array(parts)[who] << 37 | start << 6 | count
+            doc = np.array(ids)[who]
+            order = np.lexsort((place, doc, own))
+            anchor, own, doc, place = (c[order] for c in (anchor.view(np.int64), own.view(np.int64), doc, place))
+            head = np.ones(len(order), bool)
+            head[1:] = (own[1:] != own[:-1]) | (anchor[1:] != anchor[:-1])
+            first = np.maximum.accumulate(np.where(head, np.arange(len(order)), 0))
+            many = np.zeros(len(order), bool)
+            many[first[doc != doc[first]]] = True
+            salt = np.where(head, 0, 1 + (doc + place) % SALTS).astype(np.int32)
+            alone = ~head & (doc == doc[first]) & ~many[first]  # again in one document only
+            salt[alone] = 0
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c) for c in (anchor, own, doc, place, salt, many)], schema=_PLACES)
             for x in (ids, parts, shifts, texts):
                 x.clear()
 
         for doc_id, text in rows_of(batches, ["doc_id", "text"]):
             whole = text.encode("utf-8", "surrogatepass")
-            part = zlib.crc32(whole)
+            part = zlib.crc32(whole) & ((1 << 26) - 1)
             for shift in range(0, max(1, len(whole) - length + 1), BUFFER):  # pieces share length - 1 bytes
                 piece = whole[shift:shift + BUFFER + length - 1]
                 if len(piece) < length:
@@ -184,7 +197,7 @@ def _places(docs: DataFrame, length: int, k: int, collapse: bool) -> DataFrame:
         yield from flush()
 
     return docs.filter("doc_id is not null and text is not null").select("doc_id", "text") \
-        .mapInArrow(run, _PLACES_DDL + ", last long" * collapse)
+        .mapInArrow(run, _PLACES_DDL)
 
 
 class RunLengthIndex:
@@ -259,9 +272,10 @@ class RunLengthIndex:
         seen = self._before[run] + np.minimum(row - self._starts[run], self._sizes[run])
         return np.where(some, seen, self._less[char])
 
-    def smallest_ids(self, strings: list[bytes], length: int) -> list[np.ndarray]:
-        """For every place of every string (all of them indexed) the smallest
-        id that holds the ``length`` bytes there; streamed right to left."""
+    def smallest_ids(self, strings: list[bytes], length: int) -> np.ndarray:
+        """For every place of the joined strings (all of them indexed) the
+        smallest id that holds the ``length`` bytes there; streamed right to
+        left. Places whose string is shorter are 0."""
         sizes = np.array([len(s) for s in strings])
         data = np.frombuffer(b"".join(strings), np.uint8).astype(np.int64)
         ends = np.cumsum(sizes)
@@ -272,78 +286,135 @@ class RunLengthIndex:
             alive = alive[sizes[alive] >= step]
             at = ends[alive] - step
             char = data[at]
-            low_, high_ = self._step(char, low[alive]), self._step(char, high[alive])
+            low_ = self._step(char, low[alive])
             if step >= length:  # the interval of the last ``length`` bytes: widen to its equals
                 which = self._class[low_]
                 out[at] = self.samples[which]
                 low_, high_ = self.heads[which], self.heads[which + 1]
+            else:
+                high_ = self._step(char, high[alive])
             low[alive], high[alive] = low_, high_
-        return [out[e - s:e - length + 1] for s, e in zip(sizes, ends)]
+        return out
+
+
+def _ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """starts[0], starts[0] + 1, ... (counts[0] numbers), starts[1], ..."""
+    total = int(counts.sum())
+    return np.repeat(starts - (np.cumsum(counts) - counts), counts) + np.arange(total)
+
+
+def smallest_in_shard(data: np.ndarray, sizes: np.ndarray, first: np.ndarray, length: int) -> np.ndarray:
+    """For each string of ``length`` bytes of the joined contexts (``sizes``
+    bytes each, occurring first in ``first``) the smallest id that holds it."""
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    strings = sizes - length + 1
+    out = np.repeat(first, strings)
+    begin, count, anchor, own = contexts(data, owner, length, LONG_K)
+    who = owner[begin]
+    # Only strings that share a longer k-mer with another context can differ from ``first``.
+    _, inverse, times = np.unique(anchor, return_inverse=True, return_counts=True)
+    some = np.flatnonzero(times[inverse] > 1)
+    if not len(some):
+        return out
+    begin, count, own, who = begin[some], count[some], own[some], who[some]
+    _, one, inverse = np.unique(own, return_index=True, return_inverse=True)
+    ids = np.full(len(one), np.iinfo(np.int64).max)
+    np.minimum.at(ids, inverse, first[who])
+    order = np.argsort(ids, kind="stable")
+    texts = [data[b:b + n].tobytes() for b, n in zip(begin[one[order]], count[one[order]] + length - 1)]
+    found = RunLengthIndex(texts, ids[order], length).smallest_ids(texts, length)
+    at = np.empty(len(one), np.int64)  # where each distinct part starts in the joined parts
+    lengths = np.array([len(t) for t in texts])
+    at[order] = np.cumsum(lengths) - lengths
+    shift = (np.cumsum(strings) - strings)[who] + begin - (np.cumsum(sizes) - sizes)[who]
+    out[_ragged(shift, count)] = found[_ragged(at[inverse], count)]
+    return out
 
 
 _CUT = pa.schema([("shard", pa.int64()), ("anchor", pa.int64()), ("context", pa.int64()), ("shift", pa.int64()),
-                  ("first", pa.int64()), ("bytes", pa.binary())])
-_CUT_DDL = "shard long, anchor long, context long, shift long, first long, bytes binary"
+                  ("first", pa.int64()), ("many", pa.bool_()), ("bytes", pa.binary())])
+_CUT_DDL = "shard long, anchor long, context long, shift long, first long, many boolean, bytes binary"
 _FOUND_DDL = "anchor long, context long, begin long, end long, smallest long"
 
 
-def _shared_contexts(docs: DataFrame, length: int, k: int, hot_contexts: int) -> DataFrame:
-    """Distinct contexts whose anchor occurs in more than one document."""
-    places = _places(docs, length, k, collapse=True).repartition("anchor")
-    distinct = places.groupBy("anchor", "context").agg(
-        F.min(F.struct("doc_id", "part", "place")).alias("at"), F.max("last").alias("last"))
-    by_anchor = Window.partitionBy("anchor")
-    return distinct.select(
-        "anchor", "context", "at", F.min("at.doc_id").over(by_anchor).alias("low"),
-        F.max("last").over(by_anchor).alias("high"),
-        (F.count(F.lit(1)).over(by_anchor) > hot_contexts).alias("hot")).filter("low < high") \
-        .select("anchor", "context", "at.doc_id", "at.part", "at.place", "hot")
+def _shared_places(docs: DataFrame, length: int, k: int, hot_contexts: int) -> DataFrame:
+    """The places of contexts whose anchor occurs in more than one document."""
+    by_anchor = Window.partitionBy("anchor", "salt")
+    return _places(docs, length, k).repartition("anchor", "salt").select(
+        "*", F.min("doc_id").over(by_anchor).alias("low"), F.max("doc_id").over(by_anchor).alias("high"),
+        F.max("many").over(by_anchor).alias("some"), (F.count(F.lit(1)).over(by_anchor) > hot_contexts).alias("hot")) \
+        .filter("salt > 0 or low < high or some").select("anchor", "context", "doc_id", "place", "salt", "many", "hot")
 
 
 def _indexed(shared: DataFrame, docs: DataFrame, length: int, shards: int) -> DataFrame:
     """(anchor, context, begin, end, smallest): the strings begin..end-1 of the
-    context occur first in the document ``smallest``."""
+    context occur first in the document ``smallest``; left out where the
+    context's only document has them first."""
 
     def cut(batches):
-        def rows():
-            for doc_id, text, wanted in rows_of(batches, ["doc_id", "text", "wanted"]):
-                whole = text.encode("utf-8", "surrogatepass")
-                for w in wanted:
-                    start, count = w["place"] >> 8, w["place"] & 255
-                    if not w["hot"]:
-                        yield (w["anchor"] % shards, w["anchor"], w["context"], 0, doc_id,
-                               whole[start:start + count + length - 1])
-                        continue
-                    for i in range(count):
-                        own = whole[start + i:start + i + length]
-                        yield zlib.crc32(own) % shards, w["anchor"], w["context"], i, doc_id, own
-
-        yield from emit(rows(), _CUT)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 64):
+                yield cut_slice(batch.slice(at, 64))
+
+    def cut_slice(batch):
+        wanted = batch.column("wanted")
+        counts = np.diff(wanted.offsets.to_numpy())
+        anchor, context, place = (wanted.flatten().field(c).to_numpy() for c in ("anchor", "context", "place"))
+        many, hot = (wanted.flatten().field(c).to_numpy(zero_copy_only=False) for c in ("many", "hot"))
+        whole = [t.encode("utf-8", "surrogatepass") for t in batch.column("text").to_pylist()]
+        who = np.repeat(np.arange(len(whole)), counts)
+        first = batch.column("doc_id").to_numpy()[who]
+        start, strings = place >> 6 & _START, place & _STRINGS
+        shift, shard = np.zeros(len(who), np.int64), anchor % shards
+        if hot.any():  # one row for each string
+            times = np.where(hot, strings, 1)
+            own = np.repeat(np.arange(len(who)), times)
+            shift = _ragged(shift, times)
+            anchor, context, many, hot, who, first, start, shard = (
+                c[own] for c in (anchor, context, many, hot, who, first, start, shard))
+            start, strings = start + shift, np.where(hot, 1, strings[own])
+        cuts = [whole[w][a:a + n] for w, a, n in zip(who.tolist(), start.tolist(), (strings + length - 1).tolist())]
+        if hot.any():
+            shard = np.where(hot, [zlib.crc32(c) % shards if h else 0 for c, h in zip(cuts, hot.tolist())], shard)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c) for c in (shard, anchor, context, shift, first, many)] + [pa.array(cuts, pa.binary())],
+            schema=_CUT)
 
     def search(table: pa.Table) -> pa.Table:
-        first = table.column("first").to_numpy()
-        order = np.argsort(first, kind="stable")
-        strings = [table.column("bytes")[i].as_py() for i in order]
-        known = {s: None for s in strings}  # equal strings once, at the smallest id
-        ids = dict(zip(reversed(strings), first[order][::-1]))
-        unique = list(known)
-        index = RunLengthIndex(unique, np.array([ids[s] for s in unique]), length)
-        answers = dict(zip(unique, index.smallest_ids(unique, length)))
-        anchor, context, shift = (table.column(c).to_numpy()[order] for c in ("anchor", "context", "shift"))
-        out: list[tuple] = []
-        for i, s in enumerate(strings):
-            answer = answers[s]
-            edges = [0, *(np.flatnonzero(answer[1:] != answer[:-1]) + 1).tolist(), len(answer)]
-            for a, b in zip(edges, edges[1:]):
-                out.append((int(anchor[i]), int(context[i]), int(shift[i]) + a, int(shift[i]) + b, int(answer[a])))
-        return pa.table([pa.array(c, pa.int64()) for c in zip(*out)],
-                        names=["anchor", "context", "begin", "end", "smallest"])
-
-    wanted = shared.groupBy("doc_id", "part").agg(
-        F.collect_list(F.struct("anchor", "context", "place", "hot")).alias("wanted"))
-    texts = docs.filter("doc_id is not null and text is not null").withColumn("part", F.crc32("text"))
-    return wanted.join(texts, ["doc_id", "part"]).select("doc_id", "text", "wanted") \
-        .mapInArrow(cut, _CUT_DDL).groupBy("shard").applyInArrow(search, _FOUND_DDL)
+        cuts = table.column("bytes").combine_chunks()
+        cuts = cuts if isinstance(cuts, pa.Array) else cuts.chunk(0)
+        offsets = np.frombuffer(cuts.buffers()[1], np.int32)[cuts.offset:cuts.offset + len(cuts) + 1].astype(np.int64)
+        data = np.frombuffer(cuts.buffers()[2], np.uint8)[offsets[0]:offsets[-1]]
+        anchor, context, shift, first = (table.column(c).to_numpy() for c in ("anchor", "context", "shift", "first"))
+        many = table.column("many").to_numpy()
+        sizes = np.diff(offsets)
+        found = smallest_in_shard(data, sizes, first, length)
+        strings = sizes - length + 1
+        who = np.repeat(np.arange(len(sizes)), strings)
+        head = np.ones(len(found), bool)
+        head[1:] = (found[1:] != found[:-1]) | (who[1:] != who[:-1])
+        begin = np.flatnonzero(head)
+        end = np.append(begin[1:], len(found))
+        told = (found[begin] < first[who[begin]]) | many[who[begin]]
+        begin, end = begin[told], end[told]
+        smallest, who = found[begin], who[begin]
+        base = shift[who] - (np.cumsum(strings) - strings)[who]
+        return pa.table({"anchor": anchor[who], "context": context[who], "begin": begin + base, "end": end + base,
+                         "smallest": smallest})
+
+    distinct = shared.filter("salt = 0").groupBy("anchor", "context").agg(
+        F.min(F.struct("doc_id", "place")).alias("at"),
+        (F.max("many") | (F.min("doc_id") < F.max("doc_id"))).alias("many"), F.max("hot").alias("hot"))
+    wanted = distinct.groupBy(F.col("at.doc_id").alias("doc_id"), F.shiftright("at.place", 37).alias("part")).agg(
+        F.collect_list(F.struct("anchor", "context", F.col("at.place").alias("place"), "many", "hot")).alias("wanted"))
+    texts = docs.filter("doc_id is not null and text is not null").withColumn("part", _part("text"))
+    wanted = keep_on_shared_storage(wanted, "wanted-contexts")
+    cuts = keep_on_shared_storage(wanted.join(texts, ["doc_id", "part"]).select("doc_id", "text", "wanted")
+                                  .mapInArrow(cut, _CUT_DDL), "contexts")
+    discard(wanted)
+    found = keep_on_shared_storage(cuts.groupBy("shard").applyInArrow(search, _FOUND_DDL), "found-contexts")
+    discard(cuts)
+    return found
 
 
 def repeated_spans(documents: DataFrame, length: int = LENGTH, k: int = K, shard_bytes: int = SHARD_BYTES,
@@ -351,17 +422,17 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH, k: int = K, shard
     """(doc_id, text, spans) for every document; ``spans`` are the byte spans
     [start, end) to remove, not merged (null if none)."""
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    shared = keep_on_shared_storage(_shared_contexts(docs, length, k, hot_contexts), "shared-contexts")
-    size = shared.agg(F.sum(F.when(F.col("hot"), F.col("place").bitwiseAND(F.lit(255)) * F.lit(length)).otherwise(
-        F.col("place").bitwiseAND(F.lit(255)) + F.lit(length)))).first()[0] or 0
-    found = keep_on_shared_storage(_indexed(shared, docs, length, max(1, -(-size // shard_bytes))), "found-contexts")
-    start = F.shiftright("place", 8)
-    spans = _places(docs, length, k, collapse=False).join(found, ["anchor", "context"]) \
-        .filter("smallest < doc_id").groupBy("doc_id", "part").agg(F.collect_list(F.struct(
-            (start + F.col("begin")).alias("start"),
-            (start + F.col("end") + F.lit(length - 1)).alias("end"))).alias("spans"))
-    return docs.withColumn("part", F.crc32(F.coalesce("text", F.lit("")))).join(
-        spans, ["doc_id", "part"], "left").select("doc_id", "text", "spans")
+    shared = keep_on_shared_storage(_shared_places(docs, length, k, hot_contexts), "shared-places")
+    places = shared.filter("salt = 0").count()
+    shards = max(1, -(-places * 2 * length // shard_bytes))
+    found = _indexed(shared, docs, length, shards)
+    start = F.shiftright("place", 6).bitwiseAND(F.lit(_START))
+    spans = shared.select("anchor", "context", "doc_id", "place").join(found, ["anchor", "context"]) \
+        .filter("smallest < doc_id").groupBy("doc_id", F.shiftright("place", 37).alias("part")).agg(
+            F.collect_list(F.struct((start + F.col("begin")).alias("start"),
+                                    (start + F.col("end") + F.lit(length - 1)).alias("end"))).alias("spans"))
+    return docs.withColumn("part", _part("text")).join(spans, ["doc_id", "part"], "left").select(
+        "doc_id", "text", "spans")
 
 
 def remove_spans(whole: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, list[tuple[int, int]]]:
