@@ -76,9 +76,10 @@ def dedup_latest(df: DataFrame, keys: Sequence[str],
 
 def _clean(df: DataFrame, renames: dict, derived: dict, drop: Sequence[str], source: str,
            run_ts: str, ingestion_date: str | None, keep: Column, keys: Sequence[str],
-           order_by: Sequence) -> DataFrame:
+           order_by: Sequence, dedup: bool) -> DataFrame:
     """Rename, derive, stamp, drop and filter in one projection + one filter
-    (one analysis step each), then dedup on ``keys``."""
+    (one analysis step each), then dedup on ``keys``; without ``dedup`` all
+    kept rows, for callers that reduce them by another key themselves."""
     stamp = F.lit(run_ts).cast("timestamp")
     lineage = {"source_file": F.lit(source),
                "_ingestion_date": F.lit(ingestion_date).cast("string"),
@@ -89,11 +90,11 @@ def _clean(df: DataFrame, renames: dict, derived: dict, drop: Sequence[str], sou
     cols = [(new[c].alias(c) if c in new else F.col(f"`{c}`")) for c in names if c not in drop]
     cols += [v.alias(k) for k, v in new.items() if k not in names]
     out = df.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(df.columns, names)]).select(*cols)
-    return dedup_latest(out.filter(keep), keys, order_by)
+    return dedup_latest(out.filter(keep), keys, order_by) if dedup else out.filter(keep)
 
 
 def clean_diary(df: DataFrame, run_ts: str, ingestion_date: str | None = None,
-                order_by: Sequence = ()) -> DataFrame:
+                order_by: Sequence = (), dedup: bool = True) -> DataFrame:
     """Diary export -> Silver diary entries, one row per (uri, watched_date)."""
     derived = {
         "diary_date": parse_date("diary_date_str"),
@@ -109,11 +110,11 @@ def clean_diary(df: DataFrame, run_ts: str, ingestion_date: str | None = None,
     return _clean(df, DIARY_RENAMES, derived,
                   ["diary_date_str", "watched_date_str", "movie_year_str", "my_rating_str",
                    "is_rewatch_str", "tags_raw"], "diary", run_ts, ingestion_date, keep,
-                  ["letterboxd_uri", "watched_date"], order_by)
+                  ["letterboxd_uri", "watched_date"], order_by, dedup)
 
 
 def clean_ratings(df: DataFrame, run_ts: str, ingestion_date: str | None = None,
-                  order_by: Sequence = ()) -> DataFrame:
+                  order_by: Sequence = (), dedup: bool = True) -> DataFrame:
     """Ratings export -> Silver ratings, one row per (uri, rating_date)."""
     derived = {
         "rating_date": parse_date("rating_date_str"),
@@ -124,11 +125,11 @@ def clean_ratings(df: DataFrame, run_ts: str, ingestion_date: str | None = None,
     return _clean(df, RATINGS_RENAMES, derived,
                   ["rating_date_str", "movie_year_str", "my_rating_str"], "ratings", run_ts,
                   ingestion_date, F.col("letterboxd_uri").isNotNull(),
-                  ["letterboxd_uri", "rating_date"], order_by)
+                  ["letterboxd_uri", "rating_date"], order_by, dedup)
 
 
 def clean_watched(df: DataFrame, run_ts: str, ingestion_date: str | None = None,
-                  order_by: Sequence = ()) -> DataFrame:
+                  order_by: Sequence = (), dedup: bool = True) -> DataFrame:
     """Watched export -> cleaned rows, one per (uri, watched_date)."""
     derived = {
         "watched_date": parse_date("watched_date_str"),
@@ -137,4 +138,4 @@ def clean_watched(df: DataFrame, run_ts: str, ingestion_date: str | None = None,
     }
     return _clean(df, WATCHED_RENAMES, derived, ["watched_date_str", "movie_year_str"], "watched",
                   run_ts, ingestion_date, F.col("letterboxd_uri").isNotNull(),
-                  ["letterboxd_uri", "watched_date"], order_by)
+                  ["letterboxd_uri", "watched_date"], order_by, dedup)

@@ -29,7 +29,6 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import normalize_title, year_prefix
 from ..functions.json import DETAILS_SCHEMA, is_corrupt, parse_payload, project_details
-from .clean import dedup_latest
 
 # The search heuristics' limits.
 YEAR_TOLERANCE = 2
@@ -41,17 +40,20 @@ def union_catalog(sources: Sequence[DataFrame]) -> DataFrame:
     """UNION ALL of (uri, title, year) projections, one row per uri.
 
     Earlier sources win (diary > ratings > watched); inside one source the
-    latest ``sort_date`` wins, then the greatest title and year. Rows whose survivor has no title are dropped
-    afterwards, as in the studied pipeline.
+    latest ``sort_date`` wins, then the greatest ``sort_key`` (optional; of one
+    type in all sources), title and year. Rows whose survivor has no title are
+    dropped afterwards, as in the studied pipeline.
+
+    One reduction by uri, combined map-side. Sources need not be deduplicated
+    when ``sort_key`` holds the order that their deduplication follows.
     """
-    parts = [s.select("letterboxd_uri", "movie_title", "movie_year",
-                      F.lit(-i).alias("__prio"), F.col("sort_date").alias("__date"))
-             for i, s in enumerate(sources)]
-    allrows = reduce(lambda a, b: a.unionByName(b), parts)
-    best = dedup_latest(allrows, ["letterboxd_uri"],
-                        ["__prio", "__date", "movie_title", "movie_year"])
-    return (best.filter(F.col("movie_title").isNotNull())
-            .select("letterboxd_uri", "movie_title", "movie_year"))
+    keyed = any("sort_key" in s.columns for s in sources)
+    parts = [s.select("letterboxd_uri", F.struct(
+        F.lit(-i).alias("priority"), F.col("sort_date"), *["sort_key"] * keyed, "movie_title", "movie_year").alias("best"))
+        for i, s in enumerate(sources)]
+    best = reduce(lambda a, b: a.unionByName(b), parts).groupBy("letterboxd_uri").agg(F.max("best").alias("best"))
+    return (best.select("letterboxd_uri", "best.movie_title", "best.movie_year")
+            .filter(F.col("movie_title").isNotNull()))
 
 
 def to_enrich(films: DataFrame, silver_movies: DataFrame | None,

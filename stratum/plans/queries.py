@@ -165,6 +165,7 @@ def q_latest_partition(spark, sf):
     root = scratch_path(spark, "bronze-events")
     (_t(spark, sf, "events").select("event_id", "event_type",
                                     F.date_format("ts", "yyyy-MM-dd").alias("ingestion_date"))
+     .hint("rebalance", F.col("ingestion_date"))  # few files for each date
      .write.partitionBy("ingestion_date").parquet(root))
     return files.read_bronze(spark, root).select("event_id", "ingestion_date")
 
@@ -297,10 +298,19 @@ def q_stg_ratings(spark, sf):
 
 
 def _catalog_union(spark, sf):
-    d = silver_diary(spark, sf).withColumn("sort_date", F.col("watched_date"))
-    r = silver_ratings(spark, sf).withColumn("sort_date", F.col("rating_date"))
-    w = silver_watched(spark, sf).withColumn("sort_date", F.col("watched_date"))
-    return match.union_catalog([d, r, w])
+    """From the cleaned rows: one reduction by film finds what deduplication
+    by film and day, then by film, would leave."""
+    def sort_key(a, b=F.lit(0).cast("bigint"), c=F.lit(0.0)):
+        return F.struct(a.cast("bigint").alias("a"), b.cast("bigint").alias("b"), c.cast("double").alias("c"))
+
+    d = clean_diary(A.raw_diary(_t(spark, sf, "events")), A.RUN_TS, A.INGESTION_DATE, dedup=False)
+    r = clean_ratings(A.raw_ratings(_t(spark, sf, "lineitem")), A.RUN_TS, A.INGESTION_DATE, dedup=False)
+    w = clean_watched(A.raw_watched(_t(spark, sf, "part")), A.RUN_TS, A.INGESTION_DATE, dedup=False)
+    return match.union_catalog([
+        d.withColumns({"sort_date": F.col("watched_date"), "sort_key": sort_key(F.col("event_id"))}),
+        r.withColumns({"sort_date": F.col("rating_date"), "sort_key": sort_key(
+            F.col("l_orderkey"), F.col("l_linenumber"), F.col("my_rating"))}),
+        w.withColumns({"sort_date": F.col("watched_date"), "sort_key": sort_key(F.lit(0))})])
 
 
 @query("union_catalog")
