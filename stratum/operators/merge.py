@@ -20,6 +20,8 @@ from pyspark.sql.types import (DateType, MapType, TimestampNTZType, TimestampTyp
 from ..functions.columns import epoch_timestamp
 
 ACTION = "_merge_action"
+#: Stamp types whose high-water mark has a floor on an empty table.
+_WITH_FLOOR = (TimestampType, TimestampNTZType, DateType)
 
 
 class MergeConflictError(ValueError):
@@ -111,7 +113,7 @@ def high_water_mark(existing: DataFrame, stamp_col: str) -> Column:
     """
     mark = existing.select(F.max(stamp_col)).scalar()
     dtype = existing.schema[stamp_col].dataType
-    if isinstance(dtype, (TimestampType, TimestampNTZType, DateType)):
+    if isinstance(dtype, _WITH_FLOOR):
         return F.coalesce(mark, epoch_timestamp().cast(dtype))
     return mark
 
@@ -120,7 +122,10 @@ def newer_than(incoming: DataFrame, existing: DataFrame, stamp_col: str,
                existing_stamp_col: str | None = None) -> DataFrame:
     """Rows of ``incoming`` strictly newer than the table's high-water mark
     (all rows when the table has no mark)."""
-    mark = high_water_mark(existing, existing_stamp_col or stamp_col)
+    column = existing_stamp_col or stamp_col
+    mark = high_water_mark(existing, column)
+    if isinstance(existing.schema[column].dataType, _WITH_FLOOR):  # never NULL: the subquery is needed once
+        return incoming.filter(F.col(stamp_col) > mark)
     return incoming.filter(mark.isNull() | (F.col(stamp_col) > mark))
 
 

