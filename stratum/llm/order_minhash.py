@@ -8,11 +8,14 @@ candidates; a banded alignment of their k-mers verifies them: ``similarity``
 is aligned k-mers / (k-mers of both - aligned), and texts link from 0.8 on.
 
 Equal word sequences are collapsed first, so copies cost nothing. Within an
-element's group each text is verified against one pivot, not against all.
-Links make components; two further rounds take as pivots texts that are still
-outside a group's first component. Only what then still lies in different
-components of a group is compared pair by pair, so no candidate is lost, and
-a large group of near copies costs a few comparisons for each text.
+element's group each text is verified against one pivot, not against all, and
+links make components. In groups that are still of several components, k-mers
+that one text alone has bound what a pair can align: the text with the least
+of them is the second pivot, and at last the texts that the bound lets pass
+are compared across components. Texts that merely share a passage, or copies
+edited too much, have many k-mers of their own, so they are ruled out without
+being paired, and no candidate that could link is lost. The last comparison
+goes block by block, so no group meets whole in a task and no pairs are listed.
 
 Defined cases: a null or empty text, or one without words, is in a class of
 its own and always kept. A text of fewer than five words has one k-mer, all
@@ -24,11 +27,12 @@ columns pass through.
 from __future__ import annotations
 
 from bisect import bisect_left
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import _WORD_BYTES, connected_components, emit, keep_on_shared_storage, rows_of
@@ -40,8 +44,10 @@ SIMILARITY = 0.8
 PICKED, ELEMENTS = 6, 36
 #: Texts with up to so many k-mers also get elements of one k-mer.
 SHORT_KMERS, SHORT_ELEMENTS = 12, 8
-#: Rounds with one pivot for each group, before what is left is compared in pairs.
-PIVOT_ROUNDS = 3
+#: Texts of a group that are compared in one block.
+BLOCK_TEXTS = 512
+#: Row numbers are broadcast up to so many; more are joined.
+MAX_BROADCAST_ROWS = 500_000
 
 _SEEDS = np.random.default_rng(20_240_229).integers(1, 1 << 63, ELEMENTS + SHORT_ELEMENTS, np.int64).astype(np.uint64)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -165,97 +171,190 @@ def sketches(keyed: DataFrame) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """The pairs (a, b) whose texts align; ``texts`` has text_key and text."""
-    left = texts.select(F.col("text_key").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("text_key").alias("b"), F.col("text").alias("text_b"))
+    """The pairs (a, b) of nodes whose texts align; ``texts`` has node and text."""
+    left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
+    right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
 
     def run(batches):
-        last: tuple = (None, None)
-
         def rows():
-            nonlocal last
+            last: tuple = (None, None)
             for a, b, x, y in rows_of(batches, ["a", "b", "text_a", "text_b"]):
                 if last[0] != a:  # rows of one pivot follow each other
                     last = (a, kmers(word_hashes(x)[0]))
-                yield a, b, aligned_similarity(last[1], kmers(word_hashes(y)[0]), least)
+                if aligned_similarity(last[1], kmers(word_hashes(y)[0]), least) >= least:
+                    yield a, b
 
-        yield from emit(rows(), pa.schema([("a", pa.string()), ("b", pa.string()), ("similarity", pa.float64())]))
+        yield from emit(rows(), pa.schema([("a", pa.int64()), ("b", pa.int64())]))
 
     joined = pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b")
-    return joined.mapInArrow(run, "a string, b string, similarity double").filter(F.col("similarity") >= least)
+    return joined.mapInArrow(run, "a long, b long")
+
+
+def _only_here(texts: DataFrame) -> DataFrame:
+    """(node, alone): how many k-mers of a text no other text of ``texts`` has."""
+    schema = pa.schema([("node", pa.int64()), ("kmer", pa.int64())])
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 64):
+                part = batch.slice(at, 64)
+                found = [kmers(word_hashes(t)[0]) for t in part.column("text").to_pylist()]
+                node = np.repeat(part.column("node").to_numpy(), [len(f) for f in found])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(node), pa.array(np.concatenate(found).view(np.int64))], schema=schema)
+
+    return texts.mapInArrow(run, "node long, kmer long").groupBy("kmer").agg(
+        F.min("node").alias("node"), F.count(F.lit(1)).alias("n")).filter("n = 1").groupBy("node") \
+        .agg(F.count(F.lit(1)).alias("alone"))
+
+
+def _block_links(table: pa.Table, least: float) -> pa.Table:
+    """Links across components in one block of a group. The k-mers that two
+    texts share bound what they can align, so only pairs that share enough
+    are aligned."""
+    node, component, chunk = (table.column(c).to_numpy() for c in ("node", "component", "chunk"))
+    first, second = (table.column(c)[0].as_py() for c in ("low", "high"))
+    apart = component[:, None] != component[None, :]
+    if first != second:
+        apart &= chunk[:, None] != chunk[None, :]
+    found = [kmers(word_hashes(t)[0]) for t in table.column("text").to_pylist()] if apart.any() else []
+    links: list[tuple[int, int]] = []
+    if found:
+        sizes = np.array([len(f) for f in found])
+        owner = np.repeat(np.arange(len(found)), sizes)
+        _, inverse, times = np.unique(np.concatenate(found), return_inverse=True, return_counts=True)
+        several = times > 1
+        column = np.cumsum(several) - 1
+        keep = several[inverse]
+        owner, column = owner[keep], column[inverse[keep]]
+        shared = np.zeros((len(found), len(found)), np.float32)
+        for at in range(0, int(several.sum()), 4096):  # a bounded part of the k-mers at a time
+            part = (column >= at) & (column < at + 4096)
+            held = np.zeros((len(found), 4096), np.float32)
+            held[owner[part], column[part] - at] = 1
+            shared += held @ held.T
+        enough = shared >= least * (sizes[:, None] + sizes[None, :] - shared) - 1e-3
+        for i, j in zip(*np.nonzero(np.triu(enough & apart, 1))):
+            if aligned_similarity(found[i], found[j], least) >= least:
+                links.append((int(node[i]), int(node[j])))
+    return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+
+
+def _small(df: DataFrame) -> DataFrame:
+    """``df``, broadcast if it has few rows."""
+    return F.broadcast(df) if df.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS else df
 
 
 def near_duplicates(keyed: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """(row, text_key, class_key) for every row of ``keyed``, a stored frame
-    with a row number ``row`` and ``text``; class_key is null without words."""
+    """(row, class_key) for every row of ``keyed``, a stored frame with a row
+    number ``row`` and ``text``; class_key is null without words. A node is
+    the first row of those with equal words."""
     rows = keep_on_shared_storage(sketches(keyed), "sketches")
-    texts_of = rows.filter("text_key is not null").groupBy("text_key").agg(
-        F.min("row").alias("row"), F.first("kmers").alias("kmers"), F.first("elements").alias("elements"))
-    # Elements that more than one text has; singletons cannot link.
-    members = texts_of.select("text_key", "kmers", F.explode("elements").alias("element"))
-    shared = members.groupBy("element").agg(F.min("text_key").alias("low"), F.max("text_key").alias("high")) \
+    nodes = rows.filter("text_key is not null").groupBy("text_key").agg(
+        F.min(F.struct("row", "kmers", "elements")).alias("n"))
+    # Elements that more than one node has; the others cannot link.
+    members = nodes.select(F.col("n.row").alias("node"), F.col("n.kmers").alias("kmers"),
+                           F.explode("n.elements").alias("element"))
+    shared = members.groupBy("element").agg(F.min("node").alias("low"), F.max("node").alias("high")) \
         .filter("low < high").select("element")
-    members = keep_on_shared_storage(members.join(shared, "element"), "members")
-    wanted = members.groupBy("text_key").agg(F.lit(1).alias("one")).join(
-        texts_of.select("text_key", "row"), "text_key").select("text_key", "row")
-    texts = keep_on_shared_storage(wanted.join(keyed.select("row", "text"), "row").select("text_key", "text"), "texts")
-    nodes = texts.select(F.col("text_key").alias("id"))
-    component = nodes.select("id", F.col("id").alias("component"))
+    members = keep_on_shared_storage(members.join(shared, "element").select("element", "node", "kmers"), "members")
+    wanted = keep_on_shared_storage(members.select("node").distinct(), "nodes")
+    texts = keep_on_shared_storage(
+        keyed.select(F.col("row").alias("node"), "text").join(_small(wanted), "node").select("node", "text"), "texts")
     links = None
-    for step in range(PIVOT_ROUNDS + 1):
-        at = members.join(component, members["text_key"] == component["id"]) \
-            .select("element", "text_key", "kmers", "component")
-        open_ = at.groupBy("element").agg(F.min("component").alias("low"), F.max("component").alias("high")) \
-            .filter("low < high")
-        open_ = keep_on_shared_storage(at.join(open_, "element"), "open-groups")
-        pivots = open_.filter("component != low") if step else open_
-        if step < PIVOT_ROUNDS:  # one pivot for each group, outside its first component after the first round
-            pivots = pivots.groupBy("element").agg(F.min(F.struct("text_key", "kmers", "component")).alias("p")) \
-                .select("element", F.col("p.text_key").alias("a"), F.col("p.kmers").alias("size"),
-                        F.col("p.component").alias("own"))
-        else:  # all pairs across the components that are left
-            pivots = open_.select("element", F.col("text_key").alias("a"), F.col("kmers").alias("size"),
-                                  F.col("component").alias("own"))
-        pairs = open_.join(pivots, "element").filter(
-            (F.col("component") < F.col("own") if step == PIVOT_ROUNDS else F.col("component") != F.col("own"))
-            & (F.least("kmers", "size") >= F.lit(least) * F.greatest("kmers", "size"))) \
-            .select("a", F.col("text_key").alias("b")).distinct()
-        found = keep_on_shared_storage(_verified(pairs, texts, least).select("a", "b"), "links")
-        if not found.isEmpty():
-            links = found if links is None else links.union(found)
-            component = keep_on_shared_storage(connected_components(nodes, links), "components")
-    return rows.join(component, rows["text_key"] == component["id"], "left").select(
-        "row", "text_key", F.coalesce("component", "text_key").alias("class_key"))
-
-
-def classes(documents: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
-    """(keyed documents, classes): the documents with a row number ``row`` in
-    a stored copy, and (row, doc_id, class_key, first, n) of every row, where
-    ``first`` is the row that stays of the class of ``n`` rows."""
-    keyed = keep_on_shared_storage(documents.select(
-        F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
-        F.col("text").cast("string").alias("text"), F.struct("*").alias("document")), "documents")
-    found = near_duplicates(keyed.select("row", "text"), least).join(keyed.select("row", "doc_id"), "row")
+    component = wanted.select(F.col("node").alias("id"), F.col("node").alias("component"))
+
+    def link(pairs: DataFrame) -> None:
+        add(_verified(pairs.distinct(), texts, least))
+
+    def add(new: DataFrame) -> None:
+        nonlocal links, component
+        found = keep_on_shared_storage(new.distinct(), "links")
+        if links is not None and found.isEmpty():
+            return
+        links = found if links is None else links.union(found)
+        component = keep_on_shared_storage(
+            connected_components(wanted.withColumnRenamed("node", "id"), links), "components")
+
+    def open_groups(members: DataFrame) -> DataFrame:
+        """Members of the groups with several components."""
+        at = members.drop("component").join(component, members["node"] == component["id"]).drop("id")
+        several = at.groupBy("element").agg(F.min("component").alias("low"), F.max("component").alias("high")) \
+            .filter("low < high").select("element")
+        return keep_on_shared_storage(at.join(several, "element"), "open-groups")
+
+    def pairs_of(members: DataFrame, pivots: DataFrame, *conditions) -> DataFrame:
+        """Members beside their group's pivots, if their sizes allow a link."""
+        pivots = pivots.select("element", *(F.col(c).alias(f"p_{c}") for c in pivots.columns if c != "element"))
+        sizes = F.least("kmers", "p_kmers") >= F.lit(least) * F.greatest("kmers", "p_kmers")
+        return members.join(pivots, "element").filter(reduce(Column.__and__, conditions, sizes)) \
+            .select(F.col("p_node").alias("a"), F.col("node").alias("b"))
+
+    first = members.groupBy("element").agg(F.min(F.struct("node", "kmers")).alias("p")).select("element", "p.*")
+    link(pairs_of(members, first, F.col("node") != F.col("p_node")))
+    at = open_groups(members)
+    if not at.isEmpty():
+        # A link leaves at most ``slack`` of both texts' k-mers unaligned, so at most as many may be in one text only.
+        slack = (1 - least) / (1 + least) + 1e-9
+        alone = _only_here(texts.join(_small(at.select("node").distinct()), "node"))
+        at = keep_on_shared_storage(at.join(alone, "node", "left").na.fill(0, ["alone"]), "open-groups")
+        apart = F.col("component") != F.col("p_component")
+        bound = F.col("alone") + F.col("p_alone") <= F.lit(slack) * (F.col("kmers") + F.col("p_kmers"))
+        light = F.col("alone") <= F.lit(slack) * F.col("kmers")  # one text of a link is light
+        best = at.filter(light).groupBy("element").agg(F.min(F.struct(
+            (F.col("alone") / F.col("kmers")).alias("share"), "node", "kmers", "component", "alone")).alias("p")) \
+            .select("element", "p.node", "p.kmers", "p.component", "p.alone")
+        link(pairs_of(at, best, apart, bound))
+        # What is left is compared in blocks of a group, if it has a light text.
+        at = open_groups(at)
+        some = at.filter(light).groupBy("element").agg(F.min(F.col("alone") / F.col("kmers")).alias("least_share"))
+        at = at.join(some, "element").filter(F.col("alone") <= F.lit(slack) * (
+            F.col("kmers") * (1 + 1 / F.lit(least))) - F.col("least_share") * F.col("kmers") * F.lit(least))
+        pieces = at.groupBy("element").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK_TEXTS)).cast("int").alias("pieces"))
+        blocks = at.join(pieces, "element").withColumn("chunk", F.pmod(F.hash("node"), F.col("pieces"))) \
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).select(
+                "element", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"),
+                "chunk", "node", "component")
+        add(blocks.join(texts, "node").groupBy("element", "low", "high").applyInArrow(
+            lambda t: _block_links(t, least), "a long, b long"))
+    told = nodes.select("text_key", F.col("n.row").alias("node")).join(
+        component, F.col("node") == component["id"], "left")
+    return rows.select("row", "text_key").join(
+        told.select("text_key", F.coalesce("component", "node").alias("class_key")), "text_key", "left") \
+        .select("row", "class_key")
+
+
+def classes(documents: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """(row, doc_id, class_key, first_row, class_id, n) of every row of a stored
+    frame with ``row``, ``doc_id`` and ``text``; ``first_row`` is the row that
+    stays of the class of ``n`` rows, ``class_id`` its id."""
+    found = near_duplicates(documents.select("row", "text"), least).join(documents.select("row", "doc_id"), "row")
     stays = found.filter("class_key is not null").groupBy("class_key").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first"),
         F.count(F.lit(1)).alias("n"))
-    told = found.join(stays, "class_key", "left").select(
+    return found.join(stays, "class_key", "left").select(
         "row", "doc_id", "class_key", F.coalesce("first.row", "row").alias("first_row"),
         F.when(F.col("first").isNull(), F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("class_id"),
         F.coalesce("n", F.lit(1)).alias("n"))
-    return keyed, told
+
+
+def _numbered(documents: DataFrame, *more) -> DataFrame:
+    return keep_on_shared_storage(documents.select(F.monotonically_increasing_id().alias("row"), *more), "documents")
 
 
 def class_of_documents(documents: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """(doc_id, class_id, class_size, kept) for every row; class_id is the
     smallest id of the class."""
-    _, told = classes(documents, least)
-    return told.select("doc_id", "class_id", F.col("n").alias("class_size"),
-                       (F.col("row") == F.col("first_row")).alias("kept"))
+    numbered = _numbered(documents, F.col("doc_id").cast("long").alias("doc_id"),
+                         F.col("text").cast("string").alias("text"))
+    return classes(numbered, least).select("doc_id", "class_id", F.col("n").alias("class_size"),
+                                           (F.col("row") == F.col("first_row")).alias("kept"))
 
 
 def deduplicate(documents: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """The documents with one row of each class, all columns."""
-    keyed, told = classes(documents, least)
-    stays = told.filter("row = first_row").select("row")
-    return keyed.join(stays, "row", "left_semi").select("document.*")
+    numbered = _numbered(documents, F.struct("*").alias("document"))
+    told = classes(numbered.select("row", F.col("document.doc_id").cast("long").alias("doc_id"),
+                                   F.col("document.text").cast("string").alias("text")), least)
+    goes = keep_on_shared_storage(told.filter("row != first_row").select("row"), "copies")
+    return numbered.join(_small(goes), "row", "left_anti").select("document.*")
