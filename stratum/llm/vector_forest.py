@@ -6,6 +6,12 @@ seldom parted, and many trees make up for the rest. Vectors of one label are
 compared within leaves by cosine in double precision; a pair that meets in
 several leaves counts in the first of them only. Links make components.
 
+A median would part most pairs of a large dense group, in every tree. So links
+among the sample's rows with very many neighbours are watched: a split that
+would part more than ``LOST`` of them moves off the median, and a node where
+every place would is not split (its blocks compare all its pairs, the square
+of the group's size, in the first tree; later trees skip pairs already met).
+
 The trees are fitted on a bounded sample of the vectors (``FIT_ROWS``), every
 vector goes down every tree. Equal vectors of one label are collapsed first.
 A leaf with more vectors of one label than ``GROUP_ROWS`` is compared in
@@ -41,6 +47,13 @@ SPILL = 0.05
 #: Rows of one label and leaf that are compared in one block.
 GROUP_ROWS = 1_024
 MAX_DEPTH, LEAST_FIT = 30, 16
+#: A row with so many expected neighbours belongs to a dense group; sample rows
+#: looked at for that, and how many of them are watched at most.
+DENSE_ROWS, CANDIDATES, WATCHED = LEAF_ROWS // 2, 4_096, 1_024
+#: Share of the watched links that one split may part.
+LOST = 0.03
+#: Places of a split (quantile, spill) in the order they are tried.
+PLACES = [(q, s) for s in (SPILL, 2 * SPILL) for q in (0.5, 0.4, 0.6, 0.3, 0.7, 0.2, 0.8)]
 
 
 def _direction(dim: int, tree: int, depth: int) -> np.ndarray:
@@ -48,22 +61,57 @@ def _direction(dim: int, tree: int, depth: int) -> np.ndarray:
     return v / np.linalg.norm(v)
 
 
+class Watched:
+    """Rows of dense groups in the sample, and which of them link."""
+
+    def __init__(self, sample: np.ndarray, rows_of_sample: float) -> None:
+        some = np.random.default_rng(len(sample)).permutation(len(sample))[:CANDIDATES]
+        unit = sample.astype(np.float32)
+        near = np.concatenate([np.zeros(0, np.int64)] + [
+            (unit[some[a:a + 256]] @ unit.T >= COSINE).sum(axis=1) for a in range(0, len(some), 256)])
+        rows = some[(near - 1) * rows_of_sample >= DENSE_ROWS][:WATCHED]
+        self.at = np.full(len(sample), -1)
+        self.at[rows] = np.arange(len(rows))
+        self.linked = unit[rows] @ unit[rows].T >= COSINE
+        np.fill_diagonal(self.linked, False)
+
+    def place(self, rows: np.ndarray, projected: np.ndarray) -> tuple[float, float] | None:
+        """Where to split a node's rows, None if that parts links everywhere."""
+        own = self.at[rows]
+        projected_own, own = projected[own >= 0], own[own >= 0]
+        linked = self.linked[np.ix_(own, own)]
+        degree = linked.sum(axis=1)
+        for middle, spill in PLACES:
+            low, high = np.quantile(projected, (middle - spill, middle + spill))
+            below, above = projected_own < low, projected_own > high
+            parted = linked[np.ix_(below, above)]
+            lost = (parted.sum(axis=1) / np.maximum(degree[below], 1)).sum() \
+                + (parted.sum(axis=0) / np.maximum(degree[above], 1)).sum()
+            if lost <= LOST * np.count_nonzero(degree):
+                return float(low), float(high)
+        return None
+
+
 class Tree:
     """Split points by path: a path is 1, then a binary digit for each step."""
 
-    def __init__(self, sample: np.ndarray, tree: int, rows_of_sample: float) -> None:
+    def __init__(self, sample: np.ndarray, tree: int, rows_of_sample: float, watched: Watched | None = None) -> None:
         self.tree, self.splits = tree, {}
+        watched = watched or Watched(sample, rows_of_sample)
         open_ = [(1, 0, np.arange(len(sample)))]
         while open_:
             path, depth, rows = open_.pop()
             if len(rows) * rows_of_sample <= LEAF_ROWS or len(rows) < LEAST_FIT or depth >= MAX_DEPTH:
                 continue
             projected = sample[rows] @ _direction(sample.shape[1], tree, depth)
-            low, middle, high = np.quantile(projected, (0.5 - SPILL, 0.5, 0.5 + SPILL))
+            place = watched.place(rows, projected)
+            if place is None:
+                continue  # a dense group: blocks do the rest
+            low, high = place
             left, right = rows[projected <= high], rows[projected >= low]
             if len(left) == len(rows) or len(right) == len(rows):
                 continue  # (nearly) equal projections: blocks do the rest
-            self.splits[path] = (float(low), float(high))
+            self.splits[path] = place
             open_ += [(2 * path, depth + 1, left), (2 * path + 1, depth + 1, right)]
 
     def leaves(self, unit: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
@@ -119,7 +167,9 @@ def _forest(nodes: DataFrame, fit_rows: int, trees: int) -> dict[int, list[Tree]
     for dim, vectors in by_dim.items():
         unit = np.array(vectors, np.float64)
         unit /= np.linalg.norm(unit, axis=1, keepdims=True)
-        forest[dim] = [Tree(unit, t, total / max(len(sample), 1)) for t in range(trees)]
+        scale = total / max(len(sample), 1)
+        watched = Watched(unit, scale)
+        forest[dim] = [Tree(unit, t, scale, watched) for t in range(trees)]
     return forest
 
 
@@ -168,19 +218,24 @@ def _compare(table: pa.Table, least: float) -> pa.Table:
     earlier = np.zeros((n, len(index)), np.float32)
     if at:
         earlier[tuple(np.array(at).T)] = 1
+    # Rows of one earlier leaf met there, all of them: only the rest is compared, with every row.
+    met = earlier[:, earlier.sum(axis=0).argmax()] > 0 if len(index) else np.zeros(n, bool)
+    rest = np.flatnonzero(~met)
     linked = np.zeros((n, n), bool)
     links = np.zeros(n)
-    for a in range(0, n, 256):
-        part = slice(a, a + 256)
+    for a in range(0, len(rest), 256):
+        part = rest[a:a + 256]
         cosine = (vectors[part] @ vectors.T) / (norms[part, None] * norms)
         near = cosine >= least
-        near[np.arange(near.shape[0]), np.arange(a, a + near.shape[0])] = False
+        near[np.arange(len(part)), part] = False
         if first != second:
             near &= chunk[part, None] != chunk[None, :]
         linked[part] = near
+        linked[np.ix_(met, part)] = near[:, met].T
         if len(index):
             near = near & (earlier[part] @ earlier.T == 0)
         links[part] = near @ copies
+        links[met] += copies[part] @ near[:, met]
     label = np.arange(n)
     while True:  # smallest node that links lead to
         low = np.where(linked, label[None, :], n).min(axis=1, initial=n)

@@ -77,5 +77,41 @@ def test_recall_with_many_leaves(spark, monkeypatch):
     assert want > 500 and 0.9 * want <= found <= want
 
 
+def hot_group(n, share, dim=64):
+    """``n`` unit vectors, the first ``share`` of them of one group with pair cosines of about 0.95."""
+    rnd = np.random.default_rng(n)
+    x = rnd.standard_normal((n, dim))
+    m = int(n * share)
+    x[:m] = rnd.standard_normal(dim) + 0.23 * x[:m]
+    return x / np.linalg.norm(x, axis=1, keepdims=True), m
+
+
+@pytest.mark.parametrize("n, share", [(10_000, 1 / 3), (50_000, 1 / 3), (200_000, 1 / 3), (200_000, 0.02)])
+def test_recall_of_a_hot_dense_group_does_not_fall_with_the_table(n, share):
+    """Production parameters, the trees alone: pairs of the group that meet in some leaf."""
+    x, m = hot_group(n, share)
+    rnd = np.random.default_rng(1)
+    sample = x[rnd.permutation(n)[:V.FIT_ROWS]]
+    some = x[rnd.permutation(m)[:1000]]
+    links = some @ some.T >= V.COSINE
+    np.fill_diagonal(links, False)
+    met = np.zeros_like(links)
+    for t in range(V.TREES):
+        for rows, _ in V.Tree(sample, t, n / len(sample)).leaves(some):
+            met[np.ix_(rows, rows)] = True
+    assert links.sum() > 100_000
+    assert (links & met).sum() >= 0.99 * links.sum()
+
+
+def test_links_of_a_hot_dense_group_match_brute_force(spark):
+    """Production parameters: several levels, and a group of several blocks."""
+    x, m = hot_group(6_000, 1 / 2)
+    frame = spark.createDataFrame([(i, 0, v.tolist()) for i, v in enumerate(x)], "vec_id long, label int, embedding array<double>")
+    found = {r.vec_id: r.n_links for r in V.link_vectors(frame).collect()}
+    want = (x @ x.T >= V.COSINE).sum(axis=1) - 1
+    assert all(found[i] <= want[i] for i in range(len(x)))
+    assert sum(found.values()) >= 0.99 * want.sum()
+
+
 def test_empty_table(spark):
     assert V.link_vectors(spark.createDataFrame([], "vec_id long, label int, embedding array<float>")).count() == 0
