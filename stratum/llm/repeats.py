@@ -15,10 +15,12 @@ capped at that length); the sample at the interval's head is the smallest id
 that holds the string. The results are joined back to every place of the
 context.
 
-No key gathers unbounded rows: of the places of one context within a buffer
-only the first is dealt by anchor, the others (known to repeat) are salted; an
-anchor with very many contexts is cut into single strings that are dealt by
-their own bytes; the join back splits skewed keys.
+No key gathers unbounded rows: of the places of one anchor within a buffer
+only the first is dealt by anchor where several documents hold it, the others
+(known to repeat) are salted; an anchor with very many contexts is cut into
+single strings, whose smallest ids are minima by their own bytes, combined
+before they are dealt (all contexts of a string have its anchor); the joins
+back split skewed keys.
 
 Defined cases: a null text is empty; a document with a null id is never
 smaller than another and keeps all its bytes; repeated rows with one id
@@ -143,7 +145,9 @@ def _part(text: str) -> Column:
 def _places(docs: DataFrame, length: int, k: int) -> DataFrame:
     """The contexts of all texts. Within a buffer, the first place of a
     context (at its smallest id) has salt 0 and tells whether other ids of the
-    buffer have the context too (``many``); the other places are salted."""
+    buffer have the context too (``many``); the other places are salted. Where
+    several ids of the buffer hold an anchor, only one place of it keeps salt 0
+    (and is ``many``); the first places of its other contexts have salts below 0."""
     if length - k + 1 > _STRINGS:
         raise ValueError("a context would cover too many strings")
 
@@ -174,6 +178,16 @@ def _places(docs: DataFrame, length: int, k: int) -> DataFrame:
             salt = np.where(head, 0, 1 + (doc + place) % SALTS).astype(np.int32)
             alone = ~head & (doc == doc[first]) & ~many[first]  # again in one document only
             salt[alone] = 0
+            zero = np.flatnonzero(salt == 0)
+            zero = zero[np.lexsort((doc[zero], anchor[zero]))]
+            head = np.ones(len(zero), bool)
+            head[1:] = anchor[zero[1:]] != anchor[zero[:-1]]
+            group, begin = np.cumsum(head) - 1, np.flatnonzero(head)
+            low, high = doc[zero[begin]], doc[zero[np.append(begin[1:], len(zero)) - 1]] if len(zero) else doc[:0]
+            several = low < high
+            many[zero[begin[several]]] = True
+            rest = zero[several[group] & ~head]
+            salt[rest] = -1 - (doc[rest] + place[rest]) % SALTS
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c) for c in (anchor, own, doc, place, salt, many)], schema=_PLACES)
             for x in (ids, parts, shifts, texts):
@@ -337,16 +351,23 @@ _CUT_DDL = "shard long, anchor long, context long, shift long, first long, many
 _FOUND_DDL = "anchor long, context long, begin long, end long, smallest long"
 
 
-def _shared_places(docs: DataFrame, length: int, k: int, hot_contexts: int) -> DataFrame:
+def _shared_places(docs: DataFrame, length: int, k: int) -> DataFrame:
     """The places of contexts whose anchor occurs in more than one document."""
     by_anchor = Window.partitionBy("anchor", "salt")
     return _places(docs, length, k).repartition("anchor", "salt").select(
         "*", F.min("doc_id").over(by_anchor).alias("low"), F.max("doc_id").over(by_anchor).alias("high"),
-        F.max("many").over(by_anchor).alias("some"), (F.count(F.lit(1)).over(by_anchor) > hot_contexts).alias("hot")) \
-        .filter("salt > 0 or low < high or some").select("anchor", "context", "doc_id", "place", "salt", "many", "hot")
+        F.max("many").over(by_anchor).alias("some")) \
+        .filter("salt != 0 or low < high or some").select("anchor", "context", "doc_id", "place", "salt", "many")
 
 
-def _indexed(shared: DataFrame, docs: DataFrame, length: int, shards: int) -> DataFrame:
+def _found_of_strings(strings: DataFrame) -> DataFrame:
+    """The same as ``_indexed`` for rows that are single strings."""
+    least = strings.groupBy("bytes").agg(F.min("first").alias("smallest"))
+    return strings.join(least, "bytes").filter("smallest < first or many").select(
+        "anchor", "context", F.col("shift").alias("begin"), (F.col("shift") + 1).alias("end"), "smallest")
+
+
+def _indexed(shared: DataFrame, docs: DataFrame, length: int, shards: int, hot_contexts: int) -> DataFrame:
     """(anchor, context, begin, end, smallest): the strings begin..end-1 of the
     context occur first in the document ``smallest``; left out where the
     context's only document has them first."""
@@ -373,9 +394,8 @@ def _indexed(shared: DataFrame, docs: DataFrame, length: int, shards: int) -> Da
             anchor, context, many, hot, who, first, start, shard = (
                 c[own] for c in (anchor, context, many, hot, who, first, start, shard))
             start, strings = start + shift, np.where(hot, 1, strings[own])
+            shard = np.where(hot, -1, shard)
         cuts = [whole[w][a:a + n] for w, a, n in zip(who.tolist(), start.tolist(), (strings + length - 1).tolist())]
-        if hot.any():
-            shard = np.where(hot, [zlib.crc32(c) % shards if h else 0 for c, h in zip(cuts, hot.tolist())], shard)
         return pa.RecordBatch.from_arrays(
             [pa.array(c) for c in (shard, anchor, context, shift, first, many)] + [pa.array(cuts, pa.binary())],
             schema=_CUT)
@@ -402,9 +422,13 @@ def _indexed(shared: DataFrame, docs: DataFrame, length: int, shards: int) -> Da
         return pa.table({"anchor": anchor[who], "context": context[who], "begin": begin + base, "end": end + base,
                          "smallest": smallest})
 
-    distinct = shared.filter("salt = 0").groupBy("anchor", "context").agg(
+    firsts = shared.filter("salt <= 0")
+    hot = firsts.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot_contexts) \
+        .select("anchor", F.lit(True).alias("hot"))
+    distinct = firsts.groupBy("anchor", "context").agg(
         F.min(F.struct("doc_id", "place")).alias("at"),
-        (F.max("many") | (F.min("doc_id") < F.max("doc_id"))).alias("many"), F.max("hot").alias("hot"))
+        (F.max("many") | (F.min("doc_id") < F.max("doc_id"))).alias("many")) \
+        .join(F.broadcast(hot), "anchor", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
     wanted = distinct.groupBy(F.col("at.doc_id").alias("doc_id"), F.shiftright("at.place", 37).alias("part")).agg(
         F.collect_list(F.struct("anchor", "context", F.col("at.place").alias("place"), "many", "hot")).alias("wanted"))
     texts = docs.filter("doc_id is not null and text is not null").withColumn("part", _part("text"))
@@ -412,7 +436,9 @@ def _indexed(shared: DataFrame, docs: DataFrame, length: int, shards: int) -> Da
     cuts = keep_on_shared_storage(wanted.join(texts, ["doc_id", "part"]).select("doc_id", "text", "wanted")
                                   .mapInArrow(cut, _CUT_DDL), "contexts")
     discard(wanted)
-    found = keep_on_shared_storage(cuts.groupBy("shard").applyInArrow(search, _FOUND_DDL), "found-contexts")
+    found = keep_on_shared_storage(
+        cuts.filter("shard >= 0").groupBy("shard").applyInArrow(search, _FOUND_DDL)
+        .union(_found_of_strings(cuts.filter("shard < 0"))), "found-contexts")
     discard(cuts)
     return found
 
@@ -422,10 +448,10 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH, k: int = K, shard
     """(doc_id, text, spans) for every document; ``spans`` are the byte spans
     [start, end) to remove, not merged (null if none)."""
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    shared = keep_on_shared_storage(_shared_places(docs, length, k, hot_contexts), "shared-places")
-    places = shared.filter("salt = 0").count()
+    shared = keep_on_shared_storage(_shared_places(docs, length, k), "shared-places")
+    places = shared.filter("salt <= 0").count()
     shards = max(1, -(-places * 2 * length // shard_bytes))
-    found = _indexed(shared, docs, length, shards)
+    found = _indexed(shared, docs, length, shards, hot_contexts)
     start = F.shiftright("place", 6).bitwiseAND(F.lit(_START))
     spans = shared.select("anchor", "context", "doc_id", "place").join(found, ["anchor", "context"]) \
         .filter("smallest < doc_id").groupBy("doc_id", F.shiftright("place", 37).alias("part")).agg(

@@ -4,6 +4,7 @@ import random
 import numpy as np
 import pytest
 
+from stratum.llm import repeats as R
 from stratum.llm.repeats import RunLengthIndex, removal_digests, remove_spans
 
 from ..conftest import rows
@@ -55,6 +56,28 @@ def test_matches_brute_force(spark, options):
     assert rows(removal_digests(frame, **options)) == brute(docs)
 
 
+def test_a_passage_in_all_documents_does_not_gather(spark, monkeypatch):
+    """Every document has the passage between its own words: as many contexts at its edges as documents."""
+    passage = " ".join(f"passage{i}" for i in range(20))
+    docs = [(i, f"{random.Random(i).random()} {passage} {random.Random(-i).random()}" * (1 + i % 2)) for i in range(1, 600)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    dealt = R._places(frame, R.LENGTH, R.K).groupBy("anchor", "salt").count().agg({"count": "max"}).first()[0]
+    assert dealt < 20  # rows of one anchor that meet in a task
+    largest = []
+    kept = R.keep_on_shared_storage
+
+    def keep(df, label):
+        out = kept(df, label)
+        if label == "contexts":  # rows of one string that a shard's search holds
+            largest.append(out.filter("shard >= 0").groupBy("shard", "bytes").count().agg({"count": "max"}).first()[0] or 0)
+        return out
+
+    monkeypatch.setattr(R, "keep_on_shared_storage", keep)
+    got = {r.doc_id: r.n_removed for r in R.removal_digests(frame, hot_contexts=100).collect()}
+    want = {i: removed for i, _, removed, *_ in brute(docs)}
+    assert got == want and largest and largest[0] < 20
+
+
 def test_texts_longer_than_a_buffer(spark, monkeypatch):
     rnd = random.Random(4)
     passage = "".join(rnd.choice("abcdefgh ") for _ in range(400))
