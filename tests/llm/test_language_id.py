@@ -1,3 +1,5 @@
+import random
+
 from stratum.llm import language_id as L
 
 from ..conftest import SF_SMALL
@@ -50,3 +52,30 @@ def test_odd_rows(spark):
     assert L.accepted_documents(docs.limit(0)).count() == 0
     undeclared = docs.selectExpr("doc_id", "text", "cast(null as string) as lang", "source")
     assert L.accepted_documents(undeclared).count() == docs.count()
+
+
+def test_more_languages_than_64_and_unknown_ones(spark):
+    """90 languages of their own words, one text in none of them, gibberish; 2,500 suffixes."""
+    rnd = random.Random(5)
+
+    def words(n=60):
+        letters = rnd.sample("abcdefghijklmnopqrstuvwxyz", 9)
+        return ["".join(rnd.choice(letters) for _ in range(rnd.randrange(3, 8))) for _ in range(n)]
+
+    data, want = [], {}
+    for k in range(90):
+        vocabulary = words()
+        for _ in range(14 + k % 3):
+            i = len(data)
+            want[i] = f"l{k}"
+            data.append((i, " ".join(rnd.choices(vocabulary, k=80)), f"l{k}", f"s{i}", f"h{i}.s{i}"))
+    strange = [" ".join(rnd.choices(words(), k=80)) for _ in range(5)]
+    strange += ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(500)) for _ in range(5)]
+    data += [(10_000 + i, t, None, None, None) for i, t in enumerate(strange)]
+    data += [(20_000 + i, data[0][1], None, f"z{i}", None) for i in range(2_500)]
+    rows = spark.createDataFrame(data, "id long, text string, declared string, suffix string, host string")
+    evidence, by_key = L.gather_evidence(rows)
+    assert len(evidence.model.languages) == 90 and by_key["suffix"].count() == 2_500 + len(want)
+    got = {r.id: r for r in L.identify(rows).collect()}
+    assert all(got[i].language == language and got[i].accepted for i, language in want.items())
+    assert not any(got[10_000 + i].accepted for i in range(len(strange)))
