@@ -8,7 +8,7 @@ the counts behind them, and how often a language is declared as another, come
 from grouped aggregation over all rows of what the text alone says.
 
 The trigram model is fitted on a bounded sample of rows with a declared
-declared language (``FIT_ROWS`` of each, chosen by hash); all counts cover all rows.
+declared language (``FIT_ROWS`` different texts of each, chosen by hash); all counts cover all rows.
 Each sample row's likelihood under the rest of its language's sample tells
 what is usual there: a text far below that under its best language (an unknown
 language, gibberish) is rejected, and its language is only the nearest known.
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from .common import emit, keep_on_shared_storage, rows_of
 
-#: Rows of each declared language that the trigram model is fitted on at most (about).
+#: Different texts of each declared language that the trigram model is fitted on at most (about).
 FIT_ROWS = 400
 #: Rows that declare a language before the model knows it.
 LEAST_ROWS = 10
@@ -99,14 +99,16 @@ class TrigramModel:
 
 
 def _sample(rows: DataFrame, fit_rows: int) -> tuple[list[str], DataFrame]:
-    """The model's languages, and about ``fit_rows`` rows (declared, text) of each."""
-    sizes = rows.filter("declared is not null and text is not null").groupBy("declared").count() \
-        .filter(F.col("count") >= LEAST_ROWS)
-    # The share of the hash range that gives about fit_rows rows.
-    share = F.least(F.lit(1.0), F.lit(float(fit_rows)) / F.col("count"))
+    """The model's languages, and about ``fit_rows`` different texts (declared, text) of each."""
+    sizes = rows.filter("declared is not null and text is not null") \
+        .groupBy("declared", F.xxhash64("text").alias("hash")).agg(F.count(F.lit(1)).alias("n")) \
+        .groupBy("declared").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("texts")).filter(F.col("n") >= LEAST_ROWS)
+    # The share of the hash range that gives about fit_rows of them.
+    share = F.least(F.lit(1.0), F.lit(float(fit_rows)) / F.col("texts"))
     bounds = keep_on_shared_storage(sizes.select("declared", (share * (1 << 30)).cast("long").alias("bound")), "languages")
     sample = rows.filter("text is not null").join(F.broadcast(bounds), "declared") \
-        .filter(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < F.col("bound")).select("declared", "text")
+        .withColumn("hash", F.xxhash64("text")).filter(F.pmod("hash", F.lit(1 << 30)) < F.col("bound")) \
+        .groupBy("declared", "hash").agg(F.first("text").alias("text")).select("declared", "text")
     return sorted(r["declared"] for r in bounds.collect()), sample
 
 

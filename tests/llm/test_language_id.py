@@ -79,3 +79,12 @@ def test_more_languages_than_64_and_unknown_ones(spark):
     got = {r.id: r for r in L.identify(rows).collect()}
     assert all(got[i].language == language and got[i].accepted for i, language in want.items())
     assert not any(got[10_000 + i].accepted for i in range(len(strange)))
+
+
+def test_sample_is_over_different_texts(spark):
+    """100 texts of one language in 20,000 rows, 40 of them in the sample; one text has most rows."""
+    data = [(f"text {i} of a language", "en") for i in range(100) for _ in range(100)] + [("text 0 of a language", "en")] * 10_000
+    languages, sample = L._sample(spark.createDataFrame(data, "text string, declared string"), 40)
+    texts = [r.text for r in sample.collect()]
+    assert languages == ["en"] and len(texts) == len(set(texts)) and 20 <= len(texts) <= 60
+    assert L._sample(spark.createDataFrame(data, "text string, declared string"), 400)[1].count() == 100
