@@ -94,7 +94,7 @@ class TrigramModel:
 
     def is_usual(self, language: int, weighted: float, length: int) -> bool:
         mean, between, within = self.usual[language]
-        deviation = np.sqrt(max(between, LEAST_DEVIATION ** 2) + within / length)
+        deviation = np.sqrt(max(between, LEAST_DEVIATION ** 2) + within / (TEXT_WEIGHT * length))
         return bool(weighted / TEXT_WEIGHT / length >= mean - UNUSUAL * deviation)
 
 
