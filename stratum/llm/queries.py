@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from . import (decontaminate, html_wrappers, language_id, licenses, order_minhash, packing,
+from . import (collocations, decontaminate, html_wrappers, language_id, licenses, order_minhash, packing,
                pii, repeats, url_filter, vector_forest)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -132,6 +132,46 @@ def op10(spark, sf_dir):
     return repeats.removal_digests(table(spark, sf_dir, "documents"))
 
 
+_COLLOCATION_SQL = r"""
+with pieces as (
+  select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+  from documents),
+cut as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as words from pieces),
+total as (select lang, cast(sum(len(words)) as bigint) as n from cut group by lang),
+counted as (
+  select lang, phrase, size, count(*) as f
+  from (select lang, k as size, array_to_string(words[i:i + k - 1], ' ') as phrase
+        from (select lang, words, unnest(range(1, len(words) + 1)) as i from cut), (select unnest([1, 2, 3, 4]) as k)
+        where i + k - 1 <= len(words))
+  group by lang, phrase, size having count(*) >= 30),
+candidates as (select lang, phrase, size, f as a, string_split(phrase, ' ') as words from counted where size > 1),
+cuts as (
+  select c.lang, c.phrase, c.a, k, x.f as l, y.f as r, 2000000::hugeint * c.a // (x.f + y.f) as score
+  from (select *, unnest(range(1, size)) as k from candidates) c
+  join counted x on x.lang = c.lang and x.phrase = array_to_string(c.words[1:k], ' ')
+  join counted y on y.lang = c.lang and y.phrase = array_to_string(c.words[k + 1:], ' ')),
+weakest as (select * from cuts qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+around as (
+  select lang, sub, max(a) as most
+  from (select lang, a, array_to_string(words[i:i + w - 1], ' ') as sub
+        from (select *, unnest(range(1, size)) as i from candidates where size > 2), (select unnest([2, 3]) as w)
+        where w < size and i + w - 1 <= size)
+  group by lang, sub),
+kept as (
+  select weakest.* from weakest left join around on around.lang = weakest.lang and sub = phrase
+  where most is null or 100::hugeint * most < 80::hugeint * a),
+ranked as (
+  select *, row_number() over (partition by lang order by score desc, a desc, encode(phrase)) as rank from kept)
+select lang, rank, phrase, a, l, r, n, cast(score as bigint) as score from ranked join total using (lang) where rank <= 2000
+"""
+
+
+@query("op11_collocations", _COLLOCATION_SQL)
+def op11(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
