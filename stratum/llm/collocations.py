@@ -3,9 +3,9 @@
 Texts are cut into pieces and words; every word starts a suffix that ends
 after ``DEPTH`` words or with its piece. The suffixes are partitioned
 vertically: suffixes are counted by the hash bucket of their first word,
-buckets are packed into groups of at most ``budget`` suffixes, a bucket above
-the budget is extended to buckets of its first two words, and one that is
-still above it is dealt by the whole suffix. Each group's subtree is built on
+buckets are packed into groups of at most ``budget`` suffixes, one above
+the budget is extended to the first two words, and a pair that alone is
+above it is dealt by the whole suffix. Each group's subtree is built on
 its own, by one task: its suffixes in word order, with the common prefixes of
 neighbours as inner nodes, and the totals of the leaves below a node as that
 phrase's count. Only nodes above a group's prefix are summed over groups.
@@ -28,8 +28,10 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
@@ -47,10 +49,11 @@ TOP = 2000
 BUDGET = 1_000_000
 #: Bits of the fixed bitmaps of frequent words and pairs (8 MB each).
 FILTER_BITS = 26
-#: Prefix buckets of the first word, and of the second below a bucket of the first.
-FIRST_BITS, SECOND_BITS = 14, 8
+#: Prefix buckets of the first word.
+FIRST_BITS = 14
 #: Bytes of text looked at together.
-CHUNK = 4 << 20
+CHUNK_BITS = 21
+CHUNK = 1 << CHUNK_BITS
 #: Parts that a lang's candidates are ranked in before they are ranked together.
 RANK_PARTS = 64
 
@@ -64,9 +67,30 @@ _LOWER[0x41:0x5B] += 32
 _NO_WORD = re.compile(b"[" + re.escape(_SEPARATORS + _BLANKS) + b"]")
 _AHEAD = re.compile(b"(?:[" + re.escape(_SEPARATORS + _BLANKS) + b"]*[^" + re.escape(_SEPARATORS + _BLANKS)
                     + b"]+){0,%d}" % (DEPTH - 1))
-# One random odd-ended value for each byte (letters of either case share one), and the base of the rolling product.
+# Random values of the bytes (letters of either case share one, others than words' have none) and the
+# bases of two rolling sums; a base is odd, so it has an inverse.
 _VALUE = np.random.default_rng(11).integers(0, 1 << 63, 256, np.uint64)[_LOWER]
-_BASE = np.uint64(0x9E3779B97F4A7C15)
+_VALUE[list(_SEPARATORS + _BLANKS)] = 0
+_BASE, _SECOND_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
+
+
+@lru_cache(maxsize=4)
+def _powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """base ** i and its inverse, modulo 2 ** 64, for i below ``size``."""
+    out = []
+    for x in (base, pow(base, -1, 1 << 64)):
+        values = np.full(size, x, np.uint64)
+        values[0] = 1
+        out.append(np.cumprod(values, dtype=np.uint64))
+    return out[0], out[1]
+
+
+def _word_sums(data: np.ndarray, begin: np.ndarray, end: np.ndarray, base: int) -> np.ndarray:
+    """Rolling hash of each word: sum of value * base ** place in the word."""
+    up, down = _powers(base, 1 << max(CHUNK_BITS, int(len(data)).bit_length()))
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_VALUE[data] * up[:len(data)], out=total[1:])
+    return (total[end] - total[begin]) * down[begin]
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -95,39 +119,31 @@ class Chunk:
         self.data = data
         self.begin = np.flatnonzero(word & opens)
         self.end = np.flatnonzero(word & closes) + 1
-        self.document = np.searchsorted(starts, self.begin, side="right") - 1
+        count = np.diff(np.append(np.searchsorted(self.begin, starts), len(self.begin)))
+        self.document = np.repeat(np.arange(len(starts)), count)
         self.seed = seeds[self.document]
         gaps = np.cumsum(kind == 0, dtype=np.int32)[self.begin]
         self.joined = np.zeros(len(self.begin), bool)  # to the next word, in the same piece
         self.joined[:-1] = (gaps[1:] == gaps[:-1]) & (self.document[1:] == self.document[:-1])
-        length = self.end - self.begin
-        at = np.flatnonzero(word)
-        first = np.cumsum(length) - length
-        powers = np.full(max(int(length.max(initial=1)), 1), _BASE)
-        np.cumprod(powers, out=powers)
-        values = _VALUE[data[at]] * powers[np.arange(len(at)) - np.repeat(first, length)]
-        self.plain = _mixed(np.add.reduceat(values, first) if len(first) else np.zeros(0, np.uint64))
+        self.plain = _mixed(_word_sums(data, self.begin, self.end, _BASE))
         self.hash = _mixed(self.plain ^ self.seed)
 
     def pair_hash(self) -> np.ndarray:
         """Of each word with the next one (0 at the end of a piece)."""
         out = np.zeros(len(self.hash), np.uint64)
-        out[:-1] = _mixed(self.hash[:-1] * _BASE + self.plain[1:])
+        out[:-1] = _mixed(self.hash[:-1] * np.uint64(_BASE) + self.plain[1:])
         out[~self.joined] = 0
         return out
 
     def word_ids(self) -> tuple[np.ndarray, np.ndarray]:
-        """(id of each word, a place of each id): equal ids for equal words."""
-        _, place, ids = np.unique(self.plain, return_index=True, return_inverse=True)
+        """(id of each word, a place of each id): equal ids for equal words,
+        told by two hashes of 64 bits and the length, by the bytes if those differ."""
+        ids, found = pd.factorize(self.plain)
+        place = np.empty(len(found), np.int64)
+        place[ids[::-1]] = np.arange(len(ids))[::-1]
         length = self.end - self.begin
-        same = length == length[place][ids]
-        for size in np.unique(length[same]) if same.all() else ():
-            rows = np.flatnonzero(length == size)
-            for some in np.array_split(rows, max(1, len(rows) * int(size) >> 20)):
-                across = np.arange(size)
-                own = _LOWER[self.data[self.begin[some, None] + across]]
-                same[some] = (own == _LOWER[self.data[self.begin[place[ids[some]], None] + across]]).all(axis=1)
-        if not same.all():  # two words of one hash: number them by their bytes
+        second = _word_sums(self.data, self.begin, self.end, _SECOND_BASE)
+        if not ((length == length[place][ids]) & (second == second[place][ids])).all():
             number: dict[bytes, int] = {}
             ids = np.array([number.setdefault(self.word(i), len(number)) for i in range(len(length))])
             place = np.unique(ids, return_index=True)[1]
@@ -164,11 +180,6 @@ def _chunks(batch: pa.RecordBatch, size: int) -> Iterator[tuple[Chunk, int, list
         a = b
 
 
-def _counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    found, n = np.unique(keys, return_counts=True)
-    return found.view(np.int64), n
-
-
 def _has(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     at = keys >> np.uint64(64 - FILTER_BITS)
     return (bits[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
@@ -186,155 +197,184 @@ def _bitmap(hashes: DataFrame) -> np.ndarray:
     return bits.view(np.uint64)
 
 
-def _count_words(docs: DataFrame, least: int, chunk: int) -> DataFrame:
-    """(lang, null, words) and (null, hash, occurrences of at least ``least``)."""
-    schema = pa.schema([("lang", pa.string()), ("hash", pa.int64()), ("n", pa.int64())])
+# Hashes travel in packets: those of one chunk that share their first bits, as 32 more bits and a 32-bit
+# count each. A packet's range is one group, of which no more comes together than about one entry for
+# each different hash and chunk.
 
-    def run(batches):
-        for batch in batches:
-            for some, counted, langs in _chunks(batch, chunk):
-                names = sorted(set(langs))
-                number = {x: i for i, x in enumerate(names)}
-                of = np.array([number[x] for x in langs])
-                total = np.bincount(of[some.document[:counted]], minlength=len(names))
-                hashes, n = _counted(some.hash[:counted])
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(names + [None] * len(n), pa.string()),
-                    pa.concat_arrays([pa.nulls(len(names), pa.int64()), pa.array(hashes)]),
-                    pa.array(np.concatenate([total, n]))], schema=schema)
 
-    counted = docs.mapInArrow(run, "lang string, hash long, n long").groupBy("lang", "hash").agg(F.sum("n").alias("n"))
-    return keep_on_shared_storage(counted.filter(F.col("hash").isNull() | (F.col("n") >= least)), "words")
+def _packets(keys: np.ndarray, bits: int) -> Iterator[tuple[int, bytes]]:
+    found, n = np.unique(keys, return_counts=True)
+    packed = (found << np.uint64(bits) & np.uint64(0xFFFFFFFF00000000)) | n.astype(np.uint64)
+    part = (found >> np.uint64(64 - bits)).astype(np.int64)
+    heads = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else []
+    for a, b in zip(heads, np.append(heads[1:], len(part))):
+        yield int(part[a]), packed[a:b].tobytes()
+
+
+def _add_up(table: pa.Table, bits: int, least: int) -> pa.Table:
+    """(hash, n) of a group's packets: totals from ``least`` on."""
+    packed = np.sort(np.concatenate([np.frombuffer(x, np.uint64) for x in table.column("packet").to_pylist()]))
+    key = packed >> np.uint64(32)
+    heads = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    n = np.add.reduceat(packed & np.uint64(0xFFFFFFFF), heads)
+    kept = n >= least
+    top = np.uint64(table.column("part")[0].as_py()) << np.uint64(64 - bits)
+    found = top | key[heads[kept]] << np.uint64(32 - bits)
+    return pa.table({"hash": pa.array(found.view(np.int64)), "n": pa.array(n[kept].view(np.int64))})
 
 
-def _count_pairs(docs: DataFrame, words, least: int, chunk: int) -> DataFrame:
-    """(bucket of the first word, hash, occurrences) of pairs of frequent words."""
-    schema = pa.schema([("first", pa.int32()), ("hash", pa.int64()), ("n", pa.int64())])
+def _packet_bits(total: int, budget: int) -> int:
+    """So many first bits that a packet's range holds at most ``budget`` entries (about)."""
+    return min(max((total // budget).bit_length(), 5), 28)
+
+
+def _count_langs(docs: DataFrame, chunk: int) -> DataFrame:
+    """(lang, n): words of each lang."""
+    schema = pa.schema([("lang", pa.string()), ("n", pa.int64())])
+
+    def run(batches):
+        for batch in batches:
+            texts = pc.fill_null(batch.column("text"), "").cast(pa.large_binary())
+            offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+            data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+            n = np.zeros(len(texts), np.int64)
+            for a in range(0, len(texts)):
+                for low in range(int(offsets[a]), int(offsets[a + 1]), chunk):
+                    word = _KIND[data[low:min(low + chunk, int(offsets[a + 1]))]] == 2
+                    n[a] += np.count_nonzero(word[1:] & ~word[:-1]) \
+                        + (word[0] and (low == offsets[a] or _KIND[data[low - 1]] != 2))
+            held = pa.table({"lang": batch.column("lang"), "n": n}).group_by("lang").aggregate([("n", "sum")])
+            yield pa.RecordBatch.from_arrays([held["lang"].combine_chunks(), held["n_sum"].combine_chunks()], schema=schema)
+
+    return docs.mapInArrow(run, "lang string, n long").groupBy("lang").agg(F.sum("n").alias("n")).filter("n > 0")
+
+
+def _frequent(docs: DataFrame, keys, bits: int, least: int, chunk: int, label: str) -> DataFrame:
+    """(hash, occurrences) of the hashes that ``keys`` gives for a chunk's
+    suffixes and that occur at least ``least`` times, written once."""
+    schema = pa.schema([("part", pa.int32()), ("packet", pa.binary())])
 
     def run(batches):
-        bits = words.value
         for batch in batches:
             for some, counted, _ in _chunks(batch, chunk):
-                common = _has(bits, some.hash)
-                kept = np.zeros(len(common), bool)
-                kept[:-1] = common[:-1] & common[1:]
-                kept &= some.joined
-                kept[counted:] = False
-                found, place, n = np.unique(some.pair_hash()[kept], return_index=True, return_counts=True)
-                first = some.hash[kept][place] & np.uint64((1 << FIRST_BITS) - 1)
-                yield pa.RecordBatch.from_arrays([pa.array(first.astype(np.int32)), pa.array(found.view(np.int64)),
-                                                  pa.array(n)], schema=schema)
+                rows = list(_packets(keys(some, counted), bits))
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
-    counted = docs.mapInArrow(run, "first int, hash long, n long").groupBy("first", "hash").agg(F.sum("n").alias("n"))
-    return keep_on_shared_storage(counted.filter(F.col("n") >= least), "pairs")
+    packets = docs.mapInArrow(run, "part int, packet binary")
+    return keep_on_shared_storage(packets.groupBy("part").applyInArrow(
+        lambda t: _add_up(t, bits, least), "hash long, n long"), label)
 
 
 class Partition:
-    """Which group a suffix belongs to: by the bucket of its first word, of its
-    first two words, or (above the budget even so) by all its words."""
-
-    def __init__(self, words: np.ndarray, pairs: dict[int, np.ndarray], budget: int) -> None:
-        self.first = np.full(1 << FIRST_BITS, -1, np.int32)
-        self.row = np.full(1 << FIRST_BITS, -1, np.int32)
-        heavy = np.flatnonzero(words > budget)
-        self.row[heavy] = np.arange(len(heavy))
-        self.second = np.zeros((len(heavy), 1 << SECOND_BITS), np.int32)
-        self.parts = np.ones((len(heavy), 1 << SECOND_BITS), np.int32)
-        light = [(int(words[b]), b, -1) for b in np.flatnonzero(words <= budget)]
-        self.groups = 0
-        for b in heavy:
-            loads = pairs.get(int(b), np.zeros(1 << SECOND_BITS, np.int64))
-            for c in range(1 << SECOND_BITS):
-                if loads[c] <= budget:
-                    light.append((int(loads[c]), b, c))
-                else:
-                    self.second[self.row[b], c] = self.groups
-                    self.parts[self.row[b], c] = -(-int(loads[c]) // budget)
-                    self.groups += int(self.parts[self.row[b], c])
-        load = 0
-        for size, b, c in sorted(light, reverse=True):  # next fit, the largest first
-            if load + size > budget:
-                self.groups, load = self.groups + 1, 0
-            load += size
-            if c < 0:
-                self.first[b] = self.groups
+    """Which group a suffix belongs to: by the bucket of its first word, by
+    its first two words if that bucket is above the budget, by all its words
+    if those two alone are."""
+
+    def __init__(self, loads: np.ndarray, pairs: dict[int, int], bits: int, budget: int) -> None:
+        self.base = np.zeros(len(loads), np.int32)
+        self.parts = np.maximum(-(-loads // budget), 1).astype(np.int32)
+        self.groups, load = 0, budget
+        for b in np.argsort(-loads, kind="stable"):  # next fit, the largest first
+            if self.parts[b] == 1 and load + loads[b] <= budget:
+                load += loads[b]
+                self.base[b] = self.groups - 1
             else:
-                self.second[self.row[b], c] = self.groups
-        self.groups += 1
+                self.base[b], load = self.groups, loads[b] if self.parts[b] == 1 else budget
+                self.groups += int(self.parts[b])
+        # Pairs are known by their first bits; the bits of another pair that shares them go along.
+        self.shift = np.uint64(32 - bits)
+        self.pair = np.array(sorted(x % (1 << 64) for x in pairs), np.uint64) >> self.shift
+        self.pair_parts = np.array([-(-pairs[x] // budget) for x in sorted(pairs, key=lambda x: x % (1 << 64))], np.int32)
+        self.pair_base = (self.groups + np.cumsum(self.pair_parts) - self.pair_parts).astype(np.int32)
+        self.groups += int(self.pair_parts.sum())
 
     def of(self, first: np.ndarray, pair: np.ndarray, whole: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(group, words of the prefix that lies in this group alone)."""
-        b = (first & np.uint64((1 << FIRST_BITS) - 1)).astype(np.int64)
-        group, depth = self.first[b].copy(), np.ones(len(b), np.int8)
-        far = np.flatnonzero(group < 0)
-        row, c = self.row[b[far]], (pair[far] & np.uint64((1 << SECOND_BITS) - 1)).astype(np.int64)
-        parts = self.parts[row, c]
-        group[far] = self.second[row, c] + (whole[far] % parts.astype(np.uint64)).astype(np.int32)
-        depth[far] = np.where(parts > 1, DEPTH, 2)
+        b = (first >> np.uint64(64 - FIRST_BITS)).astype(np.int64)
+        parts = self.parts[b]
+        group = self.base[b] + (pair % parts.astype(np.uint64)).astype(np.int32)
+        depth = np.where(parts > 1, 2, 1).astype(np.int8)
+        if len(self.pair):
+            at = np.minimum(np.searchsorted(self.pair, pair >> self.shift), len(self.pair) - 1)
+            far = np.flatnonzero((self.pair[at] == pair >> self.shift) & (parts > 1))
+            at = at[far]
+            group[far] = self.pair_base[at] + (whole[far] % self.pair_parts[at].astype(np.uint64)).astype(np.int32)
+            depth[far] = DEPTH
         return group, depth
 
 
 def _suffixes(docs: DataFrame, words, pairs, partition, chunk: int) -> DataFrame:
-    """(group, depth, lang, suffix, n): different suffixes of each chunk."""
-    schema = pa.schema([("part", pa.int32()), ("depth", pa.int8()), ("lang", pa.string()), ("suffix", pa.string()),
-                        ("n", pa.int64())])
+    """Different suffixes of each chunk, in packets of one group, depth and
+    lang: (part, depth, lang, suffixes one a line, 32-bit counts)."""
+    schema = pa.schema([("part", pa.int32()), ("depth", pa.int8()), ("lang", pa.string()), ("lines", pa.string()),
+                        ("counts", pa.binary())])
+
+    def of_chunk(some: Chunk, counted: int, langs: list[str]):
+        names = sorted(set(langs))
+        number = {x: i for i, x in enumerate(names)}
+        lang = np.array([number[x] for x in langs])[some.document]
+        kept = _has(words.value, some.hash)
+        pair = some.pair_hash()
+        on = some.joined & _has(pairs.value, pair)
+        on[:-1] &= kept[:-1] & kept[1:]
+        kept[counted:] = False
+        ids, place = some.word_ids()
+        # Suffixes of one word by (lang, word); the others by (lang, two words) and what follows these.
+        alone = np.flatnonzero(kept & ~on)
+        one, at, n = np.unique(lang[alone] * len(place) + ids[alone], return_index=True, return_counts=True)
+        at = alone[at]
+        long = np.flatnonzero(kept & on)
+        more = np.append(on[1:], False)
+        third = more[long]
+        fourth = third & np.append(on[2:], [False, False])[:len(on)][long]
+        word = lambda k: ids[np.minimum(long + k, len(ids) - 1)] + 1
+        front = pd.factorize((lang[long] * (len(place) + 1) + word(0)) * (len(place) + 1) + word(1))[0]
+        back, kinds = pd.factorize(np.where(third, word(2), 0) * (len(place) + 1) + np.where(fourth, word(3), 0))
+        _, first, many = np.unique(front * max(len(kinds), 1) + back, return_index=True, return_counts=True)
+        at = np.concatenate([at, long[first]])
+        n = np.concatenate([n, many])
+        size = np.concatenate([np.ones(len(one), np.int64), 2 + third[first] + fourth[first]])
+        whole = some.hash[at]
+        for k in range(1, DEPTH):
+            nxt = some.plain[np.minimum(at + k, len(ids) - 1)]
+            whole = np.where(size > k, _mixed(whole * np.uint64(_BASE) + nxt), whole)
+        group, depth = partition.value.of(some.hash[at], np.where(size > 1, pair[at], whole), whole)
+        order = np.lexsort((lang[at], depth, group))
+        at, n, size, group, depth = at[order], n[order].astype(np.uint32), size[order], group[order], depth[order]
+        used = np.unique(np.concatenate([ids[np.minimum(at + k, len(ids) - 1)] for k in range(DEPTH)]))
+        text = dict(zip(used.tolist(), (some.word(i).decode("utf-8") for i in place[used].tolist())))
+        columns = [[text[i] for i in ids[np.minimum(at + k, len(ids) - 1)].tolist()] for k in range(DEPTH)]
+        lines = [" ".join(own[:k]) for k, *own in zip(size.tolist(), *columns)]
+        of = np.stack([group, depth, lang[at]])
+        heads = np.flatnonzero(np.append(True, (of[:, 1:] != of[:, :-1]).any(axis=0))) if len(at) else []
+        for a, b in zip(heads, np.append(heads[1:], len(at))):
+            yield int(group[a]), int(depth[a]), names[of[2, a]], "\n".join(lines[a:b]), n[a:b].tobytes()
 
     def run(batches):
         for batch in batches:
             for some, counted, langs in _chunks(batch, chunk):
-                if not len(some.hash):
-                    continue
-                names = sorted(set(langs))
-                number = {x: i for i, x in enumerate(names)}
-                lang = np.array([number[x] for x in langs])[some.document]
-                kept = _has(words.value, some.hash)
-                pair = some.pair_hash()
-                on = some.joined & _has(pairs.value, pair)
-                on[:-1] &= kept[:-1] & kept[1:]
-                ids, place = some.word_ids()
-                # Exact numbers of (lang, word, next word if the suffix goes on), then of those two by two.
-                ahead = np.append(ids[1:], 0)
-                two = np.unique((lang * len(place) + ids) * (len(place) + 1) + np.where(on, ahead + 1, 0),
-                                return_inverse=True)[1]
-                goes = on.copy()  # beyond the second word
-                goes[:-1] &= on[1:]
-                goes[-1:] = False
-                later = np.append(two[2:], [0, 0])[:len(two)]
-                key = two * (two.max(initial=0) + 2) + np.where(goes, later + 1, 0)
-                here = np.flatnonzero(kept[:counted])
-                _, at, n = np.unique(key[here], return_index=True, return_counts=True)
-                at = here[at]
-                size = 1 + on[at].astype(np.int64) + goes[at]
-                third = np.minimum(at + 2, len(on) - 1)
-                size += goes[at] & on[third]
-                whole = some.hash[at]
-                for k in range(1, DEPTH):
-                    whole = np.where(size > k, _mixed(whole * _BASE + some.plain[np.minimum(at + k, len(on) - 1)]), whole)
-                group, depth = partition.value.of(some.hash[at], np.where(size > 1, pair[at], whole), whole)
-                used = np.zeros(len(place), bool)
-                used[ids[kept]] = True
-                text = [some.word(i).decode("utf-8") if u else "" for i, u in zip(place.tolist(), used.tolist())]
-                suffix = [" ".join([text[j] for j in own[:k]]) for own, k in
-                          zip(np.column_stack([ids[np.minimum(at + k, len(on) - 1)] for k in range(DEPTH)]).tolist(), size.tolist())]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(group), pa.array(depth), pa.array(names, pa.string()).take(pa.array(lang[at])),
-                    pa.array(suffix, pa.string()), pa.array(n)], schema=schema)
-
-    return docs.mapInArrow(run, "part int, depth tinyint, lang string, suffix string, n long")
+                rows = list(of_chunk(some, counted, langs))
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
+    return docs.mapInArrow(run, "part int, depth tinyint, lang string, lines string, counts binary")
 
 
 def _subtree(table: pa.Table, least: int) -> pa.Table:
     """(lang, phrase, size, f): nodes of one group's subtree. The suffixes in
     word order; a node at depth k is a run of equal first k words, its count
     the total of the leaves in the run."""
-    words = pc.split_pattern(table.column("suffix").combine_chunks(), " ")
-    words = words.combine_chunks() if isinstance(words, pa.ChunkedArray) else words
+    lines = pc.split_pattern(table.column("lines").combine_chunks(), "\n")
+    packet = np.repeat(np.arange(len(lines)), pc.list_value_length(lines).to_numpy())
+    words = pc.split_pattern(lines.flatten(), " ")
     size = pc.list_value_length(words).to_numpy()
     flat = words.flatten().dictionary_encode()
     langs = table.column("lang").combine_chunks().dictionary_encode()
-    n, whole = table.column("n").to_numpy(), table.column("depth").to_numpy()
+    n = np.concatenate([np.frombuffer(x, np.uint32) for x in table.column("counts").to_pylist()]).astype(np.int64)
+    whole = table.column("depth").to_numpy()[packet]
     code = np.full((DEPTH + 1, len(size)), -1, np.int64)
-    code[0] = langs.indices.to_numpy()
+    code[0] = langs.indices.to_numpy()[packet]
     row = np.repeat(np.arange(len(size)), size)
     code[1 + np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size), row] = flat.indices.to_numpy()
     order = np.lexsort(code[::-1])
@@ -366,25 +406,26 @@ def phrase_counts(documents: DataFrame, least: int = LEAST, budget: int = BUDGET
     phrases of up to ``DEPTH`` words that occur at least ``least`` times."""
     docs = documents.select(F.col("text"), F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"))
     spark = documents.sparkSession
-    words = _count_words(docs, least, chunk)
-    common = words.filter("hash is not null")
-    word_bits = spark.sparkContext.broadcast(_bitmap(common))
-    pairs = _count_pairs(docs, word_bits, least, chunk)
+    total = keep_on_shared_storage(_count_langs(docs, chunk), "langs")
+    bits = _packet_bits(int(total.agg(F.sum("n")).first()[0] or 0), budget)
+    words = _frequent(docs, lambda some, counted: some.hash[:counted], bits, least, chunk, "words")
+    word_bits = spark.sparkContext.broadcast(_bitmap(words))
+
+    def pair_keys(some: Chunk, counted: int) -> np.ndarray:
+        kept = _has(word_bits.value, some.hash)
+        kept[:-1] &= kept[1:]
+        return some.pair_hash()[:counted][(kept & some.joined)[:counted]]
+
+    pairs = _frequent(docs, pair_keys, bits, least, chunk, "pairs")
     pair_bits = spark.sparkContext.broadcast(_bitmap(pairs))
-    low = lambda c, bits: F.col(c).bitwiseAND(F.lit((1 << bits) - 1))
     loads = np.zeros(1 << FIRST_BITS, np.int64)
-    for row in common.groupBy(low("hash", FIRST_BITS).alias("b")).agg(F.sum("n")).collect():
+    for row in words.groupBy(F.shiftrightunsigned("hash", 64 - FIRST_BITS).alias("b")).agg(F.sum("n")).collect():
         loads[row[0]] = row[1]
-    heavy: dict[int, np.ndarray] = {}
-    of_heavy = pairs.groupBy("first", low("hash", SECOND_BITS).alias("c")).agg(F.sum("n").alias("n"))
-    above = common.groupBy(low("hash", FIRST_BITS).alias("first")).agg(F.sum("n").alias("load")).filter(F.col("load") > budget)
-    for row in of_heavy.join(above.select(F.col("first").cast("int")), "first", "left_semi").toLocalIterator():
-        heavy.setdefault(row[0], np.zeros(1 << SECOND_BITS, np.int64))[row[1]] = row[2]
-    partition = spark.sparkContext.broadcast(Partition(loads, heavy, budget))
+    heavy = {row[0]: row[1] for row in pairs.filter(F.col("n") > budget).collect()}  # fewer than words / budget
+    partition = spark.sparkContext.broadcast(Partition(loads, heavy, bits, budget))
     nodes = _suffixes(docs, word_bits, pair_bits, partition, chunk).groupBy("part") \
         .applyInArrow(lambda t: _subtree(t, least), "lang string, phrase string, size int, f long")
     counted = nodes.groupBy("lang", "phrase", "size").agg(F.sum("f").alias("f")).filter(F.col("f") >= least)
-    total = words.filter("hash is null").select("lang", "n").filter("n > 0")
     return total, keep_on_shared_storage(counted, "phrases")
 
 

@@ -3,6 +3,7 @@ import re
 from collections import Counter
 from fractions import Fraction
 
+import numpy as np
 import pytest
 
 from stratum.llm import collocations as C
@@ -79,15 +80,24 @@ def test_a_hot_passage_and_a_very_long_text(spark):
     assert got(C.collocations(frame(spark, rows).repartition(4), budget=500, chunk=256)) == want
 
 
-def test_words_of_one_hash_stay_apart(spark, monkeypatch):
-    import numpy as np
-    monkeypatch.setattr(C, "_VALUE", np.ones(256, np.uint64))  # every word of one length collides
-    monkeypatch.setattr(C, "_mixed", lambda h: h)
+def test_words_of_one_hash_stay_apart(monkeypatch):
+    monkeypatch.setattr(C, "_mixed", lambda h: h * np.uint64(0))  # every word collides
     words = np.frombuffer(b"ab cd ab ef", np.uint8)
     ids, place = C.Chunk(words, np.array([0]), np.array([1], np.uint64)).word_ids()
     assert ids.tolist() == [0, 1, 0, 2] and [words[i * 3] for i in place] == [97, 99, 101]
 
 
+def test_partition_keeps_to_the_budget():
+    loads = np.array([5, 90, 250, 40, 0, 60])
+    p = C.Partition(loads, {7 << 40: 230, -1: 120}, 5, 100)
+    assert p.parts.tolist() == [1, 1, 3, 1, 1, 1] and p.pair_parts.tolist() == [3, 2]
+    light = {}
+    for b in np.flatnonzero(p.parts == 1):
+        light[p.base[b]] = light.get(p.base[b], 0) + loads[b]
+    assert max(light.values()) <= 100 and p.groups == len(light) + 3 + 5
+    assert len({*light, *range(p.base[2], p.base[2] + 3), *range(p.pair_base[0], p.groups)}) == p.groups
+
+
 def test_an_empty_table_and_no_candidates(spark):
     assert got(C.collocations(frame(spark, [("a b", "en")]).limit(0))) == []
     assert got(C.collocations(frame(spark, [("a b", "en"), (None, None)]))) == []
