@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 import corpus_pipeline
 
 from . import (collocations, decontaminate, html_wrappers, language_id, licenses, order_minhash, packing,
-               pii, repeats, url_filter, vector_forest)
+               pii, projected_search, repeats, url_filter, vector_forest, whitening)
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -172,6 +172,16 @@ def op11(spark, sf_dir):
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+@query("op12_projected_search")
+def op12(spark, sf_dir):
+    return projected_search.nearest(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_whitening")
+def op13(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
