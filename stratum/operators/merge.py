@@ -24,10 +24,6 @@ ACTION = "_merge_action"
 _WITH_FLOOR = (TimestampType, TimestampNTZType, DateType)
 
 
-class MergeConflictError(ValueError):
-    """Several source rows address one target row (MERGE would be ambiguous)."""
-
-
 def _expr(e) -> Column:
     return F.expr(e) if isinstance(e, str) else e
 
@@ -51,26 +47,22 @@ def _key_condition(keys: Sequence[str], null_safe: bool) -> Column:
     return reduce(lambda a, b: a & b, [*parts, F.col(f"t.{SPREAD}") == F.col(f"s.{SPREAD}")])
 
 
-def assert_unique_keys(source: DataFrame, keys: Sequence[str]) -> None:
-    """Raise MergeConflictError if any key occurs twice in ``source``.
-
-    One aggregation (combined map-side) and a one-row probe.
-    """
-    dup = (source.groupBy(*keys).count().filter(F.col("count") > 1).limit(1).collect())
-    if dup:
-        raise MergeConflictError(f"source has duplicate merge keys, e.g. {dup[0].asDict()}")
-
-
-def _checked(source: DataFrame, keys: Sequence[str], null_safe: bool) -> DataFrame:
-    """``source`` (with its spread), failing at run time where a key that can
-    match occurs twice. Partitioned like the join that follows."""
+def _checked(source: DataFrame, keys: Sequence[str], null_safe: bool, flag: str = "__s_hit") -> DataFrame:
+    """``source`` (with its spread) and a true ``flag``, failing at run time where
+    a key that can match occurs twice. Partitioned like the join that follows."""
     n = F.count(F.lit(1)).over(Window.partitionBy(*keys, SPREAD))
     can_match = F.lit(True) if null_safe else reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     message = F.concat(F.lit("source has duplicate merge keys, e.g. "), F.to_json(F.struct(*keys)))
-    return source.withColumn("__s_hit", F.when((n > 1) & can_match, F.raise_error(message).cast("boolean"))
+    return source.withColumn(flag, F.when((n > 1) & can_match, F.raise_error(message).cast("boolean"))
                              .otherwise(F.lit(True)))
 
 
+def unique_or_fail(source: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:
+    """``source`` with a true column ``flag`` whose computation fails where a
+    key without NULLs occurs twice; the flag must be used for the check to run."""
+    return _checked(_with_spread(source, keys, False), keys, False, flag).drop(SPREAD)
+
+
 def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
                  update_set: Mapping[str, object], update_when=None,
                  insert: bool = True, null_safe_keys: bool = False,
@@ -147,7 +139,8 @@ def incremental_merge(existing: DataFrame | None, new_rows: DataFrame,
     replace existing rows with the same unique key; the rest are inserted.
     The old table is aligned to the new schema first (S15). Columns in
     ``keep_first`` keep the value of the row being replaced (insert-only
-    stamps such as a created-at).
+    stamps such as a created-at). A key that occurs twice among the new rows
+    makes the query fail, as a MERGE would.
     """
     keys = [unique_key] if isinstance(unique_key, str) else list(unique_key)
     if existing is None:
@@ -156,7 +149,7 @@ def incremental_merge(existing: DataFrame | None, new_rows: DataFrame,
         new_rows = newer_than(new_rows, existing, stamp_col)
     columns = new_rows.columns
     t = _with_spread(sync_columns(existing, new_rows), keys, False).withColumn("__t_hit", F.lit(True)).alias("t")
-    s = _with_spread(new_rows, keys, False).withColumn("__s_hit", F.lit(True)).alias("s")
+    s = _checked(_with_spread(new_rows, keys, False), keys, False).alias("s")
     joined = t.join(s, _key_condition(keys, False), "full_outer")
     replaced, is_new = F.col("t.__t_hit").isNotNull(), F.col("s.__s_hit").isNotNull()
     return joined.select(*[

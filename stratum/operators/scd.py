@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .merge import assert_unique_keys
+from .merge import unique_or_fail
 
 SCD_ID = "dbt_scd_id"
 UPDATED_AT = "dbt_updated_at"
@@ -48,21 +48,21 @@ def scd2_apply(history: DataFrame | None, incoming: DataFrame, key: str,
     * a check column changed (NULL-aware) -> old row closed at run_ts, new row opened
     * unchanged, or only non-check columns changed -> nothing
     * key absent from ``incoming``  -> stays open (closed if ``invalidate_hard_deletes``)
+    * a version opened at ``run_ts`` itself (the run is repeated on other input)
+      -> replaced, or dropped, instead of closed: it was never valid
 
-    ``incoming`` must hold one row per key (checked unless ``check_unique``
-    is False: one aggregate, one-row probe). Running the same input twice is
-    a no-op.
+    ``incoming`` must hold one row per key (unless ``check_unique`` is False, a
+    key that occurs twice makes the query fail). Running the same input twice
+    is a no-op.
     """
-    if check_unique:
-        assert_unique_keys(incoming, [key])
     stamp = F.lit(run_ts).cast("timestamp")
     data_cols = incoming.columns
+    new = unique_or_fail(incoming, [key], "__n") if check_unique else incoming.withColumn("__n", F.lit(True))
     if history is None:
-        return _open_rows(incoming, key, stamp).select(*data_cols, *META)
+        return _open_rows(new.filter("__n"), key, stamp).select(*data_cols, *META)
 
     closed = history.filter(F.col(VALID_TO).isNotNull())
     open_ = history.filter(F.col(VALID_TO).isNull()).withColumn("__h", F.lit(True))
-    new = incoming.withColumn("__n", F.lit(True))
     j = open_.alias("h").join(new.alias("n"), F.col(f"h.{key}") == F.col(f"n.{key}"), "full_outer")
 
     in_h = F.col("h.__h").isNotNull()
@@ -71,6 +71,7 @@ def scd2_apply(history: DataFrame | None, incoming: DataFrame, key: str,
                      [~F.col(f"h.{c}").eqNullSafe(F.col(f"n.{c}")) for c in check_cols])
     is_changed = in_h & in_n & changed
     vanished = in_h & ~in_n
+    never_valid = (F.col(f"h.{VALID_FROM}") == stamp) & (is_changed | (vanished & F.lit(invalidate_hard_deletes)))
 
     h_valid_to = (F.when(is_changed, stamp)
                   .when(vanished & F.lit(invalidate_hard_deletes), stamp)
@@ -84,7 +85,7 @@ def scd2_apply(history: DataFrame | None, incoming: DataFrame, key: str,
                      version_id(F.col(f"n.{key}"), stamp).alias(SCD_ID),
                      stamp.alias(UPDATED_AT), stamp.alias(VALID_FROM),
                      F.lit(None).cast("timestamp").alias(VALID_TO))
-    rows = F.array(F.when(in_h, h_row), F.when(in_n & (~in_h | changed), n_row))
+    rows = F.array(F.when(in_h & ~F.coalesce(never_valid, F.lit(False)), h_row), F.when(in_n & (~in_h | changed), n_row))
     current = j.select(F.inline(F.filter(rows, lambda r: r.isNotNull())))
     return closed.select(*data_cols, *META).unionByName(current)
 

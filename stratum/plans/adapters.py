@@ -175,6 +175,34 @@ def match_catalogue(part: DataFrame) -> DataFrame:
     )
 
 
+def search_films(part: DataFrame) -> DataFrame:
+    """Films to search for: titles of two names and a brand, some without the
+    brand, one in eleven of words that no title has; some without a year."""
+    k = F.col("p_partkey")
+    title = (F.when(k % 97 == 0, F.lit("...")).when(k % 11 == 0, F.concat(F.lit("Unheard of "), k.cast("string")))
+             .when(k % 7 == 0, F.initcap("p_name")).otherwise(F.concat("p_name", F.lit(" "), "p_brand")))
+    return part.select(
+        _uri(k).alias("letterboxd_uri"), title.alias("movie_title"),
+        F.when(k % 9 == 0, F.lit(None)).otherwise(F.lit(1950) + F.col("p_size")).cast("int").alias("movie_year"))
+
+
+def search_catalogue(part: DataFrame) -> DataFrame:
+    """Catalogue entries whose titles hold the same words with accents, hyphens
+    or apostrophes, in another order or in capitals; two editions of some."""
+    k = F.col("p_partkey")
+    plain = F.concat("p_name", F.lit(" "), "p_brand")
+    variant = (F.when(k % 5 == 0, F.translate(plain, "aeiou", "áèîöú"))
+               .when(k % 5 == 1, F.translate(plain, " ", "-"))
+               .when(k % 5 == 2, F.concat("p_brand", F.lit(": the "), "p_name"))
+               .when(k % 5 == 3, F.concat(F.upper(plain), F.lit("!")))
+               .otherwise(F.regexp_replace(plain, "r", "r'")))
+    year = F.lit(1950) + F.col("p_size") + (k % 7) - 3
+    return part.select(
+        k.alias("tmdb_id"), F.when(k % 101 != 0, variant).alias("title"),
+        F.when(k % 19 == 0, F.lit(None).cast("string")).otherwise(F.concat(year.cast("string"), F.lit("-06-15"))).alias("release_date"),
+        F.floor("p_retailprice").alias("popularity"))
+
+
 def catalogue_details(part: DataFrame) -> DataFrame:
     """Catalogue detail payloads (JSON text) of every part: some cut off, some
     with fractional or very large numbers, some without genres."""

@@ -78,6 +78,26 @@ def uri_regex() -> str:
     return next(r["regex"] for r in expectation_rules(FACT_DIARY_ENTRIES_RULES) if r["kind"] == "regex")
 
 
+# The tests of the Silver tables that staging reads.
+SOURCE_TESTS = """
+sources:
+  - name: silver_staging
+    tables:
+      - name: src_silver_movies
+        columns:
+          - {name: letterboxd_uri, tests: [not_null, unique]}
+          - name: enrichment_status
+            tests: [not_null, accepted_values: {values: [SUCCESS, FUZZY_MATCH, NOT_FOUND, ERROR]}]
+      - name: src_silver_diary_entries
+        columns:
+          - {name: letterboxd_uri, tests: [not_null]}
+          - {name: watched_date, tests: [not_null]}
+      - name: src_silver_ratings
+        columns:
+          - {name: letterboxd_uri, tests: [not_null]}
+          - {name: my_rating, tests: [not_null]}
+"""
+
 # The model tests of the staging views and Gold tables.
 MODEL_TESTS = """
 models:

@@ -118,13 +118,15 @@ def build_silver(spark: SparkSession, root: str, catalogue: DataFrame, details:
             {"my_rating": "s.my_rating", "_silver_updated_at": "s._silver_updated_at"},
             RATINGS_UPDATE_WHEN, check_unique=False),
     }
-    for name, df in out.items():
-        quality.assert_table(df, "letterboxd_uri", f"silver_{name}")
-    quality.assert_enrichment_rate(out["movies"], min_match_rate)
-    audit = reports.audit_record(out["movies"], out["diary_entries"], out["ratings"], batch,
-                                 run_ts, run_mode, date)
-    tables.append_table(audit, f"{silver}/_audit_log")
-    out["audit"] = spark.read.parquet(f"{silver}/_audit_log")
+    # One aggregate for each table: the assertions' and the audit's counts.
+    counts = {name: quality.assert_table(df, "letterboxd_uri", f"silver_{name}",
+                                         reports.status_metrics() if name == "movies" else [])
+              for name, df in out.items()}
+    quality.assert_rate(counts["movies"]["tmdb_success"], counts["movies"]["n_rows"], min_match_rate)
+    audit = reports.audit_record({"n": counts["movies"]["n_rows"], **counts["movies"]}, counts["diary_entries"]["n_rows"],
+                                 counts["ratings"]["n_rows"], batch, run_ts, run_mode, date)
+    # A run repeated under the same stamp replaces its record.
+    out["audit"] = tables.write_run(audit, f"{silver}/_audit_log", run_ts)
     return out
 
 
@@ -132,25 +134,35 @@ SILVER_EXPORTS = {"movies": "src_silver_movies", "diary_entries": "src_silver_di
                   "ratings": "src_silver_ratings"}
 
 
-def export_silver(spark: SparkSession, root: str, sink_root: str) -> DataFrame:
+def export_silver(spark: SparkSession, root: str, sink_root: str | None = None, database: str | None = None) -> DataFrame:
     """Silver -> warehouse staging: full replace of each sink table, then a
     count reconciliation (one row per table; source and sink counts are
-    scalar subqueries, read lazily)."""
+    scalar subqueries, read lazily). The sinks are Parquet folders under
+    ``sink_root``, or tables of the catalog's ``database`` (whose files lie
+    under ``sink_root`` if that is given too, else in the warehouse)."""
     from functools import reduce
     parts = []
     for name, sink in SILVER_EXPORTS.items():
         src = tables.read_table(spark, f"{root}/silver/{name}")
-        out = tables.export_table(src, f"{sink_root}/{sink}")
+        out = (tables.export_to_catalog(src, f"{database}.{sink}", sink_root and f"{sink_root}/{sink}") if database
+               else tables.export_table(src, f"{sink_root}/{sink}"))
         parts.append(tables.reconcile(src, out, sink))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def build_gold(spark: SparkSession, root: str, run_ts: str) -> dict[str, DataFrame]:
-    """Entry point C: Silver -> Gold (snapshot, dimensions, bridge, facts, DQ)."""
+def build_gold(spark: SparkSession, root: str, run_ts: str, refresh_null_keys: bool = False,
+               gate_sources: bool = False) -> dict[str, DataFrame]:
+    """Entry point C: Silver -> Gold (snapshot, dimensions, bridge, facts, DQ).
+
+    ``refresh_null_keys`` gives facts without a film the key of a film that
+    has arrived since. The model tests stop the run; the tests of the Silver
+    tables do so only with ``gate_sources``, as staging drops the rows that
+    they name. A run repeated under the same stamp replaces its results."""
     silver, g = f"{root}/silver", f"{root}/gold"
-    stg_m = gold.stg_movies(tables.read_table(spark, f"{silver}/movies"))
-    stg_d = gold.stg_diary(tables.read_table(spark, f"{silver}/diary_entries"))
-    stg_r = gold.stg_ratings(tables.read_table(spark, f"{silver}/ratings"))
+    sources = {f"src_silver_{t}": tables.read_table(spark, f"{silver}/{t}") for t in ("movies", "diary_entries", "ratings")}
+    stg_m = gold.stg_movies(sources["src_silver_movies"])
+    stg_d = gold.stg_diary(sources["src_silver_diary_entries"])
+    stg_r = gold.stg_ratings(sources["src_silver_ratings"])
 
     # Snapshot history: closed versions are append-only; a run rewrites the
     # open versions and adds the ones it closes.
@@ -177,24 +189,35 @@ def build_gold(spark: SparkSession, root: str, run_ts: str) -> dict[str, DataFra
         facts[name] = tables.load_incremental_partitions(
             spark, f"{g}/{name}", built, key, [f"{date_col[:-5]}_month"], "_source_updated_at",
             keep_first=["_dbt_created_at"])
-    tables.append_table(quality.evaluate_all([
+        if refresh_null_keys:
+            facts[name] = tables.refresh_null_keys(
+                spark, f"{g}/{name}", movies, "letterboxd_uri", "movie_id", key, [f"{date_col[:-5]}_month"],
+                {"_dbt_updated_at": F.lit(run_ts).cast("timestamp")})
+    results = tables.write_run(quality.evaluate_all([
         ("dim_movie", movies, expectation_rules(contracts.DIM_MOVIE_RULES)),
         ("fact_diary_entries", facts["fact_diary_entries"],
          expectation_rules(contracts.FACT_DIARY_ENTRIES_RULES)),
         ("fact_ratings", facts["fact_ratings"], expectation_rules(contracts.FACT_RATINGS_RULES)),
-    ]).withColumn("run_id", F.lit(run_ts)), f"{g}/dq_results")
+    ]), f"{g}/dq_results", run_ts)
     models = {"stg_silver_movies": stg_m, "stg_silver_diary_entries": stg_d, "stg_silver_ratings": stg_r,
               "dim_date": dates, "dim_director": directors, "dim_genre": genres, "dim_movie": movies,
               "bridge_movie_genre": bridge, **facts}
     # The model tests gate the run; their results are kept either way.
     tests = tables.replace_table(model_tests(models), f"{g}/model_test_results")
-    quality.assert_rules(tests)
+    of_sources = tables.replace_table(source_tests(sources), f"{g}/source_test_results")
+    quality.assert_rules(tests.union(of_sources) if gate_sources else tests)
     return {"snapshot": snap, "dim_date": dates, "dim_director": directors, "dim_genre": genres,
             "dim_movie": movies, "bridge_movie_genre": bridge, **facts,
-            "dq_results": spark.read.parquet(f"{g}/dq_results"), "model_test_results": tests}
+            "dq_results": results, "model_test_results": tests, "source_test_results": of_sources}
 
 
 def model_tests(models: dict[str, DataFrame]) -> DataFrame:
     """One result row for every model test of the given tables."""
     rules = model_test_rules(contracts.MODEL_TESTS, models)
     return quality.evaluate_all([(name, models[name], rules[name]) for name in rules])
+
+
+def source_tests(sources: dict[str, DataFrame]) -> DataFrame:
+    """One result row for every test of the Silver tables, as staging finds them."""
+    rules = model_test_rules(contracts.SOURCE_TESTS)
+    return quality.evaluate_all([(name, sources[name], rules[name]) for name in rules])

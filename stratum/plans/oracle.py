@@ -291,6 +291,44 @@ matched AS (
   FROM t1 LEFT JOIN near USING (letterboxd_uri))"""
 
 
+def title_words(e: str) -> str:
+    folded = f"lower(regexp_replace(strip_accents({e}), '[''’]', '', 'g'))"
+    return f"list_sort(list_distinct(string_split(trim(regexp_replace({folded}, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')), ' ')))"
+
+
+SEARCH = with_(f"""films AS (
+  SELECT *, {title_words('title')} AS words FROM (
+    SELECT 'https://boxd.it/' || CAST(p_partkey AS VARCHAR) AS letterboxd_uri,
+      CASE WHEN p_partkey % 9 <> 0 THEN CAST(1950 + p_size AS INTEGER) END AS movie_year,
+      CASE WHEN p_partkey % 97 = 0 THEN '...' WHEN p_partkey % 11 = 0 THEN 'Unheard of ' || p_partkey
+           WHEN p_partkey % 7 = 0 THEN p_name ELSE p_name || ' ' || p_brand END AS title
+    FROM part) x)""", f"""entries AS (
+  SELECT *, {title_words('title')} AS words FROM (
+    SELECT p_partkey AS tmdb_id, floor(p_retailprice) AS popularity,
+      CASE WHEN p_partkey % 19 <> 0 THEN 1950 + p_size + (p_partkey % 7) - 3 END AS cat_year,
+      CASE p_partkey % 5 WHEN 0 THEN translate(p_name || ' ' || p_brand, 'aeiou', 'áèîöú')
+        WHEN 1 THEN replace(p_name || ' ' || p_brand, ' ', '-') WHEN 2 THEN p_brand || ': the ' || p_name
+        WHEN 3 THEN upper(p_name || ' ' || p_brand) || '!' ELSE replace(p_name || ' ' || p_brand, 'r', 'r''') END AS title
+    FROM part WHERE p_partkey % 101 <> 0) x)""", """titles AS (SELECT DISTINCT words FROM entries WHERE words[1] <> '')""",
+               """weights AS (
+  SELECT word, CAST(floor(1000 * ln(1.0 + (SELECT count(*) FROM titles) / count(*)::DOUBLE)) AS BIGINT) AS weight
+  FROM (SELECT unnest(words) AS word FROM titles) t GROUP BY word)""", """film_words AS (
+  SELECT words, word, coalesce(weight, (SELECT CAST(floor(1000 * ln(1.0 + count(*))) AS BIGINT) FROM titles)) AS weight
+  FROM (SELECT words, unnest(words) AS word FROM (SELECT DISTINCT words FROM films WHERE words[1] <> '')) t
+  LEFT JOIN weights USING (word))""", """cat_words AS (
+  SELECT words, word, weight FROM (SELECT words, unnest(words) AS word FROM titles) t JOIN weights USING (word))""",
+               """pairs AS (
+  SELECT film, words, shared * 1000000 // (x.total + y.total - shared) AS score
+  FROM (SELECT f.words AS film, c.words AS words, CAST(sum(f.weight) AS BIGINT) AS shared
+        FROM film_words f JOIN cat_words c USING (word) GROUP BY ALL) p
+  JOIN (SELECT words AS film, CAST(sum(weight) AS BIGINT) AS total FROM film_words GROUP BY 1) x USING (film)
+  JOIN (SELECT words, CAST(sum(weight) AS BIGINT) AS total FROM cat_words GROUP BY 1) y USING (words)
+  WHERE shared * 1000000 // (x.total + y.total - shared) >= 500000)""", """hits AS (
+  SELECT f.letterboxd_uri, f.movie_year, e.tmdb_id, e.cat_year, CAST(p.score AS BIGINT) AS score,
+    row_number() OVER (PARTITION BY f.letterboxd_uri ORDER BY score DESC, popularity DESC, e.tmdb_id) AS rank
+  FROM films f JOIN pairs p ON p.film = f.words JOIN entries e ON e.words = p.words)""")
+
+
 def _film_json_fields() -> dict[str, str]:
     director = ("CASE WHEN p_partkey % 5 <> 0 THEN {a} WHEN p_partkey % 7 <> 0 THEN {b} END")
     brand_no = "TRY_CAST(substr(p_brand, 7, 10) AS INTEGER)"
@@ -440,6 +478,9 @@ def _model_tests_sql() -> str:
 
     rows = []
     for table, src, filled, keys in (
+            ("src_silver_movies", "silver_movies", ["letterboxd_uri", "enrichment_status"], ["letterboxd_uri"]),
+            ("src_silver_diary_entries", "silver_diary", ["letterboxd_uri", "watched_date"], []),
+            ("src_silver_ratings", "silver_ratings", ["letterboxd_uri", "my_rating"], []),
             ("stg_silver_movies", "stg_movies", ["letterboxd_uri", "enrichment_status", "title"], ["letterboxd_uri"]),
             ("stg_silver_diary_entries", "stg_diary", ["letterboxd_uri", "watched_date"], []),
             ("stg_silver_ratings", "stg_ratings", ["letterboxd_uri", "my_rating"], []),
@@ -452,9 +493,10 @@ def _model_tests_sql() -> str:
             ("fact_diary_entries", "fact_diary", ["diary_entry_id", "watched_date_id"], ["diary_entry_id"]),
             ("fact_ratings", "fact_ratings", ["rating_id", "rating_date_id", "my_rating"], ["rating_id"])):
         rows += [not_null(table, src, c) for c in filled] + [unique(table, src, c) for c in keys]
-    rows.append(row("stg_silver_movies", "accepted_values(enrichment_status)", "count(*)",
-                    "count(*) FILTER (WHERE enrichment_status NOT IN "
-                    "('SUCCESS', 'FUZZY_MATCH', 'NOT_FOUND', 'ERROR'))") + " FROM stg_movies")
+    rows += [row(table, "accepted_values(enrichment_status)", "count(*)",
+                 "count(*) FILTER (WHERE enrichment_status NOT IN "
+                 "('SUCCESS', 'FUZZY_MATCH', 'NOT_FOUND', 'ERROR'))") + f" FROM {src}"
+             for table, src in (("src_silver_movies", "silver_movies"), ("stg_silver_movies", "stg_movies"))]
     rows += [related("dim_movie", "dim_movie", "director_id", "dim_director", "director_id"),
              related("bridge_movie_genre", "bridge", "movie_id", "dim_movie", "movie_id"),
              related("bridge_movie_genre", "bridge", "genre_id", "dim_genre", "genre_id"),
@@ -471,21 +513,21 @@ def build() -> dict[str, str]:
     q: dict[str, str] = {}
     gold = with_(*GOLD)
 
-    q["csv_string_scan"] = ("SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name, "
-                            "CAST(n_regionkey AS VARCHAR) AS n_regionkey FROM nation")
+    q["csv_string_scan"] = ("SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS user_id, "
+                            "event_type, props FROM events")
     q["missing_inputs"] = ("SELECT name FROM (VALUES ('diary.csv'), ('ratings.csv'), ('watched.csv'), "
                            "('reviews.csv'), ('watchlist.csv')) v(name) "
                            "WHERE name NOT IN (SELECT CASE event_type WHEN 'signup' THEN 'diary' "
                            "WHEN 'purchase' THEN 'ratings' WHEN 'view' THEN 'watched' ELSE event_type END "
                            "|| '.csv' FROM events)")
-    q["bronze_lineage"] = ("SELECT r_regionkey, r_name, '2024-01-31' AS _ingestion_date, "
-                           "'letterboxd' AS _source_system, 'region.csv' AS _source_file, "
-                           "'1.0.0' AS _pipeline_version FROM region")
+    q["bronze_lineage"] = ("SELECT o_orderkey, o_orderstatus, '2024-01-31' AS _ingestion_date, "
+                           "'letterboxd' AS _source_system, 'orders.csv' AS _source_file, "
+                           "'1.0.0' AS _pipeline_version FROM orders")
     q["ingest_summary"] = ("SELECT event_type || '.csv' AS file, count(*) AS n_rows FROM events GROUP BY 1")
     q["latest_partition"] = ("SELECT event_id, strftime(ts, '%Y-%m-%d') AS ingestion_date FROM events "
                              "WHERE strftime(ts, '%Y-%m-%d') = (SELECT max(strftime(ts, '%Y-%m-%d')) FROM events)")
     q["export_reconcile"] = ("SELECT 'orders' AS table_name, count(*) AS source_rows, count(*) AS sink_rows, "
-                             "TRUE AS matches FROM orders")
+                             "TRUE AS matches, TRUE AS same_columns FROM orders")
     q["schema_sync"] = ("SELECT p_partkey, p_name, p_type, CAST(NULL AS INTEGER) AS p_size, p_retailprice FROM part "
                         "WHERE p_partkey % 3 <> 0 UNION ALL "
                         "SELECT CASE WHEN p_partkey % 3 = 0 THEN p_partkey ELSE p_partkey + 1000000000 END, p_name, "
@@ -535,6 +577,18 @@ def build() -> dict[str, str]:
         "SELECT letterboxd_uri FROM catalog c WHERE NOT EXISTS (SELECT 1 FROM silver_movies m "
         "WHERE m.letterboxd_uri = c.letterboxd_uri AND m.enrichment_status = 'SUCCESS')")
     q["catalog_match"] = with_(MATCH) + "SELECT letterboxd_uri, tmdb_id, match_tier FROM matched"
+    q["catalog_match_ranked"] = SEARCH + (
+        "SELECT letterboxd_uri, CAST(rank AS INTEGER) AS rank, tmdb_id, score FROM hits WHERE rank <= 3")
+    q["catalog_match_fuzzy"] = SEARCH + """
+SELECT f.letterboxd_uri, CAST(coalesce(e.tmdb_id, n.tmdb_id) AS BIGINT) AS tmdb_id,
+  CASE WHEN e.tmdb_id IS NOT NULL THEN 'EXACT_YEAR' WHEN n.tmdb_id IS NOT NULL AND f.movie_year IS NULL THEN 'TITLE_ONLY'
+       WHEN n.tmdb_id IS NOT NULL THEN 'NEAR_YEAR' END AS match_tier
+FROM films f
+LEFT JOIN (SELECT letterboxd_uri, arg_min(tmdb_id, rank) AS tmdb_id FROM hits WHERE cat_year = movie_year GROUP BY 1) e
+  USING (letterboxd_uri)
+LEFT JOIN (SELECT letterboxd_uri, arg_min(tmdb_id, rank) AS tmdb_id FROM hits
+           WHERE rank <= 3 AND (movie_year IS NULL OR abs(cat_year - movie_year) <= 2) GROUP BY 1) n
+  USING (letterboxd_uri)"""
     q["match_status"] = with_(MATCH) + (
         ", st AS (SELECT m.letterboxd_uri, m.tmdb_id, p.*, CASE WHEN m.tmdb_id IS NULL THEN 'NOT_FOUND' "
         "WHEN m.tmdb_id % 13 = 0 THEN 'ERROR' "
@@ -596,6 +650,18 @@ SELECT '{RUN_TS}' AS pipeline_run_ts, 'incremental' AS run_mode, '2024-01-31' AS
     q["scd2_current"] = scd + "SELECT * FROM h2 WHERE valid_to IS NULL"
     q["scd2_as_of"] = scd + ("SELECT * FROM h2 WHERE valid_from <= TIMESTAMP '2024-01-15' "
                              "AND (valid_to IS NULL OR TIMESTAMP '2024-01-15' < valid_to)")
+    q["stored_scd2"] = f"""
+WITH last AS (
+  SELECT *, CASE WHEN c_custkey % 21 = 0 THEN more + 1 ELSE more END AS value FROM (
+    SELECT *, CASE WHEN c_custkey % 5 = 0 THEN once + 10 ELSE once END AS more FROM (
+      SELECT *, CASE WHEN c_custkey % 7 = 0 THEN c_acctbal + 100 ELSE c_acctbal END AS once FROM customer) a) b)
+SELECT c_custkey, c_name, c_acctbal, TIMESTAMP '{PREV_TS}' AS valid_from,
+  CASE WHEN c_custkey % 7 = 0 OR c_custkey % 5 = 0 THEN TIMESTAMP '{RUN_TS}' END AS valid_to,
+  md5(CAST(c_custkey AS VARCHAR) || '|' || '{PREV_TS}') AS scd_id
+FROM last WHERE c_custkey % 11 <> 0
+UNION ALL
+SELECT c_custkey, c_name, value, TIMESTAMP '{RUN_TS}', NULL, md5(CAST(c_custkey AS VARCHAR) || '|' || '{RUN_TS}')
+FROM last WHERE c_custkey % 11 = 0 OR c_custkey % 7 = 0 OR c_custkey % 5 = 0"""
     q["incremental_fact"] = f"""
 SELECT {sk('o_orderkey')} AS fact_id, o_orderkey,
   CASE WHEN o_orderdate < TIMESTAMP '1998-01-01' AND o_orderkey % 10 = 0 THEN o_totalprice + 1
@@ -620,6 +686,10 @@ FROM (SELECT DISTINCT CAST(d AS DATE) AS d FROM (
     q["bridge_movie_genre"] = gold + "SELECT * FROM bridge"
     q["fact_diary"] = gold + "SELECT * FROM fact_diary"
     q["fact_ratings"] = gold + "SELECT * FROM fact_ratings"
+    q["stored_fact_late_films"] = gold + (
+        "SELECT diary_entry_id, movie_id, letterboxd_uri, watched_date, "
+        "CAST(date_trunc('month', watched_date) AS DATE) AS month, "
+        "movie_id IS NOT NULL AND regexp_matches(letterboxd_uri, '[147]$') AS repaired FROM fact_diary")
 
     q["dq_not_null"] = gold + _dq_rows([
         _rule_row("fact_ratings", "not_null(rating_id)", "count(*)",

@@ -18,7 +18,8 @@ from ..functions.columns import (flag_tokens, normalize_title,
                                  split_tags, surrogate_key)
 from ..functions.json import (DETAILS_SCHEMA, first_director, genre_names, number,
                               parse_payload, zero_to_null)
-from ..operators import match, merge, quality, scd
+from ..functions.columns import year_prefix
+from ..operators import match, merge, quality, scd, search
 from ..operators.clean import (clean_diary, clean_ratings, clean_watched,
                                dedup_latest)
 from ..session import scratch_path
@@ -27,7 +28,7 @@ from ..sources.rules import expectation_rules
 from . import adapters as A
 from . import contracts, gold, reports
 from .medallion import (DIARY_UPDATE_WHEN, MOVIE_UPDATE_COLUMNS, MOVIE_UPDATE_WHEN,
-                        RATINGS_UPDATE_WHEN, model_tests)
+                        RATINGS_UPDATE_WHEN, model_tests, source_tests)
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,18 +69,33 @@ def silver_movies(spark, sf):
 
 class GoldTables:
     """The Gold star schema, each table built on first use (lazy), in
-    dependency order. Queries only pay for the tables they touch."""
+    dependency order. Queries only pay for the tables they touch. With
+    ``written`` each is written once, as the layer run does, so that tables
+    and queries built on it do not compute it again."""
 
-    def __init__(self, spark, sf):
-        self.spark, self.sf, self._built = spark, sf, {}
+    def __init__(self, spark, sf, written=False):
+        self.spark, self.sf, self.written, self._built = spark, sf, written, {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._built:
-            self._built[name] = getattr(self, f"_{name}")()
+            df = getattr(self, f"_{name}")()
+            self._built[name] = tables.replace_table(df, scratch_path(self.spark, name)) if self.written else df
         return self._built[name]
 
+    def _silver_movies(self):
+        return silver_movies(self.spark, self.sf)
+
+    def _silver_diary(self):
+        return silver_diary(self.spark, self.sf)
+
+    def _silver_ratings(self):
+        return silver_ratings(self.spark, self.sf)
+
+    def _dim_date(self):
+        return gold.dim_date(self.spark)
+
     def _stg_movies(self):
-        return gold.stg_movies(silver_movies(self.spark, self.sf))
+        return gold.stg_movies(self["silver_movies"])
 
     def _snapshot(self):
         return gold.snap_dim_movie(None, self["stg_movies"], A.PREVIOUS_RUN_TS)
@@ -97,13 +113,13 @@ class GoldTables:
         return gold.bridge_movie_genre(self["dim_movie"], self["dim_genre"])
 
     def _dates(self):
-        return gold.date_lookup(self.spark)
+        return gold.date_lookup(self.spark, self["dim_date"])
 
     def _stg_diary(self):
-        return gold.stg_diary(silver_diary(self.spark, self.sf))
+        return gold.stg_diary(self["silver_diary"])
 
     def _stg_ratings(self):
-        return gold.stg_ratings(silver_ratings(self.spark, self.sf))
+        return gold.stg_ratings(self["silver_ratings"])
 
     def _fact_diary(self):
         return gold.fact_diary_entries(self["stg_diary"], self["dim_movie"], self["dates"])
@@ -112,9 +128,9 @@ class GoldTables:
         return gold.fact_ratings(self["stg_ratings"], self["dim_movie"], self["dates"])
 
 
-def gold_tables(spark, sf) -> GoldTables:
+def gold_tables(spark, sf, written=False) -> GoldTables:
     """The Gold star schema for the driver tables (lazy mapping)."""
-    return GoldTables(spark, sf)
+    return GoldTables(spark, sf, written)
 
 
 def _no_stamps(df: DataFrame) -> DataFrame:
@@ -128,9 +144,9 @@ def _no_stamps(df: DataFrame) -> DataFrame:
 
 @query("csv_string_scan")
 def q_csv_string_scan(spark, sf):
-    path = scratch_path(spark, "nation-csv")
-    _t(spark, sf, "nation").write.option("header", "true").csv(path)
-    return files.read_csv_strings(spark, path).select("n_nationkey", "n_name", "n_regionkey")
+    path = scratch_path(spark, "events-csv")
+    _t(spark, sf, "events").select("event_id", "user_id", "event_type", "props").write.option("header", "true").csv(path)
+    return files.read_csv_strings(spark, path).select("event_id", "user_id", "event_type", "props")
 
 
 @query("missing_inputs")
@@ -145,8 +161,8 @@ def q_missing_inputs(spark, sf):
 
 @query("bronze_lineage")
 def q_bronze_lineage(spark, sf):
-    out = files.add_bronze_lineage(_t(spark, sf, "region"), A.INGESTION_DATE, "letterboxd",
-                                   "region.csv")
+    out = files.add_bronze_lineage(_t(spark, sf, "orders").select("o_orderkey", "o_orderstatus"), A.INGESTION_DATE,
+                                   "letterboxd", "orders.csv")
     return out.drop("_ingested_at")
 
 
@@ -170,11 +186,16 @@ def q_latest_partition(spark, sf):
     return files.read_bronze(spark, root).select("event_id", "ingestion_date")
 
 
+EXPORTED_ORDERS = "stratum_src_orders"
+
+
 @query("export_reconcile")
 def q_export_reconcile(spark, sf):
-    src = _t(spark, sf, "orders")
-    sink = tables.export_table(src, scratch_path(spark, "export-orders"))
-    return tables.reconcile(src, sink, "orders")
+    """Two exports to one catalog table; the second replaces the first, columns included."""
+    src, path = _t(spark, sf, "orders"), scratch_path(spark, "export-orders")
+    tables.export_to_catalog(src.select("o_orderkey", F.lit(1).alias("stale")), EXPORTED_ORDERS, path)
+    sink = tables.export_to_catalog(src, EXPORTED_ORDERS, path)
+    return tables.reconcile(src, sink, "orders").withColumn("same_columns", F.lit(sink.columns == src.columns))
 
 
 SHIFTED_KEY = 1_000_000_000
@@ -333,6 +354,21 @@ def q_catalog_match(spark, sf):
     return _matched(spark, sf).select("letterboxd_uri", "tmdb_id", "match_tier")
 
 
+def _searched(spark, sf):
+    part = _t(spark, sf, "part")
+    return A.search_films(part), search.Index(A.search_catalogue(part), year_prefix("release_date"))
+
+
+@query("catalog_match_ranked")
+def q_catalog_match_ranked(spark, sf):
+    return search.search_catalogue(*_searched(spark, sf)).select("letterboxd_uri", "rank", "tmdb_id", "score")
+
+
+@query("catalog_match_fuzzy")
+def q_catalog_match_fuzzy(spark, sf):
+    return search.match_ranked(*_searched(spark, sf)).select("letterboxd_uri", "tmdb_id", "match_tier")
+
+
 @query("match_status")
 def q_match_status(spark, sf):
     part = _t(spark, sf, "part")
@@ -365,10 +401,22 @@ def q_enrichment_rate(spark, sf):
 
 @query("audit_record")
 def q_audit_record(spark, sf):
-    movies = silver_movies(spark, sf)
-    processed = match.to_enrich(_catalog_union(spark, sf), movies)
-    return reports.audit_record(movies, silver_diary(spark, sf), silver_ratings(spark, sf),
-                                processed, A.RUN_TS, "incremental", A.INGESTION_DATE)
+    """Each Silver table is written once, its counts taken on the way; the films
+    to process follow from the written tables."""
+    def stage(label, df, *more):
+        return tables.staged(df, scratch_path(spark, label), F.count(F.lit(1)).alias("n"), *more)
+
+    movies, of_movies = stage("audit-movies", silver_movies(spark, sf).select(
+        "letterboxd_uri", "lb_movie_title", "lb_movie_year", "enrichment_status"), *reports.status_metrics())
+    diary, of_diary = stage("audit-diary", silver_diary(spark, sf).select(
+        "letterboxd_uri", "movie_title", "movie_year", F.col("watched_date").alias("sort_date")))
+    ratings, of_ratings = stage("audit-ratings", silver_ratings(spark, sf).select(
+        "letterboxd_uri", "movie_title", "movie_year", F.col("rating_date").alias("sort_date")))
+    watched = movies.select("letterboxd_uri", F.col("lb_movie_title").alias("movie_title"),
+                            F.col("lb_movie_year").alias("movie_year"), F.lit("2024-01-15").cast("date").alias("sort_date"))
+    processed = match.to_enrich(match.union_catalog([diary, ratings, watched]), movies)
+    return reports.audit_record(of_movies, of_diary["n"], of_ratings["n"], processed,
+                                A.RUN_TS, "incremental", A.INGESTION_DATE)
 
 
 @query("table_assertions")
@@ -529,6 +577,26 @@ def q_scd2_as_of(spark, sf):
     return _scd_out(scd.scd2_as_of(_scd_runs(spark, sf)[1], SCD_AS_OF))
 
 
+@query("stored_scd2")
+def q_stored_scd2(spark, sf):
+    """A stored history over three runs, the last two of one stamp: the third
+    run changes other customers, and some of the second run's again."""
+    c = _t(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
+    k = F.col("c_custkey")
+
+    def changed(*steps):
+        value = F.col("c_acctbal")
+        for when, by in steps:
+            value = F.when(when, value + by).otherwise(value)
+        return c.withColumn("c_acctbal", value)
+
+    path = scratch_path(spark, "stored-scd2")
+    for batch, stamp in ((c.filter(k % 11 != 0), A.PREVIOUS_RUN_TS), (changed((k % 7 == 0, 100)), A.RUN_TS),
+                         (changed((k % 7 == 0, 100), (k % 5 == 0, 10), (k % 21 == 0, 1)), A.RUN_TS)):
+        out = tables.snapshot_scd2(spark, path, batch, "c_custkey", SCD_CHECK, stamp)
+    return _scd_out(out)
+
+
 def _fact_batches(spark, sf, first=(), second=()):
     """Two builds of a fact over all orders, with extra columns each."""
     o = _t(spark, sf, "orders")
@@ -564,6 +632,25 @@ def q_stored_incremental_fact(spark, sf):
     return out
 
 
+@query("stored_fact_late_films")
+def q_stored_fact_late_films(spark, sf):
+    """Diary facts stored while a third of the films is missing; these arrive
+    later, and only facts without a film get its key and a new stamp."""
+    path = scratch_path(spark, "late-films")
+    films = gold_tables(spark, sf)["dim_movie"].select("letterboxd_uri", "movie_id")
+    late = F.col("letterboxd_uri").rlike("[147]$")
+    facts = gold.fact_diary_entries(gold_tables(spark, sf)["stg_diary"], films.filter(~late),
+                                    gold.date_lookup(spark), A.PREVIOUS_RUN_TS)
+    tables.load_incremental_partitions(spark, path, facts.withColumn("month", F.trunc("watched_date", "month")),
+                                       "diary_entry_id", ["month"], "_source_updated_at")
+    # The later lookup gives another key to films that were known: their facts keep the first one.
+    later = films.withColumn("movie_id", F.when(late, F.col("movie_id")).otherwise(F.lit("changed")))
+    out = tables.refresh_null_keys(spark, path, later, "letterboxd_uri", "movie_id", "diary_entry_id", ["month"],
+                                   {"_dbt_updated_at": F.lit(A.RUN_TS).cast("timestamp")})
+    return out.select("diary_entry_id", "movie_id", "letterboxd_uri", "watched_date", "month",
+                      (F.col("_dbt_updated_at") == F.lit(A.RUN_TS).cast("timestamp")).alias("repaired"))
+
+
 # ------------------------------------------------------------ gold models
 
 
@@ -647,7 +734,7 @@ def q_dq_relationships(spark, sf):
     labels = _t(spark, sf, "labels")
     orphaned = labels.withColumn("doc_id", F.when(F.col("doc_id") % 10 == 3, F.col("doc_id") + 1_000_000_000)
                                  .otherwise(F.col("doc_id")))
-    g = gold_tables(spark, sf)
+    g = gold_tables(spark, sf, written=True)
     return _dq_out(quality.evaluate_all([
         ("labels", orphaned, [{"kind": "relationship", "column": "doc_id",
                                "parent": _t(spark, sf, "documents")}]),
@@ -659,7 +746,7 @@ def q_dq_relationships(spark, sf):
 
 @query("dq_range")
 def q_dq_range(spark, sf):
-    g = gold_tables(spark, sf)
+    g = gold_tables(spark, sf, written=True)
     return _dq_out(quality.evaluate_all([
         ("fact_ratings", g["fact_ratings"],
          [{"kind": "range", "column": "my_rating", **contracts.rating_bounds()}]),
@@ -686,7 +773,7 @@ def q_dq_regex(spark, sf):
 
 @query("dq_row_condition")
 def q_dq_row_condition(spark, sf):
-    g = gold_tables(spark, sf)
+    g = gold_tables(spark, sf, written=True)
     return _dq_out(quality.evaluate_all([
         ("fact_diary_entries", g["fact_diary"],
          [{"kind": "row_condition", "column": "watched_date",
@@ -698,7 +785,7 @@ def q_dq_row_condition(spark, sf):
 
 
 def contract_results(spark, sf) -> DataFrame:
-    g = gold_tables(spark, sf)
+    g = gold_tables(spark, sf, written=True)
     return quality.evaluate_all([
         ("dim_movie", g["dim_movie"], expectation_rules(contracts.DIM_MOVIE_RULES)),
         ("fact_diary_entries", g["fact_diary"], expectation_rules(contracts.FACT_DIARY_ENTRIES_RULES)),
@@ -714,25 +801,25 @@ def q_dq_contract_report(spark, sf):
 
 @query("dq_model_tests")
 def q_dq_model_tests(spark, sf):
-    g = gold_tables(spark, sf)
-    stg_d, stg_r = g["stg_diary"], g["stg_ratings"]
-    return model_tests({
-        "stg_silver_movies": g["stg_movies"], "stg_silver_diary_entries": stg_d, "stg_silver_ratings": stg_r,
-        "dim_date": gold.dim_date(spark), "dim_director": g["dim_director"], "dim_genre": g["dim_genre"],
+    g = gold_tables(spark, sf, written=True)
+    of_sources = source_tests({"src_silver_movies": g["silver_movies"], "src_silver_diary_entries": g["silver_diary"],
+                               "src_silver_ratings": g["silver_ratings"]})
+    return of_sources.unionAll(model_tests({
+        "stg_silver_movies": g["stg_movies"], "stg_silver_diary_entries": g["stg_diary"], "stg_silver_ratings": g["stg_ratings"],
+        "dim_date": g["dim_date"], "dim_director": g["dim_director"], "dim_genre": g["dim_genre"],
         "dim_movie": g["dim_movie"], "bridge_movie_genre": g["bridge"], "fact_diary_entries": g["fact_diary"],
-        "fact_ratings": g["fact_ratings"]}).select("table_name", "rule", "total", "failed", "ok")
+        "fact_ratings": g["fact_ratings"]})).select("table_name", "rule", "total", "failed", "ok")
 
 
 @query("dq_scorecard")
 def q_dq_scorecard(spark, sf):
-    # A results history of two runs, as the layer run appends it.
+    """A results history of two runs, the second written twice: it counts once."""
     path = scratch_path(spark, "results-history")
-    tables.append_table(contract_results(spark, sf).withColumn("run_id", F.lit(A.PREVIOUS_RUN_TS)), path)
-    first = spark.read.parquet(path)
-    second = scratch_path(spark, "results-of-run")
-    tables.append_table(first.withColumn("run_id", F.lit(A.RUN_TS)), second)
-    tables.append_table(spark.read.parquet(second), path)
-    return quality.scorecard(spark.read.parquet(path)).select(
+    tables.write_run(contract_results(spark, sf), path, A.PREVIOUS_RUN_TS)
+    for _ in range(2):
+        history = tables.write_run(
+            tables.read_runs(spark, path).filter(F.col("run_id") == A.PREVIOUS_RUN_TS), path, A.RUN_TS)
+    return quality.scorecard(history).select(
         "table_name", "dimension", "run_id", "total", "passed", "score", "is_perfect")
 
 
@@ -742,7 +829,8 @@ def q_dq_scorecard(spark, sf):
 @query("kpi_global")
 def q_kpi_global(spark, sf):
     g = gold_tables(spark, sf)
-    return reports.kpi_global(g["fact_diary"], g["dim_movie"], silver_movies(spark, sf))
+    # the films seen and their ratings are staging's; film and date keys are not part of the answer
+    return reports.kpi_global(g["stg_diary"], g["dim_movie"], g["silver_movies"])
 
 
 @query("timeline_month")

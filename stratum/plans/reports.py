@@ -8,7 +8,7 @@ table and not a cross join.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.quality import enrichment_rate
@@ -20,34 +20,32 @@ def status_counts(movies: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n"))
 
 
-def audit_record(movies: DataFrame, diary: DataFrame, ratings: DataFrame,
-                 processed: DataFrame, run_ts: str, run_mode: str,
-                 bronze_partition: str, job_status: str = "SUCCESS") -> DataFrame:
-    """One run-audit row. Counts default to 0 on an empty run.
+#: The audit record's columns for films by status.
+AUDIT_STATUSES = {"tmdb_success": "SUCCESS", "tmdb_fuzzy_match": "FUZZY_MATCH", "tmdb_not_found": "NOT_FOUND",
+                  "tmdb_error": "ERROR"}
 
-    The film table is read once (all status counts in one aggregate); the
-    other tables contribute one scalar-subquery count each.
-    """
-    def count_of(df: DataFrame):
-        return df.select(F.count(F.lit(1))).scalar()
-
-    def status_n(s: str):
-        return F.count_if(F.col("enrichment_status") == s)
-
-    stats = movies.agg(F.count(F.lit(1)).alias("silver_movies_total"),
-                       status_n("SUCCESS").alias("tmdb_success"),
-                       status_n("FUZZY_MATCH").alias("tmdb_fuzzy_match"),
-                       status_n("NOT_FOUND").alias("tmdb_not_found"),
-                       status_n("ERROR").alias("tmdb_error"))
-    return stats.select(
+
+def status_metrics() -> list[Column]:
+    """Films by status, to be observed while the film table is written."""
+    return [F.count_if(F.col("enrichment_status") == s).alias(c) for c, s in AUDIT_STATUSES.items()]
+
+
+def audit_record(movies: dict, diary_total: int, ratings_total: int, processed: DataFrame, run_ts: str,
+                 run_mode: str, bronze_partition: str, job_status: str = "SUCCESS") -> DataFrame:
+    """One run-audit row from counts taken while the Silver tables were
+    written (``movies``: total ``n`` and the counts of :func:`status_metrics`),
+    so no table is read for them. Counts default to 0 on an empty run; the
+    processed films are counted here."""
+    number = lambda n: F.lit(int(n or 0)).cast("bigint")
+    return processed.agg(F.count(F.lit(1)).alias("movies_processed")).select(
         F.lit(run_ts).alias("pipeline_run_ts"),
         F.lit(run_mode).alias("run_mode"),
         F.lit(bronze_partition).alias("bronze_partition"),
-        count_of(processed).alias("movies_processed"),
-        "silver_movies_total",
-        count_of(diary).alias("silver_diary_total"),
-        count_of(ratings).alias("silver_ratings_total"),
-        "tmdb_success", "tmdb_fuzzy_match", "tmdb_not_found", "tmdb_error",
+        "movies_processed",
+        number(movies.get("n")).alias("silver_movies_total"),
+        number(diary_total).alias("silver_diary_total"),
+        number(ratings_total).alias("silver_ratings_total"),
+        *[number(movies.get(c)).alias(c) for c in AUDIT_STATUSES],
         F.lit(job_status).alias("job_status"),
     )
 

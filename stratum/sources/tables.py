@@ -13,6 +13,7 @@ deleted. On an object store, where a rename copies every file, use Delta.
 
 from __future__ import annotations
 
+import re
 import time
 import uuid
 from collections.abc import Mapping, Sequence
@@ -21,9 +22,11 @@ from functools import reduce
 from pyspark.errors import PySparkAssertionError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from ..operators.merge import incremental_merge, merge_upsert, sync_columns
+from ..operators.merge import incremental_merge, merge_upsert
 from .files import _fs, list_entries, path_exists
+from .schema import TableSchema, store_schema, stored_schema
 
 HIVE_NULL = "__HIVE_DEFAULT_PARTITION__"
 
@@ -32,10 +35,23 @@ class RecoveryError(RuntimeError):
     """A table's folder is missing and its copies do not say which one is current."""
 
 
+class DeltaTableError(RuntimeError):
+    """A path holds a Delta table, which plain Parquet writes would damage."""
+
+
 def is_delta(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, f"{path.rstrip('/')}/_delta_log")
 
 
+def _writable(spark: SparkSession, path: str) -> str:
+    """``path`` without its last slash; Delta tables are read but never written
+    here: files beside their log would be lost to its readers, or hide it."""
+    path = path.rstrip("/")
+    if is_delta(spark, path):
+        raise DeltaTableError(f"{path} is a Delta table; use its own MERGE or overwrite")
+    return path
+
+
 def _beside(path: str, label: str) -> str:
     """A fresh folder beside the table; the names sort in write order."""
     return f"{path.rstrip('/')}.__{label}-{time.time_ns():020d}-{uuid.uuid4().hex}"
@@ -91,10 +107,13 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Read a keyed table (Delta if present, else Parquet)."""
+    """Read a keyed table (Delta if present, else Parquet, in the schema
+    kept with the table if there is one)."""
     recover(spark, path)
-    fmt = "delta" if is_delta(spark, path) else "parquet"
-    return spark.read.format(fmt).load(path)
+    if is_delta(spark, path):
+        return spark.read.format("delta").load(path)
+    schema = stored_schema(spark, path)
+    return schema.read(spark.read.schema(schema.physical).parquet(path)) if schema else spark.read.parquet(path)
 
 
 def _clustered(df: DataFrame, parts: Sequence[str]) -> DataFrame:
@@ -112,7 +131,7 @@ def replace_table(df: DataFrame, path: str, partition_cols: Sequence[str] = ())
     directory is deleted only after both renames succeeded.
     """
     spark = df.sparkSession
-    path = path.rstrip("/")
+    path = _writable(spark, path)
     staged = _beside(path, "new")
     _clustered(df, partition_cols).write.mode("errorifexists").partitionBy(*partition_cols).parquet(staged)
     if path_exists(spark, path):
@@ -127,7 +146,33 @@ def replace_table(df: DataFrame, path: str, partition_cols: Sequence[str] = ())
 
 def append_table(df: DataFrame, path: str) -> None:
     """Append rows (audit log)."""
-    df.write.mode("append").parquet(path)
+    df.write.mode("append").parquet(_writable(df.sparkSession, path))
+
+
+def write_run(df: DataFrame, path: str, run_id: str) -> DataFrame:
+    """S11 by run: the rows of ``run_id`` in a table of many runs. Writing a run
+    again replaces its own rows only, so a repeated run leaves one record.
+    ``df`` may hold a ``run_id`` column; it is set to ``run_id``."""
+    spark = df.sparkSession
+    path = _writable(spark, path)
+    df = df.withColumn("run_id", F.lit(run_id).cast("string"))
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path))
+    return read_runs(spark, path)
+
+
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    """A table written by :func:`write_run`; ``run_id`` is text whatever it looks like."""
+    found = spark.read.parquet(path).schema
+    text = StructType([StructField(f.name, StringType()) if f.name == "run_id" else f for f in found.fields])
+    return spark.read.schema(text).parquet(path)
+
+
+def staged(df: DataFrame, path: str, *metrics) -> tuple[DataFrame, dict]:
+    """``df`` written to ``path`` and read back, with aggregates over its rows
+    taken in the same pass (0 rows: as the aggregates say for none)."""
+    seen = Observation(f"stratum_{uuid.uuid4().hex}")
+    df.observe(seen, *metrics).write.mode("errorifexists").parquet(_writable(df.sparkSession, path))
+    return df.sparkSession.read.schema(df.schema).parquet(path), seen.get
 
 
 def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],
@@ -136,6 +181,7 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequen
     """S9 + M1–M3: create the table on the first run, MERGE afterwards.
     ``check_unique=False`` skips the duplicate-key check for sources that are
     unique by construction (deduplicated on the merge keys)."""
+    path = _writable(spark, path)
     if not table_exists(spark, path):
         source.write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
@@ -164,7 +210,7 @@ def _touched(target: DataFrame, batch: DataFrame, parts: Sequence[str]) -> DataF
 
     The batch's partition values (one for each folder it writes, which the
     driver lists anyway) become a static partition filter, whatever their
-    number; with several partition columns a join narrows the column-wise
+    number: partition columns are those that make folders, such as months; with several partition columns a join narrows the column-wise
     filter to the exact combinations."""
     values = batch.select(*parts).distinct()
     rows = values.collect()
@@ -193,7 +239,7 @@ def rewrite_partitions(spark: SparkSession, path: str, source: DataFrame,
     The first run writes the source as the table. ``observe`` is an optional
     ``(Observation, Column)`` evaluated over the rows written, in the same pass.
     """
-    parts = list(partition_cols)
+    parts, path = list(partition_cols), _writable(spark, path)
 
     def watched(df: DataFrame) -> DataFrame:
         return df.observe(observe[0], observe[1]) if observe else df
@@ -210,9 +256,11 @@ def rewrite_partitions(spark: SparkSession, path: str, source: DataFrame,
         target = target.select(*[F.col(f.name).cast(source.schema[f.name].dataType).alias(f.name)
                                  if f.name in parts else F.col(f.name) for f in target.schema.fields])
         merged = watched(combine(_touched(target, batch, parts), batch)).select(*target.columns)
-        (_clustered(merged, parts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        schema = stored_schema(spark, path)
+        files = schema.write(merged) if schema else merged
+        (_clustered(files, parts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*parts).parquet(path))
-        return spark.read.schema(merged.schema).parquet(path)
+        return read_table(spark, path) if schema else spark.read.schema(merged.schema).parquet(path)
     finally:
         _delete(spark, batch_dir)
 
@@ -231,6 +279,28 @@ def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, keys: S
     return rewrite_partitions(spark, path, source, partition_cols, combine)
 
 
+def refresh_null_keys(spark: SparkSession, path: str, lookup: DataFrame, on: str, fill: str,
+                      unique_key: Sequence[str] | str, partition_cols: Sequence[str],
+                      stamps: Mapping[str, object] | None = None) -> DataFrame:
+    """Fill the NULL ``fill`` keys of a stored fact whose dimension row
+    has arrived since (``lookup``: one row of ``on`` and ``fill`` for each value).
+
+    Rows with a NULL key are looked for by reading only the columns needed;
+    those found in ``lookup`` form the batch, and only partitions with such
+    rows are rewritten. Keys that are not NULL stay as they are. ``stamps``
+    sets columns of repaired rows."""
+    keys = [unique_key] if isinstance(unique_key, str) else list(unique_key)
+    stamps, path = dict(stamps or {}), _writable(spark, path)
+    facts = read_table(spark, path)
+    waiting = facts.filter(F.col(fill).isNull() & F.col(on).isNotNull()).select(*dict.fromkeys([*keys, *partition_cols, on]))
+    known = lookup.filter(F.col(fill).isNotNull()).select(on, fill)
+    found = waiting.join(known, on).select(*dict.fromkeys([*keys, *partition_cols]), fill).withColumns(stamps)
+
+    def combine(scoped: DataFrame, batch: DataFrame) -> DataFrame:
+        return merge_upsert(scoped, batch, keys, {c: f"s.{c}" for c in [fill, *stamps]}, insert=False)
+    return rewrite_partitions(spark, path, found, partition_cols, combine)
+
+
 WATERMARK_DIR = "_watermark"
 
 
@@ -261,21 +331,21 @@ def load_incremental_partitions(spark: SparkSession, path: str, built: DataFrame
     present, which the keyed replace absorbs.
 
     Columns are synchronised (S15): when ``built`` has other columns than the
-    table, the table is first rewritten once in the new schema (added columns
-    NULL, vanished ones dropped, partitions kept), so that all its files agree.
+    table, or other types, a new version of the schema kept with the table says
+    so before anything is written. Added columns read as NULL from older files
+    and dropped ones are not read; no partition but the batch's is touched.
     """
     kind = built.schema[stamp_col].dataType.simpleString()
-    old_mark = None
+    old_mark, path = None, _writable(spark, path)
     if table_exists(spark, path):
         stored = read_table(spark, path)
         old_mark = read_watermark(spark, path)
         if old_mark is None:     # table written before marks were kept
             old_mark = stored.select(F.max(stamp_col)).first()[0]
-        if {f.name: f.dataType for f in stored.schema.fields if f.name not in partition_cols} != \
-                {f.name: f.dataType for f in built.schema.fields if f.name not in partition_cols}:
-            replace_table(sync_columns(stored, built), path, partition_cols)
-            if old_mark is not None:
-                _write_watermark(spark, path, old_mark, kind)
+        own = StructType([built.schema[f.name] if f.name in partition_cols else f for f in stored.schema.fields])
+        schema = stored_schema(spark, path) or TableSchema.of(own, partition_cols)
+        if not schema.same_as(built.schema):
+            store_schema(spark, path, schema.evolved(built.schema))
         if old_mark is not None:
             built = built.filter(F.col(stamp_col) > F.lit(old_mark))
     obs = Observation("stratum_watermark")
@@ -305,13 +375,17 @@ def snapshot_scd2(spark: SparkSession, path: str, incoming: DataFrame, key: str,
     The history is partitioned by the run that closed a version
     (``_closed_run``; NULL = still open). A run reads the open partition only,
     applies the snapshot to it, and rewrites exactly two partitions: first the
-    one of this run's newly closed versions, then the open one. A run that
+    one of this run's closed versions, then the open one. A run that
     stops between the two leaves the closed versions still open beside their
     closed copies; running it again with the same ``run_ts`` finds the same
-    old open versions and repairs both. Versions closed by earlier runs are
-    never read or rewritten again. Returns the whole history.
+    old open versions and repairs both. A run repeated on other input keeps
+    the versions it closed before: they are merged with the new ones by
+    version id. Versions closed by other runs are never read or rewritten.
+    Returns the whole history.
     """
-    from ..operators.scd import VALID_TO, scd2_apply
+    from ..operators.scd import SCD_ID, VALID_TO, scd2_apply
+
+    path = _writable(spark, path)
 
     def tagged(df: DataFrame) -> DataFrame:
         return df.withColumn(CLOSED_RUN, F.date_format(F.col(VALID_TO), "yyyyMMddHHmmss").cast("string"))
@@ -323,6 +397,12 @@ def snapshot_scd2(spark: SparkSession, path: str, incoming: DataFrame, key: str,
     open_rows = history.filter(F.col(CLOSED_RUN).isNull()).drop(CLOSED_RUN)
     nxt = tagged(scd2_apply(open_rows, incoming, key, check_cols, run_ts,
                             invalidate_hard_deletes)).select(*history.columns)
+    # The partition of versions closed at this stamp, from an earlier call of the run.
+    label = re.sub(r"\D", "", run_ts)[:14].ljust(14, "0")
+    before = history.filter(F.col(CLOSED_RUN) == label)
+    if path_exists(spark, f"{path}/{CLOSED_RUN}={label}"):
+        closed = nxt.filter(F.col(CLOSED_RUN).isNotNull()).select(SCD_ID)
+        nxt = nxt.unionByName(before.join(closed, SCD_ID, "left_anti").select(*history.columns))
     staged = _beside(path, "scd")
     nxt.write.mode("errorifexists").partitionBy(CLOSED_RUN).parquet(staged)
     try:
@@ -345,10 +425,29 @@ def snapshot_scd2(spark: SparkSession, path: str, incoming: DataFrame, key: str,
 
 def export_table(df: DataFrame, sink_path: str) -> DataFrame:
     """Full replace of the sink with the source table."""
-    df.write.mode("overwrite").parquet(sink_path)
+    df.write.mode("overwrite").parquet(_writable(df.sparkSession, sink_path))
     return df.sparkSession.read.parquet(sink_path)
 
 
+def export_to_catalog(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Full replace of the catalog table ``name`` (schema and rows); created
+    if needed. The files lie in the session's warehouse, or under ``path``
+    (a fresh folder each time: the one before goes when the new table stands).
+    Returns the table as the catalog gives it back."""
+    spark = df.sparkSession
+    writer = df.write.mode("overwrite").format("parquet")
+    if path is None:
+        writer.saveAsTable(name)
+        return spark.table(name)
+    files = f"{path.rstrip('/')}/{uuid.uuid4().hex}"
+    known = spark.catalog.tableExists(name)
+    before = spark.sql(f"DESCRIBE FORMATTED {name}").filter("col_name = 'Location'").first() if known else None
+    writer.option("path", files).saveAsTable(name)
+    if before and before["data_type"].rsplit("/", 1)[0].endswith(path.rstrip("/").rsplit(":", 1)[-1]):
+        _delete(spark, before["data_type"])
+    return spark.table(name)
+
+
 def reconcile(source: DataFrame, sink: DataFrame, table_name: str) -> DataFrame:
     """Source vs sink row counts in one lazy row (scalar subqueries)."""
     spark = source.sparkSession
@@ -370,6 +469,7 @@ def materialize(df: DataFrame, kind: str, name: str, path: str | None = None,
         return spark.table(name)
     if path is None:
         raise ValueError("table and incremental materializations need a path")
+    path = _writable(spark, path)
     if kind == "table":
         return replace_table(df, path)
     if kind == "incremental":

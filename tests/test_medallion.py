@@ -99,3 +99,41 @@ def test_match_rate_gate_and_model_test_gate(spark, tmp_dir):
         medallion.build_gold(spark, root, "2024-02-01 00:00:00")
     results = spark.read.parquet(f"{root}/gold/model_test_results")
     assert [r.rule for r in results.filter("not ok").collect()] == ["accepted_values(enrichment_status)"]
+
+
+def test_a_repeated_run_leaves_one_record(spark, tmp_dir):
+    land, root = f"{tmp_dir}/landing", f"{tmp_dir}/lake"
+    landing(land)
+    medallion.land(spark, land, root, "2024-01-31")
+    cat, details = catalogue(spark)
+    ts = "2024-02-01 00:00:00"
+    for _ in range(2):
+        s = medallion.build_silver(spark, root, cat, details, ts, min_match_rate=0.5)
+        g = medallion.build_gold(spark, root, ts)
+    audit = s["audit"].collect()
+    assert [(r.run_id, r.silver_movies_total, r.silver_diary_total, r.silver_ratings_total, r.tmdb_success, r.tmdb_error)
+            for r in audit] == [(ts, 4, 3, 2, 2, 1)]
+    assert g["dq_results"].count() == 7 and g["dq_results"].select("run_id").distinct().count() == 1
+
+
+def test_late_films_and_source_tests(spark, tmp_dir):
+    land, root = f"{tmp_dir}/landing", f"{tmp_dir}/lake"
+    landing(land)
+    with open(f"{land}/diary.csv", "a") as f:
+        f.write("2024-01-09,Beta,1999,https://boxd.it/b,3,No,,\n")  # no watched date: staging drops it
+    medallion.land(spark, land, root, "2024-01-31")
+    cat, details = catalogue(spark)
+    medallion.build_silver(spark, root, cat.filter("title <> 'Beta'"), details, "2024-02-01 00:00:00", min_match_rate=0.2)
+    g = medallion.build_gold(spark, root, "2024-02-01 00:00:00")
+    beta = "letterboxd_uri = 'https://boxd.it/b'"
+    assert g["fact_diary_entries"].filter(beta).first().movie_id is None
+    failed = g["source_test_results"].filter("NOT ok").collect()
+    assert [(r.table_name, r.rule, r.failed) for r in failed] == [("src_silver_diary_entries", "not_null(watched_date)", 1)]
+    with pytest.raises(AssertionFailed, match="src_silver_diary_entries.not_null"):
+        medallion.build_gold(spark, root, "2024-02-01 00:00:00", gate_sources=True)
+    medallion.build_silver(spark, root, cat, details, "2024-02-02 00:00:00", min_match_rate=0.2)
+    g = medallion.build_gold(spark, root, "2024-02-02 00:00:00")
+    assert g["fact_diary_entries"].filter(beta).first().movie_id is None  # as the models do it: facts load once
+    g = medallion.build_gold(spark, root, "2024-02-03 00:00:00", refresh_null_keys=True)
+    movie = g["dim_movie"].filter(beta).first().movie_id
+    assert g["fact_diary_entries"].filter(beta).first().movie_id == movie is not None

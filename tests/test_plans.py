@@ -46,6 +46,15 @@ def test_inputs_are_scanned_once_per_side(spark, no_broadcast):
         assert len(re.findall("FileScan parquet", p)) == scans, name
 
 
+def test_rules_read_each_written_table_once_per_side(spark, no_broadcast):
+    """Ten models and three sources, whatever the number of rules; the audit row
+    needs the written tables only for the films still to enrich."""
+    for name, scans in (("dq_model_tests", 13), ("dq_contract_report", 3), ("dq_range", 3), ("kpi_global", 4), ("audit_record", 4)):
+        p = plan(REGISTRY[name](spark, SF_SMOKE))
+        found = len(re.findall("FileScan parquet", p))
+        assert found <= scans, (name, found)
+
+
 def test_dedup_limits_rows_before_the_shuffle(spark):
     for name in ("clean_diary", "dedup_composite", "catalog_match"):
         p = plan(E.queries()[name](spark, SF_SMOKE))

@@ -115,3 +115,35 @@ def test_rule_files_bounds_and_parents(spark):
     with _pytest.raises(KeyError, match="parent_table"):
         model_test_rules("models:\n  - name: t\n    columns:\n      - name: v\n        tests:\n"
                          "          - relationships: {to: ref('parent_table'), field: v}\n")
+
+
+def test_a_contract_scans_each_table_once(spark, tmp_dir):
+    import re
+    child = spark.createDataFrame([(1, 1, "x"), (1, 2, "x"), (2, 5, None), (None, 1, "y")], "id int, p int, s string")
+    child.write.parquet(f"{tmp_dir}/child")
+    spark.createDataFrame([(1,), (2,), (None,)], "p bigint").write.parquet(f"{tmp_dir}/parent")
+    child, parent = spark.read.parquet(f"{tmp_dir}/child"), spark.read.parquet(f"{tmp_dir}/parent")
+    result = Q.evaluate_all([
+        ("child", child, [{"kind": "unique", "column": "id"}, {"kind": "unique", "column": ["id", "s"]},
+                          {"kind": "unique", "column": "p", "where": "s = 'x'"},
+                          {"kind": "relationship", "column": "p", "parent": parent},
+                          {"kind": "not_null", "column": "s"}, {"kind": "not_null", "column": "id", "where": "p = 1"}]),
+        ("parent", parent, [{"kind": "unique", "column": "p"}, {"kind": "not_null", "column": "p"}])])
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall("FileScan parquet", plan)) == 2
+    got = [(r.table_name, r.rule, r.total, r.failed) for r in result.collect()]
+    assert sorted(got) == [
+        ("child", "not_null(id)", 2, 1), ("child", "not_null(s)", 4, 1), ("child", "relationship(p)", 4, 1),
+        ("child", "unique(id)", 4, 2), ("child", "unique(id,s)", 4, 2), ("child", "unique(p)", 2, 0),
+        ("parent", "not_null(p)", 3, 1), ("parent", "unique(p)", 3, 0)]
+
+
+def test_keys_of_different_types_and_empty_tables(spark):
+    child = spark.createDataFrame([(1.0, "1"), (2.5, "b"), (-0.0, None)], "d double, s string")
+    parent = spark.createDataFrame([(1, b"b"), (0, b"c")], "i int, raw binary")
+    got = {r.rule: (r.total, r.failed, r.ok) for r in Q.evaluate(child, "c", [
+        {"kind": "relationship", "column": "d", "parent": parent, "parent_column": "i", "name": "numbers"},
+        {"kind": "relationship", "column": "s", "parent": parent, "parent_column": "i", "name": "text"}]).collect()}
+    assert got == {"numbers": (3, 1, False), "text": (2, 1, False)}
+    rules = [{"kind": "unique", "column": "i"}, {"kind": "not_null", "column": "i"}, {"kind": "unique", "column": "raw"}]
+    assert [(r.total, r.failed, r.pass_ratio, r.ok) for r in Q.evaluate(parent.limit(0), "p", rules).collect()] == [(0, 0, None, True)] * 3

@@ -56,9 +56,12 @@ def test_scd2_hard_deletes(spark):
 
 def test_scd2_rejects_duplicate_keys(spark):
     import pytest
-    from stratum.operators.merge import MergeConflictError
-    with pytest.raises(MergeConflictError):
-        scd2_apply(None, snap(spark, [("a", 1.0, "x", "o"), ("a", 2.0, "x", "o")]), "k", ["a"], T1)
+    twice = snap(spark, [("a", 1.0, "x", "o"), ("a", 2.0, "x", "o")])
+    history = scd2_apply(None, snap(spark, [("b", 1.0, "x", "o")]), "k", ["a"], T1)
+    for before in (None, history):
+        out = scd2_apply(before, twice, "k", ["a"], T2)  # fails when it runs, not while the plan is built
+        with pytest.raises(Exception, match="duplicate merge keys"):
+            out.collect()
 
 
 def test_stored_history_is_append_only(spark, tmp_dir):
@@ -99,3 +102,16 @@ def test_stored_history_starts_empty(spark, tmp_dir):
     assert first.count() == 0 and not tables.table_exists(spark, path)
     second = tables.snapshot_scd2(spark, path, snap(spark, [("a", 1.0, "x", "o")]), "k", ["a"], T2)
     assert second.count() == 1
+
+
+def test_stored_history_of_a_repeated_run_keeps_what_it_closed(spark, tmp_dir):
+    from stratum.sources import tables
+    path = f"{tmp_dir}/again"
+    stored = None
+    for data, ts in (([("a", 1.0, "x", "o"), ("b", 1.0, "x", "o")], T1), ([("a", 2.0, "x", "o"), ("b", 1.0, "x", "o")], T2),
+                     ([("a", 2.0, "x", "o"), ("b", 2.0, "x", "o")], T2), ([("a", 3.0, "x", "o"), ("b", 2.0, "x", "o")], T2),
+                     ([("a", 3.0, "x", "o"), ("b", 2.0, "x", "o")], T2)):
+        stored = tables.snapshot_scd2(spark, path, snap(spark, data), "k", ["a"], ts)
+    got = sorted((r.k, r.a, str(r.dbt_valid_from), str(r.dbt_valid_to)) for r in stored.collect())
+    assert got == [("a", 1.0, T1, T2), ("a", 3.0, T2, "None"), ("b", 1.0, T1, T2), ("b", 2.0, T2, "None")]
+    assert stored.select("dbt_scd_id").distinct().count() == 4
