@@ -52,7 +52,7 @@ FILTER_BITS = 26
 #: Prefix buckets of the first word.
 FIRST_BITS = 14
 #: Bytes of text looked at together.
-CHUNK_BITS = 21
+CHUNK_BITS = 20
 CHUNK = 1 << CHUNK_BITS
 #: Parts that a lang's candidates are ranked in before they are ranked together.
 RANK_PARTS = 64
