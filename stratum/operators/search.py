@@ -87,6 +87,17 @@ class Index:
         self.unseen = weigh(F.lit(1))
         self.titles = _weighed(titles, self.weights, self.unseen)
 
+    def written(self, path: str) -> Index:
+        """The same index with its three tables written under ``path``, so that
+        searches read them instead of building them again."""
+        for name in ("entries", "weights", "titles"):
+            df: DataFrame = getattr(self, name)
+            df.write.mode("errorifexists").parquet(f"{path}/{name}")
+            setattr(self, name, df.sparkSession.read.schema(df.schema).parquet(f"{path}/{name}"))
+        n = self.titles.select(F.count(F.lit(1)).cast("double")).scalar()
+        self.unseen = F.floor(F.lit(UNIT) * F.ln(F.lit(1.0) + n)).cast("bigint")
+        return self
+
     def pairs(self, films: DataFrame) -> DataFrame:
         """(film, title, score): titles of films and titles of the catalogue
         that score at least ``min_score``. ``films`` has ``title`` and ``words``."""

@@ -356,7 +356,8 @@ def q_catalog_match(spark, sf):
 
 def _searched(spark, sf):
     part = _t(spark, sf, "part")
-    return A.search_films(part), search.Index(A.search_catalogue(part), year_prefix("release_date"))
+    index = search.Index(A.search_catalogue(part), year_prefix("release_date"))
+    return A.search_films(part), index.written(scratch_path(spark, "search-index"))
 
 
 @query("catalog_match_ranked")

@@ -67,5 +67,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh, never-reused folder under the shared directory."""
-    return f"{shared_dir(spark)}/stratum-scratch/{label}-{uuid.uuid4().hex}"
+    """A fresh, never-reused folder under the shared directory, in the
+    application's own scratch folder, which goes when the application ends."""
+    root = f"{shared_dir(spark)}/stratum-scratch/{spark.sparkContext.applicationId}"
+    at = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(at):
+        fs.mkdirs(at)
+        fs.deleteOnExit(at)
+    return f"{root}/{label}-{uuid.uuid4().hex}"

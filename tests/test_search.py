@@ -67,6 +67,12 @@ def test_punctuation_accents_and_order(spark):
     assert best == {"a": 1, "b": 2, "c": 3, "d": 4, "e": 10, "i": 1}
 
 
+def test_a_written_index_finds_the_same(spark, tmp_dir):
+    films, index = frames(spark, FILMS, CATALOGUE)
+    found = S.search_catalogue(films, index.written(f"{tmp_dir}/index")).collect()
+    assert sorted((r.letterboxd_uri, r["rank"], r.tmdb_id, r.score) for r in found) == brute(FILMS, CATALOGUE)
+
+
 def test_tiers(spark):
     got = {r.letterboxd_uri: (r.tmdb_id, r.match_tier) for r in S.match_ranked(*frames(spark, FILMS, CATALOGUE)).collect()}
     assert got["a"] == (1, S.TIER_EXACT) and got["b"] == (2, S.TIER_TITLE) and got["i"] == (6, S.TIER_NEAR)
