@@ -21,7 +21,8 @@ spanning forest, not its pairs.
 Defined cases: a row whose id, label or vector is null, or whose vector is
 empty, zero or holds null or non-finite components links with nothing and is
 its own component. Vectors of different lengths never link. Repeated rows are
-vectors of their own that link with each other. Other columns are ignored.
+vectors of their own that link with each other, and an id may come with several
+vectors: each is a row of its own. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, emit, keep_on_shared_storage
+from .common import connected_components, keep_on_shared_storage
 
 COSINE = 0.93
 TREES = 8
@@ -140,19 +141,17 @@ def _by_length(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch]]:
 
 
 def _nodes(rows: DataFrame) -> DataFrame:
-    """Distinct vectors of a label: (node, label, vector, copies, lowest)."""
+    """``rows`` with the name of their vector and label, equal for equal ones."""
 
     def run(batches):
-        schema = pa.schema([("vec_id", pa.int64()), ("node", pa.string())])
-
-        def out():
-            for batch in batches:
-                for vec_id, label, vector in zip(*(batch.column(c).to_pylist() for c in ("vec_id", "label", "vector"))):
-                    yield vec_id, f"{label}:" + xxhash.xxh3_128_hexdigest(np.array(vector, np.float64).tobytes())
-
-        yield from emit(out(), schema)
+        schema = pa.schema([("vec_id", pa.int64()), ("label", pa.string()), ("vector", pa.list_(pa.float64())), ("node", pa.string())])
+        for batch in batches:
+            named = [f"{label}:" + xxhash.xxh3_128_hexdigest(np.array(vector, np.float64).tobytes())
+                     for label, vector in zip(batch.column("label").to_pylist(), batch.column("vector").to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column(f.name).cast(f.type) for f in list(schema)[:3]]
+                                             + [pa.array(named, pa.string())], schema=schema)
 
-    return rows.mapInArrow(run, "vec_id long, node string")
+    return rows.mapInArrow(run, "vec_id long, label string, vector array<double>, node string")
 
 
 def _forest(nodes: DataFrame, fit_rows: int, trees: int) -> dict[int, list[Tree]]:
@@ -259,12 +258,10 @@ def link_vectors(embeddings: DataFrame, least: float = COSINE, trees: int = TREE
                              vector.alias("vector"))
     sound_rows = rows.filter(sound)
     named = keep_on_shared_storage(_nodes(sound_rows), "vector-nodes")
-    # The vector of a node: that of its smallest id (equal for all).
-    size = named.groupBy("node").agg(F.count(F.lit(1)).alias("copies"), F.min("vec_id").alias("lowest_id"))
-    nodes = size.join(sound_rows.dropDuplicates(["vec_id", "label", "vector"]),
-                      (F.col("lowest_id") == F.col("vec_id")) & F.col("node").startswith(F.concat("label", F.lit(":"))))
-    nodes = keep_on_shared_storage(nodes.select("node", "label", "vector", "copies", "lowest_id")
-                                   .dropDuplicates(["node"]), "vectors")
+    # The vector of a node comes with it: an id may stand for several vectors.
+    nodes = keep_on_shared_storage(named.groupBy("node").agg(
+        F.first("label").alias("label"), F.first("vector").alias("vector"), F.count(F.lit(1)).alias("copies"),
+        F.min("vec_id").alias("lowest_id")), "vectors")
     placed = keep_on_shared_storage(_assign(nodes, _forest(nodes, fit_rows, trees)), "leaves")
     where = placed.select("node", "label", F.size("vector").alias("dim"), F.explode("leaves").alias("leaf"))
     pieces = where.groupBy("leaf", "label", "dim").agg(F.count(F.lit(1)).alias("n")).filter("n > 1") \
@@ -287,7 +284,7 @@ def link_vectors(embeddings: DataFrame, least: float = COSINE, trees: int = TREE
     smallest = known.groupBy("component").agg(F.min("lowest_id").alias("component_id"))
     told = known.join(smallest, "component").select(
         "node", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "component_id")
-    found = named.join(told, "node").select("vec_id", "n_links", "component_id")
+    found = named.select("vec_id", "node").join(told, "node").select("vec_id", "n_links", "component_id")
     alone = rows.filter(~F.coalesce(sound, F.lit(False))).select(
         "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return found.union(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))

@@ -115,3 +115,9 @@ def test_links_of_a_hot_dense_group_match_brute_force(spark):
 
 def test_empty_table(spark):
     assert V.link_vectors(spark.createDataFrame([], "vec_id long, label int, embedding array<float>")).count() == 0
+
+
+def test_an_id_with_several_vectors(spark):
+    rows = [(5, 1, [1.0, 0.0]), (5, 1, [0.0, 1.0]), (6, 1, [1.0, 0.01]), (7, 1, [0.01, 1.0])]
+    got = V.link_vectors(spark.createDataFrame(rows, "vec_id long, label int, embedding array<float>").repartition(4)).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == [(5, 1, 5), (5, 1, 5), (6, 1, 5), (7, 1, 5)]
