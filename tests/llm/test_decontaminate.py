@@ -1,10 +1,11 @@
 import random
+import time
 
 import duckdb
 
-from stratum.llm import queries
+from stratum.llm import decontaminate, queries
 from stratum.llm.common import words_of
-from stratum.llm.decontaminate import contamination, digest_of, drop_contaminated
+from stratum.llm.decontaminate import ItemAutomaton, contamination, digest_of, drop_contaminated
 
 from ..conftest import SF_SMALL, rows
 
@@ -47,6 +48,23 @@ def test_matches_brute_force_in_one_block_and_in_many(spark):
             str(r) for r in frame.select("doc_id", "text").collect() if not brute(r.text, items, 5)[4])
 
 
+def test_an_item_of_very_many_equal_words():
+    start = time.time()
+    automaton = ItemAutomaton([(1, [b"x"] * 100_000), (2, [b"x", b"y"] * 50_000)])
+    spans, items = automaton.stream([b"x"] * 100_000 + [b"y"] + [b"x"] * 12)
+    assert spans == [[0, 100_000]] and items == {1} and time.time() - start < 60
+
+
+def test_documents_meet_only_blocks_that_share_a_window(spark):
+    items = [(i, " ".join(f"w{i}x{j}" for j in range(30))) for i in range(40)]
+    docs = [(i, " ".join(f"w{i}x{j}" for j in range(5, 20)) + " tail " * i) for i in range(40)] + [(99, "nothing shared " * 50)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    bench, blocks = decontaminate._items(spark.createDataFrame(items, "item_id long, text string"), 500)
+    keyed = decontaminate._keyed(frame)
+    pairs = decontaminate._block_pairs(keyed, bench, 13)
+    assert blocks > 10 and pairs.count() == 40  # one block each, not each block for all
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     none = spark.createDataFrame([], "item_id long, text string")
