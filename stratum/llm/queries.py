@@ -56,7 +56,35 @@ def op4(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
-@query("op5_vector_forest")
+# Pairs are compared one by one, which whole vector tables of some thousand rows allow.
+_LINKS_SQL = r"""
+with recursive sound as (
+  select row_number() over () as r, vec_id, label, list_transform(embedding, lambda x: cast(x as double)) as v
+  from embeddings
+  where vec_id is not null and label is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links as (
+  select a.r as a, b.r as b, a.vec_id as x, b.vec_id as y
+  from sound a join sound b on a.label = b.label and a.r <> b.r and len(a.v) = len(b.v)
+  where list_inner_product(a.v, b.v) / sqrt(list_inner_product(a.v, a.v) * list_inner_product(b.v, b.v)) >= 0.93),
+reach(r, low) as (
+  select r, vec_id from sound
+  union
+  select l.a, reach.low from links l join reach on reach.r = l.b),
+found as (
+  select s.vec_id, (select count(*) from links where links.a = s.r) as n_links, (select min(low) from reach where reach.r = s.r) as component_id
+  from sound s
+  union all
+  select vec_id, 0, vec_id from embeddings e
+  where not coalesce(vec_id is not null and label is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0, false))
+select vec_id, n_links, component_id, coalesce(vec_id = component_id, true) as kept from found
+"""
+
+
+@query("op5_vector_forest", _LINKS_SQL)
 def op5(spark, sf_dir):
     return vector_forest.link_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -127,7 +155,32 @@ def op9(spark, sf_dir):
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-@query("op10_repeated_strings")
+_REPEATS_SQL = r"""
+with docs as (select doc_id, encode(coalesce(text, '')) as bytes from documents),
+strings as (
+  select doc_id, i, bytes[i:i + 49] as s
+  from (select doc_id, bytes, unnest(range(1, octet_length(bytes) - 48)) as i from docs where octet_length(bytes) >= 50)),
+first as (select s, min(doc_id) as low from strings group by s having min(doc_id) < max(doc_id)),
+hits as (select doc_id, i from strings join first using (s) where low < doc_id),
+runs as (
+  select doc_id, min(i) as a, max(i) + 49 as b
+  from (select doc_id, i, sum(new) over (partition by doc_id order by i) as run
+        from (select doc_id, i, case when i <= lag(i) over (partition by doc_id order by i) + 50 then 0 else 1 end as new from hits))
+  group by doc_id, run),
+gaps as (
+  select doc_id, coalesce(lag(b) over (partition by doc_id order by a), 0) + 1 as f, a - 1 as t from runs
+  union all select doc_id, max(b) + 1, 9223372036854775807 from runs group by doc_id),
+kept as (
+  select g.doc_id, string_agg(hex(bytes[f:least(t, octet_length(bytes))]), '' order by f) as h
+  from gaps g join docs using (doc_id) where f <= least(t, octet_length(bytes)) group by g.doc_id),
+removed as (select doc_id, cast(sum(b - a + 1) as bigint) as n_removed, count(*) as n_spans from runs group by doc_id)
+select d.doc_id, cast(octet_length(bytes) as bigint) as n_bytes, coalesce(n_removed, 0) as n_removed, coalesce(n_spans, 0) as n_spans,
+  sha256(case when r.doc_id is null then bytes else unhex(coalesce(h, '')) end) as kept_sha256
+from docs d left join removed r using (doc_id) left join kept using (doc_id)
+"""
+
+
+@query("op10_repeated_strings", _REPEATS_SQL)
 def op10(spark, sf_dir):
     return repeats.removal_digests(table(spark, sf_dir, "documents"))
 
