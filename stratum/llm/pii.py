@@ -11,7 +11,8 @@ score make unseen values of a fitting shape instances, which support further
 patterns in the next round.
 
 Defined cases: a null or empty text has no spans. Positions are code points,
-end exclusive. Added spans that touch a base span are dropped; of overlapping
+end exclusive. A label has 2 to 24 letters; a labelled value ends after 64
+characters and six more groups of up to nine. Added spans that touch a base span are dropped; of overlapping
 added spans all stay. Repeated rows are scanned one by one; other columns are
 ignored.
 """
@@ -49,6 +50,8 @@ SHAPES = {
 MIN_SEEDS, MIN_SCORE, ROUNDS = 3, 0.8, 3
 
 
+#: Matches of a text that are placed together.
+BLOCK = 256
 #: Added spans are broadcast up to so many; more are joined by row.
 MAX_BROADCAST_SPANS = 20_000
 
@@ -84,10 +87,24 @@ def is_valid(kind: str, value: Column) -> Column:
 
 
 def _placed(matches: str, gaps: str, kind: str, add) -> Column:
-    """Fold over the matches with their places: the lengths of the texts
-    between matches give the distances. ``add(match, begin, end)`` gives
-    (whether it counts, the element)."""
-    begin = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(kind).alias("out"))
+    """The matches with their places: the lengths of the texts between matches
+    give the distances. ``add(match, begin, end)`` gives (whether it counts,
+    the element). Matches are taken ``BLOCK`` at a time: the blocks' lengths
+    are summed first, then each block from where it begins, so that no array
+    of all matches grows step by step."""
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(matches) - 1) / BLOCK).cast("int")), lambda i: F.zip_with(
+        F.slice(matches, i * BLOCK + 1, F.lit(BLOCK)),
+        F.slice(gaps, i * BLOCK + 1, F.least(F.size(matches) - i * BLOCK, F.lit(BLOCK))),  # one more gap than matches
+        lambda m, g: F.struct(m.alias("match"), g.alias("gap"))))
+    zero = F.lit(0).cast("long")
+
+    def length(block):
+        return F.aggregate(block, zero, lambda n, x: n + x["gap"] + F.char_length(x["match"]))
+
+    begins = F.aggregate(
+        blocks, F.struct(zero.alias("at"), F.array().cast("array<bigint>").alias("out")),
+        lambda done, block: F.struct((done["at"] + length(block)).alias("at"), F.concat(done["out"], F.array(done["at"])).alias("out")),
+        lambda done: done["out"])
 
     def step(done, x):
         at = done["at"] + x["gap"]
@@ -96,9 +113,9 @@ def _placed(matches: str, gaps: str, kind: str, add) -> Column:
         return F.struct(end.alias("at"), F.when(counts, F.concat(done["out"], F.array(element).cast(kind)))
                         .otherwise(done["out"]).alias("out"))
 
-    pairs = F.transform(F.col(matches), lambda m, i: F.struct(
-        m.alias("match"), F.element_at(F.col(gaps), i + 1).alias("gap")))
-    return F.when(F.size(matches) > 0, F.aggregate(pairs, begin, step)["out"]).otherwise(F.array().cast(kind))
+    placed = F.flatten(F.zip_with(blocks, begins, lambda block, at: F.aggregate(
+        block, F.struct(at.alias("at"), F.array().cast(kind).alias("out")), step, lambda done: done["out"])))
+    return F.when(F.size(matches) > 0, placed).otherwise(F.array().cast(kind))
 
 
 def _matches(docs: DataFrame, name: str, pattern: str, hint: str) -> DataFrame:

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 from stratum.llm import pii
 
@@ -53,6 +54,24 @@ def test_base_spans_match_brute_force(spark):
     assert got == sorted(want, key=str)
 
 
+def test_a_text_of_very_many_matches(spark):
+    text = "".join(f"a{i}@b.co {i % 256}.1.2.3\n" for i in range(100_000))
+    start = time.time()
+    row = pii.find_personal_data(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    spans = brute(text)
+    assert (row.n_email, row.n_ip, row.base_sha256) == (100_000, 100_000, hashlib.sha256(told(spans).encode()).hexdigest())
+    assert time.time() - start < 120
+
+
+def test_places_do_not_depend_on_the_block(spark, monkeypatch):
+    text = " ".join(f"x{i}@y.z" for i in range(23))
+    frame = spark.createDataFrame([(1, text), (2, "a@b.c"), (3, "")], "doc_id long, text string")
+    want = [tuple(r) for r in pii.find_personal_data(frame).orderBy("doc_id").collect()]
+    for block in (1, 2, 23, 24):
+        monkeypatch.setattr(pii, "BLOCK", block)
+        assert [tuple(r) for r in pii.find_personal_data(frame).orderBy("doc_id").collect()] == want
+
+
 def labelled(n):
     return [(i, f"Name: bob {i}\nPhone: +1 (555) 010-{1000 + i} and mail: u{i}@ex.org") for i in range(n)]
 
