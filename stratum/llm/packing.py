@@ -5,11 +5,11 @@ documents of one partition is packed by Karmarkar-Karp multiway differencing.
 Every remainder starts as a partial partition with one loaded window; the two
 partial partitions with the largest spread are merged again and again, the
 fuller windows of one onto the emptier windows of the other, until one
-partition with near-equal windows is left. Without cuts the number of windows
-rises until none exceeds the capacity. With cuts the few tokens above the
-capacity move to windows below it, so every window is exactly full; the last
-tokens of a partition, fewer than one window, become sequences whose lengths
-are powers of two.
+partition with near-equal windows is left. The number of windows rises until
+none exceeds the capacity; the pieces of the windows that this adds, the
+emptiest ones, are then cut to fill what room the others have, so every window
+is exactly full and few pieces are cut. The last tokens of a partition, fewer
+than one window, become sequences whose lengths are powers of two.
 
 Defined cases: a null text is empty and has only the closing id; repeated
 rows are packed each on their own; other columns are ignored. An empty table
@@ -117,8 +117,9 @@ def _leaves(tree) -> list[int]:
 
 
 def pack_whole(sizes: list[int], window: int) -> list[list[int]]:
-    """Uncut packing of sizes up to ``window``: as many windows as the
-    capacity needs; the count rises until no window exceeds it."""
+    """Uncut packing of sizes up to ``window``: at first as many windows as
+    the capacity needs; the count rises, by the share that the fullest window
+    exceeds the capacity, until no window does."""
     if not sizes:
         return []
     if max(sizes) > window:
@@ -126,30 +127,28 @@ def pack_whole(sizes: list[int], window: int) -> list[list[int]]:
     windows = -(-sum(sizes) // window)
     while True:
         packed = difference(sizes, windows)
-        if all(sum(sizes[i] for i in w) <= window for w in packed):
+        fullest = max(sum(sizes[i] for i in w) for w in packed)
+        if fullest <= window:
             return [w for w in packed if w]
-        windows += 1
-
-
-def level(windows: list[list[Piece]], window: int) -> None:
-    """Cut what exceeds the capacity and move it to windows below it."""
-    load = [sum(p[2] for p in w) for w in windows]
-    below = [i for i, n in enumerate(load) if n < window]
-    for i, n in enumerate(load):
-        while n > window:
-            j = below[-1]
-            at = max(range(len(windows[i])), key=lambda k: windows[i][k][2])
-            doc, start, size = windows[i][at]
-            move = min(n - window, window - load[j], size)
-            if move == size:
-                del windows[i][at]
-            else:
-                windows[i][at] = (doc, start, size - move)
-            windows[j].append((doc, start + size - move, move))
-            n -= move
-            load[j] += move
-            if load[j] == window:
-                below.pop()
+        windows = max(windows + 1, windows * fullest // window)
+
+
+def fill(windows: list[list[Piece]], count: int, window: int) -> list[list[Piece]]:
+    """The ``count`` fullest windows, full: the pieces of the others are cut to
+    fill their room (which is as large as these pieces together)."""
+    windows = sorted(windows, key=lambda w: -sum(p[2] for p in w))
+    kept, spare = windows[:count], [p for w in windows[count:] for p in w]
+    spare.sort(key=lambda p: p[2])
+    for own in kept:
+        room = window - sum(p[2] for p in own)
+        while room:
+            doc, start, size = spare.pop()
+            take = min(size, room)
+            own.append((doc, start, take))
+            if take < size:
+                spare.append((doc, start + take, size - take))
+            room -= take
+    return kept
 
 
 def pack_group(rest: list[Piece], window: int) -> tuple[list[list[Piece]], list[Piece]]:
@@ -167,9 +166,8 @@ def pack_group(rest: list[Piece], window: int) -> tuple[list[list[Piece]], list[
         spare -= cut
     if not count:
         return [], left
-    packed = [[kept[i] for i in w] for w in difference([p[2] for p in kept], count)]
-    level(packed, window)
-    return packed, left
+    packed = [[kept[i] for i in w] for w in pack_whole([p[2] for p in kept], window)]
+    return fill(packed + [[] for _ in range(count - len(packed))], count, window), left
 
 
 def powers(rest: list[Piece], window: int) -> Iterator[list[Piece]]:
@@ -193,20 +191,21 @@ def powers(rest: list[Piece], window: int) -> Iterator[list[Piece]]:
 
 def pack_stream(documents: Iterator[np.ndarray], window: int, group: int) -> Iterator[list[tuple]]:
     """Sequences of (document, start, length, ids, tokens of the document);
-    holds the ids of one group at a time."""
+    holds what whole windows leave of one group's documents, less than a
+    window of each."""
     if window < 1 or window & (window - 1):
         raise ValueError("the window must be a power of two")
-    held: dict[int, np.ndarray] = {}
+    held: dict[int, tuple[int, np.ndarray, int]] = {}  # where the rest begins, its ids, tokens of the document
     rest: list[Piece] = []
 
     def told(pieces: list[Piece]) -> list[tuple]:
-        return [(d, s, n, held[d][s:s + n], len(held[d])) for d, s, n in pieces]
+        return [(d, s, n, held[d][1][s - held[d][0]:s - held[d][0] + n], held[d][2]) for d, s, n in pieces]
 
     for doc, ids in enumerate(documents):
-        held[doc] = ids
         whole = len(ids) // window * window
         for start in range(0, whole, window):
-            yield told([(doc, start, window)])
+            yield [(doc, start, window, ids[start:start + window], len(ids))]
+        held[doc] = whole, ids[whole:].copy(), len(ids)
         if whole < len(ids):
             rest.append((doc, whole, len(ids) - whole))
         if len(held) >= group:

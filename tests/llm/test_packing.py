@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
+from stratum.llm import packing
 from stratum.llm.packing import TextTokenizer, difference, pack_documents, pack_whole, vocabulary_path
 
 from ..conftest import SF_SMALL
@@ -31,6 +32,33 @@ def test_window_count_rises_until_nothing_exceeds_the_capacity():
         pack_whole([11], 10)
 
 
+def test_the_count_rises_in_the_query_s_own_path_and_few_pieces_are_cut(monkeypatch):
+    rnd = random.Random(4)
+    pieces = [(i, 0, rnd.randint(1, 1023)) for i in range(256)]
+    counts = []
+    plain = packing.difference
+    monkeypatch.setattr(packing, "difference", lambda sizes, n: counts.append(n) or plain(sizes, n))
+    packed, left = packing.pack_group(pieces, 1024)
+    total = sum(p[2] for p in pieces)
+    assert len(packed) == total // 1024 and len(counts) > 1 and counts == sorted(set(counts))
+    assert all(sum(p[2] for p in w) == 1024 for w in packed) and sum(p[2] for p in left) == total % 1024
+    whole = {(d, s, n) for w in packed for d, s, n in w} & set(pieces)
+    assert len(whole) > 0.75 * len(pieces)
+    spans = {}
+    for d, s, n in [p for w in (*packed, left) for p in w]:
+        spans.setdefault(d, []).append((s, n))
+    for d, _, n in pieces:
+        own = sorted(spans[d])
+        assert [a for a, _ in own] == [0, *np.cumsum([x for _, x in own])[:-1]] and sum(x for _, x in own) == n
+
+
+def test_only_what_whole_windows_leave_is_held():
+    texts = [np.arange(8 * 1000 + 3, dtype="<u4") for _ in range(5)]
+    got = [p for seq in packing.pack_stream(iter(texts), 8, 3) for p in seq]
+    assert sum(p[2] for p in got) == sum(map(len, texts))
+    assert all((p[3] == np.arange(p[1], p[1] + p[2])).all() and p[4] == 8003 for p in got)
+
+
 @pytest.mark.parametrize("group", [2, 256])
 def test_every_id_lies_in_one_piece_without_padding(spark, group):
     whole = Tokenizer.from_file(vocabulary_path())
