@@ -7,7 +7,8 @@ tag a shunting-yard parser evaluates the licence expression (``and``, ``or``,
 
 Defined cases: a null or empty text has no words, no places and score 0.
 Repeated rows are scanned one by one; other columns of the input are ignored.
-A tag whose expression cannot be parsed adds no label.
+A tag whose expression cannot be parsed, or names a licence that is neither
+known nor an owner's own (``LicenseRef-``), adds no label.
 """
 
 from __future__ import annotations
@@ -40,15 +41,35 @@ NOTICE_PHRASES = {
     "licensed under cc by sa": "cc-by-sa",
     "licensed under cc by 4": "cc-by",
     "all rights reserved": "reserved",
+    "gnu gpl v2": "gpl-2", "gnu gpl version 2": "gpl-2", "gplv2": "gpl-2", "gpl v2": "gpl-2",
+    "gnu gpl v3": "gpl-3", "gnu gpl version 3": "gpl-3", "gplv3": "gpl-3", "gpl v3": "gpl-3",
+    "gnu lgpl": "lgpl", "gnu library general public license": "lgpl", "gnu agpl": "agpl",
+    "apache 2 0 licensed": "apache-2", "apache 2 0 license": "apache-2", "apache license 2 0": "apache-2",
+    "licensed under the apache license": "apache-2",
+    "mit licensed": "mit", "the mit license": "mit", "licensed under mit": "mit",
+    "bsd 2 clause": "bsd", "bsd 3 clause": "bsd", "2 clause bsd": "bsd", "3 clause bsd": "bsd", "under the bsd license": "bsd",
+    "isc license": "isc", "mpl 2 0": "mpl-2", "boost software license": "bsl", "eclipse public license": "epl",
+    "european union public licence": "eupl", "zlib license": "zlib", "this is free and unencumbered software": "unlicense",
+    "creative commons attribution 4 0": "cc-by", "creative commons attribution 3 0": "cc-by",
+    "creative commons attribution 4 0 international": "cc-by", "creative commons attribution license": "cc-by",
+    "creative commons attribution sharealike": "cc-by-sa", "creative commons attribution share alike": "cc-by-sa",
+    "creative commons attribution noncommercial": "cc-by-nc", "creative commons attribution non commercial": "cc-by-nc",
+    "creative commons zero": "cc0", "cc0 1 0": "cc0", "public domain cc0": "cc0", "cc0 public domain": "cc0",
+    "dedicated to the public domain": "cc0",
 }
 TAG = "spdx license identifier"
 # Labels of identifiers, longest prefix first.
 IDENTIFIERS = {
     "mit": "mit", "apache-2": "apache-2", "cc-by-nc": "cc-by-nc", "cc-by-sa": "cc-by-sa", "cc-by": "cc-by",
     "cc0": "cc0", "gpl-2": "gpl-2", "gpl-3": "gpl-3", "lgpl": "lgpl", "agpl": "agpl", "mpl-2": "mpl-2",
-    "bsd": "bsd", "isc": "isc",
+    "bsd": "bsd", "isc": "isc", "0bsd": "bsd", "apache-1": "apache-1", "gpl-1": "gpl-1", "mpl-1": "mpl-1", "epl": "epl",
+    "eupl": "eupl", "cddl": "cddl", "bsl": "bsl", "zlib": "zlib", "unlicense": "unlicense", "artistic": "artistic",
+    "wtfpl": "wtfpl", "ofl": "ofl", "python": "python", "psf": "python", "postgresql": "postgresql", "openssl": "openssl",
+    "x11": "mit", "ncsa": "ncsa", "libpng": "zlib", "cc-pddc": "cc0", "gfdl": "gfdl", "ms-pl": "ms-pl", "ms-rl": "ms-rl",
 }
-PERMISSIVE = frozenset({"mit", "apache-2", "bsd", "isc", "cc0", "cc-by"})
+#: Identifiers of an owner's own licences, and what an exception's name holds.
+OWN, EXCEPTION = ("licenseref-", "documentref-"), "exception"
+PERMISSIVE = frozenset({"mit", "apache-2", "bsd", "isc", "cc0", "cc-by", "zlib", "unlicense", "bsl", "ncsa", "postgresql", "wtfpl", "python"})
 # Weight of the strongest evidence of a document.
 TAG_SCORE, PHRASE_SCORE, NOTICE_SCORE = 1.0, 0.9, 0.6
 
@@ -67,28 +88,33 @@ class Terms:
     permissive: bool
 
 
-def label_of(identifier: str) -> str:
+def label_of(identifier: str) -> str | None:
+    """The label of a known identifier, an owner's own one as it stands, else None."""
     name = identifier.lower()
-    return next((IDENTIFIERS[k] for k in sorted(IDENTIFIERS, key=len, reverse=True)
-                 if name == k or name.startswith((k + "-", k + ".", k + "+"))), name)
+    known = next((IDENTIFIERS[k] for k in sorted(IDENTIFIERS, key=len, reverse=True)
+                  if name == k or name.startswith((k + "-", k + ".", k + "+"))), None)
+    return known or (name if name.startswith(OWN) else None)
 
 
-def _operand(name: str) -> Terms:
+def _operand(name: str, behind_with: bool) -> Terms | None:
+    """None for a word that is no identifier (or, behind ``with``, no exception)."""
+    if behind_with:
+        return Terms(frozenset(), frozenset({name.lower()}), False) if EXCEPTION in name.lower() else None
     label = label_of(name)
-    return Terms(frozenset({label}), frozenset(), label in PERMISSIVE)
+    return Terms(frozenset({label}), frozenset(), label in PERMISSIVE) if label else None
 
 
 def _apply(op: str, a: Terms, b: Terms) -> Terms:
     if op == "with":  # b names an exception, which only relaxes a
-        return Terms(a.labels, a.exceptions | b.labels | b.exceptions, a.permissive)
+        return Terms(a.labels, a.exceptions | b.exceptions, a.permissive)
     either = a.permissive or b.permissive if op == "or" else a.permissive and b.permissive
     return Terms(a.labels | b.labels, a.exceptions | b.exceptions, either)
 
 
 def parse_expression(text: str) -> Terms | None:
     """Evaluate the longest expression at the start of ``text`` with the
-    shunting-yard algorithm; None if there is none or it is malformed. Prose
-    after a complete expression ends it."""
+    shunting-yard algorithm; None if there is none, it is malformed or names
+    something unknown. Prose after a complete expression ends it."""
     values: list[Terms] = []
     ops: list[str] = []
     want_operand, at, depth = True, 0, 0
@@ -111,7 +137,10 @@ def parse_expression(text: str) -> Terms | None:
             elif token == ")" or word in _BINDING:
                 return None
             else:
-                values.append(_operand(token.rstrip(".:")))
+                value = _operand(token.rstrip(".:"), bool(ops) and ops[-1] == "with")
+                if value is None:  # prose
+                    return None
+                values.append(value)
                 want_operand = False
         elif token == ")":
             if not depth:

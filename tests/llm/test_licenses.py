@@ -45,7 +45,8 @@ def test_expressions(text, labels, exceptions, permissive):
     assert (got.labels, got.exceptions, got.permissive) == (labels, exceptions, permissive)
 
 
-@pytest.mark.parametrize("text", ["", "AND MIT", "(MIT", "MIT OR", "()", "MIT AND )"])
+@pytest.mark.parametrize("text", ["", "AND MIT", "(MIT", "MIT OR", "()", "MIT AND )", "see the file", "unknown and lost",
+                                  "MIT or later versions", "GPL-2.0 WITH care"])
 def test_malformed_expressions(text):
     assert parse_expression(text) is None
 
@@ -57,3 +58,13 @@ def test_tags_add_labels(spark):
     got = {r.doc_id: (r.labels, r.score) for r in scan_licenses(docs).collect()}
     assert got == {1: ("gpl-2,mit", 1.0), 2: ("", 0.0), 3: ("", 0.0), 4: ("isc,mit", 1.0)}
     assert scan_licenses(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("text, labels", [
+    ("This is GNU GPL v3 code", "gpl-3"), ("Apache-2.0 licensed", "apache-2"), ("Creative Commons Attribution 4.0", "cc-by"),
+    ("Creative Commons Attribution-ShareAlike 4.0", "cc-by-sa"), ("public domain (CC0)", "cc0"), ("New 3-clause BSD terms", "bsd"),
+    ("SPDX-License-Identifier: see the file", ""), ("SPDX-License-Identifier: unknown and lost", ""),
+    ("SPDX-License-Identifier: LicenseRef-Acme OR EPL-2.0", "epl,licenseref-acme"), ("see the MPL, by MIT people", "")])
+def test_common_notices_and_known_identifiers_only(text, labels):
+    automaton = licenses.build_automaton(licenses.BASE_PHRASES, licenses.NOTICE_PHRASES)
+    assert ",".join(sorted(licenses.scan(text, automaton)["labels"])) == labels
