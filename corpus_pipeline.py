@@ -35,8 +35,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of full training windows."""
-    return packing.pack_documents(docs)
+    """Pieces of full training windows, with their token ids."""
+    return packing.pack_documents(docs, with_ids=True)
 
 
 STAGES = [("language ID", language), ("MinHash near-dedup", near_duplicates),
