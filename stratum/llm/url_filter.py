@@ -169,12 +169,12 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow",
 
 
 def _judge_by_join(pages: DataFrame, rules: DataFrame, default: str) -> DataFrame:
-    """For lists too long to broadcast: one row per candidate, joined on the
-    key (Spark's xxhash64 of the string) and confirmed on the strings."""
-    lengths = [r[0] for r in rules.select(F.char_length("path")).distinct().limit(4097).collect()]
-    if len(lengths) > 4096:
-        raise ValueError("more than 4096 different path lengths in the rules")
-    lengths.sort()
+    """For lists too long to broadcast: the host suffixes that have rules bring
+    their path lengths, and one row per candidate is joined on the key
+    (Spark's xxhash64 of the string) and confirmed on the strings."""
+    wrong = F.raise_error(F.concat(F.lit("verdict must be allow or block: "), "verdict")).cast("string")
+    rules = rules.withColumn("verdict", F.when(F.col("verdict").isin("allow", "block"), F.col("verdict")).otherwise(wrong))
+    lengths = rules.groupBy(F.col("host").alias("h")).agg(F.collect_set(F.char_length("path")).alias("lengths"))
     host = F.translate(F.regexp_extract("url", "^(?s).*?://([^/?#]*)", 1), "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
                        "abcdefghijklmnopqrstuvwxyz")
     parts = pages.select(
@@ -183,9 +183,9 @@ def _judge_by_join(pages: DataFrame, rules: DataFrame, default: str) -> DataFram
     labels = F.split("host", r"\.", -1)
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)),
                            lambda i: F.array_join(F.slice(labels, i, F.size(labels) - i + 1), "."))
-    prefixes = F.transform(F.filter(F.array(*map(F.lit, lengths)), lambda n: n <= F.char_length("path")),
+    prefixes = F.transform(F.filter("lengths", lambda n: n <= F.char_length("path")),
                            lambda n: F.substring("path", F.lit(1), n))
-    wide = parts.select("row", F.explode(suffixes).alias("h"), "path") \
+    wide = parts.select("row", F.explode(suffixes).alias("h"), "path").join(lengths, "h") \
         .select("row", "h", F.explode(prefixes).alias("p")).withColumn("key", F.xxhash64(F.concat("h", "p")))
     keyed = rules.groupBy("host", "path").agg(F.max("verdict").alias("verdict")) \
         .select(F.xxhash64(F.concat("host", "path")).alias("key"), F.col("host").alias("rh"),

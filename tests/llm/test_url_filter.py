@@ -48,6 +48,19 @@ def test_judging_matches_brute_force(spark, limit):
                                key=lambda t: tuple((x is None, str(x)) for x in t))
 
 
+def test_a_long_list_has_any_number_of_path_lengths_and_only_known_verdicts(spark):
+    rules = [("a.com", "/" + "x" * i, "block") for i in range(4500)] + [("b.com", "/y", "allow")]
+    urls = ["http://a.com/" + "x" * 4400 + "z", "http://w.b.com/y", "http://c.com/x"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    frame = spark.createDataFrame(rules, "host string, path string, verdict string")
+    got = judge_urls(pages, frame, max_list_bytes=0).select("page_id", "rule", "verdict")
+    assert rows(got) == [(0, "a.com/" + "x" * 4400, "block"), (1, "b.com/y", "allow"), (2, None, "allow")]
+    wrong = spark.createDataFrame([("a.com", "/", "deny")], "host string, path string, verdict string")
+    for limit in (0, 1 << 20):
+        with pytest.raises(Exception, match="allow or block"):
+            judge_urls(pages, wrong, max_list_bytes=limit).collect()
+
+
 def test_collisions_are_confirmed(monkeypatch):
     monkeypatch.setattr(url_filter, "digest", lambda text: len(text) % 2)
     rules = [(f"h{i}", "/", "block") for i in range(50)]
