@@ -160,8 +160,8 @@ class Space:
 
 
 def _squared(cosine: np.ndarray) -> np.ndarray:
-    """Squared distances of unit vectors."""
-    return np.maximum(2 - 2 * np.maximum(cosine, -1.0), 0.0) + _SLACK
+    """Squared distances of unit vectors; no bound while fewer than k are found."""
+    return np.where(cosine == -np.inf, np.inf, np.maximum(2 - 2 * np.maximum(cosine, -1.0), 0.0) + _SLACK)
 
 
 def _outside(points: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:

@@ -74,6 +74,13 @@ def test_recall_and_exact_scores(spark, n, dim):
             assert all(s == float((np.array(vectors[q]) * np.array(vectors[j])).sum()) for j, s in own)
 
 
+def test_fewer_candidates_than_asked_for_are_all_returned(spark, monkeypatch):
+    monkeypatch.setattr(P, "LEAF_ROWS", 1)
+    rnd = np.random.default_rng(8)
+    rows = [(20 * i, (rnd.choice([-1.0, 1.0]) * np.ones(4) + 0.01 * rnd.standard_normal(4)).tolist()) for i in range(18)]
+    assert found(P.nearest(frame(spark, rows), confidence=0.5, cell_rows=2)) == brute(rows)
+
+
 def test_few_rows_and_empty_table(spark):
     rows = [(0, [1.0, 0.0]), (1, [0.5, 1.0]), (2, [-1.0, 0.0]), (40, [3.0])]
     assert found(P.nearest(frame(spark, rows))) == {0: [(1, 0.5), (2, -1.0)]}
