@@ -24,6 +24,7 @@ import json
 import os
 import zlib
 from collections.abc import Callable, Iterator
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -83,26 +84,23 @@ class TextTokenizer:
 
 def difference(sizes: list[int], windows: int) -> list[list[int]]:
     """Karmarkar-Karp multiway differencing: the numbers of the sizes in each
-    of ``windows`` near-equal windows."""
-    heap = []
-    for i, size in enumerate(sizes):
-        load = np.zeros(windows, np.int64)
-        load[0] = size
-        held = [None] * windows
-        held[0] = i
-        heap.append((-size, i, load, held))
+    of ``windows`` near-equal windows. A partial partition is held as its
+    loaded windows, (load, what is in it), the fullest first."""
+    load_of = itemgetter(0)
+    heap = [(-size, i, [(size, i)]) for i, size in enumerate(sizes)]
     heapq.heapify(heap)
     count = len(heap)
     while len(heap) > 1:
-        _, _, a, in_a = heapq.heappop(heap)
-        _, _, b, in_b = heap[0]
-        load = a + b[::-1]  # opposing imbalances
-        both = [x if y is None else y if x is None else (x, y) for x, y in zip(in_a, reversed(in_b))]
-        order = np.argsort(-load, kind="stable")
-        load = load[order]
-        heapq.heapreplace(heap, (int(load[-1] - load[0]), count, load, [both[i] for i in order]))
+        a, b = heapq.heappop(heap)[2], heap[0][2]
+        meet = max(len(a) + len(b) - windows, 0)  # opposing imbalances: only the emptiest windows meet
+        both = a[:len(a) - meet] + b[:len(b) - meet] + [
+            (x + y, (p, q)) for (x, p), (y, q) in zip(a[len(a) - meet:], reversed(b[len(b) - meet:]))]
+        both.sort(key=load_of, reverse=True)
+        least = both[-1][0] if len(both) == windows else 0
+        heapq.heapreplace(heap, (least - both[0][0], count, both))
         count += 1
-    return [_leaves(x) for x in heap[0][3]] if heap else [[] for _ in range(windows)]
+    found = [_leaves(tree) for _, tree in heap[0][2]] if heap else []
+    return found + [[] for _ in range(windows - len(found))]
 
 
 def _leaves(tree) -> list[int]:
