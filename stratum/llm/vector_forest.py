@@ -13,7 +13,11 @@ every place would is not split (its blocks compare all its pairs, the square
 of the group's size, in the first tree; later trees skip pairs already met).
 
 The trees are fitted on a bounded sample of the vectors (``FIT_ROWS``), every
-vector goes down every tree. Equal vectors of one label are collapsed first.
+vector goes down every tree. Where the sample was too small for the table, leaves
+hold more than ``LARGE`` vectors: each of these gets a sample of its own
+(``LEAF_FIT_ROWS``), is split further by its own subtree, in tasks, and its
+vectors go on down; that repeats until no leaf but those of dense groups is
+large, so leaves do not grow with the table. Equal vectors of one label are collapsed first.
 A leaf with more vectors of one label than ``GROUP_ROWS`` is compared in
 blocks, so no task holds an unbounded leaf, and a dense group gives sums and a
 spanning forest, not its pairs.
@@ -47,7 +51,9 @@ LEAF_ROWS = 1_024
 SPILL = 0.05
 #: Rows of one label and leaf that are compared in one block.
 GROUP_ROWS = 1_024
-MAX_DEPTH, LEAST_FIT = 30, 16
+MAX_DEPTH, LEAST_FIT = 38, 16
+#: Rows of a leaf above which it is split again, rows that this is fitted on, and rows routed by one task.
+LARGE, LEAF_FIT_ROWS, ROUTE_ROWS = 4 * LEAF_ROWS, 4_096, 32_768
 #: A row with so many expected neighbours belongs to a dense group; sample rows
 #: looked at for that, and how many of them are watched at most.
 DENSE_ROWS, CANDIDATES, WATCHED = LEAF_ROWS // 2, 4_096, 1_024
@@ -96,33 +102,40 @@ class Watched:
 class Tree:
     """Split points by path: a path is 1, then a binary digit for each step."""
 
-    def __init__(self, sample: np.ndarray, tree: int, rows_of_sample: float, watched: Watched | None = None) -> None:
-        self.tree, self.splits = tree, {}
+    def __init__(self, sample: np.ndarray, tree: int, rows_of_sample: float, watched: Watched | None = None,
+                 root: int = 1, leaf_rows: int | None = None) -> None:
+        leaf_rows = leaf_rows or LEAF_ROWS
+        self.tree, self.root, self.splits = tree, root, {}
+        self.whole: set[int] = set()  # paths that no split would help
         watched = watched or Watched(sample, rows_of_sample)
-        open_ = [(1, 0, np.arange(len(sample)))]
+        open_ = [(root, root.bit_length() - 1, np.arange(len(sample)))]
         while open_:
             path, depth, rows = open_.pop()
-            if len(rows) * rows_of_sample <= LEAF_ROWS or len(rows) < LEAST_FIT or depth >= MAX_DEPTH:
+            if depth >= MAX_DEPTH:
+                self.whole.add(path)
+            if len(rows) * rows_of_sample <= leaf_rows or len(rows) < LEAST_FIT or depth >= MAX_DEPTH:
                 continue
             projected = sample[rows] @ _direction(sample.shape[1], tree, depth)
             place = watched.place(rows, projected)
             if place is None:
+                self.whole.add(path)
                 continue  # a dense group: blocks do the rest
             low, high = place
             left, right = rows[projected <= high], rows[projected >= low]
             if len(left) == len(rows) or len(right) == len(rows):
+                self.whole.add(path)
                 continue  # (nearly) equal projections: blocks do the rest
             self.splits[path] = place
             open_ += [(2 * path, depth + 1, left), (2 * path + 1, depth + 1, right)]
 
     def leaves(self, unit: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
         """(rows, leaf) for every leaf that some rows reach."""
-        open_ = [(1, 0, np.arange(len(unit)))]
+        open_ = [(self.root, self.root.bit_length() - 1, np.arange(len(unit)))]
         while open_:
             path, depth, rows = open_.pop()
             split = self.splits.get(path)
             if split is None:
-                yield rows, self.tree << 40 | path
+                yield rows, self.tree << _TREE_BITS | path
                 continue
             projected = unit[rows] @ _direction(unit.shape[1], self.tree, depth)
             for side, inside in ((0, projected <= split[1]), (1, projected >= split[0])):
@@ -196,6 +209,77 @@ def _assign(nodes: DataFrame, forest: dict[int, list[Tree]]) -> DataFrame:
         run, "node string, label string, vector array<double>, copies long, leaves array<long>")
 
 
+_TREE_BITS = 40
+
+
+def _unit(column) -> np.ndarray:
+    vectors = np.array(column.to_pylist(), np.float64)
+    return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+
+
+def _fit_leaf(table: pa.Table, leaf_rows: int) -> pa.Table:
+    """The subtree of one large leaf, from its sample."""
+    leaf, n, unit = table["leaf"][0].as_py(), table["n"][0].as_py(), _unit(table["vector"])
+    own = Tree(unit, leaf >> _TREE_BITS, n / len(unit), root=(leaf & (1 << _TREE_BITS) - 1) or 1,
+               leaf_rows=leaf_rows)
+    paths = sorted(own.splits)
+    whole = sorted(own.whole | (set() if own.splits else {own.root}))
+    return pa.table({"dim": table["dim"][:1], "leaf": table["leaf"][:1], "n": table["n"][:1],
+                     "paths": pa.array([paths], pa.list_(pa.int64())),
+                     "low": pa.array([[own.splits[p][0] for p in paths]], pa.list_(pa.float64())),
+                     "high": pa.array([[own.splits[p][1] for p in paths]], pa.list_(pa.float64())),
+                     "whole": pa.array([[leaf >> _TREE_BITS << _TREE_BITS | p for p in whole] + [leaf] * (not own.splits)],
+                                       pa.list_(pa.int64()))})
+
+
+def _route(subtree: pa.Table, rows: pa.Table) -> pa.Table:
+    """(node, leaf, below): the leaves of the subtree that some of its rows reach."""
+    schema = pa.schema([("node", pa.string()), ("leaf", pa.int64()), ("below", pa.list_(pa.int64()))])
+    if not len(subtree) or not len(rows):
+        return schema.empty_table()
+    leaf, unit = subtree["leaf"][0].as_py(), _unit(rows["vector"])
+    own = Tree.__new__(Tree)
+    own.tree, own.root = leaf >> _TREE_BITS, (leaf & (1 << _TREE_BITS) - 1) or 1
+    own.splits = dict(zip(subtree["paths"][0].as_py(), zip(subtree["low"][0].as_py(), subtree["high"][0].as_py())))
+    below: list[list[int]] = [[] for _ in range(len(unit))]
+    for some, reached in own.leaves(unit):
+        for i in some.tolist():
+            below[i].append(reached)
+    return pa.table([rows["node"].combine_chunks(), pa.array(np.full(len(unit), leaf)), pa.array(below, pa.list_(pa.int64()))],
+                    schema=schema)
+
+
+def _refined(placed: DataFrame, forest: dict[int, list[Tree]]) -> DataFrame:
+    """``placed`` with large leaves split further, until only those are large that no split helps."""
+    spark, leaf_rows = placed.sparkSession, LEAF_ROWS
+    done = spark.createDataFrame([(dim, tree.tree << _TREE_BITS | path) for dim, trees in forest.items()
+                                  for tree in trees for path in tree.whole], "dim int, leaf long")
+    while True:
+        where = placed.select("node", "vector", F.size("vector").alias("dim"), F.explode("leaves").alias("leaf"))
+        large = keep_on_shared_storage(
+            where.groupBy("dim", "leaf").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > LARGE)
+            .join(done, ["dim", "leaf"], "left_anti"), "large-leaves")
+        if large.isEmpty():
+            return placed
+        rows = where.join(large, ["dim", "leaf"])
+        share = F.pmod(F.xxhash64("node", "leaf"), F.lit(1 << 30)) < (F.lit(float(LEAF_FIT_ROWS)) / F.col("n") * (1 << 30))
+        subtrees = keep_on_shared_storage(rows.filter(share).groupBy("dim", "leaf").applyInArrow(
+            lambda t: _fit_leaf(t, leaf_rows), "dim int, leaf long, n long, paths array<long>, low array<double>, high array<double>, whole array<long>"),
+            "subtrees")
+        chunks = F.ceil(F.col("n") / F.lit(ROUTE_ROWS)).cast("int")
+        left = subtrees.withColumn("chunk", F.explode(F.sequence(F.lit(0), chunks - 1)))
+        right = rows.withColumn("chunk", F.pmod(F.hash("node"), chunks)).select("dim", "leaf", "chunk", "node", "vector")
+        keys = ["dim", "leaf", "chunk"]
+        moved = left.select(*keys, "paths", "low", "high").groupBy(*keys).cogroup(right.groupBy(*keys)) \
+            .applyInArrow(_route, "node string, leaf long, below array<long>") \
+            .groupBy("node").agg(F.collect_list("leaf").alias("from"), F.flatten(F.collect_list("below")).alias("to"))
+        leaves = F.array_sort(F.concat(F.array_except("leaves", "from"), "to"))
+        placed = keep_on_shared_storage(placed.join(moved, "node", "left").select(
+            "node", "label", "vector", "copies", F.when(F.col("to").isNotNull(), leaves).otherwise(F.col("leaves")).alias("leaves")),
+            "leaves")
+        done = done.union(subtrees.select("dim", F.explode("whole").alias("leaf")))
+
+
 def _compare(table: pa.Table, least: float) -> pa.Table:
     """Links of one block: for each node the rows it links with in this leaf
     first, and the smallest node (of this block) that links lead to."""
@@ -262,7 +346,8 @@ def link_vectors(embeddings: DataFrame, least: float = COSINE, trees: int = TREE
     nodes = keep_on_shared_storage(named.groupBy("node").agg(
         F.first("label").alias("label"), F.first("vector").alias("vector"), F.count(F.lit(1)).alias("copies"),
         F.min("vec_id").alias("lowest_id")), "vectors")
-    placed = keep_on_shared_storage(_assign(nodes, _forest(nodes, fit_rows, trees)), "leaves")
+    forest = _forest(nodes, fit_rows, trees)
+    placed = _refined(keep_on_shared_storage(_assign(nodes, forest), "leaves"), forest)
     where = placed.select("node", "label", F.size("vector").alias("dim"), F.explode("leaves").alias("leaf"))
     pieces = where.groupBy("leaf", "label", "dim").agg(F.count(F.lit(1)).alias("n")).filter("n > 1") \
         .withColumn("pieces", F.ceil(F.col("n") / F.lit(group_rows)).cast("int"))

@@ -117,6 +117,27 @@ def test_empty_table(spark):
     assert V.link_vectors(spark.createDataFrame([], "vec_id long, label int, embedding array<float>")).count() == 0
 
 
+def test_leaves_stay_small_where_the_sample_was_too_small(spark, monkeypatch):
+    for name, value in (("LEAF_ROWS", 40), ("LARGE", 80), ("LEAF_FIT_ROWS", 200), ("ROUTE_ROWS", 100), ("DENSE_ROWS", 300)):
+        monkeypatch.setattr(V, name, value)
+    data = groups(5, n=1500, dim=24)
+    frame = spark.createDataFrame(data, "vec_id long, label int, embedding array<float>").repartition(3)
+    sizes, plain = [], V._refined
+
+    def watched(placed, forest):
+        out = plain(placed, forest)
+        for leaves in (placed, out):
+            sizes.append([r["count"] for r in leaves.selectExpr("explode(leaves) as leaf").groupBy("leaf").count().collect()])
+        return out
+
+    monkeypatch.setattr(V, "_refined", watched)
+    got = V.link_vectors(frame, fit_rows=60).collect()  # trees of 60 sample rows end in leaves of hundreds
+    assert max(sizes[0]) > 200 and max(sizes[1]) <= 80 < len(sizes[1])
+    found, want = sorted(((r.vec_id, r.n_links, r.component_id) for r in got), key=str), brute(data)
+    assert all(a[0] == b[0] and a[1] <= b[1] for a, b in zip(found, want))
+    assert sum(r[1] for r in found) >= 0.9 * sum(r[1] for r in want)
+
+
 def test_an_id_with_several_vectors(spark):
     rows = [(5, 1, [1.0, 0.0]), (5, 1, [0.0, 1.0]), (6, 1, [1.0, 0.01]), (7, 1, [0.01, 1.0])]
     got = V.link_vectors(spark.createDataFrame(rows, "vec_id long, label int, embedding array<float>").repartition(4)).collect()
