@@ -17,10 +17,18 @@ boilerplate by their tag, or by a class, id or role that says so as a whole
 a name never hides an element that holds the main container. A page that its
 host's wrapper gives nothing of (another template) is read by its own.
 
-A wrapper stays bounded: above ``MAX_NODES`` its optional parts without a main
-container become one slot of their text's weight, so that what remains is about
-the size of a page, aligning a page takes the same time however many came
-before, and partial wrappers are merged ``FAN_IN`` at a time, in rounds.
+A wrapper held in a task stays bounded: above ``MAX_NODES`` its optional parts
+without a main container are cut out, so that what remains is about the size of
+a page, aligning a page takes the same time however many came before, and
+partial wrappers are merged ``FAN_IN`` at a time, in rounds. What is cut out is
+not lost: its elements and texts are rows, each with its place in the wrapper
+(the keys on the way to it, equal siblings told apart by their order), and
+Spark merges rows of one place as the wrapper merges nodes: texts that differ,
+or that some of the cuts lack, are slots, one that is always there is fixed. A
+host with such rows has its template texts and heaviest container from both.
+
+A fixed text belongs to the template if ``TEMPLATE_PAGES`` pages or more of the
+host have it; one of a part that fewer pages have is their own.
 
 Every open element of a page is tracked, however deep. Only the wrapper is
 flat below ``MAX_DEPTH``: deeper elements are siblings there, known by the path
@@ -35,12 +43,13 @@ one; other columns are ignored. Quotes open an attribute's value only behind
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import json
 import re
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -53,10 +62,12 @@ from .url_filter import split_url
 MAX_WRAPPER_BYTES = 8 << 20
 #: Partial wrappers of a host that one task aligns in one round.
 FAN_IN = 32
-#: Nodes of a wrapper above which its optional parts are made one slot.
+#: Nodes of a wrapper above which its optional parts are kept as rows.
 MAX_NODES = 2_000
 #: A fixed text counts as template from so many pages of a host on.
 TEMPLATE_PAGES = 3
+#: Share of the slots' text that the heaviest container holds.
+HEAVY = 0.6
 #: Depth of a wrapper; deeper elements become siblings in it.
 MAX_DEPTH = 48
 #: Rows of a table of common orders between those that are kept.
@@ -346,29 +357,77 @@ def _has_main(node: list) -> bool:
     return node[0] != "#" and (node[0] != "()" and _is_main(node[0]) or any(map(_has_main, node[3])))
 
 
-def _weight(nodes: list) -> int:
-    return sum(n[3][1] if n[0] == "#" else _weight(n[3]) for n in nodes)
+def _text_id(path: str, text: str) -> bytes:
+    """A text at a path, as the rows of cut parts and the pages name it."""
+    return hashlib.blake2b(f"{path}\0{text}".encode("utf-8", "surrogatepass"), digest_size=16).digest()
 
 
-def bounded(wrapper: list, most: int = MAX_NODES) -> list:
+def _times(text: str, chars: int) -> int:
+    """How often a fixed text was merged."""
+    return chars // len(text)
+
+
+class Cut:
+    """What is cut out of a wrapper, as rows (place, leaf, path, text, chars,
+    times): one without a leaf for an element, one for each text in it."""
+
+    def __init__(self):
+        self.rows: list[tuple] = []
+
+    def take(self, node: list, place: bytes, order: int, path: tuple, boiler: bool) -> None:
+        name, optional, _, inner = node
+        if name == "#":
+            text, chars = inner
+            fixed = text is not None and not optional
+            at = "/".join(path)
+            self.rows.append((place, order, at, _text_id(at, text) if fixed else None, 0 if boiler else chars,
+                              _times(text, chars) if fixed else 0))
+            return
+        place = _below(place, _key(node), order)
+        self.rows.append((place, None, None, None, 0, 0))
+        if name != "()":
+            path, boiler = (*path, name), boiler or _is_boilerplate(name)
+        for child, order in _ordered(inner):
+            self.take(child, place, order, path, boiler)
+
+
+def _below(place: bytes, key: str, order: int) -> bytes:
+    return hashlib.blake2b(place + f"{order} {key}".encode("utf-8", "surrogatepass"), digest_size=16).digest()
+
+
+def _ordered(nodes: list) -> Iterator[tuple[list, int]]:
+    """Siblings, each with the number of those before it that have its key."""
+    before: Counter[str] = Counter()
+    for node in nodes:
+        key = _key(node)
+        yield node, before[key]
+        before[key] += 1
+
+
+def bounded(wrapper: list, most: int = MAX_NODES, cut: Cut | None = None) -> list:
     """The wrapper, without the optional parts that hold no main container if it
-    is too large; what their text weighs stays as one slot."""
-    return _pruned(wrapper) if _size(wrapper) > most else wrapper
+    is too large; these go to ``cut``."""
+    return _pruned(wrapper, cut or Cut()) if _size(wrapper) > most else wrapper
 
 
-def _pruned(nodes: list) -> list:
-    out, weight = [], 0
-    for name, optional, repeated, inner in nodes:
-        if optional and not _has_main([name, optional, repeated, inner]):
-            weight += inner[1] if name == "#" else _weight(inner)
+def _pruned(nodes: list, cut: Cut, place: bytes = b"", path: tuple = (), boiler: bool = False, group: bool = False) -> list:
+    out = []
+    for node, order in _ordered(nodes):
+        name, optional, repeated, inner = node
+        if optional and not group and not _has_main(node):  # what a group holds is its key
+            cut.take(node, place, order, path, boiler)
+        elif name == "#":
+            out.append(node)
         else:
-            out.append([name, optional, repeated, inner if name == "#" else _pruned(inner)])
-    return [*out, ["#", True, False, [None, weight]]] if weight else out
+            at = _below(place, _key(node), order)
+            below = (path, boiler) if name == "()" else ((*path, name), boiler or _is_boilerplate(name))
+            out.append([name, optional, repeated, _pruned(inner, cut, at, *below, name == "()")])
+    return out
 
 
-def roles(nodes: list, pages: int) -> dict:
-    """What extraction needs of a wrapper: the paths of its main containers
-    and the template's fixed texts by path."""
+def _measured(nodes: list, pages: int) -> tuple[list[str], dict[str, list[str]], dict[str, int]]:
+    """Of a wrapper the paths of its main containers, the template's fixed texts
+    by path, and the weight of its slots by path ('' for all)."""
     mains: list[str] = []
     named: list[str] = []  # main containers in elements whose names say boilerplate
     fixed: dict[str, list[str]] = {}
@@ -378,7 +437,7 @@ def roles(nodes: list, pages: int) -> dict:
         own = 0
         for name, optional, _, inner in nodes:
             if name == "#":
-                if inner[0] is not None and not optional and pages >= TEMPLATE_PAGES:
+                if inner[0] is not None and not optional and pages >= TEMPLATE_PAGES and _times(*inner) >= TEMPLATE_PAGES:
                     fixed.setdefault("/".join(path), []).append(inner[0])
                 elif not boiler and not by_name:
                     own += inner[1]
@@ -394,10 +453,18 @@ def roles(nodes: list, pages: int) -> dict:
                 own += n
         return own
 
-    total = walk(nodes, (), False, False)
-    mains = mains or named
+    weights[""] = walk(nodes, (), False, False)
+    return mains or named, fixed, weights
+
+
+def roles(nodes: list, pages: int, heavy: list[str] | None = None) -> dict:
+    """What extraction needs of a wrapper: the paths of its main containers
+    and the template's fixed texts by path. ``heavy`` are the paths that hold
+    most of the slots' text, if the wrapper alone does not tell."""
+    mains, fixed, weights = _measured(nodes, pages)
     if not mains:  # the deepest element that still holds most of the slots' text
-        heavy = [p for p, n in weights.items() if total and n >= 0.6 * total]
+        total = weights.pop("")
+        heavy = [p for p, n in weights.items() if total and n >= HEAVY * total] if heavy is None else heavy
         mains = [max(heavy, key=lambda p: (p.count("/"), p))] if heavy else [""]
         leaf = mains[0].rpartition("/")[2].split(".")[0]
         if leaf in ("p", "li", "h1", "h2", "h3"):
@@ -411,14 +478,14 @@ def _place(path: list[str]) -> str:
     return "/".join(path if len(path) <= MAX_DEPTH else [*path[:MAX_DEPTH], path[-1]])
 
 
-def extract(page: str | None, known: dict) -> str:
-    """The main text of one page, given its host's roles."""
-    mains, fixed = known["mains"], known["fixed"]
+def blocks(page: str | None, known: dict) -> Iterator[tuple[str | None, str]]:
+    """Texts of a page that are in its main container and no boilerplate, with
+    the path of those outside articles, which the template may hold."""
+    mains = known["mains"]
     path: list[str] = []
     boiler: list[bool] = []
     inside: list[bool] = []
     article: list[bool] = []
-    out: list[str] = []
     all_in = mains == [""]
     holders = {m[:i] for m in mains for i in range(len(m) + 1) if i == len(m) or m[i] == "/"}
     for kind, value in stream(page):
@@ -433,46 +500,79 @@ def extract(page: str | None, known: dict) -> str:
             for held in (path, boiler, inside, article):
                 held.pop()
         elif not (boiler and boiler[-1]) and (all_in or inside and inside[-1]):
-            if article and article[-1] or value not in fixed.get(_place(path), ()):
-                out.append(value)
-    return "\n".join(out)
+            yield None if article and article[-1] else _place(path), value
+
 
+def extract(page: str | None, known: dict, template: frozenset = frozenset()) -> str:
+    """The main text of one page, given its host's roles, and which of its texts
+    are the template's by the rows of cut parts."""
+    fixed = known["fixed"]
+    return "\n".join(value for place, value in blocks(page, known) if place is None or value not in fixed.get(place, ())
+                     and not (template and _text_id(place, value) in template))
 
-def main_text(page: str | None, known: dict) -> str:
+
+def main_text(page: str | None, known: dict, template: frozenset = frozenset()) -> str:
     """The main text by the host's roles; by the page's own where these give nothing."""
-    text = extract(page, known) if page else ""
+    text = extract(page, known, template) if page else ""
     return text or (extract(page, roles(page_wrapper(page), 1)) if page else "")
 
 
-_PARTIAL = pa.schema([("host", pa.string()), ("salt", pa.int32()), ("pages", pa.int64()), ("wrapper", pa.string())])
-_PARTIAL_DDL = "host string, salt int, pages long, wrapper string"
+_CUT = [("place", pa.binary()), ("leaf", pa.int32()), ("path", pa.string()), ("text", pa.binary()), ("chars", pa.int64()),
+        ("times", pa.int64())]
+_PARTIAL = pa.schema([("host", pa.string()), ("salt", pa.int32()), ("pages", pa.int64()), ("wrapper", pa.string()), *_CUT])
+_PARTIAL_DDL = ("host string, salt int, pages long, wrapper string, "
+                "place binary, leaf int, path string, text binary, chars long, times long")
+_NO_CUT = (None,) * len(_CUT)
+
+
+def _written(host: str | None, salt: int, pages: int, wrapper: list) -> tuple:
+    return host, salt, pages, json.dumps(wrapper, ensure_ascii=False), *_NO_CUT
+
+
+def _given(host: str | None, cut: Cut) -> Iterator[tuple]:
+    """The rows of what was cut out of a host's wrapper so far."""
+    rows, cut.rows = cut.rows, []
+    for row in rows:
+        yield host, None, None, None, *row
 
 
-def _merged(table: pa.Table) -> pa.Table:
-    """The partial wrappers of one group as one."""
-    wrapper = None
+def _merged(table: pa.Table, max_nodes: int = MAX_NODES) -> pa.Table:
+    """The partial wrappers of one group as one, and what was cut out of it."""
+    wrapper, cut = None, Cut()
     for text in table.column("wrapper"):
         other = json.loads(text.as_py())
-        wrapper = other if wrapper is None else bounded(align(wrapper, other))
-    return pa.table([table.column("host")[:1], table.column("salt")[:1], pa.array([sum(table.column("pages").to_pylist())]),
-                     pa.array([json.dumps(wrapper, ensure_ascii=False)])], schema=_PARTIAL)
+        wrapper = other if wrapper is None else bounded(align(wrapper, other), max_nodes, cut)
+    host, salt = table.column("host")[0].as_py(), table.column("salt")[0].as_py()
+    rows = [_written(host, salt, sum(table.column("pages").to_pylist()), wrapper), *_given(host, cut)]
+    return pa.Table.from_batches(emit(iter(rows), _PARTIAL), _PARTIAL)
 
 
 def infer_wrappers(pages: DataFrame, fan_in: int = FAN_IN) -> DataFrame:
-    """(host, pages, wrapper) for every host; the wrapper as JSON."""
+    """(host, pages, wrapper) for every host; the wrapper as JSON, without the
+    parts that were cut out of it."""
+    return _inferred(pages, fan_in)[0].select("host", "pages", "wrapper")
+
+
+def _inferred(pages: DataFrame, fan_in: int = FAN_IN, max_nodes: int = MAX_NODES) -> tuple[DataFrame, DataFrame | None]:
+    """The wrappers (host, pages, wrapper, is_cut) and the rows of all that was
+    cut out of them, if any was."""
+    def merged(table: pa.Table) -> pa.Table:
+        return _merged(table, max_nodes)
 
     def partial(batches):
         from pyspark import TaskContext
 
         salt = TaskContext.get().partitionId()
         held: dict[str, tuple[int, list]] = {}
+        cut = Cut()
 
         def rows():
             for url, page in rows_of(batches, ["url", "html"]):
                 host, own = split_url(url)[0], page_wrapper(page)
                 if host in held:
                     n, wrapper = held[host]
-                    held[host] = (n + 1, bounded(align(wrapper, own)))
+                    held[host] = (n + 1, bounded(align(wrapper, own), max_nodes, cut))
+                    yield from _given(host, cut)
                 else:
                     held[host] = (1, own)
                 if len(held) > 2000:  # many hosts: give out what there is, it is merged later
@@ -482,18 +582,81 @@ def infer_wrappers(pages: DataFrame, fan_in: int = FAN_IN) -> DataFrame:
 
         def given():
             for host, (n, wrapper) in held.items():
-                yield host, salt, n, json.dumps(wrapper, ensure_ascii=False)
+                yield _written(host, salt, n, wrapper)
+
+        yield from emit(rows(), _PARTIAL, 256)
+
+    def trimmed(batches):
+        """Wrappers of hosts with cut parts lose all such parts: one place, one way."""
+        def rows():
+            for host, n, text in rows_of(batches, ["host", "pages", "wrapper"]):
+                cut = Cut()
+                yield _written(host, 0, n, _pruned(json.loads(text), cut))
+                yield from _given(host, cut)
 
         yield from emit(rows(), _PARTIAL, 256)
 
-    parts = keep_on_shared_storage(pages.mapInArrow(partial, _PARTIAL_DDL), "partial-wrappers")
+    def split(rows: DataFrame) -> DataFrame:
+        cuts.append(rows.filter("wrapper is null"))
+        return rows.filter("wrapper is not null")
+
+    cuts: list[DataFrame] = []
+    parts = split(keep_on_shared_storage(pages.mapInArrow(partial, _PARTIAL_DDL), "partial-wrappers"))
     most = parts.agg(F.max("salt")).first()[0] or 0
-    parts = parts.groupBy("host", "salt").applyInArrow(_merged, _PARTIAL_DDL)
+    parts = split(keep_on_shared_storage(parts.groupBy("host", "salt").applyInArrow(merged, _PARTIAL_DDL), "partial-wrappers"))
     while most:  # a round for each power of the fan-in
         most //= fan_in
         parts = parts.withColumn("salt", F.floor(F.col("salt") / fan_in).cast("int")) \
-            .groupBy("host", "salt").applyInArrow(_merged, _PARTIAL_DDL)
-    return parts.select("host", "pages", "wrapper")
+            .groupBy("host", "salt").applyInArrow(merged, _PARTIAL_DDL)
+        parts = split(keep_on_shared_storage(parts, "partial-wrappers"))
+    rows = reduce(DataFrame.unionAll, cuts)
+    if rows.isEmpty():
+        return parts.select("host", "pages", "wrapper", F.lit(False).alias("is_cut")), None
+    hosts = rows.select("host").distinct()
+    last = keep_on_shared_storage(parts.join(hosts, "host", "left_semi").mapInArrow(trimmed, _PARTIAL_DDL), "cut-wrappers")
+    whole = parts.join(hosts, "host", "left_anti").select("host", "pages", "wrapper", F.lit(False).alias("is_cut"))
+    wrappers = whole.unionAll(last.filter("wrapper is not null").select("host", "pages", "wrapper", F.lit(True).alias("is_cut")))
+    return wrappers, rows.unionAll(last.filter("wrapper is null"))
+
+
+def _told_by_cuts(cuts: DataFrame, wrappers: DataFrame) -> DataFrame:
+    """(host, path, text, chars) for every text of the cut parts: the id of a
+    template's text, or NULL and the weight of a slot."""
+    leaves = cuts.filter("leaf is not null").groupBy("host", "place", "leaf").agg(
+        F.min("path").alias("path"), F.min("text").alias("text"), F.max("text").alias("other"), F.count("text").alias("fixed"),
+        F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars"), F.sum("times").alias("times"))
+    elements = cuts.filter("leaf is null").groupBy("host", "place").agg(F.count(F.lit(1)).alias("whole"))
+    always = (F.col("text") == F.col("other")) & (F.col("fixed") == F.col("n")) & (F.col("n") == F.col("whole"))
+    return leaves.join(elements, ["host", "place"], "left").join(wrappers.select("host", "pages"), "host") \
+        .select("host", "path", F.when(always & (F.least("times", "pages") >= TEMPLATE_PAGES), F.col("text")).alias("text"), "chars")
+
+
+def _heavy_paths(wrappers: DataFrame, told: DataFrame) -> DataFrame:
+    """(host, heavy): the paths that hold most of the text of slots, for hosts
+    with cut parts and no main container."""
+    schema = pa.schema([("host", pa.string()), ("path", pa.string()), ("chars", pa.int64())])
+
+    def weights(batches):
+        def rows():
+            for host, n, wrapper in rows_of(batches, ["host", "pages", "wrapper"]):
+                mains, _, found = _measured(json.loads(wrapper), n)
+                if not mains:
+                    for path, chars in found.items():
+                        yield host, path, chars
+
+        yield from emit(rows(), schema)
+
+    own = wrappers.filter("is_cut").mapInArrow(weights, "host string, path string, chars long")
+    names = F.split("path", "/")
+    above = F.transform(F.sequence(F.lit(0), F.when(F.col("path") == "", 0).otherwise(F.size(names))),
+                        lambda i: F.array_join(F.slice(names, F.lit(1), i), "/"))
+    slots = told.filter("text is null").groupBy("host", "path").agg(F.sum("chars").alias("chars"))
+    slots = slots.join(own.select("host").distinct(), "host", "left_semi").select("host", F.explode(above).alias("path"), "chars")
+    sums = own.unionAll(slots).groupBy("host", "path").agg(F.sum("chars").alias("chars"))
+    total = sums.filter("path = ''").select("host", F.col("chars").alias("total"))
+    heavy = (F.col("path") != "") & (F.col("total") > 0) & (F.col("chars") >= F.col("total") * F.lit(HEAVY))
+    return total.select("host").join(sums.join(total, "host").filter(heavy), "host", "left") \
+        .groupBy("host").agg(F.collect_list("path").alias("heavy"))
 
 
 def _roles_frame(wrappers: DataFrame) -> DataFrame:
@@ -501,38 +664,71 @@ def _roles_frame(wrappers: DataFrame) -> DataFrame:
         schema = pa.schema([("host", pa.string()), ("roles", pa.string())])
 
         def rows():
-            for host, n, wrapper in rows_of(batches, ["host", "pages", "wrapper"]):
-                yield host, json.dumps(roles(json.loads(wrapper), n), ensure_ascii=False)
+            for host, n, wrapper, heavy in rows_of(batches, ["host", "pages", "wrapper", "heavy"]):
+                yield host, json.dumps(roles(json.loads(wrapper), n, heavy), ensure_ascii=False)
 
         yield from emit(rows(), schema)
 
     return wrappers.mapInArrow(run, "host string, roles string")
 
 
+def _template_texts(pages: DataFrame, told: DataFrame) -> DataFrame:
+    """(host, digest, template): the texts of every page that are the template's
+    by the rows of cut parts. ``pages`` has host, digest, html and roles."""
+    schema = pa.schema([("host", pa.string()), ("digest", pa.string()), ("text", pa.binary())])
+    known = told.filter("text is not null").select("host", "text").distinct()
+
+    def texts(batches):
+        load = lru_cache(1024)(json.loads)
+
+        def rows():
+            for host, digest, page, held in rows_of(batches, ["host", "digest", "html", "roles"]):
+                for text in {_text_id(place, value) for place, value in blocks(page, load(held)) if place is not None}:
+                    yield host, digest, text
+
+        yield from emit(rows(), schema)
+
+    found = pages.join(known.select("host").distinct(), "host", "left_semi").filter("html is not null and roles is not null") \
+        .mapInArrow(texts, "host string, digest string, text binary").distinct()
+    return found.join(known, ["host", "text"], "left_semi").groupBy("host", "digest").agg(F.collect_list("text").alias("template"))
+
+
 _RESULT = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
 
 
-def extract_main_text(pages: DataFrame, max_wrapper_bytes: int = MAX_WRAPPER_BYTES) -> DataFrame:
+def extract_main_text(pages: DataFrame, max_wrapper_bytes: int = MAX_WRAPPER_BYTES, max_nodes: int = MAX_NODES) -> DataFrame:
     """(page_id, url, text, n_chars) for every row of ``pages``."""
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                          F.col("html").cast("string").alias("html"))
-    known = keep_on_shared_storage(_roles_frame(infer_wrappers(pages)), "wrappers")
+    wrappers, cuts = _inferred(pages, max_nodes=max_nodes)
+    if cuts is None:
+        wrappers = wrappers.withColumn("heavy", F.lit(None).cast("array<string>"))
+    else:
+        told = keep_on_shared_storage(_told_by_cuts(cuts, wrappers), "cut-parts")
+        wrappers = wrappers.join(_heavy_paths(wrappers, told), "host", "left")
+    known = keep_on_shared_storage(_roles_frame(wrappers), "wrappers")
     size = known.agg(F.sum(F.octet_length("host") + F.octet_length("roles"))).first()[0] or 0
     if size <= max_wrapper_bytes:
         known = F.broadcast(known)
     host = F.coalesce(F.translate(F.regexp_extract("url", "^(?s).*?://([^/?#]*)", 1), "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
                                   "abcdefghijklmnopqrstuvwxyz"), F.lit(""))
-    joined = pages.withColumn("host", host).join(known, "host", "left").select("page_id", "url", "html", "roles")
+    joined = pages.withColumn("host", host).join(known, "host", "left")
+    if cuts is None:
+        joined = joined.withColumn("template", F.lit(None).cast("array<binary>"))
+    else:
+        joined = joined.withColumn("digest", F.sha2("html", 256))
+        joined = joined.join(_template_texts(joined, told), ["host", "digest"], "left")
 
     def run(batches):
         load = lru_cache(1024)(json.loads)
         nothing = {"mains": [""], "fixed": {}}
 
         def rows():
-            for page_id, url, page, told in rows_of(batches, ["page_id", "url", "html", "roles"]):
-                text = main_text(page, load(told) if told else nothing)
+            for page_id, url, page, told, template in rows_of(batches, ["page_id", "url", "html", "roles", "template"]):
+                text = main_text(page, load(told) if told else nothing, frozenset(template or ()))
                 yield page_id, url, text, len(text)
 
         yield from emit(rows(), _RESULT, 512)
 
-    return joined.mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    return joined.select("page_id", "url", "html", "roles", "template") \
+        .mapInArrow(run, "page_id long, url string, text string, n_chars long")

@@ -2,7 +2,7 @@ import html
 import random
 import re
 
-from stratum.llm.html_wrappers import (MAX_NODES, _common, _size, align, bounded, expression, extract, extract_main_text, infer_wrappers,
+from stratum.llm.html_wrappers import (MAX_NODES, Cut, _common, _size, align, bounded, expression, extract, extract_main_text, infer_wrappers,
                                        main_text, page_wrapper, roles)
 
 from ..conftest import SF_SMALL
@@ -154,3 +154,54 @@ def test_a_wrapper_stays_bounded_and_keeps_its_main_container():
         wrapper = bounded(align(wrapper, page_wrapper(f"<div>{extra}<article><p>a{i}</p></article></div>")), 100)
         assert _size(wrapper) <= 130
     assert roles(wrapper, 401)["mains"] == ["div/article"]
+
+
+def letters(rnd):
+    return "".join(rnd.choice("abcdefghijklmnop") for _ in range(6))
+
+
+def test_parts_cut_out_of_a_wrapper_still_tell_the_template(spark):
+    """A text of a part that most pages have is the template's, one of a part of
+    its own page is not, whether the wrapper holds them or not."""
+    rnd = random.Random(5)
+    own = {i: [(letters(rnd), f"t{i} {j}") for j in range(8)] for i in range(120)}
+    note = "<div class=note><h3>Read this first</h3><p>seen {0}</p></div>"
+
+    def page(i, main):
+        parts = "".join(f"<div class={c}><p>{t}</p></div>" for c, t in own[i])
+        return f"<body><div class=top>Top</div>{main[0]}<h1>Head {i}</h1>{note.format(i) if i % 4 else ''}{parts}<p>end {i}</p>{main[1]}</body>"
+
+    mains = {"named": ("<main>", "</main>"), "heavy": ("<div class=body>", "</div>")}
+    pages = [(100 * k + i, f"http://{host}/{i}", page(i, main)) for k, (host, main) in enumerate(mains.items(), 0) for i in range(100)]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(6)
+    want = {100 * k + i: "\n".join([f"Head {i}", *([f"seen {i}"] if i % 4 else []), *(t for _, t in own[i]), f"end {i}"])
+            for k in range(2) for i in range(100)}
+    for most in (60, 300, 1_000_000):
+        got = {r.page_id: r.text for r in extract_main_text(frame, max_nodes=most).collect()}
+        assert got == want, most
+
+
+def test_a_container_is_found_by_the_weight_of_cut_parts(spark):
+    rnd = random.Random(6)
+    page = "<body><div class=links><p>a {0}</p></div><div class=body>{1}</div></body>"
+    pages = [(i, "http://c/", page.format(i, "".join(f"<div class={letters(rnd)}><div><p>long text {i} {j}</p></div></div>" for j in range(9))))
+             for i in range(80)]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(4)
+    for most in (40, 1_000_000):
+        got = {r.page_id: r.text for r in extract_main_text(frame, max_nodes=most).collect()}
+        assert got == {i: "\n".join(f"long text {i} {j}" for j in range(9)) for i in range(80)}, most
+
+
+def test_cut_parts_merge_as_nodes_do():
+    """Equal texts stay fixed, others and those that a cut lacks become slots."""
+    def cut(part):
+        rows = Cut()
+        wrapper = align(page_wrapper(f"<main><p>x</p>{part}</main>"), page_wrapper("<main><p>x</p></main>"))
+        assert expression(bounded(wrapper, 1, rows)) == "<main><p>x</p></main>"
+        return rows.rows
+
+    one, other = cut("<div class=k><p>same</p><i>one</i></div>"), cut("<div class=k><p>same</p><i>two</i></div>")
+    assert [r[:3] for r in one] == [r[:3] for r in other] and len(one) == 4
+    assert [r[3] == s[3] for r, s in zip(one, other) if r[3]] == [True, False]
+    assert {r[2]: r[4] for r in one if r[2]} == {"main/div.k/p": 4, "main/div.k": 3}
+    assert sum(r[4] for r in cut("<div class=sidebar><p>links</p></div>")) == 0  # boilerplate weighs nothing
