@@ -158,7 +158,7 @@ def evaluate_all(contract: Sequence[tuple[str, DataFrame, Sequence[dict]]]) -> D
             mine.append(tagged(tag, ROWS, F.concat(*[c for _, c in row_level])))
 
     rows = reduce(lambda a, b: a.unionAll(b), [
-        df.select(F.explode(F.array_compact(F.array(*keys))).alias("k")).select("k.tag", "k.side", "k.key")
+        df.select(F.explode(F.array(*keys)).alias("k")).filter("k is not null").select("k.tag", "k.side", "k.key")
         for df, keys in tables if keys])
     counted = rows.groupBy("tag", "key").agg(
         F.count_if(F.col("side") != PARENT).alias("n"), F.max("side").alias("side"),
@@ -171,7 +171,10 @@ def evaluate_all(contract: Sequence[tuple[str, DataFrame, Sequence[dict]]]) -> D
 
     failed = F.when((F.col("side") == UNIQUE) & (n > 1) & F.col("key").isNotNull(), n) \
         .when((F.col("side") != UNIQUE) & ~F.col("has_parent"), n).otherwise(none)
-    parts = F.array(counts(F.col("tag"), n, failed))
+    # Keys are summed by tag (outcomes: by text) before the rules take their share.
+    counted = counted.select("tag", F.when(F.col("side") == ROWS, F.col("key")).alias("key"), n.alias("n"), failed.alias("failed")) \
+        .groupBy("tag", "key").agg(F.sum("n").alias("n"), F.sum("failed").alias("failed"))
+    parts = F.array(counts(F.col("tag"), n, F.col("failed")))
     for tag, numbers in outcomes.items():
         letter = [F.substring("key", i + 1, 1) for i in range(len(numbers))]
         parts = F.when(F.col("tag") == tag, F.array(*[

@@ -71,7 +71,10 @@ class GoldTables:
     """The Gold star schema, each table built on first use (lazy), in
     dependency order. Queries only pay for the tables they touch. With
     ``written`` each is written once, as the layer run does, so that tables
-    and queries built on it do not compute it again."""
+    and queries built on it do not compute it again; staging stays a view, as
+    its casts of written Silver cost less than another copy of every row."""
+
+    VIEWS = ("stg_movies", "stg_diary", "stg_ratings")
 
     def __init__(self, spark, sf, written=False):
         self.spark, self.sf, self.written, self._built = spark, sf, written, {}
@@ -79,7 +82,7 @@ class GoldTables:
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._built:
             df = getattr(self, f"_{name}")()
-            self._built[name] = tables.replace_table(df, scratch_path(self.spark, name)) if self.written else df
+            self._built[name] = tables.replace_table(df, scratch_path(self.spark, name)) if self.written and name not in self.VIEWS else df
         return self._built[name]
 
     def _silver_movies(self):

@@ -5,7 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as E
-from stratum.plans.queries import REGISTRY
+from stratum.plans.queries import REGISTRY, gold_tables
 
 from .conftest import SF_SMOKE
 
@@ -55,6 +55,20 @@ def test_rules_read_each_written_table_once_per_side(spark, no_broadcast):
         assert found <= scans, (name, found)
 
 
+def test_tagged_keys_are_compiled_and_summed_before_the_rules_share_them(spark):
+    """No function of lambdas runs on the rows, and only sums by tag are spread
+    over the rules; staging is read from written Silver, not written again."""
+    p = plan(REGISTRY["dq_model_tests"](spark, SF_SMOKE))
+    assert "lambdafunction" not in p
+    for inline in re.finditer(r"Generate inline\(.*", p[p.index("Initial Plan"):] if "Initial Plan" in p else p):
+        below = p[inline.end():inline.end() + 3000]
+        assert "tag" not in inline[0] or re.search(r"HashAggregate\(keys=\[tag[^\]]*\], functions=\[sum\(n", below), inline[0][:200]
+    g = gold_tables(spark, SF_SMOKE, written=True)
+    for view, table in (("stg_movies", "silver_movies"), ("stg_diary", "silver_diary"), ("stg_ratings", "silver_ratings")):
+        assert set(g[view].inputFiles()) == set(g[table].inputFiles())
+    assert not set(g["dim_movie"].inputFiles()) & set(g["silver_movies"].inputFiles())
+
+
 def test_dedup_limits_rows_before_the_shuffle(spark):
     for name in ("clean_diary", "dedup_composite", "catalog_match"):
         p = plan(E.queries()[name](spark, SF_SMOKE))
