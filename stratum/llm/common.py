@@ -16,6 +16,8 @@ from ..session import scratch_path
 _WORD_BYTES = bytes(b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80
                     else b + 32 if 0x41 <= b <= 0x5A else 0x20 for b in range(256))
 ASCII_LOWER = {c: c + 32 for c in range(0x41, 0x5B)}
+#: Edges of one task in a step of ``connected_components``.
+EDGES_OF_TASK = 50_000
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -83,19 +85,34 @@ def discard(kept: DataFrame) -> None:
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 50) -> DataFrame:
+def fewer_tasks(df: DataFrame, rows: int, rows_of_task: int) -> DataFrame:
+    """``df`` of about ``rows`` rows in as many tasks as these rows need, at
+    least one for each core: few rows are not dealt over a task for every
+    shuffle partition. Never more tasks than ``df`` has."""
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // rows_of_task)))
+
+
+def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 50,
+                         n_edges: int | None = None) -> DataFrame:
     """(id, component): the smallest id reachable over undirected edges (a, b).
 
-    ``nodes`` has a column ``id`` (distinct, not null). Alternating large-star
+    ``nodes`` has a column ``id`` (distinct, not null); ``n_edges`` tells how
+    many rows ``edges`` has, if that is known. Alternating large-star
     and small-star steps: every step replaces the edges by edges to the
     smallest neighbour, so a chain of any length shrinks geometrically and no
     step collects a neighbourhood (minima only, which combine before the
     shuffle). Each round is written to shared storage; the loop ends when no
-    edge changes."""
+    edge changes. The steps' tasks are as many as the edges need."""
     def directed(e: DataFrame) -> DataFrame:
         return e.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
-    current = keep_on_shared_storage(directed(edges), "edges")
+    def fewer(e: DataFrame) -> DataFrame:
+        return fewer_tasks(e, size, EDGES_OF_TASK)
+
+    current = directed(edges)
+    if n_edges is not None:
+        current = fewer_tasks(current, n_edges, EDGES_OF_TASK)
+    current = keep_on_shared_storage(current, "edges")
     size, total = _fingerprint(current)
     for _ in range(max_rounds):
         if not size:
@@ -105,13 +122,13 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 5
         low = both.groupBy("a").agg(F.min("b").alias("low"))
         low = low.select("a", F.least("a", "low").alias("low"))
         large = both.join(low, "a").filter("b > a").select(F.col("b").alias("a"), F.col("low").alias("b"))
-        large = large.distinct()
+        large = fewer(fewer(large).distinct())
         # Small star: a node's smaller neighbours, and the node, go to the smallest of them.
         low = large.groupBy("a").agg(F.min("b").alias("low"))
         joined = large.join(low, "a")
         small = joined.filter("b != low").select(F.col("b").alias("a"), F.col("low").alias("b"))
         current = keep_on_shared_storage(
-            small.union(low.select("a", F.col("low").alias("b"))).filter("a != b").distinct(), "edges")
+            fewer(fewer(small.union(low.select("a", F.col("low").alias("b"))).filter("a != b")).distinct()), "edges")
         now = _fingerprint(current)
         if now == (size, total):
             break

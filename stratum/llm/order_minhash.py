@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import _WORD_BYTES, connected_components, emit, keep_on_shared_storage, rows_of
+from .common import _WORD_BYTES, connected_components, emit, fewer_tasks, keep_on_shared_storage, rows_of
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -46,6 +46,8 @@ PICKED, ELEMENTS = 6, 36
 SHORT_KMERS, SHORT_ELEMENTS = 12, 8
 #: Texts of a group that are compared in one block.
 BLOCK_TEXTS = 512
+#: Sketches, members of groups and compared pairs of one task.
+SKETCHES_OF_TASK, MEMBERS_OF_TASK, PAIRS_OF_TASK = 20_000, 50_000, 5_000
 #: Row numbers are broadcast up to so many; more are joined.
 MAX_BROADCAST_ROWS = 500_000
 
@@ -170,8 +172,9 @@ def sketches(keyed: DataFrame) -> DataFrame:
     return keyed.select("row", "text").mapInArrow(run, "row long, text_key string, kmers int, elements array<long>")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """The pairs (a, b) of nodes whose texts align; ``texts`` has node and text."""
+def _verified(pairs: DataFrame, texts: DataFrame, least: float, most: int) -> DataFrame:
+    """The pairs (a, b), at most ``most``, of nodes whose texts align; ``texts``
+    has node and text."""
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
 
@@ -186,12 +189,14 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
 
         yield from emit(rows(), pa.schema([("a", pa.int64()), ("b", pa.int64())]))
 
-    joined = pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b")
+    joined = fewer_tasks(pairs.join(right, "b"), most, PAIRS_OF_TASK)
+    joined = fewer_tasks(joined.join(left, "a").select("a", "b", "text_a", "text_b"), most, PAIRS_OF_TASK)
     return joined.mapInArrow(run, "a long, b long")
 
 
-def _only_here(texts: DataFrame) -> DataFrame:
-    """(node, alone): how many k-mers of a text no other text of ``texts`` has."""
+def _only_here(texts: DataFrame, n_members: int) -> DataFrame:
+    """(node, alone): how many k-mers of a text no other text of ``texts`` has;
+    the texts are in ``n_members`` groups altogether."""
     schema = pa.schema([("node", pa.int64()), ("kmer", pa.int64())])
 
     def run(batches):
@@ -203,9 +208,9 @@ def _only_here(texts: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(node), pa.array(np.concatenate(found).view(np.int64))], schema=schema)
 
-    return texts.mapInArrow(run, "node long, kmer long").groupBy("kmer").agg(
-        F.min("node").alias("node"), F.count(F.lit(1)).alias("n")).filter("n = 1").groupBy("node") \
-        .agg(F.count(F.lit(1)).alias("alone"))
+    once = texts.mapInArrow(run, "node long, kmer long").groupBy("kmer").agg(
+        F.min("node").alias("node"), F.count(F.lit(1)).alias("n")).filter("n = 1")
+    return fewer_tasks(once, n_members, PAIRS_OF_TASK).groupBy("node").agg(F.count(F.lit(1)).alias("alone"))
 
 
 def _block_links(table: pa.Table, least: float) -> pa.Table:
@@ -250,38 +255,46 @@ def near_duplicates(keyed: DataFrame, least: float = SIMILARITY) -> DataFrame:
     number ``row`` and ``text``; class_key is null without words. A node is
     the first row of those with equal words."""
     rows = keep_on_shared_storage(sketches(keyed), "sketches")
-    nodes = rows.filter("text_key is not null").groupBy("text_key").agg(
-        F.min(F.struct("row", "kmers", "elements")).alias("n"))
+    n_rows = rows.count()
+    nodes = fewer_tasks(rows.filter("text_key is not null").groupBy("text_key").agg(
+        F.min(F.struct("row", "kmers", "elements")).alias("n")), n_rows, SKETCHES_OF_TASK)
     # Elements that more than one node has; the others cannot link.
     members = nodes.select(F.col("n.row").alias("node"), F.col("n.kmers").alias("kmers"),
                            F.explode("n.elements").alias("element"))
     shared = members.groupBy("element").agg(F.min("node").alias("low"), F.max("node").alias("high")) \
         .filter("low < high").select("element")
-    members = keep_on_shared_storage(members.join(shared, "element").select("element", "node", "kmers"), "members")
-    wanted = keep_on_shared_storage(members.select("node").distinct(), "nodes")
-    texts = keep_on_shared_storage(
-        keyed.select(F.col("row").alias("node"), "text").join(_small(wanted), "node").select("node", "text"), "texts")
+    members = keep_on_shared_storage(fewer_tasks(
+        members.join(shared, "element").select("element", "node", "kmers"), n_rows, SKETCHES_OF_TASK), "members")
+    n_members = members.count()
+
+    def fewer(df: DataFrame) -> DataFrame:
+        return fewer_tasks(df, n_members, MEMBERS_OF_TASK)
+
+    wanted = keep_on_shared_storage(fewer(members.select("node").distinct()), "nodes")
+    texts = keep_on_shared_storage(fewer_tasks(keyed.select(F.col("row").alias("node"), "text").join(
+        _small(wanted), "node").select("node", "text"), n_rows, SKETCHES_OF_TASK), "texts")
     links = None
     component = wanted.select(F.col("node").alias("id"), F.col("node").alias("component"))
 
     def link(pairs: DataFrame) -> None:
-        add(_verified(pairs.distinct(), texts, least))
+        add(_verified(fewer(fewer(pairs).distinct()), texts, least, n_members))  # a pivot's pairs: one for a member
 
     def add(new: DataFrame) -> None:
         nonlocal links, component
-        found = keep_on_shared_storage(new.distinct(), "links")
+        found = keep_on_shared_storage(new, "links")
         if links is not None and found.isEmpty():
             return
         links = found if links is None else links.union(found)
         component = keep_on_shared_storage(
-            connected_components(wanted.withColumnRenamed("node", "id"), links), "components")
+            fewer(connected_components(
+                wanted.withColumnRenamed("node", "id"), links, n_edges=links.count())), "components")
 
     def open_groups(members: DataFrame) -> DataFrame:
         """Members of the groups with several components."""
-        at = members.drop("component").join(component, members["node"] == component["id"]).drop("id")
+        at = fewer(members.drop("component").join(component, members["node"] == component["id"]).drop("id"))
         several = at.groupBy("element").agg(F.min("component").alias("low"), F.max("component").alias("high")) \
             .filter("low < high").select("element")
-        return keep_on_shared_storage(at.join(several, "element"), "open-groups")
+        return keep_on_shared_storage(fewer(at.join(several, "element")), "open-groups")
 
     def pairs_of(members: DataFrame, pivots: DataFrame, *conditions) -> DataFrame:
         """Members beside their group's pivots, if their sizes allow a link."""
@@ -296,8 +309,8 @@ def near_duplicates(keyed: DataFrame, least: float = SIMILARITY) -> DataFrame:
     if not at.isEmpty():
         # A link leaves at most ``slack`` of both texts' k-mers unaligned, so at most as many may be in one text only.
         slack = (1 - least) / (1 + least) + 1e-9
-        alone = _only_here(texts.join(_small(at.select("node").distinct()), "node"))
-        at = keep_on_shared_storage(at.join(alone, "node", "left").na.fill(0, ["alone"]), "open-groups")
+        alone = _only_here(texts.join(_small(fewer(at.select("node").distinct())), "node"), n_members)
+        at = keep_on_shared_storage(fewer(at.join(alone, "node", "left").na.fill(0, ["alone"])), "open-groups")
         apart = F.col("component") != F.col("p_component")
         bound = F.col("alone") + F.col("p_alone") <= F.lit(slack) * (F.col("kmers") + F.col("p_kmers"))
         light = F.col("alone") <= F.lit(slack) * F.col("kmers")  # one text of a link is light
@@ -315,24 +328,25 @@ def near_duplicates(keyed: DataFrame, least: float = SIMILARITY) -> DataFrame:
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).select(
                 "element", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"),
                 "chunk", "node", "component")
-        add(blocks.join(texts, "node").groupBy("element", "low", "high").applyInArrow(
-            lambda t: _block_links(t, least), "a long, b long"))
-    told = nodes.select("text_key", F.col("n.row").alias("node")).join(
-        component, F.col("node") == component["id"], "left")
-    return rows.select("row", "text_key").join(
-        told.select("text_key", F.coalesce("component", "node").alias("class_key")), "text_key", "left") \
-        .select("row", "class_key")
+        add(fewer(blocks.join(texts, "node").groupBy("element", "low", "high").applyInArrow(
+            lambda t: _block_links(t, least), "a long, b long").distinct()))
+    first_rows = rows.filter("text_key is not null").groupBy("text_key").agg(F.min("row").alias("node"))
+    told = fewer_tasks(first_rows.join(component, F.col("node") == component["id"], "left"), n_rows, SKETCHES_OF_TASK)
+    return keep_on_shared_storage(fewer_tasks(rows.select("row", "text_key").join(
+        told.select("text_key", F.coalesce("component", "node").alias("class_key")), "text_key", "left")
+        .select("row", "class_key"), n_rows, SKETCHES_OF_TASK), "class-keys")
 
 
 def classes(documents: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """(row, doc_id, class_key, first_row, class_id, n) of every row of a stored
     frame with ``row``, ``doc_id`` and ``text``; ``first_row`` is the row that
     stays of the class of ``n`` rows, ``class_id`` its id."""
-    found = near_duplicates(documents.select("row", "text"), least).join(documents.select("row", "doc_id"), "row")
+    found = fewer_tasks(near_duplicates(documents.select("row", "text"), least).join(
+        documents.select("row", "doc_id"), "row"), documents.count(), SKETCHES_OF_TASK)
     stays = found.filter("class_key is not null").groupBy("class_key").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first"),
         F.count(F.lit(1)).alias("n"))
-    return found.join(stays, "class_key", "left").select(
+    return fewer_tasks(found.join(stays, "class_key", "left"), documents.count(), SKETCHES_OF_TASK).select(
         "row", "doc_id", "class_key", F.coalesce("first.row", "row").alias("first_row"),
         F.when(F.col("first").isNull(), F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("class_id"),
         F.coalesce("n", F.lit(1)).alias("n"))

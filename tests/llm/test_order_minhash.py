@@ -102,3 +102,25 @@ def test_components_of_a_long_chain(spark):
     nodes = spark.createDataFrame([(f"{i:04}",) for i in range(302)], "id string")
     got = dict(rows(connected_components(nodes, edges)))
     assert got == {f"{i:04}": "0000" if i <= 150 else "0151" if i <= 300 else "0301" for i in range(302)}
+
+
+def test_few_rows_do_not_take_a_task_for_every_shuffle_partition(spark):
+    conf = {"spark.sql.shuffle.partitions": "97", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    context = spark.sparkContext
+    words = [f"w{i}" for i in range(60)]
+    docs = [(i, " ".join(words[:i] + [f"edit{i}"] + words[i + 1:])) for i in range(40)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        context.setJobGroup("few-rows", "few rows")
+        assert {r.class_id for r in O.class_of_documents(frame).collect()} == {0}
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    told = context.statusTracker()
+    stages = [told.getStageInfo(s) for j in told.getJobIdsForGroup("few-rows") for s in told.getJobInfo(j).stageIds]
+    tasks = sorted(s.numTasks for s in stages if s and s.numCompletedTasks)
+    assert len(tasks) > 20 and sum(t >= 97 for t in tasks) <= len(tasks) // 5, tasks
