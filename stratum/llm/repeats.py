@@ -37,35 +37,41 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import discard, emit, keep_on_shared_storage, rows_of
+from .common import discard, emit, keep_on_shared_storage
 
 LENGTH = 50
 #: Bytes of an anchor, and of the longer k-mers that a shard looks for.
 K, LONG_K = 16, 32
 #: Bytes of text whose anchors are found in one go.
 BUFFER = 1 << 20
+#: Bytes of texts that are hashed at once, so that the arrays stay in a core's cache.
+HASHED = 1 << 15
 #: Bytes of contexts in one index.
 SHARD_BYTES = 1 << 20
 #: Distinct contexts of an anchor from which on it is cut into single strings.
 HOT_CONTEXTS = 20_000
 SALTS = 1 << 16
+_GROUP = 0x1E3779B97F4B  # odd; times any salt it is a long
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
-    x = x ^ (x >> np.uint64(31))
-    x = x * np.uint64(0xD6E8FEB86659FD93)
-    return x ^ (x >> np.uint64(32))
+    y = x >> np.uint64(31)
+    y ^= x
+    y *= np.uint64(0xD6E8FEB86659FD93)
+    y ^= y >> np.uint64(32)
+    return y
 
 
 _BYTE = _mixed(np.arange(1, 257, dtype=np.uint64))
 
 
-@lru_cache(2)
+@lru_cache(4)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd number modulo 2 ** 64, and their inverses."""
     odd = int(_MIX)
@@ -82,8 +88,10 @@ def _kmer_hashes(data: np.ndarray, k: int) -> np.ndarray:
     factor = _MIX
     with np.errstate(over="ignore"):
         while n < k:
-            h = h[:-n] * factor + h[n:]
-            h ^= h >> np.uint64(29)
+            left = h[:-n] * factor
+            left += h[n:]
+            h = np.right_shift(left, np.uint64(29), out=h[:len(left)])
+            h ^= left
             factor = factor * _MIX
             n *= 2
     return _mixed(h)
@@ -109,8 +117,11 @@ def contexts(data: np.ndarray, owner: np.ndarray, length: int, k: int):
     # Hash above, place below: the minimum is the leftmost smallest k-mer.
     bits = len(data).bit_length()
     low = np.uint64((1 << bits) - 1)
-    ranked = (hashes & ~low) | np.arange(len(hashes), dtype=np.uint64)
-    at = (_sliding_min(ranked, length - k + 1) & low).astype(np.int64)
+    ranked = hashes & ~low
+    ranked |= np.arange(len(hashes), dtype=np.uint64)
+    at = _sliding_min(ranked, length - k + 1)
+    at &= low
+    at = at.view(np.int64)
     whole = owner[:len(at)] == owner[length - 1:]
     starts = np.flatnonzero(whole)
     at = at[starts]
@@ -120,16 +131,36 @@ def contexts(data: np.ndarray, owner: np.ndarray, length: int, k: int):
     count = np.diff(np.append(first, len(starts)))
     begin, anchor = starts[first], hashes[at[first]]
     # Polynomial hash of the context's bytes and of where the anchor lies in it.
-    powers, inverses = _powers(1 << bits)
+    powers, inverses = _powers(max(1 << bits, 2 * HASHED))  # few sizes, each made once
     with np.errstate(over="ignore"):
         total = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_BYTE[data] * powers[:len(data)], out=total[1:])
+        np.multiply(_BYTE[data], powers[:len(data)], out=total[1:])
+        np.cumsum(total, out=total)
         size = count + length - 1
         body = (total[begin + size] - total[begin]) * inverses[begin]
         own = _mixed(body + _mixed(((at[first] - begin) << 8 | size).astype(np.uint64)))
     return begin, count, anchor, own
 
 
+def _contexts_of(texts: list[bytes], length: int, k: int):
+    """``contexts`` of some texts, hashed in blocks of whole texts, and the text
+    of each: (text, start in it, strings, anchor hash, context hash)."""
+    sizes = np.array([len(t) for t in texts])
+    block = (np.cumsum(sizes) - sizes) // HASHED
+    edges = np.append(np.flatnonzero(np.diff(block, prepend=-1)), len(texts))
+    parts = []
+    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+        data, own = np.frombuffer(b"".join(texts[a:b]), np.uint8), np.repeat(np.arange(b - a), sizes[a:b])
+        begin, count, anchor, context = contexts(data, own, length, k)
+        who = own[begin]
+        parts.append((who + a, begin - (np.cumsum(sizes[a:b]) - sizes[a:b])[who], count, anchor, context))
+    return tuple(np.concatenate(c) for c in zip(*parts))
+
+
+def _bytes_of(column: pa.Array) -> list[bytes | None]:
+    return column.cast(pa.large_binary()).to_pylist()
+
+
 _PLACES = pa.schema([("anchor", pa.int64()), ("context", pa.int64()), ("doc_id", pa.int64()), ("place", pa.int64()),
                      ("salt", pa.int32()), ("many", pa.bool_())])
 _PLACES_DDL = "anchor long, context long, doc_id long, place long, salt int, many boolean"
@@ -161,14 +192,13 @@ def _places(docs: DataFrame, length: int, k: int) -> DataFrame:
         def flush() -> Iterator[pa.RecordBatch]:
             if not texts:
                 return
-            data = np.frombuffer(b"".join(texts), np.uint8)
-            sizes = np.array([len(t) for t in texts])
-            begin, count, anchor, own = contexts(data, np.repeat(np.arange(len(texts)), sizes), length, k)
-            who = np.searchsorted(np.cumsum(sizes), begin, side="right")
-            start = begin - (np.cumsum(sizes) - sizes)[who] + np.array(shifts)[who]
-            place = np.array(parts)[who] << 37 | start << 6 | count
+            who, start, count, anchor, own = _contexts_of(texts, length, k)
+            place = np.array(parts)[who] << 37 | (start + np.array(shifts)[who]) << 6 | count
             doc = np.array(ids)[who]
-            order = np.lexsort((place, doc, own))
+            if np.all((doc[1:] > doc[:-1]) | (doc[1:] == doc[:-1]) & (place[1:] >= place[:-1])):
+                order = np.argsort(own, kind="stable")  # in order but for the context
+            else:
+                order = np.lexsort((place, doc, own))
             anchor, own, doc, place = (c[order] for c in (anchor.view(np.int64), own.view(np.int64), doc, place))
             head = np.ones(len(order), bool)
             head[1:] = (own[1:] != own[:-1]) | (anchor[1:] != anchor[:-1])
@@ -193,8 +223,13 @@ def _places(docs: DataFrame, length: int, k: int) -> DataFrame:
             for x in (ids, parts, shifts, texts):
                 x.clear()
 
-        for doc_id, text in rows_of(batches, ["doc_id", "text"]):
-            whole = text.encode("utf-8", "surrogatepass")
+        def whole_texts() -> Iterator[tuple[int, bytes]]:
+            for batch in batches:
+                for at in range(0, batch.num_rows, 256):
+                    cut = batch.slice(at, 256)
+                    yield from zip(cut.column("doc_id").to_pylist(), _bytes_of(cut.column("text")))
+
+        for doc_id, whole in whole_texts():
             part = zlib.crc32(whole) & ((1 << 26) - 1)
             for shift in range(0, max(1, len(whole) - length + 1), BUFFER):  # pieces share length - 1 bytes
                 piece = whole[shift:shift + BUFFER + length - 1]
@@ -228,16 +263,14 @@ class RunLengthIndex:
         text = np.frombuffer(b"\xff".join([*strings, b""]), np.uint8)  # 0xff is never part of UTF-8
         n = len(text)
         rank = text.astype(np.int64)
-        packed, shift = np.append(rank, np.zeros(8, np.int64)).astype(np.uint64), 8
-        for width in (1, 2, 4):  # eight bytes as one number
-            packed = (packed[:-width] << np.uint64(shift)) | packed[width:]
-            shift *= 2
-        packed = np.append(packed, np.zeros(max(0, n - len(packed)), np.uint64))[:n]
-        rank = self._dense(packed)
-        for step in (8, 16):
+        packed = np.append(rank, np.zeros(4, np.int64))
+        for width, shift in ((1, 8), (2, 16)):  # four bytes as one number
+            packed = (packed[:-width] << shift) | packed[width:]
+        rank = self._dense(packed[:n])
+        for step in (4, 8, 16):
             rank = self._dense(self._pair(rank, step))
         key = self._pair(rank, length - 32)
-        order = np.argsort(key, kind="stable")
+        order = self._order(key)
         key = key[order]
         new = np.ones(n, bool)
         new[1:] = key[1:] != key[:-1]
@@ -263,8 +296,17 @@ class RunLengthIndex:
         self._less = np.cumsum(totals) - totals
 
     @staticmethod
-    def _dense(key: np.ndarray) -> np.ndarray:
-        order = np.argsort(key)
+    def _order(key: np.ndarray) -> np.ndarray:
+        """Stable order of keys that are not negative: numbers made of key and
+        place are sorted where they fit, which is faster than places by key."""
+        bits = len(key).bit_length()
+        if int(key.max()) >> (63 - bits):
+            return np.argsort(key, kind="stable")
+        return np.sort(key << bits | np.arange(len(key))) & ((1 << bits) - 1)
+
+    @classmethod
+    def _dense(cls, key: np.ndarray) -> np.ndarray:
+        order = cls._order(key)
         key = key[order]
         new = np.zeros(len(key), np.int64)
         new[1:] = key[1:] != key[:-1]
@@ -289,25 +331,27 @@ class RunLengthIndex:
     def smallest_ids(self, strings: list[bytes], length: int) -> np.ndarray:
         """For every place of the joined strings (all of them indexed) the
         smallest id that holds the ``length`` bytes there; streamed right to
-        left. Places whose string is shorter are 0."""
+        left. Places whose string is shorter are 0. The strings are kept in
+        the order of their rows, so that each step looks its runs up in order."""
         sizes = np.array([len(s) for s in strings])
-        data = np.frombuffer(b"".join(strings), np.uint8).astype(np.int64)
+        data = np.frombuffer(b"".join(strings), np.uint8)
         ends = np.cumsum(sizes)
         out = np.zeros(len(data), np.int64)
         alive = np.arange(len(strings))
         low, high = np.zeros(len(strings), np.int64), np.full(len(strings), self.rows)
         for step in range(1, int(sizes.max()) + 1):
-            alive = alive[sizes[alive] >= step]
+            goes_on = np.flatnonzero(sizes[alive] >= step)
+            by_char = goes_on[np.argsort(data[ends[alive[goes_on]] - step], kind="stable")]
+            alive = alive[by_char]
             at = ends[alive] - step
-            char = data[at]
-            low_ = self._step(char, low[alive])
+            char = data[at].astype(np.int64)
+            low = self._step(char, low[by_char])
             if step >= length:  # the interval of the last ``length`` bytes: widen to its equals
-                which = self._class[low_]
+                which = self._class[low]
                 out[at] = self.samples[which]
-                low_, high_ = self.heads[which], self.heads[which + 1]
+                low, high = self.heads[which], self.heads[which + 1]
             else:
-                high_ = self._step(char, high[alive])
-            low[alive], high[alive] = low_, high_
+                high = self._step(char, high[by_char])
         return out
 
 
@@ -353,11 +397,13 @@ _FOUND_DDL = "anchor long, context long, begin long, end long, smallest long"
 
 def _shared_places(docs: DataFrame, length: int, k: int) -> DataFrame:
     """The places of contexts whose anchor occurs in more than one document."""
-    by_anchor = Window.partitionBy("anchor", "salt")
-    return _places(docs, length, k).repartition("anchor", "salt").select(
-        "*", F.min("doc_id").over(by_anchor).alias("low"), F.max("doc_id").over(by_anchor).alias("high"),
-        F.max("many").over(by_anchor).alias("some")) \
-        .filter("salt != 0 or low < high or some").select("anchor", "context", "doc_id", "place", "salt", "many")
+    # One number sorts faster than anchor and salt. Should two groups meet in it, some places more are kept.
+    group = F.col("anchor").bitwiseXOR(F.col("salt").cast("long") * F.lit(_GROUP))
+    by_group = Window.partitionBy(group)
+    last = F.when(F.col("many"), F.lit((1 << 63) - 1)).otherwise(F.col("doc_id"))  # many: a larger id has it too
+    return _places(docs, length, k).repartition(group).select(
+        "*", F.min("doc_id").over(by_group).alias("low"), F.max(last).over(by_group).alias("high")) \
+        .filter("salt != 0 or low < high").select("anchor", "context", "doc_id", "place", "salt", "many")
 
 
 def _found_of_strings(strings: DataFrame) -> DataFrame:
@@ -461,19 +507,34 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH, k: int = K, shard
         "doc_id", "text", "spans")
 
 
-def remove_spans(whole: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, list[tuple[int, int]]]:
-    """The remaining bytes, and the spans merged where they touch."""
-    merged: list[list[int]] = []
-    for start, end in sorted(spans):
-        if merged and start <= merged[-1][1]:
-            merged[-1][1] = max(merged[-1][1], end)
-        else:
-            merged.append([start, end])
+def _merged(owner: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The spans of each owner, merged where they touch, by owner and start."""
+    if not len(start):
+        return owner, start, end
+    order = np.lexsort((start, owner))
+    owner, shift = owner[order], owner[order] * (int(end.max()) + 1)  # one line of places, owner after owner
+    start, reach = start[order], np.maximum.accumulate(end[order] + shift)
+    new = np.ones(len(start), bool)
+    new[1:] = (owner[1:] != owner[:-1]) | (start[1:] + shift[1:] > reach[:-1])
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(start)) - 1
+    return owner[first], start[first], reach[last] - shift[last]
+
+
+def _without(whole: bytes, merged: list[tuple[int, int]]) -> bytes:
     kept, at = [], 0
     for start, end in merged:
         kept.append(whole[at:start])
         at = end
-    return b"".join([*kept, whole[at:]]), [(a, b) for a, b in merged]
+    return b"".join([*kept, whole[at:]])
+
+
+def remove_spans(whole: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, list[tuple[int, int]]]:
+    """The remaining bytes, and the spans merged where they touch."""
+    start, end = np.array(spans, np.int64).reshape(-1, 2).T
+    _, start, end = _merged(np.zeros(len(start), np.int64), start, end)
+    merged = list(zip(start.tolist(), end.tolist()))
+    return _without(whole, merged), merged
 
 
 _RESULT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()),
@@ -485,10 +546,21 @@ def removal_digests(documents: DataFrame, **options) -> DataFrame:
 
     def run(batches):
         def rows():
-            for doc_id, text, spans in rows_of(batches, ["doc_id", "text", "spans"]):
-                whole = (text or "").encode("utf-8", "surrogatepass")
-                kept, merged = remove_spans(whole, [(s["start"], s["end"]) for s in spans or ()])
-                yield doc_id, len(whole), len(whole) - len(kept), len(merged), hashlib.sha256(kept).hexdigest()
+            for batch in batches:
+                for at in range(0, batch.num_rows, 256):
+                    yield from slice_rows(batch.slice(at, 256))
+
+        def slice_rows(batch):
+            spans = batch.column("spans")
+            counts = pc.fill_null(pc.list_value_length(spans), 0).to_numpy()
+            owner, start, end = _merged(np.repeat(np.arange(batch.num_rows), counts),
+                                        *(spans.flatten().field(c).to_numpy() for c in ("start", "end")))
+            of = np.searchsorted(owner, np.arange(batch.num_rows + 1)).tolist()
+            merged = list(zip(start.tolist(), end.tolist()))
+            for i, (doc_id, whole) in enumerate(zip(batch.column("doc_id").to_pylist(), _bytes_of(batch.column("text")))):
+                whole, own = whole or b"", merged[of[i]:of[i + 1]]
+                kept = _without(whole, own)
+                yield doc_id, len(whole), len(whole) - len(kept), len(own), hashlib.sha256(kept).hexdigest()
 
         yield from emit(rows(), _RESULT)
 

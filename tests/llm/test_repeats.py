@@ -108,3 +108,24 @@ def test_spans_merge():
 
 def test_empty_table(spark):
     assert removal_digests(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_texts_are_hashed_in_small_blocks_and_dealt_once(spark, monkeypatch):
+    rnd = random.Random(4)
+    texts = ["".join(rnd.choice("abcd é") for _ in range(rnd.randrange(50, 9000))).encode() for _ in range(60)]
+    whole, seen = R.contexts, []
+
+    def hashed(data, *more):
+        seen.append(len(data))
+        return whole(data, *more)
+
+    sizes = np.array([len(t) for t in texts])
+    begin, *want = whole(np.frombuffer(b"".join(texts), np.uint8), np.repeat(np.arange(60), sizes), 50, 16)
+    monkeypatch.setattr(R, "contexts", hashed)
+    who, start, *got = R._contexts_of(texts, 50, 16)
+    assert ((np.cumsum(sizes) - sizes)[who] + start).tolist() == begin.tolist()
+    assert [g.tolist() for g in got] == [w.tolist() for w in want]
+    assert sum(seen) == sum(sizes) and max(seen) <= R.HASHED + max(sizes)
+    frame = spark.createDataFrame([(1, "x")], "doc_id long, text string")
+    plan = R._shared_places(frame, 50, 16)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count(" ASC NULLS FIRST") == 1  # sorted by one number
