@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import keep_on_shared_storage
+from .common import fewer_tasks, keep_on_shared_storage
 
 KINDS = ("email", "ip", "card", "phone")
 # The contract's patterns. Possessive quantifiers and the look-behinds give the
@@ -54,6 +54,8 @@ MIN_SEEDS, MIN_SCORE, ROUNDS = 3, 0.8, 3
 BLOCK = 256
 #: Added spans are broadcast up to so many; more are joined by row.
 MAX_BROADCAST_SPANS = 20_000
+#: Labelled values of one task in a step of the graph.
+VALUES_OF_TASK = 50_000
 
 _SPAN = "array<struct<kind:int,start:bigint,end:bigint>>"
 _VALUE = "array<struct<label:string,value:string,start:bigint,end:bigint>>"
@@ -161,25 +163,33 @@ def _fits(kind: Column, value: Column, patterns: dict[str, str], check: bool) ->
 
 
 def bootstrap(values: DataFrame, min_seeds: int = MIN_SEEDS, min_score: float = MIN_SCORE,
-              rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
+              rounds: int = ROUNDS, n_values: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Scored patterns (label, kind, score) and instances (value, kind, score)
-    of the graph of labelled values."""
-    graph = keep_on_shared_storage(values.select("label", "value").distinct(), "label-graph")
-    totals = graph.groupBy("label").agg(F.count(F.lit(1)).alias("total"))
+    of the graph of labelled values. ``n_values`` tells how many rows
+    ``values`` has, if that is known; the steps' tasks are as many as these need."""
+    n = values.count() if n_values is None else n_values
+
+    def fewer(df: DataFrame) -> DataFrame:
+        return fewer_tasks(df, n, VALUES_OF_TASK)
+
+    graph = keep_on_shared_storage(fewer(values.select("label", "value").distinct()), "label-graph")
+    totals = keep_on_shared_storage(fewer(graph.groupBy("label").agg(F.count(F.lit(1)).alias("total"))), "label-totals")
     kinds = F.explode(F.array(*map(F.lit, range(len(KINDS))))).alias("kind")
-    seeds = graph.select("value").distinct().select("value", kinds) \
+    seeds = fewer(graph.select("value").distinct()).select("value", kinds) \
         .filter(_fits(F.col("kind"), F.col("value"), PATTERNS, True)).withColumn("score", F.lit(1.0))
     seeds = keep_on_shared_storage(seeds, "seeds")
     instances = seeds
     for _ in range(rounds):
-        patterns = graph.join(instances, "value").groupBy("label", "kind").agg(
-            F.sum("score").alias("weight")).filter(F.col("weight") >= min_seeds).join(totals, "label") \
+        weights = fewer(fewer(graph.join(instances, "value")).groupBy("label", "kind").agg(
+            F.sum("score").alias("weight")).filter(F.col("weight") >= min_seeds))
+        patterns = fewer(weights.join(totals, "label")) \
             .select("label", "kind", (F.col("weight") / F.col("total")).alias("score")) \
             .filter(F.col("score") >= min_score)
         patterns = keep_on_shared_storage(patterns, "patterns")
-        new = graph.join(patterns, "label").filter(_fits(F.col("kind"), F.col("value"), SHAPES, False)) \
-            .groupBy("value", "kind").agg(F.max("score").alias("score"))
-        instances = new.union(seeds).groupBy("value", "kind").agg(F.max("score").alias("score"))
+        new = fewer(graph.join(patterns, "label")).filter(_fits(F.col("kind"), F.col("value"), SHAPES, False)) \
+            .select("value", "kind", "score")
+        instances = fewer(new.union(seeds).groupBy("value", "kind").agg(F.max("score").alias("score")))
+        instances = keep_on_shared_storage(instances, "instances")
     return patterns, instances
 
 
@@ -193,10 +203,12 @@ def added_spans(docs: DataFrame) -> DataFrame:
     """(key, added): spans that the bootstrapped patterns find, from keyed
     ``docs``; one row for each key that has some."""
     values = keep_on_shared_storage(labelled_values(docs), "labelled-values")
-    patterns, instances = bootstrap(values)
-    return values.join(patterns.select("label", "kind"), "label").join(
-        instances.select("value", "kind"), ["value", "kind"]).groupBy("key").agg(F.collect_set(
-            F.struct(F.col("kind").cast("int").alias("kind"), "start", "end")).alias("added"))
+    n = values.count()
+    patterns, instances = bootstrap(values, n_values=n)
+    found = fewer_tasks(values.join(patterns.select("label", "kind"), "label"), n, VALUES_OF_TASK)
+    found = fewer_tasks(found.join(instances.select("value", "kind"), ["value", "kind"]), n, VALUES_OF_TASK)
+    return fewer_tasks(found.groupBy("key").agg(F.collect_set(
+        F.struct(F.col("kind").cast("int").alias("kind"), "start", "end")).alias("added")), n, VALUES_OF_TASK)
 
 
 def with_spans(docs: DataFrame) -> DataFrame:

@@ -87,6 +87,28 @@ def test_bootstrapping_finds_unseen_identifiers_only_behind_proven_labels(spark)
     assert few[50] == ""
 
 
+def test_few_values_do_not_take_a_task_for_every_shuffle_partition(spark):
+    conf = {"spark.sql.shuffle.partitions": "97", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    context = spark.sparkContext
+    frame = spark.createDataFrame(labelled(30) + [(50, "Phone: 555 123 4567.")], "doc_id long, text string")
+    want = sorted(map(tuple, pii.find_personal_data(frame).collect()))
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        context.setJobGroup("few-values", "few values")
+        got = sorted(map(tuple, pii.find_personal_data(frame).collect()))
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == want and got[-1][-1] == "phone:7:19"
+    told = context.statusTracker()
+    stages = [told.getStageInfo(s) for j in told.getJobIdsForGroup("few-values") for s in told.getJobInfo(j).stageIds]
+    tasks = sorted(s.numTasks for s in stages if s and s.numCompletedTasks)
+    assert len(tasks) > 20 and tasks[-1] < 97, tasks
+
+
 def test_redaction(spark):
     docs = labelled(30) + [(50, "𝒳 Phone: 555 123 4567."), (60, None), (61, ""), (62, "no data"),
                            (63, "a@1.2.3.4 end +1 555 123 45678 x")]
