@@ -42,5 +42,5 @@ def test_stages_keep_the_columns_and_empty_tables(spark):
 
 
 def test_registry():
-    assert {f"op{n}" for n in range(1, 11)} == {k.split("_")[0] for k in queries.REGISTRY if k != "pipeline"}
+    assert {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in queries.REGISTRY if k != "pipeline"}
     assert "pipeline" in queries.REGISTRY and set(queries.ORACLE_SQL) <= set(queries.REGISTRY)
